@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import times
 from ..schemas import envelope
+from .latest import newest
 
 READING_COLUMNS = ("id", "sensor_id", "co2_level", "measurement_time", "location", "op")
 
@@ -76,21 +77,17 @@ def table_state(changes: DataFrame) -> DataFrame:
     The aggregate keeps one candidate per id and input partition, so an id that is updated
     endlessly shuffles one row per partition and never gathers in a task.
     """
-    rows = decode(changes, history=True)
-    order = [c for c in ("ts_ms", "seq") if c in rows.columns]
-    image = F.struct(
-        "op", F.col("id").alias("after_id"), "sensor_id", "co2_level", "measurement_time", "location"
-    )
-    last = (
-        rows.withColumn("row_id", F.coalesce("id", "before_id"))
-        .where(F.col("row_id").isNotNull())
-        .groupBy("row_id")
-        .agg(F.max_by(image, F.struct(*order)).alias("last"))
+    rows = decode(changes, history=True).withColumns(
+        {"row_id": F.coalesce("id", "before_id"), "gone": F.col("op").eqNullSafe("d")}
     )
-    return last.where(F.col("last.after_id").isNotNull() & ~F.col("last.op").eqNullSafe("d")).select(
-        F.col("row_id").alias("id"),
-        F.col("last.sensor_id").alias("sensor_id"),
-        F.col("last.co2_level").alias("co2_level"),
-        times.local_time(F.timestamp_micros("last.measurement_time")).alias("measurement_time"),
-        F.col("last.location").alias("location"),
+    order = [c for c in ("ts_ms", "seq") if c in rows.columns]
+    image = ["id", "gone", "sensor_id", "co2_level", "measurement_time", "location"]
+    identified = rows.where(F.col("row_id").isNotNull()).select("row_id", *order, *image)
+    last = newest(identified, "row_id", order)
+    return last.where(F.col("id").isNotNull() & ~F.col("gone")).select(
+        "id",
+        "sensor_id",
+        "co2_level",
+        times.local_time(F.timestamp_micros("measurement_time")).alias("measurement_time"),
+        "location",
     )

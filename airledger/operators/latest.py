@@ -21,11 +21,12 @@ def newest(frame: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` for each key, as a keyed aggregate.
 
     Works on batch input and, in update mode, on a stream. Each input partition passes on one row
-    per key, so a hot key costs no more than a rare one after the shuffle.
+    per key, so a hot key costs no more than a rare one after the shuffle. Structs compare field
+    by field, so putting the order columns first ranks by them and leaves no tie undecided.
     """
-    rest = [c for c in frame.columns if c != key]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("best")
-    return frame.groupBy(key).agg(best).select(key, *[F.col("best")[c].alias(c) for c in rest])
+    rest = [c for c in frame.columns if c != key and c not in order]
+    best = frame.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("best"))
+    return best.select(key, *[F.col("best")[c].alias(c) for c in (*order, *rest)])
 
 
 def numbered(frame: DataFrame, key: str, order: list[str], name: str = "row_num") -> DataFrame:
@@ -50,7 +51,8 @@ def as_status(latest: DataFrame, rules: Rules = Rules(), *, carry: tuple[str, ..
 
 
 def current_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    return as_status(newest(readings, "sensor_id", recency(readings)), rules)
+    latest = newest(readings.drop("op"), "sensor_id", recency(readings))
+    return as_status(latest, rules)
 
 
 def current_status_ranked(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:

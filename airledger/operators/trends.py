@@ -70,10 +70,12 @@ def sensor_stats_24h(hourly: DataFrame) -> DataFrame:
         .where(F.col("frame") == F.col("block"))
         .drop("block", "frame")
     )
-    same_hour = F.col("sensor_id").eqNullSafe(F.col("rolled_sensor")) & (
-        F.col("window_end") == F.col("rolled_end")
-    )
-    return hourly.join(rolling, same_hour).select(
+    # Null-safe and left: no null filter is inferred for one side only, so both sides keep the same
+    # scan and aggregation and Spark runs it once (ReusedExchange).
+    same_hour = F.col("sensor_id").eqNullSafe(F.col("rolled_sensor")) & F.col(
+        "window_end"
+    ).eqNullSafe(F.col("rolled_end"))
+    return hourly.join(rolling, same_hour, "left").select(
         "sensor_id",
         "location",
         F.col("window_end").alias("time_bucket"),

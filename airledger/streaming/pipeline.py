@@ -9,31 +9,50 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from types import MappingProxyType
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schemas
 from ..config import DRAIN, Rules, StreamSettings
 from . import files, queries as Q
+from .sinks import BatchWriter
 
 log = logging.getLogger(__name__)
 
 Starter = Callable[[], StreamingQuery]
+#: Result-table name -> writer that replaces the Parquet sink of that table.
+Writers = Mapping[str, BatchWriter]
 
 
 def output_starters(
-    spark: SparkSession, root: str, settings: StreamSettings, rules: Rules, seq_type: str
+    spark: SparkSession,
+    root: str,
+    settings: StreamSettings,
+    rules: Rules,
+    seq_type: str,
+    writers: Writers,
 ) -> dict[str, Starter]:
     def bronze() -> DataFrame:
         return Q.stream_bronze(spark, root, settings, seq_type)
 
+    def writer(table: schemas.Table) -> BatchWriter | None:
+        return writers.get(table.name)
+
     return {
-        "minute": lambda: Q.start_minute_averages(bronze(), root, settings),
-        "alerts": lambda: Q.start_alerts(bronze(), root, settings, rules),
-        "status": lambda: Q.start_status(bronze(), root, settings, rules),
-        "hourly": lambda: Q.start_hourly(bronze(), root, settings),
+        "minute": lambda: Q.start_minute_averages(
+            bronze(), root, settings, writer(schemas.MINUTE_AVERAGES)
+        ),
+        "alerts": lambda: Q.start_alerts(bronze(), root, settings, rules, writer(schemas.ALERTS)),
+        "status": lambda: Q.start_status(
+            bronze(), root, settings, rules, writer(schemas.CURRENT_STATUS)
+        ),
+        "hourly": lambda: Q.start_hourly(
+            bronze(), root, settings, writer(schemas.HOURLY_AGGREGATES)
+        ),
     }
 
 
@@ -52,12 +71,14 @@ def drain(
     root: str,
     settings: StreamSettings = StreamSettings(trigger=DRAIN),
     rules: Rules = Rules(),
+    writers: Writers = MappingProxyType({}),
 ) -> None:
     """Process everything the feed holds now, then return. Repeating it picks up what is new."""
     spark = changes.sparkSession
     _prepare(spark, root, settings)
     run_to_end({"bronze": lambda: Q.start_bronze(changes, root, settings)}, settings)
-    run_to_end(output_starters(spark, root, settings, rules, seq_type_of(changes)), settings)
+    outputs = output_starters(spark, root, settings, rules, seq_type_of(changes), writers)
+    run_to_end(outputs, settings)
 
 
 def run_live(
@@ -65,12 +86,13 @@ def run_live(
     root: str,
     settings: StreamSettings = StreamSettings(),
     rules: Rules = Rules(),
+    writers: Writers = MappingProxyType({}),
 ) -> None:
     """Run all queries until one of them fails for good."""
     spark = changes.sparkSession
     _prepare(spark, root, settings)
     starters: dict[str, Starter] = {"bronze": lambda: Q.start_bronze(changes, root, settings)}
-    starters.update(output_starters(spark, root, settings, rules, seq_type_of(changes)))
+    starters |= output_starters(spark, root, settings, rules, seq_type_of(changes), writers)
     run_to_end(starters, settings)
 
 

@@ -1,4 +1,7 @@
-"""The streaming outputs, each as (readings stream) -> started query."""
+"""The streaming outputs, each as (readings stream) -> started query.
+
+Outputs go to Parquet below ``root`` unless a batch writer (database table) is given.
+"""
 
 from __future__ import annotations
 
@@ -15,29 +18,49 @@ def watermarked(readings: DataFrame, settings: StreamSettings) -> DataFrame:
     return readings.withWatermark("measurement_time", settings.watermark)
 
 
+def _start_append(
+    rows: DataFrame,
+    table: schemas.Table,
+    name: str,
+    root: str,
+    settings: StreamSettings,
+    write: sinks.BatchWriter | None,
+) -> StreamingQuery:
+    checkpoint = f"{root}/_checkpoints/{name}"
+    if write is None:
+        return sinks.append(rows, table, f"{root}/{name}", checkpoint, settings)
+    return sinks.for_each_batch(rows, write, table.name, checkpoint, settings)
+
+
 def start_minute_averages(
-    readings: DataFrame, root: str, settings: StreamSettings
+    readings: DataFrame,
+    root: str,
+    settings: StreamSettings,
+    write: sinks.BatchWriter | None = None,
 ) -> StreamingQuery:
     rows = W.minute_averages(watermarked(readings, settings))
-    return sinks.append(
-        rows, schemas.MINUTE_AVERAGES, f"{root}/minute", f"{root}/_checkpoints/minute", settings
-    )
+    return _start_append(rows, schemas.MINUTE_AVERAGES, "minute", root, settings, write)
 
 
-def start_hourly(readings: DataFrame, root: str, settings: StreamSettings) -> StreamingQuery:
+def start_hourly(
+    readings: DataFrame,
+    root: str,
+    settings: StreamSettings,
+    write: sinks.BatchWriter | None = None,
+) -> StreamingQuery:
     rows = W.hourly_aggregates(watermarked(readings, settings))
-    return sinks.append(
-        rows, schemas.HOURLY_AGGREGATES, f"{root}/hourly", f"{root}/_checkpoints/hourly", settings
-    )
+    return _start_append(rows, schemas.HOURLY_AGGREGATES, "hourly", root, settings, write)
 
 
 def start_alerts(
-    readings: DataFrame, root: str, settings: StreamSettings, rules: Rules = Rules()
+    readings: DataFrame,
+    root: str,
+    settings: StreamSettings,
+    rules: Rules = Rules(),
+    write: sinks.BatchWriter | None = None,
 ) -> StreamingQuery:
     rows = A.alerts(readings, rules)
-    return sinks.append(
-        rows, schemas.ALERTS, f"{root}/alerts", f"{root}/_checkpoints/alerts", settings
-    )
+    return _start_append(rows, schemas.ALERTS, "alerts", root, settings, write)
 
 
 def status_table(root: str, settings: StreamSettings, with_seq: bool = True) -> sinks.KeyedTable:
@@ -60,12 +83,16 @@ def latest_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def start_status(
-    readings: DataFrame, root: str, settings: StreamSettings, rules: Rules = Rules()
+    readings: DataFrame,
+    root: str,
+    settings: StreamSettings,
+    rules: Rules = Rules(),
+    write: sinks.BatchWriter | None = None,
 ) -> StreamingQuery:
     target = status_table(root, settings, "seq" in readings.columns)
     return sinks.for_each_batch(
         latest_status(readings, rules),
-        target.upsert,
+        write or target.upsert,
         schemas.CURRENT_STATUS.name,
         f"{root}/_checkpoints/status",
         settings,
