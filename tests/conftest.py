@@ -1,0 +1,82 @@
+import json
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+DATA = "/root/testdata"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path)
+
+
+def micros(seconds: float) -> int:
+    """Epoch microseconds, counted from 2024-01-01 00:00:00."""
+    return 1_704_067_200_000_000 + round(seconds * 1_000_000)
+
+
+def change(
+    id_=1,
+    sensor="sensor_1",
+    level=412.5,
+    seconds=0.0,
+    place="Downtown",
+    op="c",
+    before=None,
+    ts_ms=None,
+):
+    """One envelope as the topic carries it; ``op='d'`` moves the row image to ``before``."""
+    at = micros(seconds)
+    row = {
+        "id": id_,
+        "sensor_id": sensor,
+        "co2_level": level,
+        "measurement_time": at,
+        "location": place,
+    }
+    payload = {
+        "before": row if op == "d" else before,
+        "after": None if op == "d" else row,
+        "op": op,
+        "ts_ms": at // 1000 if ts_ms is None else ts_ms,
+        "source": {"table": "readings"},
+    }
+    return json.dumps({"schema": {"type": "struct"}, "payload": payload})
+
+
+@pytest.fixture
+def feed(spark):
+    """Turn a list of envelope strings (or None) into a change feed in that order."""
+
+    def build(values):
+        return spark.createDataFrame(list(enumerate(values)), "seq bigint, value string")
+
+    return build
+
+
+def rows(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)

@@ -1,0 +1,53 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from airledger.config import Rules
+from airledger.functions import rules as R, times
+
+
+@pytest.mark.parametrize(
+    "level, status, label, alert, message",
+    [
+        (399.99, "NORMAL", "Normal", False, "Elevated CO2 Level Detected"),
+        (400.0, "NORMAL", "Normal", False, "Elevated CO2 Level Detected"),
+        (400.01, "WARNING", "Warning", True, "Elevated CO2 Level Detected"),
+        (420.0, "WARNING", "Warning", True, "Elevated CO2 Level Detected"),
+        (420.01, "CRITICAL", "High Warning", True, "High CO2 Level Detected"),
+        (None, "NORMAL", "Normal", None, "Elevated CO2 Level Detected"),
+    ],
+)
+def test_thresholds_are_strict(spark, level, status, label, alert, message):
+    level_column = F.lit(level).cast("double")
+    row = spark.range(1).select(
+        R.status(level_column), R.feed_label(level_column), R.is_alert(level_column),
+        R.alert_message(level_column),
+    ).first()
+    assert tuple(row) == (status, label, alert, message)
+
+
+def test_thresholds_can_be_changed(spark):
+    row = spark.range(1).select(R.status(F.lit(30.0), Rules(warning=10, critical=20))).first()
+    assert row[0] == "CRITICAL"
+
+
+def test_micros_are_cut_to_millis_toward_zero(spark):
+    frame = spark.createDataFrame([(1_704_067_200_123_456,), (-1500,)], "t bigint")
+    cut = frame.select(times.whole_millis("t"), times.local_time(times.event_time("t"))).collect()
+    assert cut[0][1] == dt.datetime(2024, 1, 1, 0, 0, 0, 123000)
+    assert [r[0] for r in cut] == [1_704_067_200_123, -1]
+
+
+def test_window_end_is_exclusive(spark):
+    at = F.lit(dt.datetime(2024, 1, 1, 9, 0)).cast("timestamp")
+    frame = spark.range(1).select(F.window(at, "1 hour").alias("w"))
+    row = frame.select(times.window_end("w")).first()
+    assert row[0] == dt.datetime(2024, 1, 1, 10, 0)
+
+
+def test_calendar_parts(spark):
+    frame = spark.sql("SELECT TIMESTAMP_NTZ '2024-02-29 23:59:59.999999' AS t")
+    row = frame.select(times.hour_of_day("t"), times.day_of("t"), times.hour_start("t")).first()
+    assert tuple(row) == (23, dt.date(2024, 2, 29), dt.datetime(2024, 2, 29, 23))
+    assert dict(frame.select(times.hour_start("t").alias("h")).dtypes)["h"] == "timestamp_ntz"

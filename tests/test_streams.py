@@ -1,0 +1,289 @@
+"""Streams run against a directory of change files, one file per batch where order matters."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from airledger import schemas
+from airledger.config import DRAIN, StreamSettings
+from airledger.functions import times
+from airledger.operators import alerts as A, changes as C, latest as L, windows as W
+from airledger.sources import changes as feeds
+from airledger.sources import sensor_feed
+from airledger.streaming import files, pipeline, queries as Q, sinks
+from tests.conftest import DATA, change, rows
+
+SETTINGS = StreamSettings(trigger=DRAIN, retry_delay_seconds=0.1)
+SMALL = f"{DATA}/sf0.001"
+
+
+class Landing:
+    """A growing directory of change files with consecutive ``seq`` numbers."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.next = spark, path, 0
+        files.make_dir(spark, path)
+
+    def add(self, *values):
+        numbered = [(self.next + i, v) for i, v in enumerate(values)]
+        self.next += len(values)
+        frame = self.spark.createDataFrame(numbered, feeds.FEED_SCHEMA)
+        frame.coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self, **options):
+        return feeds.stream_files(self.spark, self.path, **options)
+
+    def batch(self):
+        return feeds.read_files(self.spark, self.path)
+
+
+@pytest.fixture
+def landing(spark, root):
+    return Landing(spark, f"{root}/landing")
+
+
+def closed(windows, readings):
+    """What an append stream emits: windows the final watermark has passed."""
+    bound = times.local_time(F.max("measurement_time")) - F.expr("INTERVAL 5 SECONDS")
+    last = readings.agg(bound.alias("b")).first().b
+    return windows.where(F.col("window_end") <= F.lit(last).cast("timestamp_ntz"))
+
+
+def start_all(stream, root):
+    for start in (Q.start_minute_averages, Q.start_hourly, Q.start_alerts, Q.start_status):
+        start(C.readings(stream()), root, SETTINGS).awaitTermination()
+
+
+def outputs(spark, root):
+    return {
+        "minute": rows(sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")),
+        "hourly": rows(sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly")),
+        "alerts": rows(sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")),
+        "status": rows(Q.status_table(root, SETTINGS).read(spark)),
+    }
+
+
+def expected(changes):
+    readings = C.readings(changes).cache()
+    return {
+        "minute": rows(closed(W.minute_averages(readings), readings)),
+        "hourly": rows(closed(W.hourly_aggregates(readings), readings)),
+        "alerts": rows(A.alerts(readings)),
+        "status": rows(L.current_status(readings)),
+    }
+
+
+def rounded(tables):
+    def value(v):
+        return round(v, 9) if isinstance(v, float) else v
+
+    return {name: [tuple(map(value, row)) for row in found] for name, found in tables.items()}
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_streams_equal_batch(spark, root, batches):
+    events = sensor_feed.read_events(spark, SMALL)
+    changes = sensor_feed.changes(events, dense=True)
+    for part in range(4):  # files are read in order of age
+        changes.where(f"seq div 250 = {part}").write.mode("append").parquet(f"{root}/in")
+    options = {"maxFilesPerTrigger": "1"} if batches > 1 else {}
+    start_all(lambda: feeds.stream_files(spark, f"{root}/in", **options), root)
+    assert rounded(outputs(spark, root)) == rounded(expected(changes))
+
+
+def test_pipeline_equals_batch_and_goes_on_after_a_restart(spark, root, landing):
+    events = sensor_feed.read_events(spark, SMALL)
+    log = [r.value for r in sensor_feed.changes(events, dense=True).orderBy("seq").collect()]
+    for part in (log[:600], log[600:]):
+        landing.add(*part)
+        pipeline.drain(landing.stream(), root, SETTINGS)
+    assert rounded(outputs(spark, root)) == rounded(expected(landing.batch()))
+    before = outputs(spark, root)
+    pipeline.drain(landing.stream(), root, SETTINGS)  # nothing new
+    assert outputs(spark, root) == before
+    bronze = Q.read_bronze(spark, root)
+    assert bronze.count() == 950
+    day = bronze.where("event_date = date'2024-01-01'")
+    assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
+
+
+def test_late_rows_are_dropped_by_the_watermark_of_the_batch_before(spark, root, landing):
+    for seconds in [(10, 50), (65, 58), (59, 70), (30, 130), (200,)]:
+        landing.add(*[change(seconds=s) for s in seconds])
+    query = Q._start_append(
+        W.tumbling(
+            Q.watermarked(C.readings(landing.stream(maxFilesPerTrigger="1")), SETTINGS),
+            "1 minute",
+            F.count(F.lit(1)).cast("double").alias("avg_co2"),
+        ),
+        schemas.MINUTE_AVERAGES, "minute", root, SETTINGS, None,
+    )
+    query.awaitTermination()
+    got = sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute").orderBy("window_end")
+    assert [(r.window_end.minute, r.avg_co2) for r in got.collect()] == [(1, 4), (2, 2), (3, 1)]
+    dropped = [op["numRowsDroppedByWatermark"]
+               for p in query.recentProgress for op in json.loads(p.json)["stateOperators"]]
+    assert sum(dropped) == 1
+
+
+def test_late_alerts_still_fire_and_silent_partitions_do_not_hold_windows(spark, root, landing):
+    landing.add(change(1, seconds=5))
+    landing.add(change(2, sensor="sensor_2", seconds=7200))
+    landing.add(change(3, sensor="sensor_2", seconds=7201))
+    landing.add(change(4, sensor="sensor_3", level=433.0, seconds=6))
+    stream = landing.stream(maxFilesPerTrigger="1")
+    Q.start_alerts(C.readings(stream), root, SETTINGS).awaitTermination()
+    Q.start_minute_averages(C.readings(stream), root, SETTINGS).awaitTermination()
+    got = outputs_of(spark, root, "alerts", schemas.ALERTS)
+    assert sorted(r.sensor_id for r in got) == [
+        "sensor_1", "sensor_2", "sensor_2", "sensor_3"
+    ]
+    emitted = outputs_of(spark, root, "minute", schemas.MINUTE_AVERAGES)
+    assert [r.sensor_id for r in emitted if r.window_end.hour == 0] == ["sensor_1"]
+
+
+def outputs_of(spark, root, name, table):
+    return sinks.read_appended(spark, table, f"{root}/{name}").collect()
+
+
+def test_broken_rows_are_set_aside_with_a_reason(spark, root, landing):
+    landing.add(change(1, sensor="s" * 60), change(2, level=430.0), change(3, sensor=None))
+    Q.start_alerts(C.readings(landing.stream()), root, SETTINGS).awaitTermination()
+    assert [r.co2_level for r in outputs_of(spark, root, "alerts", schemas.ALERTS)] == [430.0]
+    rejected = sinks.read_rejected(spark, schemas.ALERTS, f"{root}/alerts")
+    assert sorted(r.violations for r in rejected.collect()) == [
+        "sensor_id is null", "sensor_id over 50 chars"
+    ]
+
+
+def test_older_reading_never_replaces_a_newer_one(spark, root, landing):
+    landing.add(change(1, seconds=100, level=401.0))
+    landing.add(change(2, seconds=50, level=499.0), change(3, sensor="sensor_2", level=390.0))
+    landing.add(change(4, seconds=200, level=None))  # refused, must not hide the good one
+    stream = landing.stream(maxFilesPerTrigger="1")
+    Q.start_status(C.readings(stream), root, SETTINGS).awaitTermination()
+    got = {r.sensor_id: r.co2_level for r in Q.status_table(root, SETTINGS).read(spark).collect()}
+    assert got == {"sensor_1": 401.0, "sensor_2": 390.0}
+
+
+def status_rows(spark, data):
+    schema = (
+        "sensor_id string, co2_level double, status string, last_updated timestamp_ntz, "
+        "location string, seq bigint, id bigint"
+    )
+    day = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame(
+        [(s, lvl, "NORMAL", day + dt.timedelta(seconds=t), "p", t, t) for s, lvl, t in data], schema
+    )
+
+
+def test_keyed_table_survives_retries_and_folds_snapshots(spark, root):
+    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"], 3)
+    want = {}
+    for batch in range(11):
+        data = [(f"s{batch % 4}", float(batch), batch * 10), ("late", 1.0, 100 - batch)]
+        table.upsert(status_rows(spark, data), batch)
+        if batch in (3, 4, 6):
+            table.upsert(status_rows(spark, data), batch)  # the same batch again
+        want[f"s{batch % 4}"] = (float(batch), batch * 10)
+        got = {r.sensor_id: r.co2_level for r in table.read(spark).collect()}
+        assert got == {**{k: v for k, (v, _) in want.items()}, "late": 1.0}
+    newest = table.read(spark).where("sensor_id = 'late'").first().last_updated
+    assert newest == dt.datetime(2024, 1, 1, 0, 1, 40)
+    assert files.finished_versions(spark, root, "snapshot") == [6, 9]
+    assert files.finished_versions(spark, root, "changes") == [7, 8, 9, 10]
+
+
+def test_unfinished_versions_are_not_read(spark, root):
+    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated"], 100)
+    table.upsert(status_rows(spark, [("s", 1.0, 1)]), 0)
+    files.make_dir(spark, f"{root}/changes=1")  # no _SUCCESS
+    files.make_dir(spark, f"{root}/snapshot=1")
+    assert [r.co2_level for r in table.read(spark).collect()] == [1.0]
+
+
+def test_materialized_result_is_refreshed_explicitly(spark, root):
+    frame = spark.range(3)
+    assert [sinks.refresh_table(frame, root), sinks.refresh_table(spark.range(5), root)] == [0, 1]
+    assert sinks.read_refreshed(spark, root).count() == 5
+    sinks.refresh_table(frame, root)
+    assert files.finished_versions(spark, root, "version") == [1, 2]
+
+
+def test_failed_query_restarts_from_its_checkpoint(spark, root, landing):
+    landing.add(change(1, level=430.0))
+    marker = f"{root}/failed-once"
+
+    def write(frame, batch_id):
+        if not files.finished_versions(spark, root, "tries"):
+            spark.range(1).write.parquet(f"{root}/tries=0")
+            raise RuntimeError("first attempt")
+        frame.write.mode("overwrite").parquet(f"{marker}/batch={batch_id}")
+
+    def start():
+        readings = C.readings(landing.stream())
+        return Q.start_alerts(readings, root, SETTINGS, write=write)
+
+    pipeline.run_to_end({"alerts": start}, SETTINGS)
+    assert spark.read.parquet(marker).count() == 1
+
+
+def test_failure_is_raised_after_the_last_attempt(spark, root, landing):
+    landing.add(change(1, level=430.0))
+    calls = []
+
+    def write(frame, batch_id):
+        calls.append(batch_id)
+        raise RuntimeError("always")
+
+    settings = StreamSettings(trigger=DRAIN, attempts=2, retry_delay_seconds=0.1)
+    start = lambda: Q.start_alerts(C.readings(landing.stream()), root, settings, write=write)
+    with pytest.raises(Exception, match="always"):
+        pipeline.run_to_end({"alerts": start}, settings)
+    assert len(calls) == 3
+
+
+def test_live_pipeline_runs_until_stopped(spark, root, landing):
+    """All five queries together on a processing-time trigger, from an empty bronze table."""
+    import threading
+
+    settings = StreamSettings(trigger={"processingTime": "200 milliseconds"})
+    landing.add(change(1, seconds=1, level=430.0), change(2, seconds=90, level=390.0))
+    failure = []
+
+    def run():
+        try:
+            pipeline.run_live(landing.stream(), root, settings)
+        except Exception as error:  # noqa: BLE001
+            failure.append(error)
+
+    thread = threading.Thread(target=run)
+    thread.start()
+    try:
+        import time
+
+        deadline = time.time() + 60
+        while time.time() < deadline and not files.finished_versions(spark, f"{root}/status", "changes"):
+            time.sleep(0.5)
+        landing.add(change(3, seconds=200, level=425.0))
+        got = []
+        while time.time() < deadline and len(got) < 2:
+            time.sleep(0.5)
+            got = [r.co2_level for r in sinks.read_appended(
+                spark, schemas.ALERTS, f"{root}/alerts").collect()]
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+        thread.join(60)
+    assert not failure and not thread.is_alive()
+    assert sorted(got) == [425.0, 430.0]
+
+
+def test_console_sink_starts(spark, root, landing):
+    landing.add(change(1))
+    rows_ = A.status_feed(C.readings(landing.stream()))
+    query = sinks.console(rows_, "feed", f"{root}/c", SETTINGS)
+    query.awaitTermination()
+    assert query.lastProgress.numInputRows == 1
