@@ -27,23 +27,20 @@ def decode(changes: DataFrame, *, history: bool = False) -> DataFrame:
     carried = [c for c in changes.columns if c != "value"]
     # Parsing sits inside a generator because filters are not pushed through one. In a plain
     # projection the optimizer copies from_json into each later filter and parses rows twice.
-    parsed = changes.select(
-        *carried,
-        F.explode(F.array(F.from_json("value", envelope(history=history)))).alias("envelope"),
-    )
-    after = "envelope.payload.after"
+    document = F.from_json("value", envelope(history=history))
+    parsed = changes.select(*carried, F.inline(F.array(document["payload"])))
     columns = [
-        _lenient(f"{after}.id", "bigint").alias("id"),
-        F.col(f"{after}.sensor_id").alias("sensor_id"),
-        _lenient(f"{after}.co2_level", "double").alias("co2_level"),
-        _lenient(f"{after}.measurement_time", "bigint").alias("measurement_time"),
-        F.col(f"{after}.location").alias("location"),
-        F.col("envelope.payload.op").alias("op"),
+        _lenient("after.id", "bigint").alias("id"),
+        F.col("after.sensor_id").alias("sensor_id"),
+        _lenient("after.co2_level", "double").alias("co2_level"),
+        _lenient("after.measurement_time", "bigint").alias("measurement_time"),
+        F.col("after.location").alias("location"),
+        "op",
     ]
     if history:
         columns += [
-            _lenient("envelope.payload.before.id", "bigint").alias("before_id"),
-            _lenient("envelope.payload.ts_ms", "bigint").alias("ts_ms"),
+            _lenient("before.id", "bigint").alias("before_id"),
+            _lenient("ts_ms", "bigint").alias("ts_ms"),
         ]
     return parsed.select(*carried, *columns)
 

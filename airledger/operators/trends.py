@@ -41,34 +41,23 @@ def sensor_stats_24h(hourly: DataFrame) -> DataFrame:
 
     The mean is unweighted, spans all places of the sensor and includes both ends of the range.
 
-    A range frame partitioned by sensor alone would sort all rows of a busy sensor in one task.
-    Here the hourly rows first shrink to one (sum, count) per sensor and hour. Each of those goes
-    to its own 24-hour block and to the following one, which holds everything a frame of that block
-    can reach, so a window partition never exceeds two blocks of hours whatever the history.
+    A range frame over the hourly rows themselves would gather every place of a busy sensor in one
+    task and buffer them all. The rows first shrink to one (sum, count) per sensor and hour, partly
+    before the shuffle, so a window partition holds one small row per hour of history and its frame
+    at most 25, however many readings or places the sensor has.
     """
-    hour = F.unix_micros(times.instant("window_end"))
     totals = (
         hourly.groupBy("sensor_id", "window_end")
         .agg(F.sum("avg_co2").alias("total"), F.count("avg_co2").alias("n"))
-        .withColumn("micros", hour)
-        .withColumn("block", F.call_function("div", F.col("micros"), F.lit(DAY_MICROS)))
+        .withColumn("micros", F.unix_micros(times.instant("window_end")))
     )
-    spread = totals.withColumn("frame", F.explode(F.array("block", F.col("block") + 1)))
-    last_day = (
-        Window.partitionBy("sensor_id", "frame").orderBy("micros").rangeBetween(-DAY_MICROS, 0)
-    )
-    rolling = (
-        spread.select(
-            F.col("sensor_id").alias("rolled_sensor"),
-            F.col("window_end").alias("rolled_end"),
-            "block",
-            "frame",
-            F.try_divide(F.sum("total").over(last_day), F.sum("n").over(last_day)).alias(
-                "rolling_24h_avg"
-            ),
-        )
-        .where(F.col("frame") == F.col("block"))
-        .drop("block", "frame")
+    last_day = Window.partitionBy("sensor_id").orderBy("micros").rangeBetween(-DAY_MICROS, 0)
+    rolling = totals.select(
+        F.col("sensor_id").alias("rolled_sensor"),
+        F.col("window_end").alias("rolled_end"),
+        F.try_divide(F.sum("total").over(last_day), F.sum("n").over(last_day)).alias(
+            "rolling_24h_avg"
+        ),
     )
     # Null-safe and left: no null filter is inferred for one side only, so both sides keep the same
     # scan and aggregation and Spark runs it once (ReusedExchange).
