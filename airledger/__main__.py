@@ -6,6 +6,7 @@ Example: python -m airledger --root hdfs:///air --servers broker:9092 --topic db
 from __future__ import annotations
 
 import argparse
+from datetime import datetime
 
 from .config import DRAIN, Rules, StreamSettings
 from .session import build_session
@@ -22,6 +23,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=("parquet", "text"), default="parquet")
     parser.add_argument("--option", action="append", default=[], help="source option key=value")
     parser.add_argument("--partitions", type=int, help="shuffle partitions, fixed at first start")
+    parser.add_argument("--files-per-batch", type=int, help="output files per batch and table")
+    parser.add_argument(
+        "--windows-from",
+        type=datetime.fromisoformat,
+        help="windows before this hour come from a batch (first start on a long history)",
+    )
     parser.add_argument("--every", default="10 seconds", help="trigger interval")
     parser.add_argument("--drain", action="store_true", help="process what is there, then stop")
     parser.add_argument("--warning", type=float, default=Rules.warning)
@@ -37,7 +44,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         feed = changes.stream_topic(spark, args.servers, args.topic, **options)
     trigger = DRAIN if args.drain else {"processingTime": args.every}
-    settings = StreamSettings(trigger=trigger, shuffle_partitions=args.partitions)
+    settings = StreamSettings(
+        trigger=trigger,
+        shuffle_partitions=args.partitions,
+        files_per_batch=args.files_per_batch,
+        windows_from=args.windows_from,
+    )
     run = pipeline.drain if args.drain else pipeline.run_live
     run(feed, args.root, settings, Rules(args.warning, args.critical))
 

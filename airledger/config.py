@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 # The alert thresholds (ppm, both strict), labels and messages users already see.
 WARNING_LEVEL = 400.0
@@ -30,13 +31,22 @@ class StreamSettings:
     """How the streaming queries run.
 
     ``shuffle_partitions`` is written into each checkpoint at the first start and cannot change
-    afterwards, so size it for the expected peak, not for the first day.
+    afterwards, so size it for the expected peak, not for the first day. ``files_per_batch`` gathers
+    the rows of a batch into that many files: with thousands of shuffle partitions and a short
+    trigger, the few rows of each closed window would otherwise end in a file per partition.
+    ``max_files_per_trigger`` bounds what the alerts and the status take from bronze at once; the
+    windows always take whole bronze batches, as a batch cut in two could turn on-time rows into
+    late ones. ``windows_from`` (zone-less UTC, on the hour) leaves windows before that time to a
+    batch backfill, so a first start on a long history builds no state for them. ``snapshot_every`` is the number of batches between two full
+    snapshots of the status table.
     """
 
     watermark: str = "5 seconds"
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     shuffle_partitions: int | None = None
+    files_per_batch: int | None = None
     max_files_per_trigger: int | None = None
+    windows_from: datetime | None = None
     snapshot_every: int = 60
     attempts: int = 3
     retry_delay_seconds: float = 10.0

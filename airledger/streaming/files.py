@@ -17,6 +17,12 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write job into ``path`` committed."""
+    fs, marker = _path(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _path(spark, path)
     fs.delete(target, True)

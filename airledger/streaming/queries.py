@@ -11,10 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..config import Rules, StreamSettings
 from ..operators import alerts as A, changes as C, constraints, latest as L, windows as W
-from . import sinks
+from . import files, sinks
 
 
 def watermarked(readings: DataFrame, settings: StreamSettings) -> DataFrame:
+    if settings.windows_from:
+        since = F.lit(settings.windows_from).cast("timestamp")
+        readings = readings.where(F.col("measurement_time") >= since)
     return readings.withWatermark("measurement_time", settings.watermark)
 
 
@@ -66,7 +69,11 @@ def start_alerts(
 def status_table(root: str, settings: StreamSettings, with_seq: bool = True) -> sinks.KeyedTable:
     order = ["last_updated", "seq", "id"] if with_seq else ["last_updated", "id"]
     return sinks.KeyedTable(
-        f"{root}/status", schemas.CURRENT_STATUS, order, settings.snapshot_every
+        f"{root}/status",
+        schemas.CURRENT_STATUS,
+        order,
+        settings.snapshot_every,
+        settings.files_per_batch,
     )
 
 
@@ -134,9 +141,35 @@ def read_bronze(spark: SparkSession, root: str, seq_type: str = "bigint") -> Dat
 
 
 def stream_bronze(
-    spark: SparkSession, root: str, settings: StreamSettings, seq_type: str = "bigint"
+    spark: SparkSession, root: str, seq_type: str = "bigint", max_files: int | None = None
 ) -> DataFrame:
     reader = spark.readStream.schema(bronze_schema(seq_type))
-    if settings.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{root}/bronze")
+
+
+def backfill_windows(
+    spark: SparkSession, root: str, settings: StreamSettings, seq_type: str
+) -> None:
+    """Write the windows before ``windows_from`` in a batch, unless that is done already.
+
+    The batch needs no state and shuffles partial aggregates only. Rows of that time which reach
+    bronze later are late, as they would be for the stream.
+    """
+    before = settings.windows_from
+    if before.replace(minute=0, second=0, microsecond=0) != before:
+        raise ValueError("windows_from has to be on the hour, or a window would be cut in two")
+    history = read_bronze(spark, root, seq_type)
+    cut = F.lit(before).cast("timestamp")
+    passed = F.max("measurement_time") - F.expr(f"INTERVAL {settings.watermark}") >= cut
+    if not history.agg(passed.alias("passed")).first().passed:
+        raise ValueError("windows_from is ahead of the watermark; those windows are still open")
+    old = history.where((F.col("measurement_time") < cut) & (F.col("event_date") <= F.to_date(cut)))
+    for table, name, windows in (
+        (schemas.MINUTE_AVERAGES, "minute", W.minute_averages),
+        (schemas.HOURLY_AGGREGATES, "hourly", W.hourly_aggregates),
+    ):
+        path = f"{root}/{name}"
+        if not files.is_finished(spark, sinks.backfill_path(path)):
+            sinks.write_backfill(windows(old), table, path)

@@ -36,6 +36,8 @@ def append(
     reason, in the same pass.
     """
     checked = constraints.check(rows, table).select(*table.names, "violations", "is_valid")
+    if settings.files_per_batch:
+        checked = checked.repartition(settings.files_per_batch)
     writer = checked.writeStream.outputMode("append").format("parquet").option("path", path)
     return start(writer.partitionBy("is_valid"), table.name, checkpoint, settings)
 
@@ -45,14 +47,33 @@ def sink_schema(table: Table) -> str:
     return f"{columns}, violations string, is_valid boolean"
 
 
+def write_backfill(rows: DataFrame, table: Table, path: str) -> None:
+    """History computed in a batch, beside the directory the stream appends to (a streaming sink
+    directory hides files its own log does not list)."""
+    constraints.check(rows, table).write.mode("overwrite").partitionBy("is_valid").parquet(
+        backfill_path(path)
+    )
+
+
+def backfill_path(path: str) -> str:
+    return f"{path}_backfill"
+
+
+def _appended(spark: SparkSession, table: Table, path: str) -> DataFrame:
+    reader = spark.read.schema(sink_schema(table))
+    rows = reader.parquet(path)
+    if files.is_finished(spark, backfill_path(path)):
+        rows = rows.unionByName(reader.parquet(backfill_path(path)))
+    return rows
+
+
 def read_appended(spark: SparkSession, table: Table, path: str) -> DataFrame:
     """Accepted rows; the partition filter skips the rejected files."""
-    return spark.read.schema(sink_schema(table)).parquet(path).where("is_valid").select(*table.names)
+    return _appended(spark, table, path).where("is_valid").select(*table.names)
 
 
 def read_rejected(spark: SparkSession, table: Table, path: str) -> DataFrame:
-    rows = spark.read.schema(sink_schema(table)).parquet(path)
-    return rows.where("not is_valid").drop("is_valid")
+    return _appended(spark, table, path).where("not is_valid").drop("is_valid")
 
 
 def console(rows: DataFrame, name: str, checkpoint: str, settings: StreamSettings) -> StreamingQuery:
@@ -84,17 +105,26 @@ class KeyedTable:
     columns, and an older row never replaces a newer one.
     """
 
-    def __init__(self, root: str, table: Table, order: list[str], snapshot_every: int = 60):
+    def __init__(
+        self,
+        root: str,
+        table: Table,
+        order: list[str],
+        snapshot_every: int = 60,
+        files_per_batch: int | None = None,
+    ):
         self.root = root
         self.table = table
         self.order = order
         self.snapshot_every = snapshot_every
+        self.files_per_batch = files_per_batch
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        constraints.check(rows, self.table).write.mode("overwrite").parquet(
-            f"{self.root}/changes={batch_id}"
-        )
+        checked = constraints.check(rows, self.table)
+        if self.files_per_batch:
+            checked = checked.repartition(self.files_per_batch)
+        checked.write.mode("overwrite").parquet(f"{self.root}/changes={batch_id}")
         if batch_id and batch_id % self.snapshot_every == 0:
             merged = self._merged(spark, below=batch_id)
             merged.write.mode("overwrite").parquet(f"{self.root}/snapshot={batch_id}")

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from airledger import schemas
+from airledger import schemas, session
 from airledger.config import DRAIN, StreamSettings
 from airledger.functions import times
 from airledger.operators import alerts as A, changes as C, latest as L, windows as W
@@ -109,6 +109,26 @@ def test_pipeline_equals_batch_and_goes_on_after_a_restart(spark, root, landing)
     assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
 
 
+def test_history_from_a_batch_equals_the_stream(spark, root, landing):
+    events = sensor_feed.read_events(spark, SMALL)
+    log = [r.value for r in sensor_feed.changes(events, dense=True).orderBy("seq").collect()]
+    landing.add(*log[:700])
+    settings = StreamSettings(trigger=DRAIN, windows_from=dt.datetime(2024, 1, 1, 7))
+    pipeline.drain(landing.stream(), root, settings)
+    landing.add(*log[700:])
+    pipeline.drain(landing.stream(), root, settings)
+    assert rounded(outputs(spark, root)) == rounded(expected(landing.batch()))
+    streamed = spark.read.parquet(f"{root}/hourly").agg(F.min("window_end")).first()[0]
+    assert streamed == dt.datetime(2024, 1, 1, 8)
+
+
+@pytest.mark.parametrize("cut", [dt.datetime(2024, 1, 1, 0, 30), dt.datetime(2024, 1, 2)])
+def test_history_cut_is_checked(spark, root, landing, cut):
+    landing.add(change(1), change(2, seconds=7200))
+    with pytest.raises(ValueError, match="windows_from"):
+        pipeline.drain(landing.stream(), root, StreamSettings(trigger=DRAIN, windows_from=cut))
+
+
 def test_late_rows_are_dropped_by_the_watermark_of_the_batch_before(spark, root, landing):
     for seconds in [(10, 50), (65, 58), (59, 70), (30, 130), (200,)]:
         landing.add(*[change(seconds=s) for s in seconds])
@@ -128,6 +148,34 @@ def test_late_rows_are_dropped_by_the_watermark_of_the_batch_before(spark, root,
     assert sum(dropped) == 1
 
 
+def test_output_files_do_not_follow_the_shuffle_partitions(spark, root):
+    import glob
+
+    events = sensor_feed.read_events(spark, SMALL)
+    sensor_feed.changes(events, dense=True).write.parquet(f"{root}/in")
+    settings = StreamSettings(trigger=DRAIN, files_per_batch=1)
+    readings = C.readings(feeds.stream_files(spark, f"{root}/in"))
+    Q.start_minute_averages(readings, root, settings).awaitTermination()
+    Q.start_status(readings, root, settings).awaitTermination()
+    assert len(glob.glob(f"{root}/minute/is_valid=true/*.parquet")) == 1
+    assert len(glob.glob(f"{root}/status/changes=0/*.parquet")) == 1
+    assert Q.status_table(root, settings).read(spark).count() == 5
+
+
+def test_recommended_session_keeps_state_in_rocksdb(spark, root, landing):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, session.RECOMMENDED[key])
+    try:
+        landing.add(change(1), change(2, seconds=100))
+        query = Q.start_minute_averages(C.readings(landing.stream()), root, SETTINGS)
+        query.awaitTermination()
+        progress = json.loads(query.recentProgress[0].json)
+        assert any(m.startswith("rocksdb") for m in progress["stateOperators"][0]["customMetrics"])
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_late_alerts_still_fire_and_silent_partitions_do_not_hold_windows(spark, root, landing):
     landing.add(change(1, seconds=5))
     landing.add(change(2, sensor="sensor_2", seconds=7200))
