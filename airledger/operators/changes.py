@@ -9,38 +9,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import times
-from ..schemas import envelope
+from ..schemas import CORRUPT, ROW_FIELDS, envelope, text_envelope
 from .latest import newest
 
 READING_COLUMNS = ("id", "sensor_id", "co2_level", "measurement_time", "location", "op")
 
 
-def _lenient(path: str, to_type: str) -> Column:
-    return F.col(path).try_cast(to_type)
+def _leaf(path: str, to_type: str) -> Column:
+    """The typed leaf, or the lenient cast of its text where the document was read again."""
+    again = F.col(f"again.{path}").try_cast(to_type)
+    return F.when(F.col("again").isNull(), F.col(f"payload.{path}")).otherwise(again)
 
 
 def decode(changes: DataFrame, *, history: bool = False) -> DataFrame:
     """Flatten the envelope; a document or leaf that cannot be read becomes NULL.
 
-    ``measurement_time`` stays in epoch microseconds. ``history`` adds ``before_id`` and ``ts_ms``.
+    Documents are read with their proper types. Only those with something unreadable (a quoted
+    number, say) are read once more as text and cast leaf by leaf, so one bad leaf does not cost
+    the others. ``measurement_time`` stays in epoch microseconds. ``history`` adds ``before_id``
+    and ``ts_ms``.
     """
     carried = [c for c in changes.columns if c != "value"]
-    # Parsing sits inside a generator because filters are not pushed through one. In a plain
+    # Parsing sits inside generators because filters are not pushed through one. In a plain
     # projection the optimizer copies from_json into each later filter and parses rows twice.
-    document = F.from_json("value", envelope(history=history))
-    parsed = changes.select(*carried, F.inline(F.array(document["payload"])))
-    columns = [
-        _lenient("after.id", "bigint").alias("id"),
-        F.col("after.sensor_id").alias("sensor_id"),
-        _lenient("after.co2_level", "double").alias("co2_level"),
-        _lenient("after.measurement_time", "bigint").alias("measurement_time"),
-        F.col("after.location").alias("location"),
-        "op",
-    ]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    typed = F.from_json("value", envelope(history=history), options)
+    first = changes.select(*carried, F.inline(F.array(typed)))
+    lenient = F.from_json(CORRUPT, text_envelope(history=history))["payload"]
+    again = F.when(F.col(CORRUPT).isNotNull(), lenient)
+    parsed = first.select(*carried, "payload", F.explode(F.array(again)).alias("again"))
+    columns = [_leaf(f"after.{name}", type_).alias(name) for name, type_ in ROW_FIELDS.items()]
+    columns.append(_leaf("op", "string").alias("op"))
     if history:
         columns += [
-            _lenient("before.id", "bigint").alias("before_id"),
-            _lenient("ts_ms", "bigint").alias("ts_ms"),
+            _leaf("before.id", "bigint").alias("before_id"),
+            _leaf("ts_ms", "bigint").alias("ts_ms"),
         ]
     return parsed.select(*carried, *columns)
 

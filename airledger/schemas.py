@@ -4,21 +4,39 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
+# Leaves of the row image inside the envelope.
+ROW_FIELDS = {
+    "id": "bigint",
+    "sensor_id": "string",
+    "co2_level": "double",
+    "measurement_time": "bigint",
+    "location": "string",
+}
+CORRUPT = "_corrupt_record"
 
-# Row image inside the envelope. Every leaf is read as text and cast leniently afterwards, so a
-# quoted number still counts and one bad leaf does not cost the others.
-ROW_FIELDS = ("id", "sensor_id", "co2_level", "measurement_time", "location")
-ROW_IMAGE = T.StructType([T.StructField(name, T.StringType()) for name in ROW_FIELDS])
 
+def _struct(fields: dict[str, str]) -> str:
+    return "struct<" + ", ".join(f"{name}: {type_}" for name, type_ in fields.items()) + ">"
 
-def envelope(*, history: bool) -> T.StructType:
-    """Envelope schema; ``before`` and ``ts_ms`` are parsed only where the history is needed."""
-    fields = [T.StructField("after", ROW_IMAGE), T.StructField("op", T.StringType())]
+
+def _payload(row: dict[str, str], before: dict[str, str], ts_ms: str, history: bool) -> str:
+    fields = {"after": _struct(row), "op": "string"}
     if history:
-        before = T.StructType([T.StructField("id", T.StringType())])
-        fields += [T.StructField("before", before), T.StructField("ts_ms", T.StringType())]
-    return T.StructType([T.StructField("payload", T.StructType(fields))])
+        fields |= {"before": _struct(before), "ts_ms": ts_ms}
+    return _struct(fields)
+
+
+def envelope(*, history: bool) -> str:
+    """Typed envelope; ``before`` and ``ts_ms`` are parsed only where the history is needed. The
+    text of a document with anything unreadable in it comes back in ``_corrupt_record``."""
+    payload = _payload(ROW_FIELDS, {"id": "bigint"}, "bigint", history)
+    return f"payload {payload}, {CORRUPT} string"
+
+
+def text_envelope(*, history: bool) -> str:
+    """The same envelope with every leaf as text, for a second, lenient reading."""
+    row = dict.fromkeys(ROW_FIELDS, "string")
+    return f"payload {_payload(row, {'id': 'string'}, 'string', history)}"
 
 
 @dataclass(frozen=True)

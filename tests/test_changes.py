@@ -40,6 +40,15 @@ CORPUS = [
     ("object as id", envelope(id={"z": 1}), (None, "sensor_1", 412.5, "Downtown")),
     ("truncated", envelope()[:-1], LOST),
     ("null payload", '{"payload": null}', LOST),
+    ("id out of range", envelope(id=10**20), (None, "sensor_1", 412.5, "Downtown")),
+    ("whole level", envelope(co2_level=412), (1, "sensor_1", 412.0, "Downtown")),
+    ("empty level", envelope(co2_level=""), (1, "sensor_1", None, "Downtown")),
+    ("boolean sensor", envelope(sensor_id=True), (1, "true", 412.5, "Downtown")),
+    ("extra keys", envelope(unit="ppm"), (1, "sensor_1", 412.5, "Downtown")),
+    ("after is a number", '{"payload": {"after": 5, "op": "c"}}', LOST),
+    ("array", f"[{envelope()}]", LOST),
+    ("text after the document", envelope() + " x", (1, "sensor_1", 412.5, "Downtown")),
+    ("two bad leaves", envelope(id="9", co2_level=[1], location=None), (9, "sensor_1", None, None)),
     ("padded number", envelope(id=" 8 "), (8, "sensor_1", 412.5, "Downtown")),
 ]
 
@@ -50,6 +59,22 @@ def test_damaged_records(spark, feed):
         assert (row.id, row.sensor_id, row.co2_level, row.location) == expected, name
 
 
+def test_damaged_records_without_partial_results(spark, feed):
+    key = "spark.sql.json.enablePartialResults"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        test_damaged_records(spark, feed)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_damaged_history(spark, feed):
+    broken = json.dumps({"payload": {"before": {"id": "5"}, "after": None, "op": "d", "ts_ms": "12"}})
+    row = C.decode(feed([broken]), history=True).first()
+    assert (row.before_id, row.ts_ms, row.op, row.id) == (5, 12, "d", None)
+
+
 def test_readings_keep_only_identified_rows(spark, feed):
     kept = C.readings(feed([value for _, value, _ in CORPUS]))
     expected = [name for name, _, (id_, *_) in CORPUS if id_ is not None]
