@@ -1,4 +1,4 @@
-"""Run the pipeline: ``spark-submit ... -m airledger`` style entry point.
+"""Run the pipeline from a topic or from files.
 
 Example: python -m airledger --root hdfs:///air --servers broker:9092 --topic db.public.co2_measurements
 """
@@ -7,11 +7,32 @@ from __future__ import annotations
 
 import argparse
 from datetime import datetime
+from functools import partial
 
+from . import schemas
 from .config import DRAIN, Rules, StreamSettings
 from .session import build_session
 from .sources import changes
-from .streaming import pipeline
+from .streaming import pipeline, sinks
+
+
+def database_writers(
+    root: str, url: str, dsn: str | None, properties: dict[str, str]
+) -> dict[str, sinks.BatchWriter]:
+    """Writers that put the results into database tables instead of Parquet."""
+    writers = {
+        table.name: sinks.jdbc_append(table, url, f"{root}/rejected/{table.name}", **properties)
+        for table in (schemas.MINUTE_AVERAGES, schemas.HOURLY_AGGREGATES, schemas.ALERTS)
+    }
+    if dsn:
+        status = schemas.CURRENT_STATUS
+        connect = partial(sinks.postgres_connection, dsn)
+        writers[status.name] = sinks.database_upsert(connect, status, "last_updated")
+    return writers
+
+
+def pairs(options: list[str]) -> dict[str, str]:
+    return dict(option.split("=", 1) for option in options)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -31,6 +52,9 @@ def main(argv: list[str] | None = None) -> None:
     )
     parser.add_argument("--every", default="10 seconds", help="trigger interval")
     parser.add_argument("--drain", action="store_true", help="process what is there, then stop")
+    parser.add_argument("--jdbc-url", help="append aggregates and alerts to this database")
+    parser.add_argument("--jdbc-option", action="append", default=[], help="key=value")
+    parser.add_argument("--dsn", help="upsert the status into this PostgreSQL (needs --jdbc-url)")
     parser.add_argument("--warning", type=float, default=Rules.warning)
     parser.add_argument("--critical", type=float, default=Rules.critical)
     args = parser.parse_args(argv)
@@ -38,7 +62,7 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("give either --servers with --topic, or --files")
 
     spark = build_session()
-    options = dict(o.split("=", 1) for o in args.option)
+    options = pairs(args.option)
     if args.files:
         feed = changes.stream_files(spark, args.files, args.format, **options)
     else:
@@ -51,7 +75,10 @@ def main(argv: list[str] | None = None) -> None:
         windows_from=args.windows_from,
     )
     run = pipeline.drain if args.drain else pipeline.run_live
-    run(feed, args.root, settings, Rules(args.warning, args.critical))
+    writers = {}
+    if args.jdbc_url:
+        writers = database_writers(args.root, args.jdbc_url, args.dsn, pairs(args.jdbc_option))
+    run(feed, args.root, settings, Rules(args.warning, args.critical), writers)
 
 
 if __name__ == "__main__":

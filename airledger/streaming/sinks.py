@@ -194,12 +194,25 @@ def upsert_statement(table: Table, newer: str, mark: str = "%s") -> str:
     )
 
 
+def postgres_connection(dsn: str):
+    """Open a connection with psycopg2, which the executors need to have installed."""
+    try:
+        import psycopg2
+    except ImportError as error:
+        raise RuntimeError("writing to PostgreSQL needs psycopg2 on the executors") from error
+    return psycopg2.connect(dsn)
+
+
 def database_upsert(
-    connect: Callable[[], object], table: Table, newer: str, chunk: int = 1000, mark: str = "%s"
+    connect: Callable[[], object],
+    table: Table,
+    newer: str,
+    connections: int = 8,
+    chunk: int = 1000,
+    mark: str = "%s",
 ) -> BatchWriter:
-    """Keyed upsert through a DB-API connection opened by each task; safe to repeat.
-
-    ``connect`` is called on the executors, so it must be picklable and open its own connection.
+    """Keyed upsert through a DB-API connection opened by each of ``connections`` tasks; safe to
+    repeat. ``connect`` is called on the executors, so it has to be picklable.
     """
     statement = upsert_statement(table, newer, mark)
     names = table.names
@@ -222,7 +235,7 @@ def database_upsert(
 
     def write(rows: DataFrame, batch_id: int) -> None:
         accepted, _ = constraints.split(rows, table)
-        accepted.foreachPartition(write_partition)
+        accepted.repartition(connections).foreachPartition(write_partition)
 
     return write
 

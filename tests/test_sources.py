@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from airledger import schemas, session
-from airledger.__main__ import main
+from airledger.__main__ import database_writers, main
 from airledger.operators import changes as C
 from airledger.sources import changes as feeds, tables
 from airledger.streaming import queries as Q, sinks
@@ -116,6 +116,14 @@ def test_command_line_drains_files(spark, root):
         spark, schemas.ALERTS, f"{root}/out/alerts").collect()] == [15.0]
 
 
+def test_database_writers_cover_the_result_tables():
+    writers = database_writers("/r", "jdbc:postgresql://h/d", "dbname=d", {"user": "u"})
+    assert set(writers) == {
+        "co2_aggregated", "co2_hourly_aggregates", "co2_alerts", "current_co2_status"
+    }
+    assert "current_co2_status" not in database_writers("/r", "jdbc:postgresql://h/d", None, {})
+
+
 def test_command_line_wants_one_source():
     with pytest.raises(SystemExit):
         main(["--root", "x"])
