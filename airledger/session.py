@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The streaming queries of the pipeline share the executors evenly, each in its own pool.
+    "spark.scheduler.mode": "FAIR",
     # Window and latest-reading state lives off-heap, so the number of sensors is not bound by the
     # executor heap; changelog checkpoints upload only what a batch changed.
     "spark.sql.streaming.stateStore.providerClass":

@@ -108,15 +108,28 @@ def run_live(
     run_to_end(starters, settings)
 
 
+def _start(name: str, start: Starter) -> StreamingQuery:
+    """Start a query in a scheduler pool of its own; under the FAIR mode ``build_session`` sets, a
+    large window batch then does not hold up the alerts."""
+    context = SparkSession.active().sparkContext
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return start()
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", None)
+
+
 def run_to_end(starters: dict[str, Starter], settings: StreamSettings) -> None:
     """Start all queries together and wait for them.
 
     A query that fails is started again from its checkpoint after a fixed delay, up to
     ``attempts`` times; after that the others are stopped and the failure is raised.
     """
-    running = {name: start() for name, start in starters.items()}
+    running: dict[str, StreamingQuery] = {}
     failures = dict.fromkeys(starters, 0)
     try:
+        for name, start in starters.items():
+            running[name] = _start(name, start)
         while running:
             for name, query in list(running.items()):
                 try:
@@ -128,7 +141,7 @@ def run_to_end(starters: dict[str, Starter], settings: StreamSettings) -> None:
                         raise
                     log.warning("%s failed, restart %d", name, failures[name], exc_info=True)
                     time.sleep(settings.retry_delay_seconds)
-                    running[name] = starters[name]()
+                    running[name] = _start(name, starters[name])
     finally:
         for query in running.values():
             query.stop()

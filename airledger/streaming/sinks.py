@@ -136,9 +136,16 @@ class KeyedTable:
     def rejected(self, spark: SparkSession) -> DataFrame:
         """Rows refused since the last expiry, with their reasons."""
         versions = files.finished_versions(spark, self.root, "changes")
-        rows = spark.read.parquet(*[f"{self.root}/changes={v}" for v in versions])
+        rows = self._load(spark, [f"{self.root}/changes={v}" for v in versions])
         return rows.where("not is_valid").drop("is_valid")
 
+    def _load(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        if paths:
+            return spark.read.parquet(*paths)
+        extra = ", ".join(f"{c} bigint" for c in self.order if c not in self.table.names)
+        schema = sink_schema(self.table) + (f", {extra}" if extra else "")
+        return spark.createDataFrame([], schema)
+
     def _merged(self, spark: SparkSession, below: int | None = None) -> DataFrame:
         """Current rows; ``below`` leaves out a snapshot a failed attempt may have left behind."""
         snapshots = [
@@ -151,7 +158,7 @@ class KeyedTable:
         paths = [f"{self.root}/changes={v}" for v in later]
         if snapshots:
             paths.append(f"{self.root}/snapshot={base}")
-        rows = spark.read.parquet(*paths).where("is_valid")
+        rows = self._load(spark, paths).where("is_valid")
         return newest(rows, self.table.key, self.order)
 
     def _expire(self, spark: SparkSession, snapshot: int) -> None:

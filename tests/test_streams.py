@@ -244,6 +244,12 @@ def test_keyed_table_survives_retries_and_folds_snapshots(spark, root):
     assert files.finished_versions(spark, root, "changes") == [7, 8, 9, 10]
 
 
+def test_keyed_table_is_empty_before_the_first_batch(spark, root):
+    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"])
+    assert table.read(spark).columns == schemas.CURRENT_STATUS.names
+    assert table.read(spark).count() == table.rejected(spark).count() == 0
+
+
 def test_unfinished_versions_are_not_read(spark, root):
     table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated"], 100)
     table.upsert(status_rows(spark, [("s", 1.0, 1)]), 0)
