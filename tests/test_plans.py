@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from airledger.config import DRAIN, StreamSettings
 from airledger.operators import alerts as A, changes as C, latest as L, trends as V, windows as W
 from airledger.plans import queries as named
 from airledger.sources import changes as feeds, sensor_feed
@@ -84,3 +85,15 @@ def test_thresholds_and_columns_reach_the_bronze_scan(spark, root):
 def test_no_python_rows_and_no_cross_joins(spark, name):
     text = plan(named.BATCH[name](spark, SMALL))
     assert not re.search(r"Python|ArrowEval|MapInPandas|CartesianProduct|NestedLoop", text)
+
+
+def test_streams_reduce_before_the_shuffle(spark, root, stored, capsys):
+    path = stored.inputFiles()[0].rsplit("/", 1)[0]
+    settings = StreamSettings(trigger=DRAIN)
+    for start, partial in ((Q.start_hourly, "partial_avg"), (Q.start_status, "partial_max")):
+        query = start(C.readings(feeds.stream_files(spark, path)), root, settings)
+        query.awaitTermination()
+        query.explain()
+        text = capsys.readouterr().out
+        assert text.count("Exchange") == 1 and "StateStoreSave" in text
+        assert text.index("Exchange") < text.rindex(partial)  # the partial step feeds the exchange
