@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import work_root
@@ -46,7 +47,7 @@ def slices(batches: Iterable[pa.RecordBatch], max_bytes: int, column: int = 1) -
 
 
 def binary_lengths(column: pa.Array) -> np.ndarray:
-    return pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    return pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
 
 
 @lru_cache(maxsize=1)
