@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, sharding, simhash, token_count
+from . import bpe_codec, language, quality, sharding, simhash, token_count
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
@@ -37,6 +47,8 @@ QUERIES: dict[str, Query] = {
     "op4_token_count": op4_token_count,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
+    "op9_language": op9_language,
     "op10_sharding": op10_sharding,
 }
 
