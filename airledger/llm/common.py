@@ -69,3 +69,15 @@ def code_points(text: str) -> np.ndarray:
 def held_out(column: str, folds: int, fold: int) -> Column:
     """crc32 of the id as text falls into the fold that no model learns from."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+@lru_cache(maxsize=1)
+def folded() -> np.ndarray:
+    """Code point -> the same with letters lowered and every kind of white space as a blank."""
+    table_ = np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    low = letters()
+    table_[low != 0] = low[low != 0]
+    for point in range(0x3001):
+        if chr(point).isspace():
+            table_[point] = 0x20
+    return table_
