@@ -14,8 +14,6 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -45,7 +43,7 @@ def _records(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _quantiles(drawn: DataFrame, column: str, parts: int) -> Column:
+def _quantiles(column: str, parts: int) -> Column:
     return F.percentile_approx(column, [i / parts for i in range(1, parts)], ACCURACY)
 
 
@@ -70,25 +68,25 @@ def _ranged(records: DataFrame, ranges: int) -> DataFrame:
     drawn = stored(
         records.select("id", "k", draws.cast("int").alias("draws")).filter("draws > 0"), "splitters"
     ).withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("draws"))))
-    cuts = drawn.agg(_quantiles(drawn, "k", ranges).alias("q")).first()["q"] or []
+    cuts = drawn.agg(_quantiles("k", ranges).alias("q")).first()["q"] or []
     heavy = {k: cuts.count(k) for k in set(cuts) if cuts.count(k) > 1}
     # A heavy key starts its own range and the next key starts another.
     bounds = sorted({*cuts, *(k + 1 for k in heavy)})
     ranged = records.withColumn("range_no", _below(bounds, F.col("k")))
-    part = F.lit(0)
-    if heavy:
-        inner = (
-            drawn.filter(F.col("k").isin(*heavy))
-            .groupBy("k")
-            .agg(_quantiles(drawn, "id", max(heavy.values()) + 1).alias("q"))
-            .collect()  # at most as many keys and bounds as there are ranges
-        )
-        part = reduce(
-            lambda rest, row: F.when(F.col("k") == row["k"], _below(sorted(set(row["q"] or [])), F.col("id"))).otherwise(rest),
-            inner,
-            part,
-        )
-    return ranged.withColumn("part_no", F.coalesce(part, F.lit(0)).cast("int"))
+    if not heavy:
+        return ranged.withColumn("part_no", F.lit(0))
+    # At most one row per range, with at most one bound per range: small enough for every executor.
+    inner = (
+        drawn.filter(F.col("k").isin(*heavy))
+        .groupBy("k")
+        .agg(F.array_distinct(_quantiles("id", max(heavy.values()) + 1)).alias("id_bounds"))
+    )
+    below = F.size(F.filter("id_bounds", lambda b: b <= F.col("id")))
+    return (
+        ranged.join(F.broadcast(inner), "k", "left")
+        .withColumn("part_no", F.when(F.col("id_bounds").isNull() | F.col("id").isNull(), 0).otherwise(below))
+        .drop("id_bounds")
+    )
 
 
 def shards(
