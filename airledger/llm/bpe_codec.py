@@ -19,7 +19,7 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_of
+from .common import mapped, text_of
 from .token_count import run_merges
 from .word_bpe import Vocabulary, vocabulary
 
@@ -115,7 +115,7 @@ def encoded(
             )
 
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), text_of(text_col).alias("text"))
-    return picked.mapInArrow(run, f"`{id_col}` long, ids array<int>, decoded string")
+    return mapped(picked, run, f"`{id_col}` long, ids array<int>, decoded string")
 
 
 def encoded_digests(
@@ -138,6 +138,6 @@ def encoded_digests(
             )
 
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), text_of(text_col).alias("text"))
-    return picked.mapInArrow(
-        run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return mapped(
+        picked, run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import sys
+import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +35,36 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once per application.
+
+    Workers can then import it however the driver found it; with ``--py-files`` it is there already.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(PACKAGE)
+    name = os.path.join(tempfile.mkdtemp(prefix="airledger-source-"), "airledger-source.zip")
+    with zipfile.ZipFile(name, "w") as out:
+        for folder, _, files in os.walk(PACKAGE):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(name)
+    _shipped.add(context.applicationId)
+
+
+def mapped(frame: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the workers."""
+    ship_package(frame.sparkSession)
+    return frame.mapInArrow(run, schema)
+
+
 def slices(batches: Iterable[pa.RecordBatch], max_bytes: int, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text, or a single row."""
     for batch in batches:

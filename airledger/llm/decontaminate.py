@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import code_points, folded, slices, text_of
+from .common import code_points, folded, mapped, slices, text_of
 
 Q = 8
 RATE = 0.1
@@ -246,7 +246,7 @@ def regions(
                     names=[id_col, item_col, "start", "end", "edits"],
                 )
 
-        found.append(picked.mapInArrow(run, schema))
+        found.append(mapped(picked, run, schema))
     return reduce(DataFrame.unionByName, found[1:] or found)
 
 
@@ -266,5 +266,5 @@ def clean(
                 keep[[r[0] for r in _search(passages, batch.column(place))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = mapped(docs, run, schema)
     return docs

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import code_points, held_out, letters, slices, text_of
+from .common import code_points, held_out, letters, mapped, slices, text_of
 from .sampling import labelled_sample
 
 FOLDS, HELD_OUT = 4, 2
@@ -179,7 +179,7 @@ def predict(
         text_of(text_col).alias("text"),
         held_out(id_col, FOLDS, HELD_OUT).alias("held_out"),
     )
-    return picked.mapInArrow(run, f"`{id_col}` long, held_out boolean, lang_pred string, score double")
+    return mapped(picked, run, f"`{id_col}` long, held_out boolean, lang_pred string, score double")
 
 
 def identified(
@@ -202,4 +202,4 @@ def identified(
                 keep = [bool(letters()[code_points(t.as_py() or "")].any()) for t in batch.column(place)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)

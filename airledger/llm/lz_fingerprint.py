@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import code_points, text_of
+from .common import code_points, mapped, text_of
 from .order import cyclic_predecessors
 
 KEPT = 64
@@ -168,9 +168,6 @@ def with_next(
             yield packed(rows)
 
     order = ["range", "copy", "at", "text"]
-    return (
-        dealt.repartition("range")
-        .sortWithinPartitions(*order)
-        .select("range", "copy", "id", "text")
-        .mapInArrow(run, ", ".join([f"`{id_col}` long", *(f"{n} {s}" for n, _, s in COLUMNS)]))
-    )
+    in_order = dealt.repartition("range").sortWithinPartitions(*order)
+    schema = ", ".join([f"`{id_col}` long", *(f"{n} {s}" for n, _, s in COLUMNS)])
+    return mapped(in_order.select("range", "copy", "id", "text"), run, schema)

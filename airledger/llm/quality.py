@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, text_of
+from .common import held_out, mapped, text_of
 from .sampling import labelled_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -284,7 +284,7 @@ def predict(
         text_of(text_col).alias("text"),
         held_out(id_col, FOLDS, HELD_OUT).alias("held_out"),
     )
-    return picked.mapInArrow(run, f"`{id_col}` long, held_out boolean, score double, predicted int")
+    return mapped(picked, run, f"`{id_col}` long, held_out boolean, score double, predicted int")
 
 
 def good_enough(
@@ -299,4 +299,4 @@ def good_enough(
             scores = shared.value.scores([t.as_py() or "" for t in batch.column(place)])
             yield batch.filter(pa.array(scores >= threshold))
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)

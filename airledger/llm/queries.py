@@ -11,12 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language, quality, sharding, simhash, token_count
+from ..session import work_root
+from . import (
+    bpe_codec, decontaminate, html_crf, language, lz_fingerprint, quality, sharding, simhash, token_count,
+    training_order,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.main_texts(table(spark, sf_dir, "pages"), html_crf.train())
+
+
+def op2_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"))
 
@@ -34,6 +50,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialise(table(spark, sf_dir, "documents"), f"{work_root(spark)}/training-order")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs))
@@ -43,13 +63,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_html_crf": op1_html_crf,
+    "op2_lz_fingerprint": op2_lz_fingerprint,
+    "op3_decontamination": op3_decontamination,
     "op4_token_count": op4_token_count,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op8_training_order": op8_training_order,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {}

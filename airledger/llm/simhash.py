@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored, text_of
+from .common import mapped, stored, text_of
 from .components import components
 
 SEED = 42
@@ -79,7 +79,7 @@ def fingerprints(
         text_of(text_col).cast("binary").alias("text"),
         row_key(id_col, text_col).alias("row_key"),
     )
-    return picked.mapInArrow(run, "id long, fp long, row_key long")
+    return mapped(picked, run, "id long, fp long, row_key long")
 
 
 def row_key(id_col: str, text_col: str):
@@ -187,11 +187,8 @@ def fingerprint_links(distinct: DataFrame, *, distance: int = DISTANCE, bucket:
         )
     )
     place = ["table_no", "bucket", "low", "high"]
-    return (
-        dealt.repartition(*place)
-        .sortWithinPartitions(*place)
-        .mapInArrow(_bucket_links(distance), "a long, b long")
-    )
+    in_order = dealt.repartition(*place).sortWithinPartitions(*place)
+    return mapped(in_order, _bucket_links(distance), "a long, b long")
 
 
 def _classes(prints: DataFrame, distance: int) -> DataFrame:

@@ -18,7 +18,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import binary_lengths, text_of
+from .common import binary_lengths, mapped, text_of
 from .word_bpe import Vocabulary, vocabulary
 
 OVER_LIMIT = 2048
@@ -108,4 +108,4 @@ def token_counts(
             )
 
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), text_of(text_col).alias("text"))
-    return picked.mapInArrow(run, f"`{id_col}` long, n_bytes long, n_tokens long, over_limit boolean")
+    return mapped(picked, run, f"`{id_col}` long, n_bytes long, n_tokens long, over_limit boolean")
