@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import stored
 
+EDGES_PER_FILE = 500_000
+LEAST_FILES = 8
+
 
 def _linked(edges: DataFrame) -> DataFrame:
     return edges.filter("a <> b").distinct()
@@ -44,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(_linked(edges.select("a", "b")), "edges")
     seen = _state(edges)
     while seen[0]:
-        edges = stored(_linked(_small_star(_large_star(edges))), "edges")
+        files = max(LEAST_FILES, seen[0] // EDGES_PER_FILE)  # a round never adds many edges
+        edges = stored(_linked(_small_star(_large_star(edges))).coalesce(files), "edges")
         now = _state(edges)
         if now == seen:
             break
