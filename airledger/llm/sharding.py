@@ -47,15 +47,19 @@ def _quantiles(column: str, parts: int) -> Column:
     return F.percentile_approx(column, [i / parts for i in range(1, parts)], ACCURACY)
 
 
+def _longs(values: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
+
+
 def _below(bounds: list[int], value: Column) -> Column:
     """How many of the sorted bounds are at or below the value: two short scans, one of every n-th bound."""
     if not bounds:
         return F.lit(0)
     step = max(1, round(len(bounds) ** 0.5))
     blocks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    heads = F.array(*[F.lit(b[0]).cast("long") for b in blocks])
+    heads = _longs([b[0] for b in blocks])
     block = F.size(F.filter(heads, lambda b: b <= value))
-    inner = F.array(*[F.array(*[F.lit(x).cast("long") for x in b]) for b in blocks])
+    inner = F.array(*[_longs(b) for b in blocks])
     at = F.element_at(inner, F.greatest(block, F.lit(1)))
     count = F.size(F.filter(at, lambda b: b <= value))
     return F.when(block == 0, 0).otherwise((block - 1) * step + count).cast("int")
@@ -77,7 +81,7 @@ def _ranged(records: DataFrame, ranges: int) -> DataFrame:
         return ranged.withColumn("part_no", F.lit(0))
     # At most one row per range, with at most one bound per range: small enough for every executor.
     inner = (
-        drawn.filter(F.col("k").isin(*heavy))
+        drawn.filter(F.expr(f"k IN ({', '.join(f'{k}L' for k in heavy)})"))
         .groupBy("k")
         .agg(F.array_distinct(_quantiles("id", max(heavy.values()) + 1)).alias("id_bounds"))
     )
