@@ -9,8 +9,11 @@ import argparse
 from datetime import datetime
 from functools import partial
 
+from pyspark.sql import SparkSession
+
 from . import schemas
 from .config import DRAIN, Rules, StreamSettings
+from .operators import trends
 from .session import build_session
 from .sources import changes
 from .streaming import pipeline, sinks
@@ -27,10 +30,18 @@ def database_writers(
     if dsn:
         status = schemas.CURRENT_STATUS
         connect = partial(sinks.postgres_connection, dsn)
-        writers[status.name] = sinks.database_upsert(connect, status, "last_updated")
+        writers[status.name] = sinks.database_upsert(
+            connect, status, "last_updated", f"{root}/rejected/{status.name}"
+        )
     return writers
 
 
+def refresh_alert_summary(spark: SparkSession, root: str) -> int:
+    """Write a new version of ``alert_summary_hourly`` from the stored alerts."""
+    alerts = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
+    return sinks.refresh_table(trends.alert_summary_hourly(alerts), f"{root}/alert_summary")
+
+
 def pairs(options: list[str]) -> dict[str, str]:
     return dict(option.split("=", 1) for option in options)
 
@@ -54,25 +65,37 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--drain", action="store_true", help="process what is there, then stop")
     parser.add_argument("--jdbc-url", help="append aggregates and alerts to this database")
     parser.add_argument("--jdbc-option", action="append", default=[], help="key=value")
-    parser.add_argument("--dsn", help="upsert the status into this PostgreSQL (needs --jdbc-url)")
+    parser.add_argument("--dsn", help="upsert the status into this PostgreSQL (with --jdbc-url)")
+    parser.add_argument(
+        "--refresh-alert-summary",
+        action="store_true",
+        help="write a new version of alert_summary_hourly from the stored alerts, then stop",
+    )
+    parser.add_argument("--bronze-every", help="trigger interval of the bronze table")
     parser.add_argument("--warning", type=float, default=Rules.warning)
     parser.add_argument("--critical", type=float, default=Rules.critical)
     args = parser.parse_args(argv)
+    if bool(args.jdbc_url) != bool(args.dsn):
+        parser.error("--jdbc-url and --dsn go together: all four tables belong in one database")
+    if args.refresh_alert_summary:
+        refresh_alert_summary(build_session(), args.root)
+        return
     if bool(args.topic and args.servers) == bool(args.files):
         parser.error("give either --servers with --topic, or --files")
 
     spark = build_session()
     options = pairs(args.option)
     if args.files:
-        feed = changes.stream_files(spark, args.files, args.format, **options)
+        feed = changes.stream_files(spark, args.files, args.format, drain=args.drain, **options)
     else:
-        feed = changes.stream_topic(spark, args.servers, args.topic, **options)
+        feed = changes.stream_topic(spark, args.servers, args.topic, drain=args.drain, **options)
     trigger = DRAIN if args.drain else {"processingTime": args.every}
     settings = StreamSettings(
         trigger=trigger,
         shuffle_partitions=args.partitions,
         files_per_batch=args.files_per_batch,
         windows_from=args.windows_from,
+        bronze_trigger={"processingTime": args.bronze_every} if args.bronze_every else None,
     )
     run = pipeline.drain if args.drain else pipeline.run_live
     writers = {}

@@ -36,9 +36,11 @@ class StreamSettings:
     trigger, the few rows of each closed window would otherwise end in a file per partition.
     ``max_files_per_trigger`` bounds what the alerts and the status take from bronze at once; the
     windows always take whole bronze batches, as a batch cut in two could turn on-time rows into
-    late ones. ``windows_from`` (zone-less UTC, on the hour) leaves windows before that time to a
-    batch backfill, so a first start on a long history builds no state for them. ``snapshot_every`` is the number of batches between two full
-    snapshots of the status table.
+    late ones. ``bronze_trigger`` lets bronze write fewer, larger batches than the outputs read; a
+    drain ignores it. ``windows_from`` (zone-less UTC, on the hour) leaves windows before that time to
+    a batch backfill, so a first start on a long history builds no state for them; a first drain
+    chooses it itself if it is not given, and the root keeps it. ``snapshot_every`` is the number of
+    batches between two full snapshots of the status table.
     """
 
     watermark: str = "5 seconds"
@@ -46,6 +48,7 @@ class StreamSettings:
     shuffle_partitions: int | None = None
     files_per_batch: int | None = None
     max_files_per_trigger: int | None = None
+    bronze_trigger: dict | None = None
     windows_from: datetime | None = None
     snapshot_every: int = 60
     attempts: int = 3

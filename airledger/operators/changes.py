@@ -15,9 +15,18 @@ from .latest import newest
 READING_COLUMNS = ("id", "sensor_id", "co2_level", "measurement_time", "location", "op")
 
 
+def _from_text(path: str, to_type: str) -> Column:
+    text = F.col(f"again.{path}")
+    if to_type != "bigint":
+        return text.try_cast(to_type)
+    # 7.0 and 1.7E15 are whole numbers in other clothes; 7.5 is not one.
+    number = text.try_cast("decimal(38, 9)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+
 def _leaf(path: str, to_type: str) -> Column:
     """The typed leaf, or the lenient cast of its text where the document was read again."""
-    again = F.col(f"again.{path}").try_cast(to_type)
+    again = _from_text(path, to_type)
     return F.when(F.col("again").isNull(), F.col(f"payload.{path}")).otherwise(again)
 
 
@@ -71,16 +80,38 @@ def profile_by_op(changes: DataFrame) -> DataFrame:
     return decode(changes).groupBy("op").agg(F.count(F.lit(1)).alias("changes"))
 
 
+def history(changes: DataFrame) -> DataFrame:
+    """Every change that names a row, decoded: readings and deletes, with ``before_id`` and ``ts_ms``."""
+    rows = decode(changes, history=True)
+    return rows.where(F.coalesce("id", "before_id").isNotNull())
+
+
+def _check_order(changes: DataFrame) -> None:
+    """Changes of one row need an order of arrival; lines of a text file have none."""
+    found = changes.schema["seq"].dataType if "seq" in changes.columns else None
+    if found is None or "file_path" in getattr(found, "names", []):
+        raise ValueError("the table state needs a feed whose seq orders the changes of a row")
+
+
 def table_state(changes: DataFrame) -> DataFrame:
-    """Current rows of the captured table: the last change of each id, unless it was a delete.
+    """Current rows of the captured table, from a feed with ``value`` and an ordering ``seq``."""
+    _check_order(changes)
+    return state_of(history(changes))
+
+
+def state_of(rows: DataFrame) -> DataFrame:
+    """Current rows from decoded ``history``: the last change of each id, unless it was a delete.
 
-    The aggregate keeps one candidate per id and input partition, so an id that is updated
-    endlessly shuffles one row per partition and never gathers in a task.
+    The last is the one that arrived last (``seq``): all changes of a row come through one partition
+    of the topic, while the connector's clock (``ts_ms``) may step back. The aggregate keeps one
+    candidate per id and input partition, so an id that is updated endlessly shuffles one row per
+    partition and never gathers in a task.
     """
-    rows = decode(changes, history=True).withColumns(
+    _check_order(rows)
+    rows = rows.withColumns(
         {"row_id": F.coalesce("id", "before_id"), "gone": F.col("op").eqNullSafe("d")}
     )
-    order = [c for c in ("ts_ms", "seq") if c in rows.columns]
+    order = ["seq", "ts_ms"]
     image = ["id", "gone", "sensor_id", "co2_level", "measurement_time", "location"]
     identified = rows.where(F.col("row_id").isNotNull()).select("row_id", *order, *image)
     last = newest(identified, "row_id", order)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Rules
 from ..functions import rules as R, times
+from ..schemas import CURRENT_STATUS
+from . import constraints
 
 
 def recency(frame: DataFrame, time: str = "measurement_time") -> list[str]:
@@ -50,12 +52,30 @@ def as_status(latest: DataFrame, rules: Rules = Rules(), *, carry: tuple[str, ..
     )
 
 
+def valid_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Status rows the result table accepts, with their ordering columns.
+
+    Both batch and stream choose the newest among these, so a broken reading cannot hide the good
+    one before it. Bronze keeps the broken ones with the reason.
+    """
+    carry = tuple(c for c in ("seq", "id") if c in readings.columns)
+    rows = as_status(readings, rules, carry=carry)
+    return rows.where(constraints.violations(CURRENT_STATUS).isNull())
+
+
 def current_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    latest = newest(readings.drop("op"), "sensor_id", recency(readings))
-    return as_status(latest, rules)
+    """The newest valid status of each sensor. Works in update mode on a stream as well, where
+    the ordering columns of ``newest_status`` are needed too."""
+    return newest_status(readings, rules).select(*CURRENT_STATUS.names)
+
+
+def newest_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    rows = valid_status(readings, rules)
+    return newest(rows, "sensor_id", recency(rows, "last_updated"))
 
 
 def current_status_ranked(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Batch only: the same result through ``row_number() = 1``."""
-    ranked = numbered(readings, "sensor_id", recency(readings))
-    return as_status(ranked.where(F.col("row_num") == 1), rules)
+    rows = valid_status(readings, rules)
+    ranked = numbered(rows, "sensor_id", recency(rows, "last_updated"))
+    return ranked.where(F.col("row_num") == 1).select(*CURRENT_STATUS.names)

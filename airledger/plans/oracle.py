@@ -33,6 +33,7 @@ def _windows(size: str, measures: str, source: str = "r") -> str:
 _AVG = "avg(co2_level) AS avg_co2"
 _AVG_MIN_MAX = f"{_AVG}, min(co2_level) AS min_co2, max(co2_level) AS max_co2"
 _ROUND_MIN_MAX = "sensor_id, location, window_end, round(avg_co2, 9) AS avg_co2, min_co2, max_co2"
+# The labels and messages users already see (config.py names them).
 _ALERTS = """SELECT sensor_id, location, co2_level, measurement_time AS alert_time,
     CASE WHEN co2_level > 420 THEN 'High CO2 Level Detected' ELSE 'Elevated CO2 Level Detected' END AS message
     FROM r WHERE co2_level > 400"""
@@ -46,7 +47,7 @@ _STATE = """state AS (
     SELECT id, sensor_id, co2_level, make_timestamp(us) AS measurement_time, place AS location FROM (
         SELECT *, CASE WHEN event_id % 20 IN (0, 3) THEN event_id ELSE event_id + 1 END AS id,
                row_number() OVER (PARTITION BY CASE WHEN event_id % 20 IN (0, 3) THEN event_id
-                                  ELSE event_id + 1 END ORDER BY us // 1000 DESC, event_id DESC) AS n
+                                  ELSE event_id + 1 END ORDER BY event_id DESC) AS n
         FROM e) WHERE n = 1 AND event_id % 20 <> 0)"""
 _SUMMARY = """SELECT CAST(measurement_time AS DATE) AS measurement_date, location,
     round(avg(co2_level), 9) AS avg_co2, max(co2_level) AS max_co2,
@@ -54,10 +55,11 @@ _SUMMARY = """SELECT CAST(measurement_time AS DATE) AS measurement_date, locatio
 _ALERT_HOURS = f"""SELECT date_trunc('hour', alert_time) AS alert_hour, location, count(*) AS alert_count
     FROM ({_ALERTS}) GROUP BY 1, 2"""
 
-# event_id % 11 of the damaged feed: 1 delete, 2 not JSON, 3 tombstone, 4 no location, 5 quoted
-# numbers, 6 text as level, 7 number as sensor id, 8 no payload, 9 empty, 10 object as id.
+# event_id % 13 of the damaged feed: 1 delete, 2 not JSON, 3 tombstone, 4 no location, 5 quoted
+# numbers, 6 text as level, 7 number as sensor id, 8 no payload, 9 empty, 10 object as id, 11 decimal
+# id, 12 time with an exponent.
 _DIRTY = """d AS (
-    SELECT event_id AS seq, event_id % 11 AS k,
+    SELECT event_id AS seq, event_id % 13 AS k,
         k IN (1, 2, 3, 8, 9) AS lost,
         CASE WHEN lost OR k = 10 THEN NULL ELSE event_id + 1 END AS id,
         CASE WHEN lost THEN NULL WHEN k = 7 THEN CAST(user_id AS VARCHAR)
@@ -69,6 +71,11 @@ _DIRTY = """d AS (
     FROM events)"""
 
 
+_VALID = """r AS (SELECT seq, id, sensor_id, co2_level, location,
+        make_timestamp(measurement_time // 1000 * 1000) AS measurement_time
+    FROM d WHERE id IS NOT NULL AND co2_level IS NOT NULL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     dense, raw = _base(True), _base(False)
     minute = "SELECT sensor_id, location, window_end, round(avg_co2, 9) AS avg_co2 FROM"
@@ -155,9 +162,26 @@ def oracle_sql() -> dict[str, str]:
                   FROM m GROUP BY 1, 2),
             a AS (SELECT CAST(alert_time AS DATE) AS alert_date, location, count(*) AS stream_alerts
                   FROM ({_ALERTS}) GROUP BY 1, 2)
-            SELECT s.measurement_date, s.location, s.alerts_count, a.stream_alerts,
-                   round(s.max_co2, 9) AS max_co2
-            FROM s JOIN a ON a.alert_date = s.measurement_date AND a.location = s.location""",
+            SELECT s.measurement_date, s.location, s.alerts_count,
+                   coalesce(a.stream_alerts, 0) AS stream_alerts, round(s.max_co2, 9) AS max_co2
+            FROM s LEFT JOIN a ON a.alert_date = s.measurement_date
+                AND a.location IS NOT DISTINCT FROM s.location""",
+        "current_status_dirty": f"WITH {_DIRTY}, {_VALID} {_STATUS}",
+        "current_status_dirty_stream": f"WITH {_DIRTY}, {_VALID} {_STATUS}",
+        "hourly_with_backfill": f"WITH {dense} SELECT {_ROUND_MIN_MAX} FROM {closed_hours}",
+        "daily_summary_from_bronze": f"WITH {raw}, {_STATE} {_SUMMARY} FROM state GROUP BY 1, 2",
+        "views_over_stored_tables": f"""
+            WITH {dense}, {_STATE},
+            hours AS (SELECT * FROM {closed_hours}), found AS ({_ALERT_HOURS}),
+            h AS (SELECT window_end, location, max(max_co2) AS readings_max FROM hours GROUP BY 1, 2),
+            p AS (SELECT extract(hour FROM measurement_time) AS hour_of_day, location,
+                    count(*) AS rows_of_hour FROM state GROUP BY 1, 2)
+            SELECT h.window_end, h.location, h.readings_max, coalesce(a.alert_count, 0) AS alert_count,
+                   p.rows_of_hour, (SELECT count(DISTINCT sensor_id) FROM r) AS sensors
+            FROM h LEFT JOIN found a ON a.alert_hour = h.window_end - INTERVAL 1 HOUR
+                    AND a.location IS NOT DISTINCT FROM h.location
+                LEFT JOIN p ON p.hour_of_day = extract(hour FROM h.window_end - INTERVAL 1 HOUR)
+                    AND p.location IS NOT DISTINCT FROM h.location""",
         "cdc_decode_stream": f"""
             WITH {dense} SELECT *, CAST(NULL AS VARCHAR) AS violations,
                 CAST(measurement_time AS DATE) AS event_date FROM r""",
@@ -178,17 +202,17 @@ def oracle_sql() -> dict[str, str]:
             {minute} ({_windows('1 minute', _AVG, 'kept')}) WHERE window_end <= {_CLOSED}""",
         "pipeline_all_sinks": f"""
             WITH {dense}, minutes AS (SELECT * FROM {closed_minutes}),
-            hours AS (SELECT * FROM {closed_hours}), found AS ({_ALERTS}), latest AS ({_STATUS}),
-            lines AS (
-            SELECT 'co2_aggregated' AS output, count(*) AS row_count, min(window_end) AS first_time,
-                max(window_end) AS last_time, avg(avg_co2) AS mean_level FROM minutes
-            UNION ALL SELECT 'co2_hourly_aggregates', count(*), min(window_end), max(window_end),
-                avg(max_co2) FROM hours
-            UNION ALL SELECT 'co2_alerts', count(*), min(alert_time), max(alert_time),
-                avg(co2_level) FROM found
-            UNION ALL SELECT 'current_co2_status', count(*), min(last_updated), max(last_updated),
-                avg(co2_level) FROM latest)
-            SELECT output, row_count, first_time, last_time, round(mean_level, 6) AS mean_level FROM lines""",
+            hours AS (SELECT * FROM {closed_hours}), found AS ({_ALERTS}), latest AS ({_STATUS})
+            SELECT 'co2_aggregated' AS output, sensor_id, location, window_end AS "at",
+                CAST(NULL AS DOUBLE) AS co2_level, round(avg_co2, 9) AS avg_co2,
+                CAST(NULL AS DOUBLE) AS min_co2, CAST(NULL AS DOUBLE) AS max_co2,
+                CAST(NULL AS VARCHAR) AS label FROM minutes
+            UNION ALL SELECT 'co2_hourly_aggregates', sensor_id, location, window_end, NULL,
+                round(avg_co2, 9), round(min_co2, 9), round(max_co2, 9), NULL FROM hours
+            UNION ALL SELECT 'co2_alerts', sensor_id, location, alert_time, round(co2_level, 9),
+                NULL, NULL, NULL, message FROM found
+            UNION ALL SELECT 'current_co2_status', sensor_id, location, last_updated,
+                round(co2_level, 9), NULL, NULL, NULL, status FROM latest""",
     }
     queries["current_status_ranked"] = queries["current_status"]
     queries["alert_summary_refresh"] = queries["alert_summary_hourly"]

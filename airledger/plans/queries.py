@@ -11,16 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..config import DRAIN, StreamSettings
 from ..functions import times
 from ..operators import alerts as A, changes as C, constraints, latest as L, trends as V, windows as W
 from ..session import prepare, work_root
-from ..sources import sensor_feed as feed
+from ..sources import changes as changes_source, sensor_feed as feed
 from ..streaming import files, pipeline, queries as Q, sinks
-from .views import register_views
+from .views import register_stored_views, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +76,7 @@ def table_state_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = C.decode(_changes(spark, sf_dir, dense=False)).where("id is not null")
     at = times.event_time("measurement_time")
-    minute, hour = F.window(at, "1 minute"), F.window(at, "1 hour")
+    minute = F.window(at, "1 minute")
     return (
         rows.select(
             "seq",
@@ -120,6 +120,11 @@ def current_status_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.current_status_ranked(_readings(spark, sf_dir, dense=True))
 
 
+def current_status_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status over the damaged feed: only valid readings count."""
+    return L.current_status(C.readings(feed.dirty_changes(_events(spark, sf_dir))))
+
+
 def avg_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(W.minute_averages(_readings(spark, sf_dir, dense=True)), "avg_co2")
 
@@ -167,10 +172,8 @@ def alert_summary_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_summary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The materialized form: refreshed twice into a versioned table, read back."""
+    """The materialized form: refreshed into a versioned table, read back."""
     root = f"{work_root(prepare(spark))}/alert_summary"
-    dense = V.alert_summary_hourly(A.alerts(_readings(spark, sf_dir, dense=True)))
-    sinks.refresh_table(dense, root)
     sinks.refresh_table(alert_summary_hourly(spark, sf_dir), root)
     return sinks.read_refreshed(spark, root)
 
@@ -186,13 +189,13 @@ def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(feed.measurements(events), feed.changes(events, dense=False))
     return spark.sql(
         """
-        SELECT s.measurement_date, s.location, s.alerts_count, a.stream_alerts,
-               round(s.max_co2, 9) AS max_co2
+        SELECT s.measurement_date, s.location, s.alerts_count,
+               coalesce(a.stream_alerts, 0) AS stream_alerts, round(s.max_co2, 9) AS max_co2
         FROM daily_summary s
-        JOIN (SELECT CAST(alert_hour AS DATE) AS alert_date, location,
+        LEFT JOIN (SELECT CAST(alert_hour AS DATE) AS alert_date, location,
                      sum(alert_count) AS stream_alerts
               FROM alert_summary_hourly GROUP BY 1, 2) a
-          ON a.alert_date = s.measurement_date AND a.location = s.location
+          ON a.alert_date = s.measurement_date AND a.location <=> s.location
         """
     )
 
@@ -262,38 +265,107 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.when(F.col("event_id") % LATE_EVERY == 3, LATE_BY_MICROS).otherwise(0)
     arrival = feed.event_micros(dense=True) + delay - F.lit(feed.EPOCH_MICROS)
     slice_no = F.least(F.call_function("div", arrival, F.lit(SLICE_MICROS)), F.lit(LATE_SLICES - 1))
-    keyed = events.withColumn("slice", slice_no)
+    staged = f"{root}/staged"
+    keyed = feed.changes(events.withColumn("slice", slice_no), dense=True, keep=("slice",))
+    keyed.write.partitionBy("slice").parquet(staged)
     for number in range(LATE_SLICES):
-        arrived = keyed.where(F.col("slice") == number)
-        feed.changes(arrived, dense=True).write.mode("append").parquet(landing)
+        arrived = spark.read.parquet(staged).where(F.col("slice") == number).drop("slice")
+        arrived.write.mode("append").parquet(landing)
         stream = spark.readStream.schema("seq bigint, value string").parquet(landing)
         Q.start_minute_averages(C.readings(stream), root, STREAM).awaitTermination()
     rows = sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")
     return _rounded(rows, "avg_co2")
 
 
+def current_status_dirty_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_root(prepare(spark))
+    changes = feed.dirty_changes(feed.stream_events(spark, sf_dir))
+    Q.start_status(C.readings(changes), root, STREAM).awaitTermination()
+    return Q.status_table(root, STREAM).read(spark)
+
+
+def _land(spark: SparkSession, sf_dir: str, root: str, part: Column) -> None:
+    """Append the dense changes of some of the events to the landing folder."""
+    arrived = feed.changes(_events(spark, sf_dir).where(part), dense=True)
+    arrived.write.mode("append").parquet(f"{root}/landing")
+
+
+def _landed(spark: SparkSession, root: str) -> DataFrame:
+    return changes_source.stream_files(spark, f"{root}/landing")
+
+
+def hourly_with_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows of a root that is drained, fed more data and drained again: the first drain
+    writes its history in a batch, the second goes on from the recorded cut."""
+    root = work_root(prepare(spark))
+    early = feed.event_micros(dense=True) < F.lit(feed.EPOCH_MICROS + 2 * SLICE_MICROS + 900_000_000)
+    for part in (early, ~early):
+        _land(spark, sf_dir, root, part)
+        pipeline.drain(_landed(spark, root), root, STREAM)
+    rows = sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly")
+    return _rounded(rows, "avg_co2")
+
+
+def daily_summary_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily view over the table state rebuilt from the changes bronze keeps."""
+    root = work_root(prepare(spark))
+    stream = feed.changes(feed.stream_events(spark, sf_dir), dense=False)
+    Q.start_bronze(stream, root, STREAM).awaitTermination()
+    return _rounded(V.daily_summary(C.state_of(Q.read_history(spark, root))), "avg_co2")
+
+
+def views_over_stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dashboard query in SQL over the tables the pipeline wrote."""
+    root = work_root(prepare(spark))
+    pipeline.drain(_change_stream(spark, sf_dir), root, STREAM)
+    alerts = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
+    sinks.refresh_table(V.alert_summary_hourly(alerts), f"{root}/alert_summary")
+    register_stored_views(spark, root)
+    return spark.sql(
+        """
+        SELECT h.window_end, h.location, h.readings_max, coalesce(a.alert_count, 0) AS alert_count,
+               p.rows_of_hour, s.sensors
+        FROM (SELECT window_end, location, max(max_co2) AS readings_max
+              FROM co2_hourly_aggregates GROUP BY 1, 2) h
+        LEFT JOIN alert_summary_hourly a
+          ON a.alert_hour = h.window_end - INTERVAL 1 HOUR AND a.location <=> h.location
+        LEFT JOIN (SELECT hour(measurement_time) AS hour_of_day, location, count(*) AS rows_of_hour
+                   FROM co2_measurements GROUP BY 1, 2) p
+          ON p.hour_of_day = hour(h.window_end - INTERVAL 1 HOUR) AND p.location <=> h.location
+        CROSS JOIN (SELECT count(*) AS sensors FROM current_co2_status) s
+        """
+    )
+
+
 def pipeline_all_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job; one line per output with its size, time range and checksum."""
+    """The whole job; every row of the four outputs, with the name of its table."""
     root = work_root(prepare(spark))
     pipeline.drain(_change_stream(spark, sf_dir), root, STREAM)
 
-    def line(name: str, rows: DataFrame, time: str, level: str) -> DataFrame:
-        return rows.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min(time).alias("first_time"),
-            F.max(time).alias("last_time"),
-            F.round(F.avg(level), 6).alias("mean_level"),
-        ).select(F.lit(name).alias("output"), "*")
-
-    minute = sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")
-    hourly = sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly")
-    found = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
+    def tagged(table: schemas.Table, rows: DataFrame, time: str, text: str | None = None) -> DataFrame:
+        levels = [
+            (F.round(c, DIGITS) if c in rows.columns else F.lit(None).cast("double")).alias(c)
+            for c in ("co2_level", "avg_co2", "min_co2", "max_co2")
+        ]
+        return rows.select(
+            F.lit(table.name).alias("output"),
+            "sensor_id",
+            "location",
+            F.col(time).alias("at"),
+            *levels,
+            (F.col(text) if text else F.lit(None).cast("string")).alias("label"),
+        )
+
+    def stored(table: schemas.Table, name: str) -> DataFrame:
+        return sinks.read_appended(spark, table, f"{root}/{name}")
+
+    minute, hourly = schemas.MINUTE_AVERAGES, schemas.HOURLY_AGGREGATES
     status = Q.status_table(root, STREAM).read(spark)
     return (
-        line("co2_aggregated", minute, "window_end", "avg_co2")
-        .union(line("co2_hourly_aggregates", hourly, "window_end", "max_co2"))
-        .union(line("co2_alerts", found, "alert_time", "co2_level"))
-        .union(line("current_co2_status", status, "last_updated", "co2_level"))
+        tagged(minute, stored(minute, "minute"), "window_end")
+        .union(tagged(hourly, stored(hourly, "hourly"), "window_end"))
+        .union(tagged(schemas.ALERTS, stored(schemas.ALERTS, "alerts"), "alert_time", "message"))
+        .union(tagged(schemas.CURRENT_STATUS, status, "last_updated", "status"))
     )
 
 
@@ -310,6 +382,7 @@ BATCH: dict[str, Query] = {
         status_feed,
         current_status,
         current_status_ranked,
+        current_status_dirty,
         avg_1m,
         hourly_aggregates,
         null_location_groups,
@@ -331,6 +404,10 @@ STREAMS: dict[str, Query] = {
         avg_1m_stream,
         hourly_stream,
         current_status_stream,
+        current_status_dirty_stream,
+        hourly_with_backfill,
+        daily_summary_from_bronze,
+        views_over_stored_tables,
         late_rows,
         pipeline_all_sinks,
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Leaves of the row image inside the envelope.
+# Leaves of the row image inside the envelope, as the connector writes them.
 ROW_FIELDS = {
     "id": "bigint",
     "sensor_id": "string",

@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 FEED_SCHEMA = "seq bigint, value string"
 
+#: A file stream otherwise skips, without a word, files a week older than the newest it has seen.
+ANY_AGE = {"maxFileAge": "36500d"}
+RATE_LIMITS = {"maxoffsetspertrigger", "maxfilespertrigger", "maxbytespertrigger", "maxtriggerdelay"}
+
+
+def _check_limits(options: dict[str, str], drain: bool) -> None:
+    """Parts of a feed that are read a batch apart turn late for the windows. Only a drain, which
+    completes bronze first, may read in limited batches."""
+    limits = [o for o in options if o.lower() in RATE_LIMITS]
+    if limits and not drain:
+        raise ValueError(f"{', '.join(limits)} would lose window rows; use it with a drain only")
+
 
 def _from_topic(frame: DataFrame) -> DataFrame:
     # Changes of one row share a message key and so a partition: offsets order them.
@@ -23,13 +35,16 @@ def _topic_options(servers: str, topic: str, extra: dict[str, str]) -> dict[str,
     }
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, **extra: str) -> DataFrame:
+def stream_topic(
+    spark: SparkSession, servers: str, topic: str, *, drain: bool = False, **extra: str
+) -> DataFrame:
     """Unbounded topic source, from the earliest offset unless a checkpoint says otherwise.
 
-    Needs the spark-sql-kafka package on the classpath. Pass ``maxOffsetsPerTrigger`` to bound the
-    batches of a first start on a long topic, and ``minPartitions`` to read a busy partition with
-    several tasks.
+    Needs the spark-sql-kafka package on the classpath. ``minPartitions`` reads a busy partition
+    with several tasks. With ``drain`` (for ``pipeline.drain``) ``maxOffsetsPerTrigger`` may bound
+    the batches of a first start on a long topic.
     """
+    _check_limits(extra, drain)
     reader = spark.readStream.format("kafka").options(**_topic_options(servers, topic, extra))
     return _from_topic(reader.load())
 
@@ -47,9 +62,15 @@ def _with_file_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def stream_files(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """A directory that grows: Parquet with (seq, value), or text with one envelope per line."""
-    reader = spark.readStream.options(**options)
+def stream_files(
+    spark: SparkSession, path: str, fmt: str = "parquet", *, drain: bool = False, **options: str
+) -> DataFrame:
+    """A directory that grows: Parquet with (seq, value), or text with one envelope per line.
+
+    Files count whatever their age. ``drain`` is as for the topic.
+    """
+    _check_limits(options, drain)
+    reader = spark.readStream.options(**{**ANY_AGE, **options})
     if fmt == "text":
         return _with_file_order(reader.text(path))
     return reader.schema(FEED_SCHEMA).parquet(path)

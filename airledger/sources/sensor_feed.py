@@ -84,7 +84,7 @@ def changes(
 
 
 def dirty_changes(events: DataFrame) -> DataFrame:
-    """The same events as a damaged feed: ``event_id % 11`` picks the damage, 0 is intact."""
+    """The same events as a damaged feed: ``event_id % 13`` picks the damage, 0 is intact."""
     row = _row(F.col("event_id") + 1, False, None)
 
     def doc(after: Column, op: str = "c") -> Column:
@@ -109,6 +109,8 @@ def dirty_changes(events: DataFrame) -> DataFrame:
         F.to_json(F.struct(row.alias("after"), F.lit("c").alias("op"))),
         F.lit(""),
         doc(with_field("id", F.struct(F.lit(1).alias("z")))),
+        doc(with_field("id", (F.col("event_id") + 1).cast("decimal(20, 1)"))),  # 7.0
+        doc(with_field("measurement_time", event_micros(False).cast("double"))),  # 1.7E15
     ]
     value = F.lit(None).cast("string")
     for kind, text in enumerate(damage):

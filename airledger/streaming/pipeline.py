@@ -1,8 +1,9 @@
 """One feed, four outputs.
 
 The feed is decoded once into a bronze table; four queries read that table. Each has its own
-checkpoint, so one of them can be restarted or rebuilt without touching the others, and the topic
-is read once whatever the number of outputs.
+checkpoint, so one of them can be restarted without touching the others, and the topic is read once
+whatever the number of outputs. To rebuild one output from bronze, call ``reset_output`` and drain
+again; a new checkpoint over an existing output is refused, since it would lose rows.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from types import MappingProxyType
 
 from pyspark.errors import StreamingQueryException
@@ -85,10 +87,13 @@ def drain(
     windows = {schemas.MINUTE_AVERAGES.name, schemas.HOURLY_AGGREGATES.name}
     if settings.windows_from and windows & set(writers):
         raise ValueError("windows_from writes history to Parquet; load it into the database apart")
+    settings = replace(settings, bronze_trigger=None)
     _prepare(spark, root, settings)
     run_to_end({"bronze": lambda: Q.start_bronze(changes, root, settings)}, settings)
-    if settings.windows_from:
-        Q.backfill_windows(spark, root, settings, seq_type_of(changes))
+    if not windows & set(writers):
+        settings = Q.agree_on_cut(spark, root, settings, seq_type_of(changes), backfill=True)
+        if settings.windows_from:
+            Q.backfill_windows(spark, root, settings, seq_type_of(changes))
     outputs = output_starters(spark, root, settings, rules, seq_type_of(changes), writers)
     run_to_end(outputs, settings)
 
@@ -100,14 +105,54 @@ def run_live(
     rules: Rules = Rules(),
     writers: Writers = MappingProxyType({}),
 ) -> None:
-    """Run all queries until one of them fails for good."""
+    """Run all queries until one of them fails for good.
+
+    On a root that was drained the windows go on from the cut recorded there.
+    """
     spark = changes.sparkSession
     _prepare(spark, root, settings)
+    settings = Q.agree_on_cut(spark, root, settings, seq_type_of(changes), backfill=False)
     starters: dict[str, Starter] = {"bronze": lambda: Q.start_bronze(changes, root, settings)}
     starters |= output_starters(spark, root, settings, rules, seq_type_of(changes), writers)
     run_to_end(starters, settings)
 
 
+#: Outputs that ``reset_output`` can clear, with the folders each consists of.
+OUTPUTS = {
+    "minute": ("_checkpoints/minute", "minute", "minute_backfill"),
+    "hourly": ("_checkpoints/hourly", "hourly", "hourly_backfill"),
+    "alerts": ("_checkpoints/alerts", "alerts"),
+    "status": ("_checkpoints/status", "status"),
+}
+
+
+def reset_output(spark: SparkSession, root: str, name: str) -> None:
+    """Remove an output with its checkpoint, so that the next drain builds it anew from bronze.
+
+    Rows that were late for the stream count in a rebuilt history. Nobody may read or write the
+    output meanwhile. The checkpoint goes first: after a reset that broke off, the output without a
+    checkpoint is refused until the reset is repeated.
+    """
+    for folder in OUTPUTS[name]:
+        files.remove(spark, f"{root}/{folder}")
+
+
+class _LateRows:
+    """Reports rows a query dropped because they came after the watermark."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, int] = {}
+
+    def report(self, name: str, query: StreamingQuery) -> None:
+        for progress in query.recentProgress:
+            if progress["batchId"] <= self.seen.get(name, -1):
+                continue
+            self.seen[name] = progress["batchId"]
+            late = sum(s["numRowsDroppedByWatermark"] for s in progress["stateOperators"])
+            if late:
+                log.warning("%s dropped %d late rows in batch %d", name, late, progress["batchId"])
+
+
 def _start(name: str, start: Starter) -> StreamingQuery:
     """Start a query in a scheduler pool of its own; under the FAIR mode ``build_session`` sets, a
     large window batch then does not hold up the alerts."""
@@ -127,13 +172,16 @@ def run_to_end(starters: dict[str, Starter], settings: StreamSettings) -> None:
     """
     running: dict[str, StreamingQuery] = {}
     failures = dict.fromkeys(starters, 0)
+    late = _LateRows()
     try:
         for name, start in starters.items():
             running[name] = _start(name, start)
         while running:
             for name, query in list(running.items()):
                 try:
-                    if query.awaitTermination(1):
+                    ended = query.awaitTermination(1)
+                    late.report(name, query)
+                    if ended:
                         del running[name]
                 except StreamingQueryException:
                     failures[name] += 1

@@ -5,12 +5,17 @@ Outputs go to Parquet below ``root`` unless a batch writer (database table) is g
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..config import Rules, StreamSettings
+from ..functions import times
 from ..operators import alerts as A, changes as C, constraints, latest as L, windows as W
+from ..sources import changes as feeds
 from . import files, sinks
 
 
@@ -80,15 +85,8 @@ def status_table(root: str, settings: StreamSettings, with_seq: bool = True) ->
 
 
 def latest_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Upsert stream of the latest valid reading per sensor (update mode, state never expires).
-
-    Rows the table would refuse are left out before the newest is chosen, so a broken reading
-    cannot hide the good one before it.
-    """
-    carry = tuple(c for c in ("seq", "id") if c in readings.columns)
-    rows = L.as_status(readings, rules, carry=carry)
-    good = rows.where(constraints.violations(schemas.CURRENT_STATUS).isNull())
-    return L.newest(good, "sensor_id", L.recency(good, "last_updated"))
+    """Upsert stream of the latest valid reading per sensor (update mode, state never expires)."""
+    return L.newest_status(readings, rules)
 
 
 def start_status(
@@ -99,56 +97,142 @@ def start_status(
     write: sinks.BatchWriter | None = None,
 ) -> StreamingQuery:
     target = status_table(root, settings, "seq" in readings.columns)
+    checkpoint = f"{root}/_checkpoints/status"
+    if write is None:
+        sinks.refuse_orphan(readings.sparkSession, target.root, checkpoint)
     return sinks.for_each_batch(
         latest_status(readings, rules),
         write or target.upsert,
         schemas.CURRENT_STATUS.name,
-        f"{root}/_checkpoints/status",
+        checkpoint,
         settings,
         mode="update",
     )
 
 
-BRONZE_COLUMNS = (
+READING_COLUMNS = (
     "id bigint, sensor_id string, co2_level double, measurement_time timestamp, location string, "
     "op string, violations string, event_date date"
 )
+HISTORY_COLUMNS = "before_id bigint, ts_ms bigint, measurement_micros bigint"
 
 
 def start_bronze(changes: DataFrame, root: str, settings: StreamSettings) -> StreamingQuery:
     """Decode the feed once into a Parquet table partitioned by event date.
 
-    All readings are kept; those that break a base-table constraint carry the reason.
+    All changes that name a row are kept, deletes too; readings that break a base-table constraint
+    carry the reason. Deletes lie under the date of the change. ``files_per_batch`` bounds the files
+    a batch leaves per date.
     """
-    rows = (
-        C.readings(changes)
-        .withColumn("violations", constraints.violations(schemas.MEASUREMENTS))
-        .withColumn("event_date", F.to_date("measurement_time"))
+    at = F.col("measurement_time")
+    rows = C.history(changes).withColumns(
+        {"measurement_micros": at, "measurement_time": times.event_time("measurement_time")}
+    )
+    reading = F.col("id").isNotNull()
+    dated = F.when(reading, F.to_date("measurement_time")).otherwise(F.to_date(F.timestamp_millis("ts_ms")))
+    rows = rows.withColumns(
+        {
+            "violations": F.when(reading, constraints.violations(schemas.MEASUREMENTS)),
+            "event_date": dated,
+        }
     )
+    if settings.files_per_batch:
+        rows = rows.repartition(settings.files_per_batch)
     writer = (
         rows.writeStream.outputMode("append")
         .format("parquet")
         .option("path", f"{root}/bronze")
         .partitionBy("event_date")
     )
-    return sinks.start(writer, "bronze", f"{root}/_checkpoints/bronze", settings)
+    return sinks.start(
+        writer, "bronze", f"{root}/_checkpoints/bronze", settings, settings.bronze_trigger
+    )
 
 
 def bronze_schema(seq_type: str) -> str:
-    return f"seq {seq_type}, {BRONZE_COLUMNS}"
+    return f"seq {seq_type}, {READING_COLUMNS}, {HISTORY_COLUMNS}"
+
+
+def _readings_of(bronze: DataFrame) -> DataFrame:
+    columns = [c.split(" ")[0] for c in READING_COLUMNS.split(", ")]
+    return bronze.where("id is not null").select("seq", *columns)
+
+
+def read_history(spark: SparkSession, root: str, seq_type: str = "bigint") -> DataFrame:
+    """All changes in bronze, as ``operators.changes.history`` returns them."""
+    bronze = spark.read.schema(bronze_schema(seq_type)).parquet(f"{root}/bronze")
+    return bronze.withColumn("measurement_time", F.col("measurement_micros"))
 
 
 def read_bronze(spark: SparkSession, root: str, seq_type: str = "bigint") -> DataFrame:
-    return spark.read.schema(bronze_schema(seq_type)).parquet(f"{root}/bronze")
+    """The readings in bronze."""
+    return _readings_of(spark.read.schema(bronze_schema(seq_type)).parquet(f"{root}/bronze"))
 
 
 def stream_bronze(
     spark: SparkSession, root: str, seq_type: str = "bigint", max_files: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(bronze_schema(seq_type))
+    reader = spark.readStream.schema(bronze_schema(seq_type)).options(**feeds.ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{root}/bronze")
+    return _readings_of(reader.parquet(f"{root}/bronze"))
+
+
+def _passed_hour(spark: SparkSession, root: str, settings: StreamSettings, seq_type: str) -> datetime | None:
+    """The last full hour before the watermark of all bronze rows."""
+    last = F.max("measurement_time") - F.expr(f"INTERVAL {settings.watermark}")
+    hour = times.local_time(F.date_trunc("hour", last))
+    return read_bronze(spark, root, seq_type).agg(hour.alias("hour")).first().hour
+
+
+def recorded_cut(spark: SparkSession, root: str) -> datetime | None:
+    text = files.read_text(spark, f"{root}/windows_from.txt")
+    return datetime.fromisoformat(text) if text else None
+
+
+def backfill_done(spark: SparkSession, root: str) -> bool:
+    return all(
+        files.is_finished(spark, sinks.backfill_path(f"{root}/{name}")) for name in ("minute", "hourly")
+    )
+
+
+def _windows_started(spark: SparkSession, root: str) -> bool:
+    return any(files.exists(spark, f"{root}/_checkpoints/{name}") for name in ("minute", "hourly"))
+
+
+def agree_on_cut(
+    spark: SparkSession, root: str, settings: StreamSettings, seq_type: str, *, backfill: bool
+) -> StreamSettings:
+    """The settings with the time the window streams of this root start from.
+
+    The cut between batch history and stream is chosen once per root and recorded there: with
+    ``backfill`` (a drain) and no record yet it is ``windows_from``, or else the last hour bronze has
+    passed. A different ``windows_from``, one for windows that already run without, and a cut whose
+    history is not written are refused: each would leave out windows without a word.
+    """
+    recorded, wanted = recorded_cut(spark, root), settings.windows_from
+    if recorded is None and _windows_started(spark, root):
+        if wanted:
+            raise ValueError("the windows of this root run from the start; windows_from comes too late")
+        return settings
+    if recorded and wanted not in (None, recorded):
+        raise ValueError(f"windows_from of this root is {recorded}, it cannot become {wanted}")
+    if not backfill:
+        if wanted and not recorded:
+            raise ValueError("windows_from needs a drain first, which writes the windows before it")
+        if recorded and not backfill_done(spark, root):
+            raise ValueError("the windows before windows_from are not written; finish the drain first")
+        return replace(settings, windows_from=recorded)
+    passed = None if recorded else _passed_hour(spark, root, settings, seq_type)
+    if wanted and not recorded:
+        if wanted.replace(minute=0, second=0, microsecond=0) != wanted:
+            raise ValueError("windows_from has to be on the hour, or a window would be cut in two")
+        if passed is None or wanted > passed:
+            raise ValueError("windows_from is ahead of the watermark; those windows are still open")
+    cut = recorded or wanted or passed
+    if cut and not recorded:
+        files.write_text(spark, f"{root}/windows_from.txt", cut.isoformat())
+    return replace(settings, windows_from=cut)
 
 
 def backfill_windows(
@@ -159,14 +243,8 @@ def backfill_windows(
     The batch needs no state and shuffles partial aggregates only. Rows of that time which reach
     bronze later are late, as they would be for the stream.
     """
-    before = settings.windows_from
-    if before.replace(minute=0, second=0, microsecond=0) != before:
-        raise ValueError("windows_from has to be on the hour, or a window would be cut in two")
+    cut = F.lit(settings.windows_from).cast("timestamp")
     history = read_bronze(spark, root, seq_type)
-    cut = F.lit(before).cast("timestamp")
-    passed = F.max("measurement_time") - F.expr(f"INTERVAL {settings.watermark}") >= cut
-    if not history.agg(passed.alias("passed")).first().passed:
-        raise ValueError("windows_from is ahead of the watermark; those windows are still open")
     old = history.where((F.col("measurement_time") < cut) & (F.col("event_date") <= F.to_date(cut)))
     for table, name, windows in (
         (schemas.MINUTE_AVERAGES, "minute", W.minute_averages),

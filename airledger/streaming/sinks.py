@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -17,16 +18,27 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 
 def start(
-    writer: DataStreamWriter, name: str, checkpoint: str, settings: StreamSettings
+    writer: DataStreamWriter,
+    name: str,
+    checkpoint: str,
+    settings: StreamSettings,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     return (
         writer.queryName(name)
         .option("checkpointLocation", checkpoint)
-        .trigger(**settings.trigger)
+        .trigger(**(trigger or settings.trigger))
         .start()
     )
 
 
+def refuse_orphan(spark: SparkSession, output: str, checkpoint: str) -> None:
+    """A new checkpoint over an old output would skip batch numbers the output already knows and
+    lose their rows. ``pipeline.reset_output`` clears both for a rebuild."""
+    if files.exists(spark, output) and not files.exists(spark, checkpoint):
+        raise ValueError(f"{output} exists without its checkpoint; reset the output to rebuild it")
+
+
 def append(
     rows: DataFrame, table: Table, path: str, checkpoint: str, settings: StreamSettings
 ) -> StreamingQuery:
@@ -35,6 +47,7 @@ def append(
     Rows that break a constraint of the table go to the ``is_valid=false`` partition with the
     reason, in the same pass.
     """
+    refuse_orphan(rows.sparkSession, path, checkpoint)
     checked = constraints.check(rows, table).select(*table.names, "violations", "is_valid")
     if settings.files_per_batch:
         checked = checked.repartition(settings.files_per_batch)
@@ -96,13 +109,14 @@ def for_each_batch(
 
 
 class KeyedTable:
-    """Latest row per key in plain Parquet.
+    """Latest row per key in plain Parquet, a stand-in while no table format is at hand.
 
     Each micro-batch writes the rows it changed to ``changes=<batch>``; every ``snapshot_every``
     batches the whole table is folded into ``snapshot=<batch>``. A reader takes the newest finished
     snapshot plus the changes after it. A repeated batch rewrites its own directory with the same
     rows, so a retry after a lost executor or driver changes nothing. Rows carry their ordering
-    columns, and an older row never replaces a newer one.
+    columns, and an older row never replaces a newer one. Refused rows go to ``rejected/batch=<batch>``,
+    which nothing removes.
     """
 
     def __init__(
@@ -124,7 +138,14 @@ class KeyedTable:
         checked = constraints.check(rows, self.table)
         if self.files_per_batch:
             checked = checked.repartition(self.files_per_batch)
-        checked.write.mode("overwrite").parquet(f"{self.root}/changes={batch_id}")
+        kept = checked.persist()
+        try:
+            kept.where("is_valid").write.mode("overwrite").parquet(f"{self.root}/changes={batch_id}")
+            broken = kept.where("not is_valid")
+            if not broken.isEmpty():
+                broken.write.mode("overwrite").parquet(f"{self.root}/rejected/batch={batch_id}")
+        finally:
+            kept.unpersist()
         if batch_id and batch_id % self.snapshot_every == 0:
             merged = self._merged(spark, below=batch_id)
             merged.write.mode("overwrite").parquet(f"{self.root}/snapshot={batch_id}")
@@ -134,9 +155,9 @@ class KeyedTable:
         return self._merged(spark).select(*self.table.names)
 
     def rejected(self, spark: SparkSession) -> DataFrame:
-        """Rows refused since the last expiry, with their reasons."""
-        versions = files.finished_versions(spark, self.root, "changes")
-        rows = self._load(spark, [f"{self.root}/changes={v}" for v in versions])
+        """All rows ever refused, with their reasons."""
+        batches = files.finished_versions(spark, f"{self.root}/rejected", "batch")
+        rows = self._load(spark, [f"{self.root}/rejected/batch={b}" for b in batches])
         return rows.where("not is_valid").drop("is_valid")
 
     def _load(self, spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -172,9 +193,11 @@ class KeyedTable:
                     files.remove(spark, f"{self.root}/{prefix}={version}")
 
 
-def jdbc_append(table: Table, url: str, rejected_path: str, **properties: str) -> BatchWriter:
-    """Insert accepted rows into a database table. A repeated batch inserts them again (at least
-    once), as the table has no key to recognise them by."""
+def jdbc_append(
+    table: Table, url: str, rejected_path: str, connections: int = 8, **properties: str
+) -> BatchWriter:
+    """Insert accepted rows into a database table over at most ``connections`` connections. A
+    repeated batch inserts them again (at least once), as the table has no key to recognise them by."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         kept = rows.persist()
@@ -182,7 +205,7 @@ def jdbc_append(table: Table, url: str, rejected_path: str, **properties: str) -
             accepted, rejected = constraints.split(kept, table)
             rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
             accepted.write.mode("append").format("jdbc").options(
-                url=url, dbtable=table.name, **properties
+                **{"numPartitions": str(connections), **properties}, url=url, dbtable=table.name
             ).save()
         finally:
             kept.unpersist()
@@ -190,12 +213,14 @@ def jdbc_append(table: Table, url: str, rejected_path: str, **properties: str) -
     return write
 
 
-def upsert_statement(table: Table, newer: str, mark: str = "%s") -> str:
-    """INSERT that updates an existing key unless the stored row is newer."""
+def upsert_statement(table: Table, newer: str, mark: str = "%s", rows: int = 1) -> str:
+    """INSERT of several rows that updates existing keys unless the stored row is newer. The rows
+    of one statement have to differ in their key."""
     names = table.names
     sets = ", ".join(f"{n} = EXCLUDED.{n}" for n in names if n != table.key)
+    values = ", ".join([f"({', '.join([mark] * len(names))})"] * rows)
     return (
-        f"INSERT INTO {table.name} ({', '.join(names)}) VALUES ({', '.join([mark] * len(names))}) "
+        f"INSERT INTO {table.name} ({', '.join(names)}) VALUES {values} "
         f"ON CONFLICT ({table.key}) DO UPDATE SET {sets} "
         f"WHERE EXCLUDED.{newer} >= {table.name}.{newer}"
     )
@@ -214,35 +239,38 @@ def database_upsert(
     connect: Callable[[], object],
     table: Table,
     newer: str,
+    rejected_path: str | None = None,
     connections: int = 8,
-    chunk: int = 1000,
+    chunk: int = 500,
     mark: str = "%s",
 ) -> BatchWriter:
     """Keyed upsert through a DB-API connection opened by each of ``connections`` tasks; safe to
-    repeat. ``connect`` is called on the executors, so it has to be picklable.
+    repeat. ``chunk`` rows go in one statement and one transaction. ``connect`` is called on the
+    executors, so it has to be picklable. Refused rows go to ``rejected_path``.
     """
-    statement = upsert_statement(table, newer, mark)
     names = table.names
 
     def write_partition(rows) -> None:
         connection = connect()
         try:
             cursor = connection.cursor()
-            pending = []
-            for row in rows:
-                pending.append(tuple(row[n] for n in names))
-                if len(pending) == chunk:
-                    cursor.executemany(statement, pending)
-                    pending = []
-            if pending:
-                cursor.executemany(statement, pending)
-            connection.commit()
+            source = iter(rows)
+            while pending := list(islice(source, chunk)):
+                statement = upsert_statement(table, newer, mark, len(pending))
+                cursor.execute(statement, [row[n] for row in pending for n in names])
+                connection.commit()
         finally:
             connection.close()
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        accepted, _ = constraints.split(rows, table)
-        accepted.repartition(connections).foreachPartition(write_partition)
+        kept = rows.persist()
+        try:
+            accepted, rejected = constraints.split(kept, table)
+            if rejected_path:
+                rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
+            accepted.repartition(connections).foreachPartition(write_partition)
+        finally:
+            kept.unpersist()
 
     return write
 

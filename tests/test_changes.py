@@ -141,3 +141,27 @@ def test_state_equals_replay_with_one_hot_id(feed, seed):
             live[id_] = level
     state = C.table_state(feed(log).repartition(5))
     assert {r.id: r.co2_level for r in state.collect()} == live
+
+
+def test_arrival_decides_where_the_clock_steps_back(feed):
+    log = feed([
+        change(1, level=430.0, ts_ms=2000), change(1, level=401.0, op="u", ts_ms=1000),
+        change(2, level=430.0, ts_ms=2000), change(2, op="d", ts_ms=1000),
+    ])
+    assert [(r.id, r.co2_level) for r in C.table_state(log).collect()] == [(1, 401.0)]
+
+
+def test_whole_numbers_in_other_forms(feed):
+    def doc(id_, at):
+        return (
+            '{"payload": {"op": "c", "after": {"id": %s, "sensor_id": "s", "co2_level": 400, '
+            '"measurement_time": %s, "location": "p"}}}' % (id_, at)
+        )
+
+    log = feed([
+        doc("7.0", "1704067200123456.0"), doc("8", "1.704067200123456E15"), doc("7.5", "1704067200123456"),
+        doc('"9"', '"1.704067200123456e15"'), doc("1e2", "1704067200123456.25"), doc("1e400", "1"),
+    ])
+    got = {(r.seq, r.id, r.measurement_time) for r in C.decode(log).collect()}
+    at = 1_704_067_200_123_456
+    assert got == {(0, 7, at), (1, 8, at), (2, None, at), (3, 9, at), (4, 100, None), (5, None, 1)}

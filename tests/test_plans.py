@@ -78,7 +78,7 @@ def test_thresholds_and_columns_reach_the_bronze_scan(spark, root):
     ).write.mode("append").partitionBy("event_date").parquet(f"{root}/bronze")
     text = plan(A.alerts(Q.read_bronze(spark, root)))
     assert "GreaterThan(co2_level,400.0)" in text
-    assert "ReadSchema: struct<sensor_id:string,co2_level:double,measurement_time:timestamp,location:string>" in text
+    assert "ReadSchema: struct<id:bigint,sensor_id:string,co2_level:double,measurement_time:timestamp,location:string>" in text
 
 
 @pytest.mark.parametrize("name", sorted(named.BATCH))

@@ -45,10 +45,11 @@ def test_null_place_and_null_level_in_windows(feed):
 def test_latest_and_ranked_agree_on_ties(feed):
     readings = C.readings(
         feed([change(5, seconds=10, level=401.0), change(4, seconds=10, level=421.0),
-              change(6, seconds=3, level=399.0), change(7, sensor="sensor_2", level=None)])
+              change(6, seconds=3, level=399.0), change(7, sensor="sensor_2", level=None),
+              change(8, sensor="sensor_3", level=412.5), change(9, sensor="sensor_3", seconds=9, level=None)])
     )
     expected = [("sensor_1", 421.0, "CRITICAL", at() + dt.timedelta(seconds=10), "Downtown"),
-                ("sensor_2", None, "NORMAL", at(), "Downtown")]
+                ("sensor_3", 412.5, "WARNING", at(), "Downtown")]  # the valid one, as in the stream
     assert rows(L.current_status(readings)) == expected
     assert rows(L.current_status_ranked(readings)) == expected
     without_seq = readings.drop("seq")

@@ -72,17 +72,22 @@ class Recorder:
 
     def __init__(self, folder):
         self.path = f"{folder}/{os.getpid()}-{id(self)}.jsonl"
-        self.pending = []
+        self.pending, self.statements = [], []
 
     def cursor(self):
         return self
 
-    def executemany(self, statement, values):
-        self.pending += [[str(v) for v in row] for row in values]
+    def execute(self, statement, values):
+        width = len(schemas.CURRENT_STATUS.names)
+        assert statement.count("%s") == len(values)
+        self.pending += [[str(v) for v in values[i : i + width]] for i in range(0, len(values), width)]
+        self.statements.append(statement)
 
     def commit(self):
         with open(self.path, "a") as out:
             out.writelines(json.dumps(row) + "\n" for row in self.pending)
+        assert len(self.statements) == 1  # one statement and one transaction per chunk
+        self.pending, self.statements = [], []
 
     def close(self):
         pass
@@ -93,9 +98,16 @@ def test_database_upsert_sends_accepted_rows_from_the_tasks(spark, root):
         "SELECT concat('s', id) AS sensor_id, if(id = 3, NULL, 400D) AS co2_level, 'NORMAL' AS status, "
         "timestamp_ntz'2024-01-01' AS last_updated, 'p' AS location, id AS seq FROM range(0, 25, 1, 4)"
     )
-    write = sinks.database_upsert(lambda: Recorder(root), schemas.CURRENT_STATUS, "last_updated", chunk=4)
+    sent_to = f"{root}/sent"
+    os.mkdir(sent_to)
+    write = sinks.database_upsert(
+        lambda: Recorder(sent_to), schemas.CURRENT_STATUS, "last_updated", f"{root}/rejected",
+        connections=3, chunk=4,
+    )
     write(frame, 0)
-    sent = [json.loads(line) for name in os.listdir(root) for line in open(f"{root}/{name}")]
+    sent = [json.loads(line) for name in os.listdir(sent_to) for line in open(f"{sent_to}/{name}")]
+    refused = spark.read.parquet(f"{root}/rejected/batch=0").collect()
+    assert [(r.sensor_id, r.violations) for r in refused] == [("s3", "co2_level is null")]
     assert sorted(row[0] for row in sent) == sorted(f"s{i}" for i in range(25) if i != 3)
     assert all(len(row) == 5 for row in sent)
 
@@ -124,6 +136,32 @@ def test_database_writers_cover_the_result_tables():
     assert "current_co2_status" not in database_writers("/r", "jdbc:postgresql://h/d", None, {})
 
 
-def test_command_line_wants_one_source():
-    with pytest.raises(SystemExit):
-        main(["--root", "x"])
+def test_command_line_wants_one_source_and_one_database():
+    for wrong in ([], ["--files", "x", "--dsn", "dbname=d"], ["--files", "x", "--jdbc-url", "jdbc:x"]):
+        with pytest.raises(SystemExit):
+            main(["--root", "x", *wrong])
+
+
+def test_command_line_refreshes_the_alert_summary(spark, root):
+    os.mkdir(f"{root}/in")
+    with open(f"{root}/in/a.json", "w") as out:
+        out.write("\n".join([change(1, level=430.0), change(2, level=431.0, seconds=4000)]))
+    main(["--root", f"{root}/out", "--files", f"{root}/in", "--format", "text", "--drain"])
+    main(["--root", f"{root}/out", "--refresh-alert-summary"])
+    got = sinks.read_refreshed(spark, f"{root}/out/alert_summary").collect()
+    assert sorted((r.alert_hour.hour, r.alert_count) for r in got) == [(0, 1), (1, 1)]
+
+
+def test_several_rows_go_in_one_statement():
+    text = sinks.upsert_statement(schemas.CURRENT_STATUS, "last_updated", rows=3)
+    assert text.count("(%s, %s, %s, %s, %s)") == 3 and text.count("ON CONFLICT") == 1
+
+
+def test_table_state_wants_an_order(spark, root):
+    os.mkdir(f"{root}/in")
+    with open(f"{root}/in/a.json", "w") as out:
+        out.write("\n".join([change(1, level=430.0), change(1, level=401.0, op="u")]))
+    with pytest.raises(ValueError, match="seq"):
+        C.table_state(feeds.read_files(spark, f"{root}/in", "text"))
+    with pytest.raises(ValueError, match="seq"):
+        C.table_state(spark.createDataFrame([(change(1),)], "value string"))

@@ -33,7 +33,7 @@ class Landing:
         frame.coalesce(1).write.mode("append").parquet(self.path)
 
     def stream(self, **options):
-        return feeds.stream_files(self.spark, self.path, **options)
+        return feeds.stream_files(self.spark, self.path, drain=bool(options), **options)
 
     def batch(self):
         return feeds.read_files(self.spark, self.path)
@@ -89,7 +89,7 @@ def test_streams_equal_batch(spark, root, batches):
     for part in range(4):  # files are read in order of age
         changes.where(f"seq div 250 = {part}").write.mode("append").parquet(f"{root}/in")
     options = {"maxFilesPerTrigger": "1"} if batches > 1 else {}
-    start_all(lambda: feeds.stream_files(spark, f"{root}/in", **options), root)
+    start_all(lambda: feeds.stream_files(spark, f"{root}/in", drain=True, **options), root)
     assert rounded(outputs(spark, root)) == rounded(expected(changes))
 
 
@@ -129,6 +129,160 @@ def test_history_cut_is_checked(spark, root, landing, cut):
         pipeline.drain(landing.stream(), root, StreamSettings(trigger=DRAIN, windows_from=cut))
 
 
+def hours(spark, root):
+    found = sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly").collect()
+    return sorted((r.window_end.hour, r.max_co2) for r in found)
+
+
+def readings_at(*hours_, level=410.0):
+    return [change(int(h * 10), seconds=h * 3600, level=level + h) for h in hours_]
+
+
+def live(landing, root, **settings):
+    """``run_live`` with a trigger that ends, so that a test can wait for it."""
+    pipeline.run_live(landing.stream(), root, StreamSettings(trigger=DRAIN, **settings))
+
+
+def test_cut_without_its_history_is_refused_live(spark, root, landing):
+    landing.add(*readings_at(0, 0.5, 1.5, 2.5, 6.5))
+    with pytest.raises(ValueError, match="drain first"):
+        live(landing, root, windows_from=dt.datetime(2024, 1, 1, 4))
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    files.remove(spark, f"{root}/hourly_backfill")
+    with pytest.raises(ValueError, match="not written"):
+        live(landing, root)
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    landing.add(*readings_at(8.5))
+    live(landing, root)
+    live(landing, root)  # bronze of the first run
+    assert hours(spark, root) == [(1, 410.5), (2, 411.5), (3, 412.5), (7, 416.5)]
+
+
+def test_cut_is_kept_and_cannot_move(spark, root, landing):
+    landing.add(*readings_at(0.5, 1.5, 2.5))
+    first = StreamSettings(trigger=DRAIN, windows_from=dt.datetime(2024, 1, 1, 1))
+    pipeline.drain(landing.stream(), root, first)
+    landing.add(*readings_at(1.2, 3.5, 7.5, 8.5))
+    moved = StreamSettings(trigger=DRAIN, windows_from=dt.datetime(2024, 1, 1, 6))
+    with pytest.raises(ValueError, match="cannot become"):
+        pipeline.drain(landing.stream(), root, moved)
+    with pytest.raises(ValueError, match="cannot become"):
+        live(landing, root, windows_from=dt.datetime(2024, 1, 1, 6))
+    pipeline.drain(landing.stream(), root, SETTINGS)  # the recorded cut holds
+    got = hours(spark, root)
+    assert [h for h, _ in got] == [1, 2, 3, 4, 8] and len({h for h, _ in got}) == len(got)
+    assert Q.recorded_cut(spark, root) == dt.datetime(2024, 1, 1, 1)
+
+
+def test_cut_is_refused_where_windows_run_without_one(spark, root, landing):
+    live(landing, root)
+    landing.add(*readings_at(0.5, 3.5))
+    live(landing, root)
+    with pytest.raises(ValueError, match="too late"):
+        live(landing, root, windows_from=dt.datetime(2024, 1, 1, 3))
+    with pytest.raises(ValueError, match="too late"):
+        pipeline.drain(
+            landing.stream(), root, StreamSettings(trigger=DRAIN, windows_from=dt.datetime(2024, 1, 1, 3))
+        )
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    assert hours(spark, root) == [(1, 410.5)]
+
+
+def test_first_drain_writes_its_history_in_a_batch(spark, root, landing):
+    landing.add(*readings_at(0.5, 1.5, 4.5))
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    assert Q.recorded_cut(spark, root) == dt.datetime(2024, 1, 1, 4)
+    streamed = spark.read.schema("window_end timestamp_ntz").parquet(f"{root}/hourly").count()
+    assert streamed == 0 and [h for h, _ in hours(spark, root)] == [1, 2]
+
+
+@pytest.mark.parametrize("option", ["maxFilesPerTrigger", "maxOffsetsPerTrigger", "maxBytesPerTrigger"])
+def test_rate_limits_need_a_drain(spark, root, landing, option):
+    with pytest.raises(ValueError, match="drain"):
+        feeds.stream_files(spark, landing.path, **{option: "1"})
+    with pytest.raises(ValueError, match="drain"):
+        feeds.stream_topic(spark, "broker:9092", "t", **{option: "1"})
+
+
+def test_limited_drain_loses_no_window_row(spark, root, landing):
+    for sensor in range(4):  # the same times in four files, read one after the other
+        landing.add(*[change(sensor * 100 + m, sensor=f"s{sensor}", seconds=m * 60) for m in range(0, 90)])
+    pipeline.drain(landing.stream(maxFilesPerTrigger="1"), root, SETTINGS)
+    found = sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")
+    assert {r.sensor_id: r["count"] for r in found.groupBy("sensor_id").count().collect()} == {
+        f"s{i}": 88 for i in range(4)
+    }
+
+
+def test_files_count_whatever_their_age(spark, root, landing):
+    import glob
+    import os
+    import time
+
+    landing.add(change(1, level=430.0))
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    seen = set(glob.glob(f"{landing.path}/*.parquet"))
+    landing.add(change(2, level=431.0))
+    old = time.time() - 400 * 86_400
+    for path in set(glob.glob(f"{landing.path}/*.parquet")) - seen:
+        os.utime(path, (old, old))
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    assert sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts").count() == 2
+
+
+@pytest.mark.parametrize("name", sorted(pipeline.OUTPUTS))
+def test_an_output_is_rebuilt_whole_or_refused(spark, root, landing, name):
+    landing.add(*[change(i, sensor=f"s{i % 3}", seconds=i * 700, level=402.0 + i) for i in range(20)])
+    settings = StreamSettings(trigger=DRAIN, snapshot_every=1)
+    pipeline.drain(landing.stream(), root, settings)
+    landing.add(*[change(i, sensor=f"s{i % 3}", seconds=i * 700, level=402.0 + i) for i in range(20, 30)])
+    pipeline.drain(landing.stream(), root, settings)
+    before = outputs(spark, root)
+    files.remove(spark, f"{root}/_checkpoints/{name}")  # a fresh checkpoint over an old output
+    with pytest.raises(ValueError, match="reset"):
+        pipeline.drain(landing.stream(), root, settings)
+    pipeline.reset_output(spark, root, name)
+    landing.add(change(99, sensor="s0", seconds=30 * 700, level=499.0))
+    pipeline.drain(landing.stream(), root, settings)
+    after = rounded(outputs(spark, root))
+    assert after == rounded(expected(landing.batch()))
+    assert set(map(str, rounded(before)["alerts"])) < set(map(str, after["alerts"]))
+
+
+def test_late_rows_are_reported(spark, root, landing, caplog):
+    landing.add(change(1, seconds=7200))
+    landing.add(change(2, seconds=7300))
+    landing.add(change(3, seconds=10))
+    start = lambda: Q.start_minute_averages(
+        C.readings(landing.stream(maxFilesPerTrigger="1")), root, SETTINGS
+    )
+    with caplog.at_level("WARNING"):
+        pipeline.run_to_end({"minute": start}, SETTINGS)
+    assert "minute dropped 1 late rows" in caplog.text
+
+
+def test_bronze_leaves_a_bounded_number_of_files(spark, root, landing):
+    import glob
+
+    settings = StreamSettings(trigger=DRAIN, files_per_batch=2)
+    for batch in range(3):
+        for part in range(4):
+            landing.add(*[change(i, seconds=i) for i in range(batch * 40 + part * 10, batch * 40 + part * 10 + 10)])
+        Q.start_bronze(landing.stream(), root, settings).awaitTermination()
+    assert len(glob.glob(f"{root}/bronze/event_date=*/*.parquet")) <= 6
+    assert Q.read_bronze(spark, root).count() == 120
+
+
+def test_bronze_keeps_deletes_and_rebuilds_the_table(spark, root, landing):
+    landing.add(change(1, level=401.0), change(2, level=402.0), change(1, op="d"), "{broken")
+    landing.add(change(2, level=403.0, op="u"), change(3, op="d"), change(4, sensor=None))
+    Q.start_bronze(landing.stream(), root, SETTINGS).awaitTermination()
+    history = Q.read_history(spark, root)
+    assert sorted(r.op for r in history.collect()) == ["c", "c", "c", "d", "d", "u"]
+    assert rows(C.state_of(history)) == rows(C.table_state(landing.batch()))
+    assert sorted(r.id for r in Q.read_bronze(spark, root).collect()) == [1, 2, 2, 4]
+
+
 def test_late_rows_are_dropped_by_the_watermark_of_the_batch_before(spark, root, landing):
     for seconds in [(10, 50), (65, 58), (59, 70), (30, 130), (200,)]:
         landing.add(*[change(seconds=s) for s in seconds])
@@ -244,6 +398,16 @@ def test_keyed_table_survives_retries_and_folds_snapshots(spark, root):
     assert files.finished_versions(spark, root, "changes") == [7, 8, 9, 10]
 
 
+def test_refused_status_rows_outlive_the_snapshots(spark, root):
+    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"], 1)
+    for batch in range(6):
+        table.upsert(status_rows(spark, [("s", float(batch), batch), (f"broken{batch}", None, batch)]), batch)
+    refused = table.rejected(spark).collect()
+    assert sorted(r.sensor_id for r in refused) == [f"broken{i}" for i in range(6)]
+    assert {r.violations for r in refused} == {"co2_level is null"}
+    assert [r.co2_level for r in table.read(spark).collect()] == [5.0]
+
+
 def test_keyed_table_is_empty_before_the_first_batch(spark, root):
     table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"])
     assert table.read(spark).columns == schemas.CURRENT_STATUS.names
