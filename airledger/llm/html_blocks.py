@@ -27,8 +27,8 @@ ENDS_PARAGRAPH = frozenset(
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
       | <(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)
-        (?P<rest>[^>"']*+(?:(?:"[^"]{0,4096}"|'[^']{0,4096}')[^>"']*+)*+|[^>]*)>
-      | <[!?/][^>]*>""",
+        (?P<rest>[^>"']*+(?:(?:"[^"]{0,1024}"|'[^']{0,1024}')[^>"']*+)*+|[^>]{0,4096})>
+      | <[!?/][^>]{0,4096}>""",
     re.S | re.X,
 )
 MARKS = re.compile(r"""(?<![\w-])(?:class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+))?""")

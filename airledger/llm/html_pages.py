@@ -150,6 +150,10 @@ class Writer:
         before = [r for r in ("header", "menu", "notice", "advert", "form", "sidebar") if draw.random() < 0.45]
         after = [r for r in ("share", "sidebar", "comments", "advert", "form", "menu", "footer", "notice") if draw.random() < 0.45]
         draw.shuffle(before)
+        bare = draw.random()  # some pages hold an article and little else
+        if bare < 0.25:
+            before = before[:0] if bare < 0.2 else before
+            after = after[:0] if bare > 0.1 else after
         body = "".join(self.around(r) for r in before) + self.article() + "".join(self.around(r) for r in after)
         if draw.random() < 0.25:
             body = f'<div class="{draw.choice(("wrapper", "container", "page", "row", "col", "inner"))}">{body}</div>'

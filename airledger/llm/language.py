@@ -51,8 +51,11 @@ def _places(text: str) -> Iterator[np.ndarray]:
     table = letters()
     points = code_points(text)
     for start in range(0, points.size, PIECE):
-        low = table[points[start : start + PIECE + LONGEST]]
-        low = np.concatenate([[np.uint32(0)], low, [np.uint32(0)]]).astype(np.uint32)
+        end = start + PIECE + LONGEST
+        low = table[points[max(0, start - 1) : end]]
+        # A border stands before the first and after the last character of the text.
+        border = np.zeros(1, dtype=np.uint32)
+        low = np.concatenate([border[: start == 0], low, border[: end >= points.size]])
         low = low[(low != 0) | (np.concatenate([[np.uint32(1)], low[:-1]]) != 0)]
         if low.size < 2 or not low.any():
             continue

@@ -1,0 +1,82 @@
+"""Token counts and the codec against the tokenizers library."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from airledger.llm import bpe_codec, token_count
+from airledger.llm.word_bpe import DEFAULT_FILE, vocabulary
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(DEFAULT_FILE))
+
+
+def expected(library, text):
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    decoded = library.decode(ids, skip_special_tokens=False)
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), decoded)]
+    return len(ids), *sha
+
+
+def test_odd_texts_match_the_library(library):
+    draw = random.Random(1)
+    pool = [
+        "a", "b", "'s", "'re", " ", "\t", "\x1c", "\x85", "\xa0", "é", "É", "ß", "²", "½", "ª", "µ", "Σ", "ς",
+        "İ", "ŉ", "ſ", "—", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "1", "٣", "一", "é", "😀",
+        "_", "|", ">", "the", "Ⅷ", " ", "​", "ﬁ", "Å", "\x00", "'", "'LL", "nnn",
+    ]
+    texts = ["".join(draw.choices(pool, k=draw.randrange(40))) for _ in range(3000)]
+    texts += ["a" * 4000, "ab" * 2000, "", " "]
+    codec, counts = bpe_codec.codec(), token_count.word_counts(None)
+    for text in texts:
+        want = expected(library, text)
+        assert codec.digest(text) == want, text
+        assert counts.of_text(text) == want[0]
+        assert codec.decode(codec.encode(text)) == library.decode(codec.encode(text), skip_special_tokens=False)
+    marked = codec.encode("a <|endoftext|> b")
+    assert codec.decode(marked, True) == library.decode(marked, skip_special_tokens=True)
+
+
+def test_forced_cuts_split_words_without_changing_ids(library):
+    codec = bpe_codec.codec()
+    assert len(codec.joined) < 512 * 512
+    split = [w for w in ("qzx", "ñ😀", "xqj", "hello") if len(codec.fragments(w)) > 1]
+    assert split and "hello" not in split
+    for word in split:
+        assert codec.encode(word) == library.encode(word, add_special_tokens=False).ids
+
+
+def test_merging_leaves_the_lowest_ranks_first():
+    ranks = {("a", "b"): 1, ("b", "c"): 0, ("a", "bc"): 2}
+    symbols = list("abcab")
+    assert token_count.run_merges(symbols, ranks) == 3
+    assert [s for s in symbols if s] == ["abc", "ab"]
+
+
+def test_queries_over_documents_and_odd_rows(spark, docs, odd, empty, library):
+    for frame in (docs, odd):
+        texts = sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr)
+        want = sorted(((i, *expected(library, t)) for i, t in texts), key=repr)
+        assert sorted(map(tuple, bpe_codec.encoded_digests(frame).collect()), key=repr) == want
+        sizes = sorted(
+            ((i, len((t or "").encode()), expected(library, t)[0]) for i, t in texts), key=repr
+        )
+        got = token_count.token_counts(frame).collect()
+        assert sorted((tuple(r)[:3] for r in got), key=repr) == sizes
+        assert all(r.over_limit == (r.n_tokens > 2048) for r in got)
+    assert token_count.token_counts(empty).count() == bpe_codec.encoded_digests(empty).count() == 0
+
+
+def test_ids_and_text_come_back(odd):
+    for row in bpe_codec.encoded(odd).collect():
+        assert row.decoded == bpe_codec.codec().decode(row.ids)
+
+
+def test_vocabulary_holds_every_byte():
+    vocab = vocabulary()
+    assert all(c in vocab.ids and c + vocab.end in vocab.ids for c in vocab.alphabet)
