@@ -87,6 +87,10 @@ class Model:
         own = np.sqrt(np.maximum(rows.sum(axis=1, dtype=np.float32), 1))
         return rows[:, self.columns].astype(np.float32) @ self.landmarks / own[:, None]
 
+    def least_score(self, over_chance: float) -> float:
+        """The score of a guess between the languages, times a margin; 0 for a single language."""
+        return over_chance / len(self.languages) if len(self.languages) > 1 else 0.0
+
     def classify(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         rows = presence(texts)
         empty = ~rows.any(axis=1)
@@ -186,10 +190,11 @@ def predict(
 
 
 def identified(
-    docs: DataFrame, model: Model, *, text_col: str = "text", min_score: float = 0.0
+    docs: DataFrame, model: Model, *, text_col: str = "text", over_chance: float = 1.0
 ) -> DataFrame:
-    """The rows whose text has a known language with at least the given score, columns unchanged.
+    """The rows whose text has a known language, columns unchanged.
 
+    A score below ``over_chance`` times that of a guess between the languages counts as unknown.
     A text without letters goes. Without any learned language only those texts go.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -200,7 +205,8 @@ def identified(
             own = shared.value
             if own.languages:
                 names, scores = _classified(own, batch, place)
-                keep = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores)]
+                least = own.least_score(over_chance)
+                keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
             else:
                 keep = [bool(letters()[code_points(t.as_py() or "")].any()) for t in batch.column(place)]
             yield batch.filter(pa.array(keep, pa.bool_()))

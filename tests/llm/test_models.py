@@ -79,7 +79,7 @@ def test_language_of_odd_rows(odd, empty, tongue):
 
 
 def test_language_filter_keeps_documents(corpus, tongue):
-    assert language.identified(corpus, tongue, min_score=0.4).count() == corpus.count()
+    assert language.identified(corpus, tongue, over_chance=1.1).count() == corpus.count()
 
 
 def test_quality_of_held_out_documents(corpus, labels, judge):
