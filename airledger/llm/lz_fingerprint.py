@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import code_points, mapped, text_of
+from .common import code_points, mapped, stored, text_of
 from .order import cyclic_predecessors
 
 KEPT = 64
@@ -34,6 +34,7 @@ RANGE_BITS = 8
 SPREAD = np.uint64(0x5851F42D4C957F2D)
 LOWEST = -(1 << 63)
 OUT_ROWS = 512
+BROADCAST_ROWS = 1 << 20
 
 
 def parse(text: str, phrases: dict[str, None], open_: str = "") -> str:
@@ -134,9 +135,10 @@ def with_next(
     )
     place = F.shiftright("at", range_bits)
     firsts = own.groupBy(place.alias("range")).agg(F.min("at").alias("at"))
-    handed = firsts.join(cyclic_predecessors(own.select(place.alias("range")), "range"), "range").select(
-        "at", F.col("prev").alias("range")
-    )
+    before = cyclic_predecessors(own.select(place.alias("range")), "range")
+    handed = stored(firsts.join(before, "range").select("at", F.col("prev").alias("range")), "handed")
+    if handed.count() <= BROADCAST_ROWS:  # two numbers a row; beyond that Spark joins by sorting
+        handed = F.broadcast(handed)
     dealt = own.withColumns({"range": place, "copy": F.lit(False)}).unionByName(
         own.join(handed, "at").withColumn("copy", F.lit(True))
     )

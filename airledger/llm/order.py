@@ -18,6 +18,7 @@ def cyclic_predecessors(values: DataFrame, column: str, *, at_once: int = AT_ONC
     values that share all but ``SHIFT`` low bits, so at most ``1 << SHIFT`` of them, and the first of each
     such range takes the last of the range before, found by the same function over the ranges.
     """
+    at_once = max(at_once, 2)  # ranges of keys below and above zero never become one
     values = stored(values.select(F.col(column).cast("long").alias("v")).distinct(), "ordered")
     if values.count() <= at_once:
         near = Window.orderBy("v")
