@@ -22,6 +22,8 @@ from .common import stored
 SHARDS = 24
 OVERHEAD = 8
 RANGES_PER_SHARD = 64
+MOST_RANGES_PER_SHARD = 2048
+ROWS_PER_RANGE = 200_000
 DRAWS_PER_RANGE = 40
 ACCURACY = 100_000
 
@@ -65,9 +67,8 @@ def _below(bounds: list[int], value: Column) -> Column:
     return F.when(block == 0, 0).otherwise((block - 1) * step + count).cast("int")
 
 
-def _ranged(records: DataFrame, ranges: int) -> DataFrame:
+def _ranged(records: DataFrame, ranges: int, total: int) -> DataFrame:
     """Add range_no (order of the key's range) and part_no (subdivision of a range of one key)."""
-    total = records.agg(F.sum("size")).first()[0] or 0
     draws = F.floor(F.col("size") * F.lit(ranges * DRAWS_PER_RANGE / max(total, 1)) + _uniform("k", "id", "crc"))
     drawn = stored(
         records.select("id", "k", draws.cast("int").alias("draws")).filter("draws > 0"), "splitters"
@@ -97,9 +98,14 @@ def shards(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
     ranges_per_shard: int = RANGES_PER_SHARD,
 ) -> DataFrame:
-    """(id, size, text_crc32, law, shard, slot, grown_shard) per row under the law ``bytes``."""
+    """(id, size, text_crc32, law, shard, slot, grown_shard) per row under the law ``bytes``.
+
+    A large table gets more ranges, so that one holds about ``ROWS_PER_RANGE`` rows.
+    """
     records = stored(_records(docs, id_col, text_col), "records")
-    placed = stored(_ranged(records, shards * ranges_per_shard), "ranged")
+    total, rows = records.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    wanted = min(MOST_RANGES_PER_SHARD, rows // (ROWS_PER_RANGE * shards))
+    placed = stored(_ranged(records, shards * max(ranges_per_shard, wanted), total), "ranged")
     # One row per range and part: bounded by the parameters, not by the table.
     parts = placed.groupBy("range_no", "part_no").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     order = Window.orderBy("range_no", "part_no")
