@@ -189,7 +189,7 @@ def fit_network(rows: np.ndarray, good: np.ndarray, seed: int = 7) -> Network:
 
 def temperature(logits: np.ndarray, good: np.ndarray) -> float:
     """The divisor of the logits with the least logistic loss on unseen rows."""
-    choices = np.geomspace(0.25, 8, 61)
+    choices = np.geomspace(0.1, 10, 81)
     losses = [np.logaddexp(0, np.where(good > 0, -1, 1) * logits / t).mean() for t in choices]
     return float(choices[int(np.argmin(losses))])
 

@@ -15,7 +15,7 @@ def labelled_sample(
     """About ``per_label`` rows of each of the ``max_labels`` most frequent non-null labels, collected.
 
     A row is drawn if the hash of its key columns falls below its label's share, so the draw is fixed by
-    the rows themselves. At most ``per_label * max_labels`` rows come back, whatever repeats.
+    the rows themselves; rows are ordered by their place within that share, so no label comes first. At most ``per_label * max_labels`` rows come back, whatever repeats.
     """
     counts = (
         rows.filter(F.col(label).isNotNull())
@@ -30,12 +30,13 @@ def labelled_sample(
     draw = F.pmod(F.xxhash64(*key), F.lit(1 << 32))
     share: Column = reduce(
         lambda rest, row: F.when(
-            F.col(label) == row[label], F.lit(int(min(1.0, MARGIN * per_label / row["count"]) * (1 << 32)))
+            F.col(label) == row[label], F.lit(min(1.0, MARGIN * per_label / row["count"]) * (1 << 32))
         ).otherwise(rest),
         counts,
-        F.lit(0),
+        F.lit(None),
     )
-    drawn = rows.filter(F.col(label).isNotNull()).withColumn("__draw", draw).filter(F.col("__draw") < share)
+    known = rows.filter(F.col(label).isNotNull())
+    drawn = known.withColumn("__draw", draw / share).filter(F.col("__draw") < 1)
     top = drawn.orderBy("__draw", *carry).limit(per_label * len(counts)).select(label, *carry).collect()
     taken: dict = {}
     for row in top:
