@@ -12,7 +12,7 @@ MARGIN = 1.3
 def labelled_sample(
     rows: DataFrame, label: str, key: list[str], *, per_label: int, max_labels: int, carry: list[str]
 ) -> list:
-    """About ``per_label`` rows of each of the ``max_labels`` most frequent non-null labels, collected.
+    """Up to about ``per_label`` distinct rows of each of the ``max_labels`` most frequent non-null labels, collected.
 
     A row is drawn if the hash of its key columns falls below its label's share, so the draw is fixed by
     the rows themselves; rows are ordered by their place within that share, so no label comes first. At most ``per_label * max_labels`` rows come back, whatever repeats.
@@ -37,6 +37,7 @@ def labelled_sample(
     )
     known = rows.filter(F.col(label).isNotNull())
     drawn = known.withColumn("__draw", draw / share).filter(F.col("__draw") < 1)
+    drawn = drawn.dropDuplicates([label, "__draw"])  # a text copied many times is learned from once
     top = drawn.orderBy("__draw", *carry).limit(per_label * len(counts)).select(label, *carry).collect()
     taken: dict = {}
     for row in top:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airledger.llm import language, quality
+from airledger.llm.sampling import labelled_sample
 
 DATA = "/root/testdata/sf0.01"
 
@@ -134,3 +135,10 @@ def test_quality_filter_keeps_good_documents(corpus, labels, judge):
     lost = labels.filter("quality = 1").join(kept, "doc_id", "left_anti").count()
     assert lost <= 0.02 * labels.filter("quality = 1").count()
     assert kept.count() < corpus.count()
+
+
+def test_copies_do_not_crowd_out_the_sample(spark):
+    rows = [(i, "der gleiche Satz" if i % 3 else f"ein anderer Satz mit der Zahl {i} und mehr", "de") for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = labelled_sample(frame, "label", ["text"], per_label=50, max_labels=5, carry=["text"])
+    assert len(got) == len({r.text for r in got}) and 15 <= len(got) <= 50
