@@ -24,14 +24,14 @@ ENDS_PARAGRAPH = frozenset(
     "header hr main menu nav ol p pre section table ul".split()
 )
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)
-      | <(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)
-        (?P<rest>[^>"']*+(?:(?:"[^"]{0,1024}"|'[^']{0,1024}')[^>"']*+)*+|[^>]{0,4096})>
-      | <[!?/][^>]{0,4096}>""",
-    re.S | re.X,
-)
+TOKEN = re.compile(r"<!--|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)|<[!?/]")
+# The attributes of a tag and its end, as HTML reads them: a quote opens a value after "=" only.
+ATTRIBUTE = r"""[\s/]*+[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?+"""
+ONE_ATTRIBUTE = re.compile(ATTRIBUTE)
+TAG_END = re.compile(r"[\s/]*+>")
+REST = re.compile(rf"(?:{ATTRIBUTE})*+[\s/]*+>")
 MARKS = re.compile(r"""(?<![\w-])(?:class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+))?""")
+REMEMBERED = 1 << 12  # characters of an element or path worth keeping between pages
 MARK_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -43,12 +43,46 @@ class Block:
 
 
 @lru_cache(maxsize=1 << 14)
-def described(element: str) -> tuple[str, tuple[str, ...]]:
-    """Name of an element and the words of its marking attributes."""
+def _described(element: str) -> tuple[str, tuple[str, ...]]:
     name, _, rest = element.partition(" ")
     return name, tuple(dict.fromkeys(w.lower() for w in MARK_WORD.findall(rest)))
 
 
+def described(element: str) -> tuple[str, tuple[str, ...]]:
+    """Name of an element and the words of its marking attributes; long ones are not remembered."""
+    return _described(element) if len(element) <= REMEMBERED else _described.__wrapped__(element)
+
+
+class Tags:
+    """Where the tags of a page end, in time linear in the page."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")  # no tag ends after it
+        self.endless: set[int] | None = None  # places from which attributes run to the end of the page
+
+    def end(self, at: int) -> int:
+        """The place after the tag whose attributes start here; after the next ">" if they never end."""
+        if self.endless is None:
+            found = REST.match(self.html, at)
+            if found:
+                return found.end()
+            self.endless = set()
+        # Some tag does not end: go by attributes, and from no place twice.
+        seen, place = [], at
+        while place not in self.endless:
+            found = TAG_END.match(self.html, place)
+            if found:
+                return found.end()
+            seen.append(place)
+            found = ONE_ATTRIBUTE.match(self.html, place)
+            if not found:
+                break
+            place = found.end()
+        self.endless.update(seen)
+        return self.html.index(">", at) + 1
+
+
 def blocks(html: str) -> list[Block]:
     """The page's non-empty leaf blocks in order: references decoded, white space made one blank."""
     out: list[Block] = []
@@ -69,9 +103,12 @@ def blocks(html: str) -> list[Block]:
     def leave(place: int) -> None:
         del path[place:], names[place:]
 
-    size = len(html)
+    size, tags = len(html), Tags(html)
     while at < size:
         found = TOKEN.search(html, at)
+        if found and found.start() > tags.last:  # only a comment needs no end
+            start = html.find("<!--", found.start())
+            found = TOKEN.match(html, start) if start >= 0 else None
         end = found.start() if found else size
         if end > at:
             piece = html[at:end]
@@ -80,10 +117,15 @@ def blocks(html: str) -> list[Block]:
                 linked += len(piece.strip())
         if not found:
             break
-        at = found.end()
-        name = found["name"]
+        name, after = found["name"], found.end()
         if name is None:
+            if found[0] == "<!--":
+                closing = html.find("-->", after)
+                at = closing + 3 if closing >= 0 else size
+            else:
+                at = html.index(">", after) + 1
             continue
+        at = tags.end(after)
         name = name.lower()
         if found["close"]:
             if name in INLINE:
@@ -96,7 +138,7 @@ def blocks(html: str) -> list[Block]:
                     leave(place)
                     break
             continue
-        rest = found["rest"]
+        rest = html[after : at - 1]
         if name in SKIPPED:
             if not rest.rstrip().endswith("/"):
                 closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import mapped
-from .html_blocks import Block, blocks, described
+from .html_blocks import REMEMBERED, Block, blocks, described
 from .html_pages import labelled_pages
 
 PAGES = 400
@@ -87,11 +87,16 @@ class Chain:
 
     def emissions(self, page: list[Block]) -> list[float]:
         weights, known = self.weights, _path_scores(self)
-        out = []
+        out, here = [], {}
         for block in page:
             score = known.get(block.path)
             if score is None:
-                score = known[block.path] = sum(weights.get(f, 0.0) for f in path_features(block.path))
+                score = here.get(block.path)
+            if score is None:
+                short = sum(map(len, block.path)) <= REMEMBERED
+                features = (path_features if short else path_features.__wrapped__)(block.path)
+                score = sum(weights.get(f, 0.0) for f in features)
+                (known if short else here)[block.path] = score
             out.append(score + sum([weights.get(f, 0.0) for f in text_features(block)]))
         return out
 

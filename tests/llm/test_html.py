@@ -3,6 +3,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -38,6 +39,33 @@ def test_hostile_markup_stays_linear():
     assert texts("<div>" * 20_000 + "x")[-1] == "x"
 
 
+@pytest.mark.parametrize("size", [3_000, 5_000, 100_000])
+def test_long_attributes_are_read_whole(chain, size):
+    value = "a>b 'c' " * (size // 8)
+    assert texts(f'<p>x<img src="data:{"A" * size}">y</p>') == ["xy"]
+    assert texts(f'<p data-x="{value}">x</p>') == texts(f"<p data-x='{value.replace(chr(39), chr(34))}'>x</p>") == ["x"]
+    assert texts(f'<script data-x="{value}">var leak;</script><p>x') == ["x"]
+    assert texts(f"<!{'x' * size}><p>a</p {'y ' * size}>b") == ["a", "b"]
+    nested = blocks(f'<article data-props="{value}" class="post"><p style="{value}">x')
+    assert [b.path[0] for b in nested] == ['article class="post"'] and nested[0].path[1].startswith("p style=")
+    page = PAGE.replace("<article>", f'<article data-props="{value}">').replace("<p>Short", f'<p style="{value}">Short')
+    assert chain.extract(page) == chain.extract(PAGE)
+
+
+def test_quotes_open_values_only_after_an_equals_sign():
+    assert texts("<p don't>x</p><p>it's y</p>") == ["x", "it's y"]
+    assert texts('<p a = "1>2" b=3>x</p>') == ["x"] and texts("<p a=>x") == ["x"]
+    assert texts('<p a="1>x</p><p>y</p>') == ["x", "y"]  # never closed: the tag ends at the next ">"
+
+
+@pytest.mark.parametrize("part", ["<a href='", '<a b=">" c=', "<a<a ", "<a b='>\" ", '<p a="', "<!x ", "<a b=\"'>"])
+def test_hostile_attributes_stay_linear(part):
+    for end in ("", ">", "x>y", '"', "'>"):
+        start = time.perf_counter()
+        blocks(part * 40_000 + end)
+        assert time.perf_counter() - start < 5
+
+
 def test_decoding_is_the_best_labelling(chain):
     page = blocks(labelled_pages(1, seed=77)[0][0])[:9]
     scores = chain.emissions(page)
