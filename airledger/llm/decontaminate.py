@@ -16,6 +16,7 @@ repeat, every row is searched; without passages every document is clean; other c
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -126,12 +127,12 @@ class Passages:
 
 
 def band_distance(
-    passage: np.ndarray, texts: list[np.ndarray], lows: np.ndarray, width: int, fixed_start: bool = False
+    passage: np.ndarray, texts: list[np.ndarray], lows: np.ndarray, width: int, from_start: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """Least edits of the passage against a stretch of each text, and the stretch's end.
 
-    The stretch starts on one of the ``width`` diagonals from ``lows`` on (at its very first with
-    ``fixed_start``); alignments stay inside the band. Ties end at the first place.
+    The stretch starts on one of the ``width`` diagonals from ``lows`` on (at the text's first place with
+    ``from_start``); alignments stay inside the band. Ties end at the first place.
     """
     size = passage.size
     window = np.full((len(texts), size + width), FAR, dtype=np.uint32)
@@ -140,7 +141,10 @@ def band_distance(
         if b > a:
             window[row, a - low : b - low] = text[a:b]
     ramp = np.arange(width)
-    cost = np.zeros((len(texts), width), dtype=np.int64) + (ramp if fixed_start else 0)
+    cost = np.zeros((len(texts), width), dtype=np.int64)
+    if from_start:
+        skipped = ramp + lows[:, None]
+        cost += np.where(skipped >= 0, skipped, size + width)
     for i in range(size):
         best = cost + (window[:, i : i + width] != passage[i])
         best[:, :-1] = np.minimum(best[:, :-1], cost[:, 1:] + 1)
@@ -149,41 +153,116 @@ def band_distance(
     return cost[np.arange(len(texts)), end], lows + size + end
 
 
-def verified(passages: Passages, documents: list[np.ndarray], found) -> list[tuple[int, int, int, int, int]]:
-    """(document, passage, start, end, edits) of the candidates within budget, the best per pair."""
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    todo: dict[int, list[tuple[int, int]]] = {}
-    for document, owner, low in zip(*(x.tolist() for x in found)):
-        passage, text = passages.texts[owner], documents[document]
-        slack = int(passages.budget[owner] + passages.step[owner])
-        a = max(0, low - slack)
-        region, wanted = text[a : low + passage.size + 2 * slack].tobytes(), passage.tobytes()
-        at = region.find(wanted)
-        while at >= 0 and at % 4:
-            at = region.find(wanted, at + 1)
-        if at >= 0:
-            start = a + at // 4
-            best[document, owner] = min(
-                best.get((document, owner), (1 << 30, 0, 0)), (0, start, start + passage.size)
-            )
+class Spans:
+    """Regions of one passage in one document that do not overlap, in order."""
+
+    def __init__(self):
+        self.taken: list[tuple[int, int, int]] = []  # start, end, edits
+
+    def add(self, start: int, end: int, edits: int) -> bool:
+        """Keep the region unless a kept one overlaps it."""
+        at = bisect_left(self.taken, (start,))
+        if at and self.taken[at - 1][1] > start or at < len(self.taken) and self.taken[at][0] < end:
+            return False
+        self.taken.insert(at, (start, end, edits))
+        return True
+
+    def inside(self, a: int, b: int) -> list[tuple[int, int]]:
+        """The parts of kept regions between two places."""
+        first, last = bisect_left(self.taken, (a,)), bisect_left(self.taken, (b,))
+        near = self.taken[max(0, first - 1) : last]
+        return [(max(start, a), min(end, b)) for start, end, _ in near if end > a]
+
+
+def exact_hits(passage: np.ndarray, text: np.ndarray, places: list[tuple[int, int]]) -> Iterator[int]:
+    """Where the passage stands in the given stretches of the text, without overlap."""
+    wanted, done = passage.tobytes(), 0
+    stretches: list[list[int]] = []
+    for a, b in sorted((max(0, a), max(0, b)) for a, b in places):
+        if stretches and a <= stretches[-1][1]:
+            stretches[-1][1] = max(b, stretches[-1][1])
         else:
-            todo.setdefault(owner, []).append((document, low))
-    for owner, places in todo.items():
-        places = [(d, low) for d, low in places if best.get((d, owner), (1,))[0] > 0]
+            stretches.append([a, b])
+    for a, b in stretches:
+        a = max(a, done)
+        region = text[a:b].tobytes()
+        at = region.find(wanted)
+        while at >= 0:
+            if at % 4:
+                at = region.find(wanted, at + 1)
+                continue
+            yield a + at // 4
+            done = a + at // 4 + passage.size
+            at = region.find(wanted, at + len(wanted))
+
+
+def stretch(passage: np.ndarray, text: np.ndarray, end: int, k: int, offset: int) -> tuple[int, int]:
+    """The shortest stretch up to ``end`` with the fewest edits, without hidden places at its ends."""
+    end = min(end, text.size)
+    while text[end - 1] == FAR:
+        end -= 1
+    back = text[max(0, end - passage.size - k) : end][::-1]
+    _, size = band_distance(passage[::-1], [back], np.array([-k]), 2 * k + 1, from_start=True)
+    start = max(0, end - int(size[0]))
+    while text[start] == FAR:
+        start += 1
+    return offset + start, offset + end
+
+
+def verified(
+    passages: Passages, documents: list[np.ndarray], found, every: bool = True
+) -> list[tuple[int, int, int, int, int]]:
+    """(document, passage, start, end, edits) of the regions within budget that do not overlap.
+
+    Of regions of one passage that overlap, the one with the fewest edits counts, then the first. Without
+    ``every`` a document's search for a passage ends with the first regions found.
+    """
+    kept: dict[tuple[int, int], Spans] = {}
+    bands: dict[int, dict[int, list[tuple[int, int]]]] = {}
+    for document, owner, low in zip(*(x.tolist() for x in found)):
+        # An alignment may leave the band of its q-grams by the budget on either side.
+        k, step = int(passages.budget[owner]), int(passages.step[owner])
+        a, b = low - k, low + passages.texts[owner].size + step + 2 * k + 1
+        bands.setdefault(owner, {}).setdefault(document, []).append((a, b))
+    for owner, places in bands.items():
         passage, k = passages.texts[owner], int(passages.budget[owner])
-        width = int(passages.step[owner]) + 3 * k + 1
-        for at in range(0, len(places), 256):
-            some = places[at : at + 256]
-            texts = [documents[d] for d, _ in some]
-            edits, ends = band_distance(passage, texts, np.array([low - k for _, low in some]), width)
-            for (d, _), text, edit, end in zip(some, texts, edits.tolist(), ends.tolist()):
-                if edit <= k:
-                    back = text[:end][::-1]
-                    _, size = band_distance(passage[::-1], [back], np.array([-k]), 2 * k + 1)
-                    start = max(0, end - int(size[0]))
-                    key = (d, owner)
-                    best[key] = min(best.get(key, (1 << 30, 0, 0)), (edit, start, min(end, text.size)))
-    return [(d, o, s, e, n) for (d, o), (n, s, e) in best.items()]
+        width, shortest = int(passages.step[owner]) + 3 * k + 1, passage.size - k
+        for document, windows in places.items():
+            spans = kept[document, owner] = Spans()
+            for start in exact_hits(passage, documents[document], windows):
+                spans.add(start, start + passage.size, 0)
+        todo = [(d, max(0, a), b) for d, windows in places.items() for a, b in windows]
+        while todo:
+            # Only windows with room for one more region; regions found are hidden from the alignment.
+            open_, hidden = [], []
+            for d, a, b in todo:
+                if not every and kept[d, owner].taken:
+                    continue
+                text = documents[d][a : max(a, b)]
+                known = kept[d, owner].inside(a, a + text.size)
+                if known:
+                    borders = [a, *(x for span in known for x in span), a + text.size]
+                    if max(y - x for x, y in zip(borders[::2], borders[1::2])) < shortest:
+                        continue
+                    text = text.copy()
+                    for x, y in known:
+                        text[x - a : y - a] = FAR
+                open_.append((d, a, b))
+                hidden.append(text)
+            near: dict[int, list[tuple[int, int, int]]] = {}
+            for at in range(0, len(open_), 256):
+                some, texts = open_[at : at + 256], hidden[at : at + 256]
+                lows = np.array([b - passage.size - width - a for _, a, b in some])  # 0, or before the text
+                edits, ends = band_distance(passage, texts, lows, width)
+                for (d, a, _), text, edit, end in zip(some, texts, edits.tolist(), ends.tolist()):
+                    if edit <= k:
+                        near.setdefault(d, []).append((edit, *stretch(passage, text, end, k, a)))
+            grown = {
+                d for d, regions_ in near.items()
+                if any([kept[d, owner].add(start, end, edit) for edit, start, end in sorted(regions_)])
+            }
+            todo = [window for window in open_ if window[0] in grown]
+    return [(d, o, s, e, n) for (d, o), spans in kept.items() for s, e, n in spans.taken]
 
 
 def passage_blocks(
@@ -208,19 +287,19 @@ def passage_blocks(
         yield block
 
 
-def _search(passages: Passages, column: pa.Array):
-    """Folded documents of a batch, and the verified regions in them."""
+def _search(passages: Passages, column: pa.Array, every: bool = True):
+    """The verified regions in the documents of a batch."""
     documents = [fold(t.as_py() or "") for t in column]
     points = np.concatenate([x for d in documents for x in (d, [FAR])] or [np.empty(0)]).astype(np.uint32)
     starts = np.cumsum([0, *(d.size + 1 for d in documents)])[:-1]
-    return verified(passages, documents, passages.candidates(points, starts))
+    return verified(passages, documents, passages.candidates(points, starts), every)
 
 
 def regions(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", rate: float = RATE, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """(id, item, start, end, edits): the best region of each passage in each document that holds it."""
+    """(id, item, start, end, edits): every region of a passage in a document; those of one passage do not overlap."""
     spark = docs.sparkSession
     schema = f"`{id_col}` long, `{item_col}` long, start long, end long, edits int"
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), text_of(text_col).alias("text"))
@@ -263,7 +342,7 @@ def clean(
             passages = shared.value
             for batch in slices(batches, SLICE_BYTES, place):
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[r[0] for r in _search(passages, batch.column(place))]] = False
+                keep[[r[0] for r in _search(passages, batch.column(place), every=False)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = mapped(docs, run, schema)

@@ -114,3 +114,62 @@ def test_planted_changes_and_odd_rows(spark, odd, empty):
     assert D.regions(empty, benchmark).count() == 0
     assert D.clean(odd, benchmark.limit(0)).count() == odd.count()
     assert D.regions(odd, benchmark.limit(0)).columns == ["doc_id", "item_id", "start", "end", "edits"]
+
+
+def spread(passages, docs):
+    """All regions by document and passage."""
+    folded = [D.fold(t) for t in docs]
+    points = np.concatenate([x for d in folded for x in (d, [D.FAR])]).astype(np.uint32)
+    starts = np.cumsum([0, *(d.size + 1 for d in folded)])[:-1]
+    out = {}
+    for d, j, start, end, edits in sorted(D.verified(passages, folded, passages.candidates(points, starts))):
+        out.setdefault((d, j), []).append((start, end, edits))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_region_of_a_passage_is_found(seed):
+    draw = random.Random(seed)
+    for size in (20, 24, 31, 40, 90, 300):
+        passage = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)).replace(" ", "x")
+        passages = D.Passages.build([(1, passage)], D.RATE)
+        k = int(passages.budget[0])
+        for _ in range(8):
+            text, want = "", []
+            for _ in range(draw.randrange(2, 7)):
+                text += "-" * draw.choice((0, 0, 1, 5, 30, 400)) + "."
+                edits = draw.choice((0, 0, 1, k))
+                copy = list(passage)
+                for at in draw.sample(range(2, size - 2), edits):
+                    copy[at] = "#"
+                want.append((len(text), len(text) + size, edits))
+                text += "".join(copy)
+            text += "-" * draw.choice((0, 3, 500))
+            assert spread(passages, [text]) == {(0, 0): want}
+
+
+def test_adjacent_and_periodic_copies():
+    passage = "what is the sum of one and two and three?"
+    passages = D.Passages.build([(1, passage), (2, "ab" * 20)], D.RATE)
+    size = len(passage)
+    got = spread(passages, [passage * 5, "xab" + "ab" * 60 + "y", passage + " " + passage.replace("sum", "sun") + passage])
+    assert got[0, 0] == [(i * size, (i + 1) * size, 0) for i in range(5)]
+    assert [r for r in got[1, 1] if r[2] == 0] == [(1, 41, 0), (41, 81, 0), (81, 121, 0)]
+    assert [(start, edits) for start, _, edits in got[2, 0]] == [(0, 0), (size + 1, 1), (2 * size + 1, 0)]
+
+
+def test_repeated_passages_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    benchmark = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    items = {r.item_id: r.text.strip().lower() for r in benchmark.collect()}
+    hits = [(r.doc_id, r.item_id) for r in D.regions(docs, benchmark).filter("edits = 0").collect()]
+    more = {pair: hits.count(pair) for pair in hits if hits.count(pair) > 1}
+    texts = {r.doc_id: r.text.lower() for r in docs.filter(docs.doc_id.isin([d for d, _ in more])).collect()}
+    assert more and {(d, i): texts[d].count(items[i]) for d, i in more} == more
+
+
+def test_a_passage_in_many_places_of_a_long_document(spark):
+    passage = "A benchmark question: which of these answers is the right one, and why is it so?"
+    frame = spark.createDataFrame([(1, ("filler words " * 3 + passage) * 2_000)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(3, passage)], "item_id bigint, text string")
+    assert D.regions(frame, benchmark).count() == 2_000 and D.clean(frame, benchmark).count() == 0
