@@ -2,44 +2,39 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
-
-MARGIN = 1.3
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def labelled_sample(
     rows: DataFrame, label: str, key: list[str], *, per_label: int, max_labels: int, carry: list[str]
 ) -> list:
-    """Up to about ``per_label`` distinct rows of each of the ``max_labels`` most frequent non-null labels, collected.
+    """``per_label`` distinct rows, or all there are, of each of the ``max_labels`` labels with most of them, collected.
 
-    A row is drawn if the hash of its key columns falls below its label's share, so the draw is fixed by
-    the rows themselves; rows are ordered by their place within that share, so no label comes first. At most ``per_label * max_labels`` rows come back, whatever repeats.
+    Null labels are left out. Rows with equal key columns count as one, however often they repeat. The smallest
+    hashes of the key columns are drawn, so the draw is fixed by the rows themselves; a label's rows come in
+    that order. At most ``per_label * max_labels`` rows come back.
     """
-    counts = (
-        rows.filter(F.col(label).isNotNull())
-        .groupBy(label)
-        .count()
-        .orderBy(F.desc("count"), label)
-        .limit(max_labels)
-        .collect()
-    )
+    spark = rows.sparkSession
+    known = rows.filter(F.col(label).isNotNull()).withColumn("__hash", F.xxhash64(*key))
+    distinct = known.select(label, "__hash").distinct()
+    counts = distinct.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()
     if not counts:
         return []
-    draw = F.pmod(F.xxhash64(*key), F.lit(1 << 32))
-    share: Column = reduce(
-        lambda rest, row: F.when(
-            F.col(label) == row[label], F.lit(min(1.0, MARGIN * per_label / row["count"]) * (1 << 32))
-        ).otherwise(rest),
-        counts,
-        F.lit(None),
+    # A share of the hashes so much above ``per_label`` of them that fewer never come.
+    ample = per_label + 8 * per_label**0.5 + 32
+    shares = spark.createDataFrame(
+        [(row[label], min(1.0, ample / row["count"]) * (1 << 32)) for row in counts],
+        StructType([distinct.schema[label], StructField("__share", DoubleType())]),
     )
-    known = rows.filter(F.col(label).isNotNull())
-    drawn = known.withColumn("__draw", draw / share).filter(F.col("__draw") < 1)
-    drawn = drawn.dropDuplicates([label, "__draw"])  # a text copied many times is learned from once
-    top = drawn.orderBy("__draw", *carry).limit(per_label * len(counts)).select(label, *carry).collect()
-    taken: dict = {}
-    for row in top:
-        taken.setdefault(row[label], []).append(row)
-    return [row for label_ in sorted(taken) for row in taken[label_][:per_label]]
+    draw = F.pmod("__hash", F.lit(1 << 32))
+    near = distinct.join(F.broadcast(shares), label).filter(draw < F.col("__share")).select(label, "__hash").collect()
+    hashes: dict = {}
+    for row in sorted(near, key=lambda row: (row["__hash"] % (1 << 32), row["__hash"])):
+        hashes.setdefault(row[label], []).append(row["__hash"])
+    places = {(name, h): place for name, own in hashes.items() for place, h in enumerate(own[:per_label])}
+    # At most per_label * max_labels hashes: small enough for every executor.
+    drawn = F.broadcast(spark.createDataFrame(list(places), distinct.schema))
+    taken = known.join(drawn, [label, "__hash"]).groupBy(label, "__hash").agg(F.min(F.struct(*carry)).alias("__row"))
+    ordered = sorted(taken.collect(), key=lambda row: (row[label], places[row[label], row["__hash"]]))
+    return [Row(**{label: row[label], **row["__row"].asDict()}) for row in ordered]

@@ -142,3 +142,24 @@ def test_copies_do_not_crowd_out_the_sample(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, label string")
     got = labelled_sample(frame, "label", ["text"], per_label=50, max_labels=5, carry=["text"])
     assert len(got) == len({r.text for r in got}) and 15 <= len(got) <= 50
+
+
+@pytest.mark.parametrize("texts, copies", [(20, 1000), (49, 1), (50, 40), (301, 3), (2000, 10)])
+def test_the_sample_is_full_however_often_texts_repeat(spark, texts, copies):
+    rows = spark.range(texts * copies).selectExpr(f"concat('Satz mit der Zahl ', id % {texts}) AS text", "'de' AS label")
+    rows = rows.unionAll(spark.range(5000).selectExpr("concat('sentence ', id)", "'en'"))
+    got = labelled_sample(rows, "label", ["text"], per_label=50, max_labels=5, carry=["text"])
+    drawn = {name: [r.text for r in got if r.label == name] for name in ("de", "en")}
+    assert len(set(drawn["de"])) == len(drawn["de"]) == min(50, texts) and len(set(drawn["en"])) == len(drawn["en"]) == 50
+    once = labelled_sample(rows.distinct(), "label", ["text"], per_label=50, max_labels=5, carry=["text"])
+    assert [(r.label, r.text) for r in once] == [(r.label, r.text) for r in got]
+
+
+def test_a_language_of_copies_is_learned(spark):
+    basque = [f"hau da euskarazko {i}garren esaldia eta ez du beste inork ulertzen" for i in ("bi", "hiru", "lau", "bost", "sei")]
+    rows = [(i, basque[i % 5], "eu") for i in range(6000)]
+    rows += [(10_000 + i, f"the sentence number {i} of the english texts in this table", "en") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(frame)
+    assert model.languages == ["en", "eu"]
+    assert {r.lang_pred for r in language.predict(frame.filter("lang = 'eu'"), model).collect()} == {"eu"}
