@@ -9,17 +9,23 @@ verified by alignment inside the band; nothing else decides.
 The passages are the stated query set: they are indexed in blocks of a fixed number of characters, and
 every block is scanned against all documents. Documents are streamed; nothing is shuffled.
 
+A passage too short for q-grams of ``Q`` characters at its budget is indexed by shorter ones. Passages under
+``SHORTEST`` characters (trimmed) are searched exactly and as whole words: where one begins or ends with a letter or
+digit, none adjoins it in the text.
+
 Defined cases: null and empty texts hold nothing; passages that fold to the same text count as one, named by the
-smallest item id; passages under ``SHORTEST`` characters (trimmed) are no evidence and are left out; ids may be null or
-repeat, every row is searched; without passages every document is clean; other columns are not read.
+smallest item id, or by null if none has an id; ids may be null or repeat, every row is searched; without
+passages every document is clean; other columns are not read.
 """
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +62,11 @@ def gram_hashes(points: np.ndarray, q: int = Q) -> np.ndarray:
     return part ^ (part >> np.uint64(29))
 
 
+def gram_size(length: int, rate: float) -> int:
+    """The longest q-gram, up to ``Q``, that a passage surely shares at the rate's edits."""
+    return max(1, min(Q, length // (int(rate * length) + 1)))
+
+
 def edit_budget(length: int, rate: float, q: int) -> int:
     """The allowed edits: the rate's share, but no more than leave one q-gram sure to be shared."""
     return max(0, min(int(rate * length), (length - q) // q))
@@ -65,7 +76,7 @@ def edit_budget(length: int, rate: float, q: int) -> int:
 class Passages:
     """The index of one block of passages."""
 
-    ids: list[int]
+    ids: list[int | None]
     texts: list[np.ndarray]
     budget: np.ndarray  # allowed edits
     step: np.ndarray  # diagonals from band to band
@@ -75,13 +86,14 @@ class Passages:
     owner: np.ndarray
     place: np.ndarray
     maybe: np.ndarray  # hash prefix -> may be in grams
+    q: int = Q
 
     @staticmethod
-    def build(items: list[tuple[int, str]], rate: float) -> Passages:
+    def build(items: list[tuple[int | None, str]], rate: float, q: int = Q) -> Passages:
         texts = [fold(text) for _, text in items]
         sizes = np.array([t.size for t in texts], dtype=np.int64)
-        budget = np.array([edit_budget(int(n), rate, Q) for n in sizes], dtype=np.int64)
-        hashes = [gram_hashes(t) for t in texts]
+        budget = np.array([edit_budget(int(n), rate, q) for n in sizes], dtype=np.int64)
+        hashes = [gram_hashes(t, q) for t in texts]
         every = np.concatenate([*hashes, np.empty(0, dtype=np.uint64)])
         owner = np.repeat(np.arange(len(texts)), [h.size for h in hashes])
         place = np.concatenate([*(np.arange(h.size) for h in hashes), np.empty(0, dtype=np.int64)])
@@ -90,8 +102,8 @@ class Passages:
         maybe = np.zeros(1 << FILTER_BITS, dtype=bool)
         maybe[grams >> np.uint64(64 - FILTER_BITS)] = True
         return Passages(
-            [i for i, _ in items], texts, budget, budget + 16, sizes + 1 - Q * (budget + 1), grams,
-            np.append(first, every.size), owner[order], place[order], maybe,
+            [i for i, _ in items], texts, budget, budget + 16, sizes + 1 - q * (budget + 1), grams,
+            np.append(first, every.size), owner[order], place[order], maybe, q,
         )
 
     def candidates(self, points: np.ndarray, starts: np.ndarray):
@@ -99,7 +111,7 @@ class Passages:
 
         ``points`` holds several folded documents, each ended by FAR; ``starts`` are their first places.
         """
-        hashes = gram_hashes(points)
+        hashes = gram_hashes(points, self.q)
         hits = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - FILTER_BITS)])
         at = np.searchsorted(self.grams, hashes[hits])
         real = at < self.grams.size
@@ -126,6 +138,68 @@ class Passages:
         return keys // span // items, owner, (keys % span + low) * self.step[owner]
 
 
+    def search(self, documents, points, starts, every: bool) -> list[tuple[int, int, int, int, int]]:
+        return verified(self, documents, self.candidates(points, starts), every)
+
+
+@lru_cache(maxsize=1)
+def word_characters() -> np.ndarray:
+    """Code point -> letter, mark or digit."""
+    table_ = np.zeros(int(FAR) + 1, dtype=bool)
+    table_[: sys.maxunicode + 1] = [category(chr(point))[0] in "LMN" for point in range(sys.maxunicode + 1)]
+    return table_
+
+
+@dataclass
+class Words:
+    """The index of passages too short for edits, by length."""
+
+    ids: list[int | None]
+    texts: list[np.ndarray]
+    lengths: list[tuple[int, np.ndarray, np.ndarray]]  # characters, sorted hashes, their passages
+
+    @staticmethod
+    def build(items: list[tuple[int | None, str]]) -> Words:
+        texts = [fold(text) for _, text in items]
+        lengths = []
+        for size in sorted({t.size for t in texts}):
+            owner = np.array([i for i, t in enumerate(texts) if t.size == size])
+            hashes = np.array([gram_hashes(texts[i], size)[0] for i in owner])
+            order = np.argsort(hashes)
+            lengths.append((size, hashes[order], owner[order]))
+        return Words([i for i, _ in items], texts, lengths)
+
+    def search(self, documents, points, starts, every: bool) -> list[tuple[int, int, int, int, int]]:
+        """(document, passage, start, end, 0) of the whole words equal to a passage, without overlap."""
+        out, word = [], word_characters()
+        for size, grams, owners in self.lengths:
+            hashes = gram_hashes(points, size)
+            at = np.searchsorted(grams, hashes)
+            hits = np.flatnonzero(grams[np.minimum(at, grams.size - 1)] == hashes)
+            owner = owners[at[hits]]
+            wanted = np.stack([self.texts[i] for i in owners])[at[hits]]
+            before, after = points[hits - 1], points[hits + size]  # FAR ends the last text
+            real = (points[hits[:, None] + np.arange(size)] == wanted).all(axis=1)
+            real &= ~(word[wanted[:, 0]] & word[before]) & ~(word[wanted[:, -1]] & word[after])
+            hits, owner = hits[real], owner[real]
+            document = np.searchsorted(starts, hits, side="right") - 1
+            ends: dict[tuple[int, int], int] = {}
+            for d, o, start in zip(document.tolist(), owner.tolist(), (hits - starts[document]).tolist()):
+                if start >= ends.get((d, o), 0):
+                    ends[d, o] = start + size
+                    out.append((d, o, start, start + size, 0))
+        return out
+
+
+def indexes(items: list[tuple[int | None, str]], rate: float) -> list[Passages | Words]:
+    """The indexes of a block of passages, by how each must be searched."""
+    groups: dict[int, list[tuple[int | None, str]]] = {}
+    for item in items:
+        size = len(item[1])
+        groups.setdefault(gram_size(size, rate) if size >= SHORTEST else 0, []).append(item)
+    return [Passages.build(some, rate, q) if q else Words.build(some) for q, some in sorted(groups.items())]
+
+
 def band_distance(
     passage: np.ndarray, texts: list[np.ndarray], lows: np.ndarray, width: int, from_start: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -267,17 +341,17 @@ def verified(
 
 def passage_blocks(
     benchmark: DataFrame, *, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS
-) -> Iterator[list[tuple[int, str]]]:
+) -> Iterator[list[tuple[int | None, str]]]:
     """The distinct passages, a bounded number of characters at a time."""
     text = F.trim(F.regexp_replace(F.lower(text_of(text_col)), r"(?U)\s", " "))
     distinct = (
         benchmark.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-        .filter((F.char_length("text") >= SHORTEST) & F.col("id").isNotNull())
+        .filter(F.char_length("text") > 0)
         .groupBy("text")
         .agg(F.min("id").alias("id"))
     )
     block, held = [], 0
-    for row in distinct.orderBy("id").toLocalIterator():
+    for row in distinct.orderBy("id", "text").toLocalIterator():
         block.append((row["id"], row["text"]))
         held += len(row["text"])
         if held >= block_chars:
@@ -287,12 +361,15 @@ def passage_blocks(
         yield block
 
 
-def _search(passages: Passages, column: pa.Array, every: bool = True):
-    """The verified regions in the documents of a batch."""
+def _search(parts: list[Passages | Words], column: pa.Array, every: bool = True):
+    """(document, index, passage, start, end, edits) of the regions in the documents of a batch."""
     documents = [fold(t.as_py() or "") for t in column]
     points = np.concatenate([x for d in documents for x in (d, [FAR])] or [np.empty(0)]).astype(np.uint32)
     starts = np.cumsum([0, *(d.size + 1 for d in documents)])[:-1]
-    return verified(passages, documents, passages.candidates(points, starts), every)
+    return [
+        (row[0], number, *row[1:])
+        for number, part in enumerate(parts) for row in part.search(documents, points, starts, every)
+    ]
 
 
 def regions(
@@ -305,22 +382,22 @@ def regions(
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), text_of(text_col).alias("text"))
     found = [spark.createDataFrame([], schema)]
     for block in passage_blocks(benchmark, id_col=item_col, text_col="text", block_chars=block_chars):
-        shared = spark.sparkContext.broadcast(Passages.build(block, rate))
+        shared = spark.sparkContext.broadcast(indexes(block, rate))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            passages = shared.value
+            parts = shared.value
             for batch in slices(batches, SLICE_BYTES):
-                rows = sorted(_search(passages, batch.column(1)))
+                rows = sorted(_search(parts, batch.column(1)))
                 if not rows:
                     continue
                 at = [r[0] for r in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(at, pa.int64())),
-                        pa.array([passages.ids[r[1]] for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.int64()),
+                        pa.array([parts[r[1]].ids[r[2]] for r in rows], pa.int64()),
                         pa.array([r[3] for r in rows], pa.int64()),
-                        pa.array([r[4] for r in rows], pa.int32()),
+                        pa.array([r[4] for r in rows], pa.int64()),
+                        pa.array([r[5] for r in rows], pa.int32()),
                     ],
                     names=[id_col, item_col, "start", "end", "edits"],
                 )
@@ -336,13 +413,13 @@ def clean(
     """The documents that hold no passage, columns unchanged."""
     spark, schema, place = docs.sparkSession, docs.schema, docs.columns.index(text_col)
     for block in passage_blocks(benchmark, id_col=item_col, text_col="text", block_chars=block_chars):
-        shared = spark.sparkContext.broadcast(Passages.build(block, rate))
+        shared = spark.sparkContext.broadcast(indexes(block, rate))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            passages = shared.value
+            parts = shared.value
             for batch in slices(batches, SLICE_BYTES, place):
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[r[0] for r in _search(passages, batch.column(place), every=False)]] = False
+                keep[[r[0] for r in _search(parts, batch.column(place), every=False)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = mapped(docs, run, schema)

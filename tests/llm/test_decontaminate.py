@@ -173,3 +173,44 @@ def test_a_passage_in_many_places_of_a_long_document(spark):
     frame = spark.createDataFrame([(1, ("filler words " * 3 + passage) * 2_000)], "doc_id bigint, text string")
     benchmark = spark.createDataFrame([(3, passage)], "item_id bigint, text string")
     assert D.regions(frame, benchmark).count() == 2_000 and D.clean(frame, benchmark).count() == 0
+
+
+def test_passages_without_an_id_are_searched(spark):
+    first, second = "a passage that nobody gave an id, yet it is one", "another one of the same kind, also unnamed"
+    benchmark = spark.createDataFrame([(None, first), (None, second), (7, "certainly named so: " + first)], "item_id bigint, text string")
+    frame = spark.createDataFrame(
+        [(1, "x " + first), (2, second + "."), (3, "nothing"), (4, "certainly named so: " + first)], "doc_id bigint, text string"
+    )
+    for chars in (D.BLOCK_CHARS, 10):
+        got = {(r.doc_id, r.item_id) for r in D.regions(frame, benchmark, block_chars=chars).collect()}
+        assert got == {(1, None), (2, None), (4, None), (4, 7)}
+        assert [r.doc_id for r in D.clean(frame, benchmark, block_chars=chars).collect()] == [3]
+
+
+def test_short_passages_are_searched_exactly_as_whole_words(spark):
+    benchmark = spark.createDataFrame([(1, "Forty  two"), (2, "ha ha"), (3, " é "), (4, "x = 7?"), (5, "")], "item_id bigint, text string")
+    frame = spark.createDataFrame(
+        [
+            (1, "so forty  TWO, and (forty\n\ntwo)"), (2, "forty  twos"), (3, "ha ha ha ha ha"), (4, "É"), (5, "née"),
+            (6, "ax = 7?"), (7, "if x = 7?yes"), (8, None), (9, "aha ha"),
+        ],
+        "doc_id bigint, text string",
+    )
+    got = sorted((r.doc_id, r.item_id, r.start, r.end, r.edits) for r in D.regions(frame, benchmark).collect())
+    assert got == [
+        (1, 1, 3, 13, 0), (1, 1, 20, 30, 0), (3, 2, 0, 5, 0), (3, 2, 6, 11, 0), (4, 3, 0, 1, 0), (7, 4, 3, 9, 0),
+    ]
+    assert sorted(r.doc_id for r in D.clean(frame, benchmark).collect()) == [2, 5, 6, 8, 9]
+
+
+@pytest.mark.parametrize("size", [20, 21, 22, 23, 30, 31, 49])
+def test_the_budget_is_a_tenth_for_every_length(spark, size):
+    passage = "".join(random.Random(size).sample("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ".lower()[:36] * 2, size))
+    k, changed = size // 10, list(passage)
+    for i in range(1, k + 2):
+        changed[i * size // (k + 2)] = "#"
+    worst = "".join(changed)
+    within = worst.replace("#", passage[worst.index("#")], 1)
+    frame = spark.createDataFrame([(1, "- " + within + " -"), (2, "- " + worst + " -")], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(3, passage)], "item_id bigint, text string")
+    assert [(r.doc_id, r.edits) for r in D.regions(frame, benchmark).collect()] == [(1, k)]
