@@ -6,8 +6,9 @@ sequences hashed to ``1 << BITS`` places. A bounded sample of labelled texts giv
 ridge regression, one language against the rest, is solved in their feature space. Scoring a block of
 texts is two matrix products: presence with the landmarks' presence, and kernel rows with the weights.
 
-The learning sample is bounded: at most ``per_language`` texts of at most ``max_chars`` characters for each of the
-``MAX_LANGUAGES`` most frequent languages. Scoring reads every text whole.
+Every language of the table is learned. The learning sample is bounded: at most ``per_language`` texts for each, and
+beyond ``SAMPLE`` texts in all at least ``LEAST_TEXTS``; texts over ``max_chars`` characters are learned from only
+where a language lacks shorter ones, by their first ``max_chars``. Scoring reads every text whole.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; without any labelled text all
 are ``und``; null ids and repeated rows are scored like others; rows without a language are not learned
@@ -28,9 +29,12 @@ from .sampling import labelled_sample
 
 FOLDS, HELD_OUT = 4, 2
 PER_LANGUAGE = 120
-MAX_LANGUAGES = 50
+SAMPLE = 6000
+LEAST_TEXTS = 8
 MAX_CHARS = 20_000
-LANDMARKS = 96
+LANDMARKS = 96  # at least, and at least LEAST_LANDMARKS a language
+LEAST_LANDMARKS = 4
+ROWS_FITTED = 1024
 BITS = 15
 LONGEST = 3
 RIDGE = 1e-2
@@ -119,11 +123,12 @@ def fit(texts: list[str], labels: list[str], *, landmarks: int = LANDMARKS) -> M
     for place, name in enumerate(labels):
         turn[name] = turn.get(name, -1) + 1
         order.append((turn[name], name, place))
-    chosen = [place for _, _, place in sorted(order)[:landmarks]]
+    chosen = [place for _, _, place in sorted(order)[: max(landmarks, LEAST_LANDMARKS * len(languages))]]
     columns = np.flatnonzero(rows[chosen].any(axis=0))
     scaled = rows[chosen][:, columns] / np.sqrt(rows[chosen].sum(axis=1, keepdims=True))
     model = Model(languages, columns, scaled.T.astype(np.float32), np.empty(0), np.empty(0))
-    cross = model.kernel(rows).astype(np.float64)
+    parts = [model.kernel(rows[at : at + ROWS_FITTED]) for at in range(0, len(rows), ROWS_FITTED)]
+    cross = np.concatenate(parts).astype(np.float64)
     values, vectors = np.linalg.eigh(cross[chosen])
     kept = values > 1e-6 * values[-1]
     root = vectors[:, kept] / np.sqrt(values[kept])
@@ -149,9 +154,13 @@ def train(
     rows = docs.filter(~held_out(id_col, FOLDS, HELD_OUT)).select(
         F.col(lang_col).cast("string").alias("label"), text_of(text_col).alias("text")
     )
-    rows = rows.filter((F.char_length("text") > 0) & (F.char_length("text") <= max_chars))
+    languages = rows.select(F.count_distinct("label")).first()[0]
+    rows = rows.filter(F.char_length("text") > 0).select(
+        "label", F.substring("text", 1, max_chars).alias("text"), (F.char_length("text") > max_chars).alias("long")
+    )
     sample = labelled_sample(
-        rows, "label", ["text"], per_label=per_language, max_labels=MAX_LANGUAGES, carry=["text"]
+        rows, "label", ["text"], per_label=min(per_language, max(LEAST_TEXTS, SAMPLE // max(1, languages))),
+        max_labels=None, carry=["text"], later=F.col("long"),
     )
     return fit([r["text"] for r in sample], [r["label"] for r in sample])
 

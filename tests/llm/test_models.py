@@ -163,3 +163,30 @@ def test_a_language_of_copies_is_learned(spark):
     model = language.train(frame)
     assert model.languages == ["en", "eu"]
     assert {r.lang_pred for r in language.predict(frame.filter("lang = 'eu'"), model).collect()} == {"eu"}
+
+
+def test_every_language_is_learned(spark):
+    draw = np.random.default_rng(5)
+    names = [f"l{i:02}" for i in range(70)]
+    words = {n: ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(12)] for n in names}
+    rows = [(n, " ".join(draw.choice(words[n], 30))) for place, n in enumerate(names) for _ in range(10 + place)]
+    frame = spark.createDataFrame([(i, t, n) for i, (n, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.train(frame)
+    assert model.languages == names and model.landmarks.shape[1] == 4 * 70
+    got = language.predict(frame, model).join(frame, "doc_id").collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) > 0.98
+
+
+def test_a_language_of_long_texts_is_learned(spark):
+    rows = [(i, f"satz {i} in einer sprache, die nur lang geschrieben wird " * 600, "de") for i in range(20)]
+    rows += [(100 + i, f"a sentence {i} that is short", "en") for i in range(200)]
+    rows += [(400 + i, f"another sentence {i} that is long " * 900, "en") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(frame)
+    assert model.languages == ["de", "en"]
+    assert {r.lang_pred for r in language.predict(frame.filter("lang = 'de'"), model).collect()} == {"de"}
+    label = frame.selectExpr("lang AS label", "text", "length(text) > 20000 AS long")
+    for wanted, long in ((100, 0), (210, 10), (500, 20)):
+        got = labelled_sample(label, "label", ["text"], per_label=wanted, max_labels=None, carry=["text"], later=F.col("long"))
+        sizes = [len(r.text) > 20_000 for r in got if r.label == "en"]
+        assert len(sizes) == min(wanted, 220) and sum(sizes) == long and sizes == sorted(sizes)
