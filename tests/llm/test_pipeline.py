@@ -80,3 +80,15 @@ def test_nothing_else_imports_the_package():
     for path in [*root.glob("airledger/**/*.py"), *root.glob("tests/*.py"), root / "bench.py"]:
         if "llm" not in path.parts:
             assert not re.search(r"^\s*(from|import) .*\bllm\b", path.read_text(), re.M), path
+
+
+def test_the_language_stage_rejects_exactly_the_unknown(spark, monkeypatch):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    unsure = language.train(docs)
+    unsure.weights, unsure.bias = unsure.weights * 0, unsure.bias * 0  # every score is that of a guess
+    monkeypatch.setattr(language, "train", lambda docs: unsure)
+    mixed = docs.withColumn("text", F.when(F.col("doc_id") < 5, "123 ...").when(F.col("doc_id") < 9, "Ωμέγα και άλφα").otherwise(F.col("text")))
+    known = language.predict(mixed, unsure).filter("lang_pred <> 'und'")
+    got = corpus_pipeline.language_id(spark, mixed, DATA)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in known.collect())
+    assert 0 < known.count() < docs.count() and known.filter("doc_id < 5").count() == 0
