@@ -13,6 +13,7 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 SKIPPED = frozenset("script style title noscript template textarea iframe svg math object canvas select".split())
+RAW = frozenset("script style title textarea iframe".split())  # never closed, they run to the end of the page
 VOID = frozenset("area base col embed hr img input link meta param source track wbr br".split())
 CLOSES_ITSELF = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -104,6 +105,7 @@ def blocks(html: str) -> list[Block]:
         del path[place:], names[place:]
 
     size, tags = len(html), Tags(html)
+    unclosed: set[str] = set()  # names without a closing tag in the rest of the page
     while at < size:
         found = TOKEN.search(html, at)
         if found and found.start() > tags.last:  # only a comment needs no end
@@ -120,7 +122,8 @@ def blocks(html: str) -> list[Block]:
         name, after = found["name"], found.end()
         if name is None:
             if found[0] == "<!--":
-                closing = html.find("-->", after)
+                # "<!-->" and "<!--->" are whole comments.
+                closing = html.find("-->", after - 2)
                 at = closing + 3 if closing >= 0 else size
             else:
                 at = html.index(">", after) + 1
@@ -141,8 +144,15 @@ def blocks(html: str) -> list[Block]:
         rest = html[after : at - 1]
         if name in SKIPPED:
             if not rest.rstrip().endswith("/"):
-                closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-                at = closing.end() if closing else size
+                closing = None
+                if name not in unclosed:
+                    closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+                if closing:
+                    at = closing.end()
+                elif name in RAW:
+                    at = size
+                else:
+                    unclosed.add(name)
             texts.append(" ")
             continue
         if name in INLINE:

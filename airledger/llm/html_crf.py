@@ -69,7 +69,7 @@ def text_features(block: Block) -> list[str]:
     if size < SHORT:
         out += ["word:" + w for w in {w.lower() for w in WORD.findall(text)}]
     for sign in "©|»›→":
-        if sign in text[:200]:
+        if sign in text:
             out.append("sign:" + sign)
     if text.isupper():
         out.append("upper")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from airledger.llm import html_crf
-from airledger.llm.html_blocks import blocks
+from airledger.llm.html_blocks import Block, blocks
 from airledger.llm.html_pages import labelled_pages
 
 
@@ -58,6 +58,17 @@ def test_quotes_open_values_only_after_an_equals_sign():
     assert texts('<p a="1>x</p><p>y</p>') == ["x", "y"]  # never closed: the tag ends at the next ">"
 
 
+def test_unclosed_elements_and_short_comments():
+    for name in ("svg", "math", "object", "canvas", "select", "noscript", "template"):
+        assert texts(f"<p>a<{name} id=x><p>b</p>") == ["a", "b"]
+        assert texts(f"<p>a<{name}>in</{name}><p>b<{name}><p>c") == ["a", "b", "c"]
+    for name in ("script", "style", "title", "textarea", "iframe"):
+        assert texts(f"<p>a<{name}><p>b</p>") == ["a"]
+    assert texts("<p>a<!-->b<!--->c<!---->d<!-- > -->e<!-- x") == ["abcde"]
+    blocks("<svg>" * 100_000)
+    assert "sign:©" in html_crf.text_features(Block("word " * 100 + "©", ("p",), 0))
+
+
 @pytest.mark.parametrize("part", ["<a href='", '<a b=">" c=', "<a<a ", "<a b='>\" ", '<p a="', "<!x ", "<a b=\"'>"])
 def test_hostile_attributes_stay_linear(part):
     for end in ("", ">", "x>y", '"', "'>"):
