@@ -1,8 +1,8 @@
 """The operators applied to the given tables: one query per operator, and the pipeline.
 
 Each takes (spark, directory of the tables) and returns the operator's whole result with production
-parameters. None has an SQL twin: hashes, trained models and merge ranks are outside DuckDB's SQL, so
-every query is tested against a brute-force version, the library or held-out accuracy (tests/llm).
+parameters. Those with plain results have an SQL twin. Hashes, trained models and merge ranks are outside DuckDB's SQL,
+so the others are tested against a brute-force version, the library or held-out accuracy (tests/llm).
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_root
 from . import (
-    bpe_codec, decontaminate, html_crf, language, lz_fingerprint, quality, sharding, simhash, token_count,
-    training_order,
+    bpe_codec, collocations, decontaminate, html_crf, language, lz_fingerprint, permuterm, quality, sharding, simhash,
+    token_count, training_order, url_cascade,
 )
 from .common import table
 
@@ -63,6 +63,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op11_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_cascade.RULES), "verdict string, rule string")
+    return url_cascade.judged(table(spark, sf_dir, "pages"), rules)
+
+
+def op12_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +93,24 @@ QUERIES: dict[str, Query] = {
     "op8_training_order": op8_training_order,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
+    "op11_url_cascade": op11_url_cascade,
+    "op12_permuterm": op12_permuterm,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_url_cascade": f"""
+        WITH rules(verdict, rule_host, rule_path) AS (VALUES
+            {", ".join(f"('{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in url_cascade.RULES)}),
+        p AS (SELECT page_id,
+                translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), {_LOW}) AS host,
+                coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+        fits AS (SELECT p.*, rule_host || rule_path AS rule, verdict,
+                row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS n
+            FROM p LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                AND starts_with(path, rule_path))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1""",
+}

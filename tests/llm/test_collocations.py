@@ -1,0 +1,156 @@
+"""Collocations against a plain count in Python and in SQL, blocks, collisions, exact arithmetic."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from airledger.llm import bloom, collocations as C, queries
+
+
+def plain(rows, least=100, top=2000, share=100):
+    """Rows (lang, text) -> the contract's rows."""
+    totals, counts = Counter(), defaultdict(Counter)
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            words = re.findall("[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for size in range(1, 6):
+                for at in range(len(words) - size + 1):
+                    counts[lang][tuple(words[at : at + size])] += 1
+    out = []
+    for lang, found in counts.items():
+        many = {p: a for p, a in found.items() if a >= least and len(p) > 1}
+        inside = defaultdict(int)
+        for phrase, a in many.items():
+            for size in range(2, len(phrase)):
+                for at in range(len(phrase) - size + 1):
+                    part = phrase[at : at + size]
+                    inside[part] = max(inside[part], a)
+        best = []
+        for phrase, a in many.items():
+            if 100 * inside[phrase] >= share * a:
+                continue
+            cuts = [(1000 * a * totals[lang] // (found[phrase[:k]] * found[phrase[k:]]), k) for k in range(1, len(phrase))]
+            score, k = min(cuts)
+            best.append((-score, -a, " ".join(phrase).encode(), found[phrase[:k]], found[phrase[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(best)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def got(frame):
+    assert frame.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def both(spark, rows, **options):
+    frame = spark.createDataFrame(
+        [(None if i % 7 == 3 else i // 2, t, l, 1, "p", 2) for i, (l, t) in enumerate(rows)],
+        "doc_id long, text string, lang string, n long, phrase string, rank long",
+    ).repartition(3)
+    kept = {k: v for k, v in options.items() if k in ("least", "top", "share")}
+    want = plain(rows, **kept)
+    assert got(C.collocations(frame, **options)) == want
+    return want
+
+
+def test_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = plain([(r.lang, r.text) for r in docs.collect()])
+    assert got(queries.op13_collocations(spark, "/root/testdata/sf0.01")) == want and len(want) > 20
+
+
+def test_awkward_rows(spark, odd, empty):
+    rows = [(r.lang, r.text) for r in odd.collect()]
+    assert got(C.collocations(odd)) == plain(rows) != []
+    assert got(C.collocations(odd, least=2)) == plain(rows, least=2)
+    assert got(C.collocations(empty)) == []
+
+
+TEXTS = [
+    "", None, " ", "...", "one", "One two one two one two. three\tfour  three four", "ÀB àb ÀB àb x y x y", "a\x00b a\x00b c",
+    "x x x x x x x x x x x x", "p q r s t u p q r s t u, p q r s t u; p q", "\n\x0b\x0c\r!?::a b", "  lead and trail  ",
+    "z" * 3000 + " " + "z" * 3000 + " z", "a b " * 900, "w v, " * 700 + "tail", "\t" * 2500 + "a b" + " " * 2500 + "a b",
+]
+
+
+@pytest.mark.parametrize("block", [64, 1000, C.BLOCK_BYTES])
+def test_small_texts_in_blocks_of_any_size(spark, block):
+    draw = random.Random(block)
+    rows = [(draw.choice((None, "und", "en")), t) for t in TEXTS * 2]
+    for _ in range(60):
+        words = draw.choices(["a", "b", "cc", "d", "é", "long" * 30], k=draw.randint(0, 120))
+        rows.append((draw.choice(("en", "fr", "")), "".join(w + draw.choice([" ", "  ", "\t", " ", " ", ". ", "\n"]) for w in words)))
+    want = both(spark, rows, least=3, block_bytes=block)
+    assert len(want) > 300
+    both(spark, rows, least=3, top=5, share=60, block_bytes=block)
+
+
+def test_a_small_filter_changes_nothing(spark):
+    """Filters far too small let nearly everything through; the counts drop it again."""
+    rows = [("en", t) for t in TEXTS * 3]
+    both(spark, rows, least=4, most_bits=64)
+
+
+def test_equal_fingerprints_of_different_phrases(spark, monkeypatch):
+    """With a poor fingerprint phrases collide all over; the comparison of texts sorts them out."""
+    line = C.Line(b"a b c a b d a b c. a c", "en")
+    at = line.phrases(2)
+    clash = line.counted(at, 2, at * 0)
+    assert sorted((t, n) for t, n, _ in clash) == sorted(
+        Counter(t for t in (b"a b", b"b c", b"c a", b"a b", b"b d", b"d a", b"a b", b"b c", b"a c")).items()
+    )
+    assert all(line.text.tobytes()[line.starts[w] : line.ends[w + 1]] == t for t, _, w in clash)
+
+
+def test_blocks_give_every_phrase_once():
+    draw = random.Random(9)
+    for _ in range(200):
+        text = "".join(draw.choice(["a", "bb ", " ", "c\t", "d.", "e", "ff ff "]) for _ in range(draw.randint(0, 200))).encode()
+        most = draw.randint(8, 60)
+        whole, parts = Counter(), Counter()
+        for data, out in ([(0, text, 0)], whole), (list(C.blocks(text, most)), parts):
+            for place, part, repeated in data:
+                assert text[place : place + len(part)] == part
+                line = C.Line(part, "en", repeated)
+                for size in range(1, 6):
+                    for w in line.phrases(size).tolist():
+                        start = place + int(line.places[line.starts[w]])
+                        out[size, start, bytes(line.text[line.starts[w] : line.ends[w + size - 1]])] += 1
+        assert whole == parts and max(whole.values(), default=1) == 1
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    draw = random.Random(2)
+    rows = [(draw.randint(1, 10**13), draw.randint(1, 10**16), draw.randint(10**11, 10**13), draw.randint(10**11, 10**13)) for _ in range(500)]
+    rows += [(10**13, 10**16, 10**13, 10**13), (100, 10**16, 100, 100), (7, 1, 10**13, 10**13), (3, 7, 3, 7000), (3, 7, 3, 7001)]
+    frame = spark.createDataFrame(rows, "a long, n long, l long, r long")
+    got_ = frame.select(C.floored_ratio(1000, *map(F.col, ("a", "n", "l", "r")))).collect()
+    assert [r[0] for r in got_] == [1000 * a * n // (l * r) for a, n, l, r in rows]
+
+
+def test_examples_point_at_the_phrase(spark, docs):
+    found, totals = C.phrases(docs, least=40)
+    texts = {(str(r.doc_id)): (r.text or "").encode() for r in docs.collect()}
+    rows = found.collect()
+    assert len(rows) > 50 and totals.count() == 4
+    for r in rows:
+        at = texts[r.example.id][r.example.at :].lower().split()[: r["size"]]
+        assert b" ".join(at).startswith(r.phrase.encode().lower()[:8])
+
+
+def test_frequent_parts_are_never_pruned():
+    line = C.Line(b"a b c d a b c d. a b", "en")
+    at = line.phrases(3)
+    words = line.phrases(2)
+    prints = line.fingerprints(words, 2)
+    every = bloom.Bloom(len(prints), 16, 1)
+    every.set(prints, prints)
+    assert line.frequent_parts(at, 3, 2, every).tolist() == at.tolist()
+    none = bloom.Bloom(0, 16, 1)
+    assert line.frequent_parts(at, 3, 2, none).tolist() == []

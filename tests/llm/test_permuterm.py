@@ -1,0 +1,115 @@
+"""Spelling variants against every pair of words, on whole tables and awkward ones."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from airledger.llm import permuterm, polynomials
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def counted(rows):
+    found = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            draw = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if draw % 199 == 0:
+                place = draw % len(run)
+                run = run[:place] + run[place + 1 :]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 6 and n >= 5}
+
+
+def brute(found, factor=5):
+    by_size = defaultdict(list)
+    for word in found:
+        by_size[len(word)].append(word)
+    near, forms = {}, {}
+    for word, n in found.items():
+        near[word] = [w for size in range(len(word) - 1, len(word) + 2) for w in by_size[size] if one_edit(word, w)]
+        best = min(near[word], key=lambda w: (-found[w], w), default=None)
+        forms[word] = best if best and found[best] >= factor * n else None
+    out = set()
+    for word, n in found.items():
+        root = word
+        while forms[root]:
+            root = forms[root]
+        form = forms[word]
+        out.add((word, form, root, n, len(near[word]), found[form] if form else None))
+    return out
+
+
+def got(frame):
+    rows = [tuple(r) for r in frame.select("word", "form", "root", "n", "n_near", "form_n").collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_words_and_variants_of_the_table(docs):
+    found = counted([(r.doc_id, r.text) for r in docs.collect()])
+    want = brute(found)
+    assert got(permuterm.spelling_variants(docs)) == want and any(r[1] for r in want)
+
+
+def test_awkward_rows(odd, empty, spark):
+    assert got(permuterm.spelling_variants(odd)) == brute(counted([(r.doc_id, r.text) for r in odd.collect()]))
+    assert got(permuterm.spelling_variants(empty)) == set()
+    many = odd.select(F.explode(F.sequence(F.lit(1), F.lit(9))).alias("doc_id"), "text")
+    want = brute(counted([(r.doc_id, r.text) for r in many.collect()]))
+    assert got(permuterm.spelling_variants(many)) == want and want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_dense_words(spark, seed):
+    """Short alphabets: runs of one letter, many neighbours, ties and long chains."""
+    draw = random.Random(seed)
+    letters = "ab" if seed else "abé"
+    found = {"".join(draw.choice(letters) for _ in range(draw.randint(1, 7))): draw.choice((5, 25, 125, 700, 4000)) for _ in range(300)}
+    frame = spark.createDataFrame(list(found.items()), "word string, n long").repartition(7)
+    assert got(permuterm.variants(frame)) == brute(found)
+
+
+def test_long_words_around_the_border_of_digests(spark):
+    base = "".join(random.Random(5).choice("abc") for _ in range(300))
+    size = permuterm.LONGEST_TEXT
+    found = {}
+    for length in range(size - 3, size + 4):
+        word = base[:length]
+        for place in (0, 7, length // 2, length - 1):
+            found[word[:place] + "z" + word[place + 1 :]] = 5 + place
+        found[word] = 2000 + length
+    frame = spark.createDataFrame(list(found.items()), "word string, n long")
+    assert got(permuterm.variants(frame)) == brute(found)
+
+
+def test_a_word_of_many_letters(spark):
+    """A long run costs rows in proportion to its length."""
+    text = "a" * 200_000
+    frame = spark.createDataFrame([(i, text + ("b" if i > 5 else "")) for i in range(60)], "doc_id long, text string")
+    lengths = {(len(r.word), r.n_near, r.n) for r in permuterm.spelling_variants(frame).collect()}
+    assert (200_000, 1, 6) in lengths and any(size == 200_001 for size, *_ in lengths)
+
+
+def test_rotations_are_those_of_the_marked_word():
+    word = "banana"
+    ((around, skipped, opens),) = permuterm.rotations(word)
+    ring = word + "$"
+    turned = {ring[i:] + ring[:i] for i in range(len(ring))}
+    assert {a + s for a, s in zip(around, skipped)} == turned
+    assert [s for s, o in zip(skipped, opens) if o] == list(word)
+    skipped_digests, whole_digests = permuterm._digests("xyz" * 200)
+    direct = [sum(ord(c) * pow(base, i, p) for i, c in enumerate(t)) % p
+              for p, base in polynomials.FIELDS for t in ["xyz" * 200 + "$"]]
+    assert whole_digests[0].tolist() == direct
