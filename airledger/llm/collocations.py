@@ -52,21 +52,22 @@ _KIND[list(BLANKS)] = _BLANK
 _KIND[list(BREAKS)] = _BREAK
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[ord("A") : ord("Z") + 1] += 32
-_END = re.compile(b"[%s]" % re.escape(BLANKS + BREAKS))
+_ONWARD = re.compile(b"[^%s]+|[%s]" % (re.escape(BLANKS + BREAKS), re.escape(BREAKS)))
 
 
 def blocks(text: bytes, most: int) -> Iterator[tuple[int, bytes, int]]:
     """Parts of about ``most`` bytes as (place, bytes, number of its first words that were in a part before)."""
-    start = piece = repeated = 0
+    start = done = piece = repeated = 0
     while len(text) - start > most:
         end = start + most
         cut = max(text.rfind(bytes([b]), start, end) for b in BREAKS) + 1
         if cut <= start:
             cut = max(text.rfind(bytes([b]), start, end) for b in BLANKS) + 1
-            if not text[start:cut].strip(BLANKS) or len(text[start:cut].split()) <= repeated:
-                found = _END.search(text, end)
+            if not text[done:cut].strip(BLANKS):
+                found = _ONWARD.search(text, max(done, end))  # nothing new yet: to the end of the next word
                 cut = found.end() if found else len(text)
         yield start, text[start:cut], repeated
+        done = cut
         if text[cut - 1] in BREAKS or cut == len(text):
             start = piece = cut
             repeated = 0
