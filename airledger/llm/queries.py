@@ -113,4 +113,26 @@ ORACLE_SQL: dict[str, str] = {
             FROM p LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
                 AND starts_with(path, rule_path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1""",
+    "op13_collocations": rf"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), {_LOW}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        words AS (SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[\x20\x09]+') IF w <> ''] AS w FROM pieces),
+        grams AS (SELECT lang, k AS size,
+                unnest([array_to_string(w[i + 1 : i + k], ' ') FOR i IN range(0, len(w) - k + 1)]) AS phrase
+            FROM words, range(1, 6) AS sizes(k)),
+        f AS (SELECT lang, phrase, size, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+        cuts AS (SELECT f.*, k, array_to_string(string_split(phrase, ' ')[1 : k], ' ') AS first,
+                array_to_string(string_split(phrase, ' ')[k + 1 : ], ' ') AS rest FROM f, range(1, 5) AS cut(k) WHERE k < size),
+        rated AS (SELECT cuts.lang, cuts.phrase, cuts.size, cuts.a, x.a AS l, y.a AS r, n, k,
+                (1000::HUGEINT * cuts.a::HUGEINT * n::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
+            FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest
+                JOIN totals ON totals.lang = cuts.lang),
+        best AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (SELECT lang, a, size, string_split(phrase, ' ') AS w FROM f WHERE size > 2),
+        inner_ AS (SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, max(a) AS longest
+            FROM longer, range(2, 5) AS sizes(k), range(1, 5) AS places(i) WHERE k < size AND i <= size - k + 1 GROUP BY 1, 2),
+        own AS (SELECT best.* FROM best LEFT JOIN inner_ USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 100 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+            n::BIGINT AS n, score::BIGINT AS score FROM own QUALIFY rank <= 2000""",
 }
