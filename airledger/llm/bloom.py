@@ -32,29 +32,40 @@ def mixed(values: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Bloom:
-    def __init__(self, keys: int, bits_per_key: float, salt: int, most_bits: int = MOST_BITS):
+    def __init__(self, keys: int, bits_per_key: float, salt: int, most_bits: int = MOST_BITS, most_hashes: int = 16):
         size = min(most_bits, max(64, math.ceil(keys * bits_per_key)))
         self.words = np.zeros(math.ceil(size / 64), dtype=np.uint64)
-        self.hashes = max(1, round(math.log(2) * 64 * len(self.words) / max(keys, 1))) if keys else 1
-        self.hashes = min(self.hashes, 16)
+        best = round(math.log(2) * 64 * len(self.words) / max(keys, 1))
+        self.hashes = max(1, min(best, most_hashes)) if keys else 1
         self.salt = salt
 
     def _places(self, a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
-        first, step = mixed(a, 2 * self.salt), mixed(b, 2 * self.salt + 1) | _ONE
-        size = np.uint64(64 * len(self.words))
+        first, step = self._mixed(a, b)
         for number in range(self.hashes):
-            yield (first + np.uint64(number) * step) % size
+            yield self._place(first, step, number)
+
+    def _mixed(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return mixed(a, 2 * self.salt), mixed(b, 2 * self.salt + 1) | _ONE
+
+    def _place(self, first: np.ndarray, step: np.ndarray, number: int) -> np.ndarray:
+        return (first + np.uint64(number) * step) % np.uint64(64 * len(self.words))
 
     def set(self, a: np.ndarray, b: np.ndarray) -> None:
         for places in self._places(a, b):
             np.bitwise_or.at(self.words, (places >> np.uint64(6)).astype(np.int64), _ONE << (places & np.uint64(63)))
 
     def holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        found = np.ones(len(a), dtype=bool)
+        found = np.zeros(len(a), dtype=bool)
         for start in range(0, len(a), PROBED_AT_ONCE):
             part = slice(start, start + PROBED_AT_ONCE)
-            for places in self._places(a[part], b[part]):
-                found[part] &= (self.words[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63)) & _ONE) != 0
+            first, step = self._mixed(a[part], b[part])
+            open_ = np.arange(start, start + len(first))
+            for number in range(self.hashes):  # only keys that passed so far go on
+                places = self._place(first, step, number)
+                passed = (self.words[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63)) & _ONE) != 0
+                if not passed.all():
+                    first, step, open_ = first[passed], step[passed], open_[passed]
+            found[open_] = True
         return found
 
     def _rows(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,9 +78,11 @@ class Bloom:
                 )
 
 
-def of(frame: DataFrame, keys: int, bits_per_key: float, salt: int = 0, most_bits: int = MOST_BITS) -> Bloom:
+def of(
+    frame: DataFrame, keys: int, bits_per_key: float, salt: int = 0, most_bits: int = MOST_BITS, most_hashes: int = 16
+) -> Bloom:
     """The filter of all keys in a frame of two longs; ``keys`` is their number, counted before."""
-    made = Bloom(keys, bits_per_key, salt, most_bits)
+    made = Bloom(keys, bits_per_key, salt, most_bits, most_hashes)
     if keys:
         rows = mapped(frame, made._rows, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
         found = rows.toArrow()

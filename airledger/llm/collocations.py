@@ -15,8 +15,8 @@ A text of any length is read in blocks. A block ends where a piece ends, or repe
 then only serve phrases that go on into the block.
 
 Defined cases: a null text is empty; a null language is ``und``, together with rows that say so; equal rows count as often
-as they stand there; ids serve the example only (the smallest id and place; null ids come first); ties as the contract of
-``collocations`` says; an empty table gives an empty result; other columns are not read.
+as they stand there; ties as the contract of ``collocations`` says; an empty table gives an empty result; ids and other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -42,9 +42,10 @@ SHARE = 100
 SCALE = 1000
 
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
-BLOCK_BYTES = 1 << 20
-COMPARED_AT_ONCE = 1 << 21
-BITS_PER_KEY = 16
+BLOCK_BYTES = 15 << 15  # with the line's breaks below the table of powers that is remembered
+COMPARED_AT_ONCE = 1 << 20
+BITS_PER_KEY = 12
+HASHES = 4
 
 _WORD, _BLANK, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -111,28 +112,41 @@ class Line:
         high, low = (f.between(self.starts[at], self.ends[at + size - 1]) for f in self._fields)
         return bloom.mixed(high << np.uint64(31) | low, self.salt + size).view(np.int64)
 
-    def phrases(self, size: int) -> np.ndarray:
-        """First words of the phrases of ``size`` words, inside one piece, that end in a word not repeated."""
-        at = np.arange(max(0, self.repeated - size + 1), max(0, len(self) - size + 1))
-        return at[self.piece[at] == self.piece[at + size - 1]]
-
-    def frequent_parts(self, at: np.ndarray, size: int, level: int, frequent: bloom.Bloom) -> np.ndarray:
-        """Those of the phrases whose parts of ``level`` words all seem frequent."""
-        if not len(at):
-            return at
-        every = np.arange(len(self) - level + 1)
-        every = every[self.piece[every] == self.piece[every + level - 1]]
-        prints = self.fingerprints(every, level)
-        good = np.zeros(len(self), dtype=bool)
-        good[every] = frequent.holds(prints, prints)
-        for step in range(size - level + 1):
-            at = at[good[at + step]]
+    def phrases(self, size: int, parts: np.ndarray | None = None, length: int = 0) -> np.ndarray:
+        """First words of the phrases of ``size`` words inside one piece; with ``parts`` (by first word) only those
+        whose parts of ``length`` words are all among them."""
+        at = np.arange(max(0, len(self) - size + 1))
+        at = at[self.piece[at] == self.piece[at + size - 1]]
+        for step in range(size - length + 1 if parts is not None else 0):
+            at = at[parts[at + step]]
         return at
 
-    def counted(self, at: np.ndarray, size: int, prints: np.ndarray) -> list[tuple[bytes, int, int]]:
-        """(text, number, first word) of the phrases, exact: every occurrence is compared with the first."""
-        if not len(at):
-            return []
+    def own(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Which of the phrases end in a word that is not repeated."""
+        return at + size - 1 >= self.repeated
+
+    def marked(self, at: np.ndarray) -> np.ndarray:
+        marks = np.zeros(len(self), dtype=bool)
+        marks[at] = True
+        return marks
+
+    def frequent(self, size: int, filter_: bloom.Bloom) -> np.ndarray:
+        """By first word, whether the phrase of ``size`` words seems frequent."""
+        at = self.phrases(size)
+        prints = self.fingerprints(at, size)
+        return self.marked(at[filter_.holds(prints, prints)])
+
+    def cut(self, at: np.ndarray, size: int) -> pa.Array:
+        """The texts of the phrases."""
+        starts, sizes = self.starts[at], self.ends[at + size - 1] - self.starts[at]
+        ends = np.cumsum(sizes)
+        data = self.text[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+    def counted(self, at: np.ndarray, size: int, prints: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """(texts, numbers) of the phrases, exact. Equal fingerprints point at their first occurrence, and every
+        occurrence is compared with that one; those that differ are counted by their own text."""
         _, first, group, number = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
         own = at[first][group]
         starts, ends, sample, sample_end = self.starts[at], self.ends[at + size - 1], self.starts[own], self.ends[own + size - 1]
@@ -146,50 +160,47 @@ class Line:
                 continue
             sizes = ends[rows] - starts[rows]
             heads = np.cumsum(sizes) - sizes
-            inner = np.arange(int(sizes.sum())) - np.repeat(heads, sizes)
-            unlike = self.text[np.repeat(starts[rows], sizes) + inner] != self.text[np.repeat(sample[rows], sizes) + inner]
-            differs[rows] = np.add.reduceat(unlike, heads) > 0
+            place = np.arange(int(sizes.sum())) + np.repeat(starts[rows] - heads, sizes)
+            unlike = self.text[place] != self.text[place + np.repeat(sample[rows] - starts[rows], sizes)]
+            if unlike.any():
+                differs[rows] = np.add.reduceat(unlike, heads) > 0
+        texts = self.cut(at[first], size)
+        if not differs.any():
+            return texts, number
         number = number - np.bincount(group[differs], minlength=len(number))
-        cut = self.text.tobytes()
-        found = [(cut[self.starts[w] : self.ends[w + size - 1]], n, w) for w, n in zip(at[first].tolist(), number.tolist())]
-        strays: dict[bytes, int] = {}
-        others = Counter()
-        for word in at[differs].tolist():
-            text = cut[self.starts[word] : self.ends[word + size - 1]]
-            strays.setdefault(text, word)
-            others[text] += 1
-        return found + [(text, n, strays[text]) for text, n in others.items()]
-
-
-def _lines(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, Line, list[int], list[int], list]]:
-    """(language, line, where its texts begin, their places in the document, ids) of batches (lang, text, id)."""
+        strays = Counter(self.cut(at[differs], size).to_pylist())
+        return (
+            pa.concat_arrays([texts, pa.array(list(strays), pa.binary())]),
+            np.concatenate((number, np.array(list(strays.values()), dtype=number.dtype))),
+        )
+
+
+def _lines(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, Line]]:
+    """(language, line) of batches (lang, text)."""
     for batch in slices(batches, block_bytes):
-        held: dict[str, tuple[list[bytes], list]] = {}
-        for language, text, id_ in zip(*(c.to_pylist() for c in batch.columns[:3])):
+        held: dict[str, list[bytes]] = {}
+        for language, text in zip(*(c.to_pylist() for c in batch.columns[:2])):
             if len(text) > block_bytes:
-                for place, part, repeated in blocks(text, block_bytes):
-                    yield language, Line(part, language, repeated), [0], [place], [id_]
-                continue
-            texts, ids = held.setdefault(language, ([], []))
-            texts.append(text)
-            ids.append(id_)
-        for language, (texts, ids) in held.items():
-            begins = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1].tolist()
-            yield language, Line(b"\n".join(texts), language), begins, [0] * len(ids), ids
+                for _, part, repeated in blocks(text, block_bytes):
+                    yield language, Line(part, language, repeated)
+            else:
+                held.setdefault(language, []).append(text)
+        for language, texts in held.items():
+            yield language, Line(b"\n".join(texts), language)
 
 
 def _count(texts: DataFrame, sizes: tuple[int, ...], level: int, frequent: bloom.Bloom | None, block_bytes: int) -> DataFrame:
-    """(lang, print, n) of all phrases of the sizes, made of frequent parts; with the words also one row per
-    language with the number of its words and no print."""
+    """(lang, print, n) of all phrases of the sizes whose parts of ``level`` words seem frequent; with the words also
+    one row per language with the number of its words and no print."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for language, line, *_ in _lines(batches, block_bytes):
+        for language, line in _lines(batches, block_bytes):
+            parts = line.frequent(level, shared.value) if level else None
             for size in sizes:
-                at = line.phrases(size)
-                if level:
-                    at = line.frequent_parts(at, size, level, shared.value)
-                else:
+                at = line.phrases(size, parts, level)
+                at = at[line.own(at, size)]
+                if not level:
                     yield pa.RecordBatch.from_pydict({"lang": [language], "print": pa.nulls(1, pa.int64()), "n": [len(at)]})
                 prints, number = np.unique(line.fingerprints(at, size), return_counts=True)
                 yield pa.RecordBatch.from_pydict(
@@ -201,58 +212,51 @@ def _count(texts: DataFrame, sizes: tuple[int, ...], level: int, frequent: bloom
 
 
 def _materialised(texts: DataFrame, most: int, frequent: bloom.Bloom, block_bytes: int) -> DataFrame:
-    """(lang, phrase, size, n, example) of all phrases whose fingerprint seems frequent."""
+    """(lang, phrase, size, n) of all phrases whose fingerprint, and whose parts', seem frequent."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
-    schema = "lang string, phrase binary, size int, n long, id string, at long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for language, line, begins, places, ids in _lines(batches, block_bytes):
+        for language, line in _lines(batches, block_bytes):
+            parts = None
             for size in range(1, most + 1):
-                at = line.phrases(size)
+                at = line.phrases(size, parts, size - 1)
                 prints = line.fingerprints(at, size)
                 kept = shared.value.holds(prints, prints)
-                found = line.counted(at[kept], size, prints[kept])
-                if not found:
-                    continue
-                spot = line.places[line.starts[[w for *_, w in found]]]
-                text = np.searchsorted(begins, spot, side="right") - 1
-                offsets = spot - np.asarray(begins)[text] + np.asarray(places)[text]
+                at, prints = at[kept], prints[kept]
+                parts = line.marked(at)
+                own = line.own(at, size)
+                found, number = line.counted(at[own], size, prints[own])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([language] * len(found), pa.string()),
-                        pa.array([p for p, *_ in found], pa.binary()),
-                        pa.array([size] * len(found), pa.int32()),
-                        pa.array([n for _, n, _ in found], pa.int64()),
-                        pa.array([ids[t] for t in text.tolist()], pa.string()),
-                        pa.array(offsets, pa.int64()),
+                        pa.repeat(pa.scalar(language, pa.string()), len(found)),
+                        found,
+                        pa.repeat(pa.scalar(size, pa.int32()), len(found)),
+                        pa.array(number, pa.int64()),
                     ],
-                    names=["lang", "phrase", "size", "n", "id", "at"],
+                    names=["lang", "phrase", "size", "n"],
                 )
 
-    rows = mapped(texts, run, schema)
-    counted = rows.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), F.min(F.struct("id", "at")).alias("example"))
+    rows = mapped(texts, run, "lang string, phrase binary, size int, n long")
+    counted = rows.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return counted.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def phrases(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     least: int = LEAST_TIMES, most: int = MOST_WORDS, block_bytes: int = BLOCK_BYTES, most_bits: int = bloom.MOST_BITS,
 ) -> tuple[DataFrame, DataFrame]:
-    """All phrases of up to ``most`` words that occur ``least`` times or more, (lang, phrase, size, n, example),
-    and the number of words of each language, (lang, n).
-
-    The example is the id, as text, and the byte offset of one occurrence.
-    """
+    """All phrases of up to ``most`` words that occur ``least`` times or more, (lang, phrase, size, n), and the number of
+    words of each language, (lang, n)."""
     if not 1 <= most <= MOST_WORDS:
         raise ValueError(f"phrases have 1 to {MOST_WORDS} words")
     texts = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
-        text_of(text_col).cast("binary").alias("text"), F.col(id_col).cast("string").alias("id"),
+        text_of(text_col).cast("binary").alias("text"),
     )
 
     def frequent(found: DataFrame, salt: int) -> bloom.Bloom:
         prints = found.where("print IS NOT NULL").select(F.col("print").alias("a"), F.col("print").alias("b"))
-        return bloom.of(prints, prints.count(), BITS_PER_KEY, salt, most_bits)
+        return bloom.of(prints, prints.count(), BITS_PER_KEY, salt, most_bits, HASHES)
 
     seen = totals = below = None
     for level, sizes in enumerate([(1,), (2,), tuple(range(3, most + 1))]):
@@ -305,9 +309,8 @@ def covered(frequent: DataFrame, *, share: int = SHARE) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    least: int = LEAST_TIMES, top: int = MOST_PER_LANGUAGE, share: int = SHARE, scale: int = SCALE,
-    block_bytes: int = BLOCK_BYTES, most_bits: int = bloom.MOST_BITS,
+    docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = LEAST_TIMES, top: int = MOST_PER_LANGUAGE,
+    share: int = SHARE, scale: int = SCALE, block_bytes: int = BLOCK_BYTES, most_bits: int = bloom.MOST_BITS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases of two to five words of each language.
 
@@ -316,7 +319,7 @@ def collocations(
     one with at least ``share`` percent of its count is left out. Order: score, a, phrase (in byte order).
     """
     frequent, totals = phrases(
-        docs, id_col=id_col, text_col=text_col, lang_col=lang_col, least=least, block_bytes=block_bytes, most_bits=most_bits
+        docs, text_col=text_col, lang_col=lang_col, least=least, block_bytes=block_bytes, most_bits=most_bits
     )
     rated = scored(frequent, totals, scale=scale).join(covered(frequent, share=share), ["lang", "phrase"], "left")
     own = rated.where(F.col("longest").isNull() | (100 * F.col("longest") < share * F.col("a")))
