@@ -6,17 +6,17 @@ Example: python -m airledger --root hdfs:///air --servers broker:9092 --topic db
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from . import schemas
 from .config import DRAIN, Rules, StreamSettings
-from .operators import trends
 from .session import build_session
 from .sources import changes
-from .streaming import pipeline, sinks
+from .streaming import days, pipeline, queries as Q, sinks
 
 
 def database_writers(
@@ -36,12 +36,6 @@ def database_writers(
     return writers
 
 
-def refresh_alert_summary(spark: SparkSession, root: str) -> int:
-    """Write a new version of ``alert_summary_hourly`` from the stored alerts."""
-    alerts = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
-    return sinks.refresh_table(trends.alert_summary_hourly(alerts), f"{root}/alert_summary")
-
-
 def pairs(options: list[str]) -> dict[str, str]:
     return dict(option.split("=", 1) for option in options)
 
@@ -52,6 +46,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--servers", help="topic brokers; leave out to read files")
     parser.add_argument("--topic")
     parser.add_argument("--files", help="directory with change files")
+    parser.add_argument(
+        "--feed",
+        action="append",
+        default=[],
+        metavar="NAME=PLACE",
+        help="one of several feeds, a topic with --servers and a directory without; each has its own watermark",
+    )
+    parser.add_argument("--idle-after", type=float, help="seconds after which a silent feed is not waited for")
     parser.add_argument("--format", choices=("parquet", "text"), default="parquet")
     parser.add_argument("--option", action="append", default=[], help="source option key=value")
     parser.add_argument("--partitions", type=int, help="shuffle partitions, fixed at first start")
@@ -69,7 +71,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--refresh-alert-summary",
         action="store_true",
-        help="write a new version of alert_summary_hourly from the stored alerts, then stop",
+        help="bring alert_summary_hourly up to the stored alerts, then stop",
+    )
+    parser.add_argument(
+        "--refresh-trends", action="store_true", help="bring the daily views up to the stored changes, then stop"
     )
     parser.add_argument("--bronze-every", help="trigger interval of the bronze table")
     parser.add_argument("--warning", type=float, default=Rules.warning)
@@ -77,18 +82,31 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if bool(args.jdbc_url) != bool(args.dsn):
         parser.error("--jdbc-url and --dsn go together: all four tables belong in one database")
-    if args.refresh_alert_summary:
-        refresh_alert_summary(build_session(), args.root)
+    rules = Rules(args.warning, args.critical)
+    if args.refresh_alert_summary or args.refresh_trends:
+        spark = build_session()
+        if args.refresh_alert_summary:
+            days.refresh_alert_summary(spark, args.root)
+        if args.refresh_trends:
+            days.refresh_trends(spark, args.root, rules, Q.stored_seq_type(spark, args.root))
         return
-    if bool(args.topic and args.servers) == bool(args.files):
+    if args.feed and (args.topic or args.files):
+        parser.error("--feed takes the place of --topic and --files")
+    if not args.feed and bool(args.topic and args.servers) == bool(args.files):
         parser.error("give either --servers with --topic, or --files")
 
     spark = build_session()
     options = pairs(args.option)
-    if args.files:
-        feed = changes.stream_files(spark, args.files, args.format, drain=args.drain, **options)
+
+    def feed_of(place: str) -> DataFrame:
+        if args.servers:
+            return changes.stream_topic(spark, args.servers, place, drain=args.drain, **options)
+        return changes.stream_files(spark, place, args.format, drain=args.drain, **options)
+
+    if args.feed:
+        feed = {name: feed_of(place) for name, place in pairs(args.feed).items()}
     else:
-        feed = changes.stream_topic(spark, args.servers, args.topic, drain=args.drain, **options)
+        feed = feed_of(args.files or args.topic)
     trigger = DRAIN if args.drain else {"processingTime": args.every}
     settings = StreamSettings(
         trigger=trigger,
@@ -97,11 +115,13 @@ def main(argv: list[str] | None = None) -> None:
         windows_from=args.windows_from,
         bronze_trigger={"processingTime": args.bronze_every} if args.bronze_every else None,
     )
+    if args.idle_after is not None:
+        settings = replace(settings, idle_after_seconds=args.idle_after)
     run = pipeline.drain if args.drain else pipeline.run_live
     writers = {}
     if args.jdbc_url:
         writers = database_writers(args.root, args.jdbc_url, args.dsn, pairs(args.jdbc_option))
-    run(feed, args.root, settings, Rules(args.warning, args.critical), writers)
+    run(feed, args.root, settings, rules, writers)
 
 
 if __name__ == "__main__":

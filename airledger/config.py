@@ -39,8 +39,9 @@ class StreamSettings:
     late ones. ``bronze_trigger`` lets bronze write fewer, larger batches than the outputs read; a
     drain ignores it. ``windows_from`` (zone-less UTC, on the hour) leaves windows before that time to
     a batch backfill, so a first start on a long history builds no state for them; a first drain
-    chooses it itself if it is not given, and the root keeps it. ``snapshot_every`` is the number of
-    batches between two full snapshots of the status table.
+    chooses it itself if it is not given, and the root keeps it. ``idle_after_seconds`` is how long one of
+    several feeds may be silent before the windows no longer wait for it (None: always wait); as the
+    window queries start again then, it should span several triggers.
     """
 
     watermark: str = "5 seconds"
@@ -50,7 +51,7 @@ class StreamSettings:
     max_files_per_trigger: int | None = None
     bronze_trigger: dict | None = None
     windows_from: datetime | None = None
-    snapshot_every: int = 60
+    idle_after_seconds: float | None = 60.0
     attempts: int = 3
     retry_delay_seconds: float = 10.0
 

@@ -30,15 +30,31 @@ def _leaf(path: str, to_type: str) -> Column:
     return F.when(F.col("again").isNull(), F.col(f"payload.{path}")).otherwise(again)
 
 
-def decode(changes: DataFrame, *, history: bool = False) -> DataFrame:
+#: Why a document names no row. A tombstone (null) is not one: it follows a delete and says nothing.
+EMPTY, UNREADABLE, NO_PAYLOAD, NO_ROW = "empty", "unreadable", "no payload", "no row"
+
+
+def _problem() -> Column:
+    read = F.col("payload").isNotNull() | F.col("again").isNotNull()
+    named = F.coalesce(_leaf("after.id", "bigint"), _leaf("before.id", "bigint")).isNotNull()
+    return (
+        F.when(F.col("value").isNull() | (read & named), None)
+        .when(F.trim("value") == "", EMPTY)
+        .when(~read & F.col(CORRUPT).isNotNull(), UNREADABLE)
+        .when(~read, NO_PAYLOAD)
+        .otherwise(NO_ROW)
+    )
+
+
+def decode(changes: DataFrame, *, history: bool = False, keep_raw: bool = False) -> DataFrame:
     """Flatten the envelope; a document or leaf that cannot be read becomes NULL.
 
     Documents are read with their proper types. Only those with something unreadable (a quoted
     number, say) are read once more as text and cast leaf by leaf, so one bad leaf does not cost
     the others. ``measurement_time`` stays in epoch microseconds. ``history`` adds ``before_id``
-    and ``ts_ms``.
+    and ``ts_ms``, and with it ``keep_raw`` the ``problem`` of a document that names no row and its text, ``raw``.
     """
-    carried = [c for c in changes.columns if c != "value"]
+    carried = [c for c in changes.columns if c != "value" or keep_raw]
     # Parsing sits inside generators because filters are not pushed through one. In a plain
     # projection the optimizer copies from_json into each later filter and parses rows twice.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -46,7 +62,7 @@ def decode(changes: DataFrame, *, history: bool = False) -> DataFrame:
     first = changes.select(*carried, F.inline(F.array(typed)))
     lenient = F.from_json(CORRUPT, text_envelope(history=history))["payload"]
     again = F.when(F.col(CORRUPT).isNotNull(), lenient)
-    parsed = first.select(*carried, "payload", F.explode(F.array(again)).alias("again"))
+    parsed = first.select(*carried, "payload", CORRUPT, F.explode(F.array(again)).alias("again"))
     columns = [_leaf(f"after.{name}", type_).alias(name) for name, type_ in ROW_FIELDS.items()]
     columns.append(_leaf("op", "string").alias("op"))
     if history:
@@ -54,7 +70,9 @@ def decode(changes: DataFrame, *, history: bool = False) -> DataFrame:
             _leaf("before.id", "bigint").alias("before_id"),
             _leaf("ts_ms", "bigint").alias("ts_ms"),
         ]
-    return parsed.select(*carried, *columns)
+    if keep_raw:
+        columns += [_problem().alias("problem"), F.when(_problem().isNotNull(), F.col("value")).alias("raw")]
+    return parsed.select(*[c for c in carried if c != "value"], *columns)
 
 
 def readings(changes: DataFrame) -> DataFrame:
@@ -80,10 +98,14 @@ def profile_by_op(changes: DataFrame) -> DataFrame:
     return decode(changes).groupBy("op").agg(F.count(F.lit(1)).alias("changes"))
 
 
-def history(changes: DataFrame) -> DataFrame:
-    """Every change that names a row, decoded: readings and deletes, with ``before_id`` and ``ts_ms``."""
-    rows = decode(changes, history=True)
-    return rows.where(F.coalesce("id", "before_id").isNotNull())
+def history(changes: DataFrame, *, quarantine: bool = False) -> DataFrame:
+    """Every change that names a row, decoded: readings and deletes, with ``before_id`` and ``ts_ms``.
+
+    With ``quarantine`` also the documents that name none, as they came (``raw``), with what is wrong (``problem``).
+    """
+    rows = decode(changes, history=True, keep_raw=quarantine)
+    named = F.coalesce("id", "before_id").isNotNull()
+    return rows.where(named | F.col("problem").isNotNull() if quarantine else named)
 
 
 def _check_order(changes: DataFrame) -> None:
@@ -105,12 +127,14 @@ def state_of(rows: DataFrame) -> DataFrame:
     The last is the one that arrived last (``seq``): all changes of a row come through one partition
     of the topic, while the connector's clock (``ts_ms``) may step back. The aggregate keeps one
     candidate per id and input partition, so an id that is updated endlessly shuffles one row per
-    partition and never gathers in a task.
+    partition and never gathers in a task. Ids of different feeds (``feed``, where there is one) are
+    different rows.
     """
     _check_order(rows)
-    rows = rows.withColumns(
-        {"row_id": F.coalesce("id", "before_id"), "gone": F.col("op").eqNullSafe("d")}
-    )
+    row_id = F.coalesce("id", "before_id")
+    if "feed" in rows.columns:
+        row_id = F.when(row_id.isNotNull(), F.struct("feed", row_id.alias("id")))
+    rows = rows.withColumns({"row_id": row_id, "gone": F.col("op").eqNullSafe("d")})
     order = ["seq", "ts_ms"]
     image = ["id", "gone", "sensor_id", "co2_level", "measurement_time", "location"]
     identified = rows.where(F.col("row_id").isNotNull()).select("row_id", *order, *image)

@@ -19,16 +19,17 @@ def recency(frame: DataFrame, time: str = "measurement_time") -> list[str]:
     return [c for c in (time, "seq", "id") if c in frame.columns]
 
 
-def newest(frame: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` for each key, as a keyed aggregate.
+def newest(frame: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
+    """The row with the greatest ``order`` for each key (a column or several), as a keyed aggregate.
 
     Works on batch input and, in update mode, on a stream. Each input partition passes on one row
     per key, so a hot key costs no more than a rare one after the shuffle. Structs compare field
     by field, so putting the order columns first ranks by them and leaves no tie undecided.
     """
-    rest = [c for c in frame.columns if c != key and c not in order]
-    best = frame.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("best"))
-    return best.select(key, *[F.col("best")[c].alias(c) for c in (*order, *rest)])
+    keys = [key] if isinstance(key, str) else key
+    rest = [c for c in frame.columns if c not in keys and c not in order]
+    best = frame.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("best"))
+    return best.select(*keys, *[F.col("best")[c].alias(c) for c in (*order, *rest)])
 
 
 def numbered(frame: DataFrame, key: str, order: list[str], name: str = "row_num") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Rules
 from ..functions import rules as R, times
@@ -29,6 +29,37 @@ def daily_summary(measurements: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
 
 
+def trend_partials(measurements: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """What both daily views need, by day, hour and place. Partials of different days or hours add up, so a day can
+    be computed apart from the others."""
+    at, level = "measurement_time", F.col("co2_level")
+    return measurements.groupBy(
+        times.day_of(at).alias("measurement_date"), times.hour_of_day(at).alias("hour_of_day"), "location"
+    ).agg(
+        F.sum(level).alias("total"),
+        F.count(level).alias("levels"),
+        F.count(F.lit(1)).alias("readings"),
+        F.max(level).alias("max_co2"),
+        F.count_if(R.is_alert(level, rules)).alias("alerts_count"),
+    )
+
+
+def _average() -> Column:
+    return F.try_divide(F.sum("total"), F.sum("levels")).alias("avg_co2")
+
+
+def patterns_of(partials: DataFrame) -> DataFrame:
+    """``daily_patterns`` from the partials."""
+    return partials.groupBy("hour_of_day", "location").agg(_average())
+
+
+def summary_of(partials: DataFrame) -> DataFrame:
+    """``daily_summary`` from the partials."""
+    return partials.groupBy("measurement_date", "location").agg(
+        _average(), F.max("max_co2").alias("max_co2"), F.sum("alerts_count").alias("alerts_count")
+    )
+
+
 def alert_summary_hourly(alerts: DataFrame) -> DataFrame:
     """Number of alerts by hour and place."""
     return alerts.groupBy(times.hour_start("alert_time").alias("alert_hour"), "location").agg(

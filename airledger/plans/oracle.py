@@ -189,6 +189,21 @@ def oracle_sql() -> dict[str, str]:
         "avg_1m_stream": f"WITH {dense} {minute} {closed_minutes}",
         "hourly_stream": f"WITH {dense} SELECT {_ROUND_MIN_MAX} FROM {closed_hours}",
         "current_status_stream": f"WITH {dense} {_STATUS}",
+        "daily_patterns_from_partials": f"""
+            WITH {raw}, {_STATE}
+            SELECT CAST(extract(hour FROM measurement_time) AS INTEGER) AS hour_of_day, location,
+                   round(avg(co2_level), 9) AS avg_co2 FROM state GROUP BY 1, 2""",
+        "quarantine_by_kind": """
+            SELECT CASE event_id % 13 WHEN 2 THEN 'unreadable' WHEN 8 THEN 'no payload' WHEN 9 THEN 'empty'
+                    ELSE 'no row' END AS problem, count(*) AS documents, min(event_id) AS first_seq,
+                max(event_id) AS last_seq, count(*) FILTER (WHERE event_id % 13 = 10) AS with_sensor, 0 AS with_id
+            FROM events WHERE event_id % 13 IN (1, 2, 8, 9, 10) GROUP BY 1""",
+        "avg_1m_two_sources": f"""
+            WITH {dense},
+            came AS (SELECT r.*, e.user_id % 5 >= 3 AS second FROM r JOIN e ON e.event_id = r.seq
+                WHERE e.us < 1704067200000000 + 43200000000 - CASE WHEN e.user_id % 5 >= 3 THEN 3600000000 ELSE 0 END),
+            marks AS (SELECT max(measurement_time) - INTERVAL '5 seconds' AS mark FROM came GROUP BY second)
+            {minute} ({_windows('1 minute', _AVG, 'came')}) WHERE window_end <= (SELECT min(mark) FROM marks)""",
         "late_rows": f"""
             WITH {dense},
             placed AS (SELECT r.*, least((epoch_us(make_timestamp(e.us)) - 1704067200000000
@@ -215,5 +230,7 @@ def oracle_sql() -> dict[str, str]:
                 round(co2_level, 9), NULL, NULL, NULL, status FROM latest""",
     }
     queries["current_status_ranked"] = queries["current_status"]
+    queries["current_status_upserts"] = queries["current_status"]
+    queries["daily_summary_from_partials"] = queries["daily_summary_from_changes"]
     queries["alert_summary_refresh"] = queries["alert_summary_hourly"]
     return queries

@@ -19,7 +19,7 @@ from ..functions import times
 from ..operators import alerts as A, changes as C, constraints, latest as L, trends as V, windows as W
 from ..session import prepare, work_root
 from ..sources import changes as changes_source, sensor_feed as feed
-from ..streaming import files, pipeline, queries as Q, sinks
+from ..streaming import days, files, pipeline, queries as Q, sinks
 from .views import register_stored_views, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,13 +171,6 @@ def alert_summary_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.alert_summary_hourly(A.alerts(_readings(spark, sf_dir, dense=False)))
 
 
-def alert_summary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The materialized form: refreshed into a versioned table, read back."""
-    root = f"{work_root(prepare(spark))}/alert_summary"
-    sinks.refresh_table(alert_summary_hourly(spark, sf_dir), root)
-    return sinks.read_refreshed(spark, root)
-
-
 def sensor_stats_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = W.hourly_aggregates(_readings(spark, sf_dir, dense=False))
     return _rounded(V.sensor_stats_24h(hourly), "hourly_avg", "rolling_24h_avg")
@@ -239,10 +232,25 @@ def hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, "avg_co2")
 
 
+def _status(spark: SparkSession, changes: DataFrame) -> DataFrame:
+    root = work_root(spark)
+    Q.start_bronze(changes, root, STREAM).awaitTermination()
+    days.start_status(spark, root, STREAM).awaitTermination()
+    return days.read_status(spark, root)
+
+
 def current_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest status by way of bronze and the newest reading of each sensor and day."""
+    return _status(spark, _change_stream(spark, sf_dir))
+
+
+def current_status_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest status as a stream of upserts with state, applied to nothing but their own log."""
     root = work_root(prepare(spark))
-    Q.start_status(_reading_stream(spark, sf_dir), root, STREAM).awaitTermination()
-    return Q.status_table(root, STREAM).read(spark)
+    write = sinks.changed_rows(schemas.CURRENT_STATUS, f"{root}/upserts")
+    Q.start_status_upserts(_reading_stream(spark, sf_dir), root, STREAM, write).awaitTermination()
+    rows = spark.read.parquet(f"{root}/upserts").drop("batch")
+    return L.newest(rows, "sensor_id", L.recency(rows, "last_updated")).select(*schemas.CURRENT_STATUS.names)
 
 
 LATE_SLICES = 4
@@ -277,21 +285,87 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, "avg_co2")
 
 
-def current_status_dirty_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quarantine_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What bronze kept of the damaged feed as it came, by what is wrong with it, and how much the decoder makes of it
+    in a second try."""
     root = work_root(prepare(spark))
     changes = feed.dirty_changes(feed.stream_events(spark, sf_dir))
-    Q.start_status(C.readings(changes), root, STREAM).awaitTermination()
-    return Q.status_table(root, STREAM).read(spark)
+    Q.start_bronze(changes, root, STREAM).awaitTermination()
+    kept = C.decode(Q.read_quarantine(spark, root))
+    return kept.groupBy("problem").agg(
+        F.count(F.lit(1)).alias("documents"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
+        F.count("sensor_id").alias("with_sensor"), F.count("id").alias("with_id"),
+    )
 
 
-def _land(spark: SparkSession, sf_dir: str, root: str, part: Column) -> None:
-    """Append the dense changes of some of the events to the landing folder."""
-    arrived = feed.changes(_events(spark, sf_dir).where(part), dense=True)
-    arrived.write.mode("append").parquet(f"{root}/landing")
+def current_status_dirty_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _status(prepare(spark), feed.dirty_changes(feed.stream_events(spark, sf_dir)))
+
+
+def _land(spark: SparkSession, sf_dir: str, root: str, part: Column, *, dense: bool = True, name: str = "landing") -> None:
+    """Append the changes of some of the events to a landing folder."""
+    arrived = feed.changes(_events(spark, sf_dir).where(part), dense=dense)
+    arrived.write.mode("append").parquet(f"{root}/{name}")
+
+
+def _landed(spark: SparkSession, root: str, name: str = "landing") -> DataFrame:
+    return changes_source.stream_files(spark, f"{root}/{name}")
 
 
-def _landed(spark: SparkSession, root: str) -> DataFrame:
-    return changes_source.stream_files(spark, f"{root}/landing")
+BEHIND_BY_MICROS = 60 * 60 * 1_000_000
+
+
+def avg_1m_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-minute windows of two feeds, of which one stays an hour behind the other.
+
+    Sensors 1 to 3 and 4 to 5 come by different feeds. Twice all that has come is worked off: first the readings of
+    the first half of the time, then the rest, in the second feed up to an hour before the end. Under one
+    watermark its readings would be late.
+    """
+    root = work_root(prepare(spark))
+    micros = feed.event_micros(dense=True) - F.lit(feed.EPOCH_MICROS)
+    second = F.col("user_id") % 5 >= 3
+    half, end = 2 * SLICE_MICROS, 4 * SLICE_MICROS
+    for low, high in ((0, half), (half, end)):
+        for name, own, lag in (("first", ~second, 0), ("second", second, BEHIND_BY_MICROS)):
+            from_ = low - lag if low else 0
+            _land(spark, sf_dir, root, own & (micros >= from_) & (micros < high - lag), name=name)
+        pipeline.drain({name: _landed(spark, root, name) for name in ("first", "second")}, root, STREAM)
+    rows = sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")
+    return _rounded(rows, "avg_co2")
+
+
+def alert_summary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The materialized form over the stored alerts, refreshed after each of two batches of changes."""
+    root = work_root(prepare(spark))
+    early = F.col("event_id") % 3 == 0
+    for part in (early, ~early):
+        _land(spark, sf_dir, root, part, dense=False)
+        readings = C.readings(_landed(spark, root))
+        Q.start_alerts(readings, root, STREAM).awaitTermination()
+        days.refresh_alert_summary(spark, root)
+    return days.read_alert_summary(spark, root)
+
+
+def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trend partials after three batches of changes: most of the creates, then updates and deletes of their
+    rows with creates of the same days, then what came last."""
+    root = work_root(prepare(spark))
+    step = F.col("event_id") % 20
+    last = F.col("event_id") % 100 == 57
+    for part in ((step != 0) & (step != 3) & ~last, (step == 0) | (step == 3), last):
+        _land(spark, sf_dir, root, part, dense=False)
+        Q.start_bronze(_landed(spark, root), root, STREAM).awaitTermination()
+        days.refresh_trends(spark, root)
+    return days.TREND_PARTIALS.read(spark, root)
+
+
+def daily_summary_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(V.summary_of(_partials(spark, sf_dir)), "avg_co2")
+
+
+def daily_patterns_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(V.patterns_of(_partials(spark, sf_dir)), "avg_co2")
 
 
 def hourly_with_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,13 +392,12 @@ def views_over_stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dashboard query in SQL over the tables the pipeline wrote."""
     root = work_root(prepare(spark))
     pipeline.drain(_change_stream(spark, sf_dir), root, STREAM)
-    alerts = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
-    sinks.refresh_table(V.alert_summary_hourly(alerts), f"{root}/alert_summary")
+    days.refresh_alert_summary(spark, root)
     register_stored_views(spark, root)
     return spark.sql(
         """
         SELECT h.window_end, h.location, h.readings_max, coalesce(a.alert_count, 0) AS alert_count,
-               p.rows_of_hour, s.sensors
+               p.rows_of_hour, (SELECT count(*) FROM current_co2_status) AS sensors
         FROM (SELECT window_end, location, max(max_co2) AS readings_max
               FROM co2_hourly_aggregates GROUP BY 1, 2) h
         LEFT JOIN alert_summary_hourly a
@@ -332,7 +405,6 @@ def views_over_stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         LEFT JOIN (SELECT hour(measurement_time) AS hour_of_day, location, count(*) AS rows_of_hour
                    FROM co2_measurements GROUP BY 1, 2) p
           ON p.hour_of_day = hour(h.window_end - INTERVAL 1 HOUR) AND p.location <=> h.location
-        CROSS JOIN (SELECT count(*) AS sensors FROM current_co2_status) s
         """
     )
 
@@ -360,7 +432,7 @@ def pipeline_all_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
         return sinks.read_appended(spark, table, f"{root}/{name}")
 
     minute, hourly = schemas.MINUTE_AVERAGES, schemas.HOURLY_AGGREGATES
-    status = Q.status_table(root, STREAM).read(spark)
+    status = days.read_status(spark, root)
     return (
         tagged(minute, stored(minute, "minute"), "window_end")
         .union(tagged(hourly, stored(hourly, "hourly"), "window_end"))
@@ -391,7 +463,6 @@ BATCH: dict[str, Query] = {
         daily_summary,
         daily_summary_from_changes,
         alert_summary_hourly,
-        alert_summary_refresh,
         sensor_stats_24h,
         sql_views,
     )
@@ -404,7 +475,13 @@ STREAMS: dict[str, Query] = {
         avg_1m_stream,
         hourly_stream,
         current_status_stream,
+        current_status_upserts,
         current_status_dirty_stream,
+        quarantine_by_kind,
+        alert_summary_refresh,
+        daily_summary_from_partials,
+        daily_patterns_from_partials,
+        avg_1m_two_sources,
         hourly_with_backfill,
         daily_summary_from_bronze,
         views_over_stored_tables,

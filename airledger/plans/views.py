@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..config import Rules, StreamSettings
+from ..config import Rules
 from ..operators import alerts as A, changes as C, latest as L, trends as V, windows as W
-from ..streaming import files, queries as Q, sinks
+from ..streaming import days, files, queries as Q, sinks
 
 
 def register_stored_views(
@@ -16,27 +16,29 @@ def register_stored_views(
     """The same views over what the pipeline wrote below ``root``.
 
     The base table is rebuilt from the changes in bronze, the result tables are read as stored, and
-    ``alert_summary_hourly`` is the version last refreshed, where there is one.
+    ``alert_summary_hourly``, ``daily_patterns`` and ``daily_summary`` are as last refreshed, where they were.
     """
     alerts = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
     hourly = sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly")
     measurements = C.state_of(Q.read_history(spark, root, seq_type))
-    refreshed = files.finished_versions(spark, f"{root}/alert_summary", "version")
-    status = Q.status_table(root, StreamSettings()).read(spark)
-    summary = (
-        sinks.read_refreshed(spark, f"{root}/alert_summary")
-        if refreshed
-        else V.alert_summary_hourly(alerts)
-    )
+    if files.exists(spark, days.ALERT_SUMMARY.path(root)):
+        summary = days.read_alert_summary(spark, root)
+    else:
+        summary = V.alert_summary_hourly(alerts)
+    if files.exists(spark, days.TREND_PARTIALS.path(root)):
+        partials = days.TREND_PARTIALS.read(spark, root)
+        patterns, daily = V.patterns_of(partials), V.summary_of(partials)
+    else:
+        patterns, daily = V.daily_patterns(measurements), V.daily_summary(measurements, rules)
     views = {
         "co2_measurements": measurements,
         "co2_processed": Q.read_bronze(spark, root, seq_type),
         "co2_aggregated": sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute"),
         "co2_hourly_aggregates": hourly,
         "co2_alerts": alerts,
-        "current_co2_status": status,
-        "daily_patterns": V.daily_patterns(measurements),
-        "daily_summary": V.daily_summary(measurements, rules),
+        "current_co2_status": days.read_status(spark, root, seq_type),
+        "daily_patterns": patterns,
+        "daily_summary": daily,
         "alert_summary_hourly": summary,
         "sensor_stats_24h": V.sensor_stats_24h(hourly),
     }

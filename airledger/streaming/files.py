@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 
@@ -46,16 +44,3 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _path(spark, path)
     fs.delete(target, True)
-
-
-def finished_versions(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Numbers N of the directories ``root/prefix=N`` whose write job committed, ascending."""
-    fs, target = _path(spark, root)
-    if not fs.exists(target):
-        return []
-    found = []
-    for status in fs.listStatus(target):
-        match = re.fullmatch(rf"{re.escape(prefix)}=(\d+)", status.getPath().getName())
-        if match and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(match.group(1)))
-    return sorted(found)

@@ -5,8 +5,10 @@ Outputs go to Parquet below ``root`` unless a batch writer (database table) is g
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,13 +21,46 @@ from ..sources import changes as feeds
 from . import files, sinks
 
 
-def watermarked(readings: DataFrame, settings: StreamSettings) -> DataFrame:
-    if settings.windows_from:
-        since = F.lit(settings.windows_from).cast("timestamp")
-        readings = readings.where(F.col("measurement_time") >= since)
-        if "event_date" in readings.columns:  # bronze: skip the partitions of older days
-            readings = readings.where(F.col("event_date") >= F.to_date(since))
-    return readings.withWatermark("measurement_time", settings.watermark)
+#: Several feeds: readings of each, in an order that never changes for a root.
+Feeds = DataFrame | Sequence[DataFrame]
+
+
+def merged(feeds: Feeds) -> DataFrame:
+    return feeds if isinstance(feeds, DataFrame) else reduce(DataFrame.unionByName, feeds)
+
+
+def _since(readings: DataFrame, cut: datetime | None) -> DataFrame:
+    if cut is None:
+        return readings
+    since = F.lit(cut).cast("timestamp")
+    readings = readings.where(F.col("measurement_time") >= since)
+    if "event_date" in readings.columns:  # bronze: skip the partitions of older days
+        readings = readings.where(F.col("event_date") >= F.to_date(since))
+    return readings
+
+
+def watermarked(feeds: Feeds, settings: StreamSettings, idle: frozenset[int] = frozenset()) -> DataFrame:
+    """The readings of all feeds under one watermark: that of the feed furthest behind.
+
+    Each feed has a watermark of its own and Spark goes by the least of them (``multipleWatermarkPolicy``), so a
+    feed that lags keeps its windows open. A feed in ``idle`` has none; it rides with the feed before it (or the
+    first that is not idle), so the order of the sources, which the checkpoint knows them by, stays the same.
+    """
+    feeds = [feeds] if isinstance(feeds, DataFrame) else list(feeds)
+    groups: list[list[DataFrame]] = []
+    waiting: list[DataFrame] = []
+    for number, readings in enumerate(feeds):
+        readings = _since(readings, settings.windows_from)
+        if number not in idle:
+            groups.append([*waiting, readings])
+            waiting = []
+        elif groups:
+            groups[-1].append(readings)
+        else:
+            waiting.append(readings)
+    if waiting:
+        groups.append(waiting)
+    return merged([merged(g).withWatermark("measurement_time", settings.watermark) for g in groups])
 
 
 def _start_append(
@@ -43,22 +78,24 @@ def _start_append(
 
 
 def start_minute_averages(
-    readings: DataFrame,
+    readings: Feeds,
     root: str,
     settings: StreamSettings,
     write: sinks.BatchWriter | None = None,
+    idle: frozenset[int] = frozenset(),
 ) -> StreamingQuery:
-    rows = W.minute_averages(watermarked(readings, settings))
+    rows = W.minute_averages(watermarked(readings, settings, idle))
     return _start_append(rows, schemas.MINUTE_AVERAGES, "minute", root, settings, write)
 
 
 def start_hourly(
-    readings: DataFrame,
+    readings: Feeds,
     root: str,
     settings: StreamSettings,
     write: sinks.BatchWriter | None = None,
+    idle: frozenset[int] = frozenset(),
 ) -> StreamingQuery:
-    rows = W.hourly_aggregates(watermarked(readings, settings))
+    rows = W.hourly_aggregates(watermarked(readings, settings, idle))
     return _start_append(rows, schemas.HOURLY_AGGREGATES, "hourly", root, settings, write)
 
 
@@ -73,38 +110,24 @@ def start_alerts(
     return _start_append(rows, schemas.ALERTS, "alerts", root, settings, write)
 
 
-def status_table(root: str, settings: StreamSettings, with_seq: bool = True) -> sinks.KeyedTable:
-    order = ["last_updated", "seq", "id"] if with_seq else ["last_updated", "id"]
-    return sinks.KeyedTable(
-        f"{root}/status",
-        schemas.CURRENT_STATUS,
-        order,
-        settings.snapshot_every,
-        settings.files_per_batch,
-    )
-
-
 def latest_status(readings: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Upsert stream of the latest valid reading per sensor (update mode, state never expires)."""
     return L.newest_status(readings, rules)
 
 
-def start_status(
+def start_status_upserts(
     readings: DataFrame,
     root: str,
     settings: StreamSettings,
+    write: sinks.BatchWriter,
     rules: Rules = Rules(),
-    write: sinks.BatchWriter | None = None,
 ) -> StreamingQuery:
-    target = status_table(root, settings, "seq" in readings.columns)
-    checkpoint = f"{root}/_checkpoints/status"
-    if write is None:
-        sinks.refuse_orphan(readings.sparkSession, target.root, checkpoint)
+    """Hand every changed status row to ``write``, which replaces the sensor's row by it."""
     return sinks.for_each_batch(
         latest_status(readings, rules),
-        write or target.upsert,
+        write,
         schemas.CURRENT_STATUS.name,
-        checkpoint,
+        f"{root}/_checkpoints/status",
         settings,
         mode="update",
     )
@@ -115,17 +138,49 @@ READING_COLUMNS = (
     "op string, violations string, event_date date"
 )
 HISTORY_COLUMNS = "before_id bigint, ts_ms bigint, measurement_micros bigint"
+QUARANTINE_COLUMNS = "problem string, raw string"
+
+
+#: Name of the count of readings older than the windows' cut among a bronze batch.
+BEFORE_CUT = "before_cut"
+
+
+def bronze_path(root: str, feed: str = "") -> str:
+    """A root with one unnamed feed has one bronze table, named feeds have one each."""
+    return f"{root}/bronze-{feed}" if feed else f"{root}/bronze"
+
+
+def recorded_feeds(spark: SparkSession, root: str) -> list[str]:
+    text = files.read_text(spark, f"{root}/feeds.txt")
+    return text.split("\n") if text else [""]
+
 
+def agree_on_feeds(spark: SparkSession, root: str, names: Sequence[str]) -> None:
+    """Record the names of the feeds of a root; other names later are refused, as the checkpoints of the
+    outputs know their sources by number."""
+    if any(not n.replace("_", "").isalnum() for n in names if names != [""]) or len(set(names)) < len(names):
+        raise ValueError("feeds need distinct names of letters, digits and underscores")
+    known = files.read_text(spark, f"{root}/feeds.txt")
+    begun = known is not None or files.exists(spark, bronze_path(root))
+    if begun and recorded_feeds(spark, root) != list(names):
+        raise ValueError(f"the feeds of this root are {recorded_feeds(spark, root)}, not {list(names)}")
+    if known is None and names != [""]:
+        files.write_text(spark, f"{root}/feeds.txt", "\n".join(names))
 
-def start_bronze(changes: DataFrame, root: str, settings: StreamSettings) -> StreamingQuery:
+
+def start_bronze(
+    changes: DataFrame, root: str, settings: StreamSettings, feed: str = "", cut: datetime | None = None
+) -> StreamingQuery:
     """Decode the feed once into a Parquet table partitioned by event date.
 
     All changes that name a row are kept, deletes too; readings that break a base-table constraint
-    carry the reason. Deletes lie under the date of the change. ``files_per_batch`` bounds the files
-    a batch leaves per date.
+    carry the reason. Deletes lie under the date of the change. Documents that name no row lie, as they came and
+    with what is wrong, in the partition without a date (``read_quarantine``). ``files_per_batch`` bounds the files
+    a batch leaves per date. Readings older than ``cut``, before which the windows are written and closed, are
+    kept here but come too late for them; each batch counts those it brings.
     """
     at = F.col("measurement_time")
-    rows = C.history(changes).withColumns(
+    rows = C.history(changes, quarantine=True).withColumns(
         {"measurement_micros": at, "measurement_time": times.event_time("measurement_time")}
     )
     reading = F.col("id").isNotNull()
@@ -133,24 +188,28 @@ def start_bronze(changes: DataFrame, root: str, settings: StreamSettings) -> Str
     rows = rows.withColumns(
         {
             "violations": F.when(reading, constraints.violations(schemas.MEASUREMENTS)),
-            "event_date": dated,
+            "event_date": F.when(F.col("problem").isNull(), dated),
         }
     )
+    if cut is not None:
+        late = reading & (F.col("measurement_time") < F.lit(cut).cast("timestamp"))
+        rows = rows.observe(BEFORE_CUT, F.count_if(late).alias("rows"))
     if settings.files_per_batch:
         rows = rows.repartition(settings.files_per_batch)
-    writer = (
-        rows.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{root}/bronze")
-        .partitionBy("event_date")
-    )
-    return sinks.start(
-        writer, "bronze", f"{root}/_checkpoints/bronze", settings, settings.bronze_trigger
-    )
+    path = bronze_path(root, feed)
+    writer = rows.writeStream.outputMode("append").format("parquet").option("path", path).partitionBy("event_date")
+    name = path.rpartition("/")[2]
+    return sinks.start(writer, name, f"{root}/_checkpoints/{name}", settings, settings.bronze_trigger)
 
 
 def bronze_schema(seq_type: str) -> str:
-    return f"seq {seq_type}, {READING_COLUMNS}, {HISTORY_COLUMNS}"
+    return f"seq {seq_type}, {READING_COLUMNS}, {HISTORY_COLUMNS}, {QUARANTINE_COLUMNS}"
+
+
+def stored_seq_type(spark: SparkSession, root: str) -> str:
+    """The type of ``seq`` the bronze table of a root was written with."""
+    stored = spark.read.parquet(bronze_path(root, recorded_feeds(spark, root)[0]))
+    return stored.schema["seq"].dataType.simpleString()
 
 
 def _readings_of(bronze: DataFrame) -> DataFrame:
@@ -158,31 +217,62 @@ def _readings_of(bronze: DataFrame) -> DataFrame:
     return bronze.where("id is not null").select("seq", *columns)
 
 
+def _bronze(spark: SparkSession, root: str, seq_type: str) -> list[DataFrame]:
+    reader = spark.read.schema(bronze_schema(seq_type))
+    return [
+        reader.parquet(bronze_path(root, feed)).withColumn("feed", F.lit(feed))
+        for feed in recorded_feeds(spark, root)
+    ]
+
+
 def read_history(spark: SparkSession, root: str, seq_type: str = "bigint") -> DataFrame:
-    """All changes in bronze, as ``operators.changes.history`` returns them."""
-    bronze = spark.read.schema(bronze_schema(seq_type)).parquet(f"{root}/bronze")
-    return bronze.withColumn("measurement_time", F.col("measurement_micros"))
+    """All changes in bronze, as ``operators.changes.history`` returns them, with the name of their feed."""
+    return _named(merged(_bronze(spark, root, seq_type))).withColumn("measurement_time", F.col("measurement_micros"))
+
+
+def _named(bronze: DataFrame) -> DataFrame:
+    return bronze.where(F.coalesce("id", "before_id").isNotNull()).drop("problem", "raw")
+
+
+def read_quarantine(spark: SparkSession, root: str, seq_type: str = "bigint") -> DataFrame:
+    """The documents that named no row, with what was wrong. As they have ``seq`` and ``value`` they are a feed: a
+    mended decoder reads them as it reads any other, in their old order."""
+    rows = merged(_bronze(spark, root, seq_type)).where("event_date IS NULL AND problem IS NOT NULL")
+    return rows.select("feed", "seq", F.col("raw").alias("value"), "problem")
 
 
 def read_bronze(spark: SparkSession, root: str, seq_type: str = "bigint") -> DataFrame:
     """The readings in bronze."""
-    return _readings_of(spark.read.schema(bronze_schema(seq_type)).parquet(f"{root}/bronze"))
+    return _readings_of(merged(_bronze(spark, root, seq_type)))
 
 
-def stream_bronze(
-    spark: SparkSession, root: str, seq_type: str = "bigint", max_files: int | None = None
-) -> DataFrame:
+def _bronze_streams(
+    spark: SparkSession, root: str, seq_type: str, max_files: int | None
+) -> list[DataFrame]:
     reader = spark.readStream.schema(bronze_schema(seq_type)).options(**feeds.ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _readings_of(reader.parquet(f"{root}/bronze"))
+    return [reader.parquet(bronze_path(root, feed)).withColumn("feed", F.lit(feed)) for feed in recorded_feeds(spark, root)]
+
+
+def stream_bronze(
+    spark: SparkSession, root: str, seq_type: str = "bigint", max_files: int | None = None
+) -> list[DataFrame]:
+    """The readings in bronze as streams, one per feed."""
+    return [_readings_of(s) for s in _bronze_streams(spark, root, seq_type, max_files)]
+
+
+def stream_history(spark: SparkSession, root: str, seq_type: str = "bigint") -> DataFrame:
+    """All changes as they reach bronze."""
+    return _named(merged(_bronze_streams(spark, root, seq_type, None)))
 
 
 def _passed_hour(spark: SparkSession, root: str, settings: StreamSettings, seq_type: str) -> datetime | None:
-    """The last full hour before the watermark of all bronze rows."""
+    """The last full hour before the watermark of the bronze feed furthest behind; none while one is empty."""
     last = F.max("measurement_time") - F.expr(f"INTERVAL {settings.watermark}")
     hour = times.local_time(F.date_trunc("hour", last))
-    return read_bronze(spark, root, seq_type).agg(hour.alias("hour")).first().hour
+    passed = [_readings_of(b).agg(hour.alias("hour")).first().hour for b in _bronze(spark, root, seq_type)]
+    return None if None in passed else min(passed)
 
 
 def recorded_cut(spark: SparkSession, root: str) -> datetime | None:
@@ -196,6 +286,12 @@ def backfill_done(spark: SparkSession, root: str) -> bool:
     )
 
 
+def finished_cut(spark: SparkSession, root: str) -> datetime | None:
+    """The recorded cut, once the windows before it are written."""
+    cut = recorded_cut(spark, root)
+    return cut if cut and backfill_done(spark, root) else None
+
+
 def _windows_started(spark: SparkSession, root: str) -> bool:
     return any(files.exists(spark, f"{root}/_checkpoints/{name}") for name in ("minute", "hourly"))
 

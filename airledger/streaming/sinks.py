@@ -10,7 +10,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..config import StreamSettings
 from ..operators import constraints
-from ..operators.latest import newest
 from ..schemas import Table
 from . import files
 
@@ -108,89 +107,15 @@ def for_each_batch(
     )
 
 
-class KeyedTable:
-    """Latest row per key in plain Parquet, a stand-in while no table format is at hand.
+def changed_rows(table: Table, path: str) -> BatchWriter:
+    """Write the accepted rows each batch changed to a folder of its own, which a repeated batch writes again:
+    the log of an upsert stream, for those who apply it elsewhere."""
 
-    Each micro-batch writes the rows it changed to ``changes=<batch>``; every ``snapshot_every``
-    batches the whole table is folded into ``snapshot=<batch>``. A reader takes the newest finished
-    snapshot plus the changes after it. A repeated batch rewrites its own directory with the same
-    rows, so a retry after a lost executor or driver changes nothing. Rows carry their ordering
-    columns, and an older row never replaces a newer one. Refused rows go to ``rejected/batch=<batch>``,
-    which nothing removes.
-    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        accepted = constraints.check(rows, table).where("is_valid").drop("violations", "is_valid")
+        accepted.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    def __init__(
-        self,
-        root: str,
-        table: Table,
-        order: list[str],
-        snapshot_every: int = 60,
-        files_per_batch: int | None = None,
-    ):
-        self.root = root
-        self.table = table
-        self.order = order
-        self.snapshot_every = snapshot_every
-        self.files_per_batch = files_per_batch
-
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        checked = constraints.check(rows, self.table)
-        if self.files_per_batch:
-            checked = checked.repartition(self.files_per_batch)
-        kept = checked.persist()
-        try:
-            kept.where("is_valid").write.mode("overwrite").parquet(f"{self.root}/changes={batch_id}")
-            broken = kept.where("not is_valid")
-            if not broken.isEmpty():
-                broken.write.mode("overwrite").parquet(f"{self.root}/rejected/batch={batch_id}")
-        finally:
-            kept.unpersist()
-        if batch_id and batch_id % self.snapshot_every == 0:
-            merged = self._merged(spark, below=batch_id)
-            merged.write.mode("overwrite").parquet(f"{self.root}/snapshot={batch_id}")
-            self._expire(spark, batch_id)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._merged(spark).select(*self.table.names)
-
-    def rejected(self, spark: SparkSession) -> DataFrame:
-        """All rows ever refused, with their reasons."""
-        batches = files.finished_versions(spark, f"{self.root}/rejected", "batch")
-        rows = self._load(spark, [f"{self.root}/rejected/batch={b}" for b in batches])
-        return rows.where("not is_valid").drop("is_valid")
-
-    def _load(self, spark: SparkSession, paths: list[str]) -> DataFrame:
-        if paths:
-            return spark.read.parquet(*paths)
-        extra = ", ".join(f"{c} bigint" for c in self.order if c not in self.table.names)
-        schema = sink_schema(self.table) + (f", {extra}" if extra else "")
-        return spark.createDataFrame([], schema)
-
-    def _merged(self, spark: SparkSession, below: int | None = None) -> DataFrame:
-        """Current rows; ``below`` leaves out a snapshot a failed attempt may have left behind."""
-        snapshots = [
-            v
-            for v in files.finished_versions(spark, self.root, "snapshot")
-            if below is None or v < below
-        ]
-        base = snapshots[-1] if snapshots else -1
-        later = [v for v in files.finished_versions(spark, self.root, "changes") if v > base]
-        paths = [f"{self.root}/changes={v}" for v in later]
-        if snapshots:
-            paths.append(f"{self.root}/snapshot={base}")
-        rows = self._load(spark, paths).where("is_valid")
-        return newest(rows, self.table.key, self.order)
-
-    def _expire(self, spark: SparkSession, snapshot: int) -> None:
-        """Drop what the snapshot before last already covers; running readers keep their files."""
-        kept = files.finished_versions(spark, self.root, "snapshot")[-2:]
-        if len(kept) < 2:
-            return
-        for prefix in ("snapshot", "changes"):
-            for version in files.finished_versions(spark, self.root, prefix):
-                if version < kept[0] or (prefix == "changes" and version == kept[0]):
-                    files.remove(spark, f"{self.root}/{prefix}={version}")
+    return write
 
 
 def jdbc_append(
@@ -273,22 +198,3 @@ def database_upsert(
             kept.unpersist()
 
     return write
-
-
-def refresh_table(rows: DataFrame, root: str, keep: int = 2) -> int:
-    """Write a fresh version of a materialized result and return its number.
-
-    Readers see the old version until the new one is complete.
-    """
-    spark = rows.sparkSession
-    done = files.finished_versions(spark, root, "version")
-    version = done[-1] + 1 if done else 0
-    rows.write.mode("overwrite").parquet(f"{root}/version={version}")
-    for old in (done + [version])[:-keep]:
-        files.remove(spark, f"{root}/version={old}")
-    return version
-
-
-def read_refreshed(spark: SparkSession, root: str) -> DataFrame:
-    newest_version = files.finished_versions(spark, root, "version")[-1]
-    return spark.read.parquet(f"{root}/version={newest_version}")

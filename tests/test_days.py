@@ -1,0 +1,172 @@
+"""Tables kept by day: equal to a build from scratch after any changes, and only touched days are written."""
+
+import glob
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from airledger import schemas
+from airledger.operators import changes as C, latest as L, trends as V
+from airledger.streaming import days, files, pipeline, queries as Q, sinks
+from tests.conftest import change, rows
+from tests.test_streams import SETTINGS, Landing, rounded
+
+DAY = 86_400
+
+
+@pytest.fixture
+def landing(spark, root):
+    return Landing(spark, f"{root}/landing")
+
+
+def bronze(landing, root):
+    Q.start_bronze(landing.stream(), root, SETTINGS).awaitTermination()
+
+
+def written(path):
+    """Modification times of a table's day partitions."""
+    return {os.path.basename(p): max(os.stat(f).st_mtime_ns for f in glob.glob(f"{p}/*.parquet")) for p in glob.glob(f"{path}/*=*")}
+
+
+def check(spark, root, landing):
+    state = C.table_state(landing.batch())
+    partials = days.TREND_PARTIALS.read(spark, root)
+    for made, want in ((V.summary_of(partials), V.daily_summary(state)), (V.patterns_of(partials), V.daily_patterns(state))):
+        assert rounded({"v": rows(made)}) == rounded({"v": rows(want.select(*made.columns))})
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trends_follow_any_changes(spark, root, landing, seed):
+    """Creates, updates that move a row to another day, deletes and rows created again, in several refreshes."""
+    draw = random.Random(seed)
+    alive, next_id = {}, 1
+    for _ in range(4):
+        log = []
+        for _ in range(40):
+            kind = draw.choice("cccuud") if alive else "c"
+            place, seconds, level = draw.choice(["A", "B", None]), draw.randrange(6 * DAY), draw.choice([None, 390.0, 405.5, 430.0])
+            if kind == "c":
+                id_, next_id = next_id, next_id + 1
+                if draw.random() < 0.2 and id_ > 5:
+                    id_ = draw.choice([i for i in range(1, id_ + 1) if i not in alive])
+                op = draw.choice("ccr")
+            else:
+                id_, op = draw.choice(list(alive)), kind
+            if op == "d":
+                log.append(change(id_, seconds=alive.pop(id_), op="d", ts_ms=draw.randrange(10**6)))
+                continue
+            alive[id_] = seconds
+            log.append(change(id_, level=level, seconds=seconds, place=place, op=op))
+        log += ["{broken", None]
+        landing.add(*log)
+        bronze(landing, root)
+        days.refresh_trends(spark, root)
+        check(spark, root, landing)
+
+
+def test_only_touched_days_are_written(spark, root, landing):
+    landing.add(*[change(i, seconds=i * DAY, level=400.0 + i) for i in range(1, 7)])
+    bronze(landing, root)
+    days.refresh_trends(spark, root)
+    before = written(f"{root}/trend_partials")
+    assert len(before) == 6
+    landing.add(change(9, seconds=2 * DAY + 5), change(4, seconds=5 * DAY, op="u"), change(6, op="d"))
+    bronze(landing, root)
+    days.refresh_trends(spark, root)
+    after = written(f"{root}/trend_partials")
+    assert {d for d in after if after[d] != before.get(d)} == {
+        f"measurement_date=2024-01-0{n}" for n in (3, 5, 6, 7)  # a create, an update's old and new day, a delete
+    }
+    check(spark, root, landing)
+    days.refresh_trends(spark, root)  # nothing new
+    assert written(f"{root}/trend_partials") == after
+    assert days.TREND_PARTIALS.read(spark, root).where("measurement_date = date'2024-01-07'").count() == 0
+
+
+def test_a_fresh_checkpoint_builds_the_same_table(spark, root, landing):
+    landing.add(change(1), change(2, seconds=DAY), change(1, seconds=2 * DAY, op="u"), change(2, op="d"))
+    bronze(landing, root)
+    days.refresh_trends(spark, root)
+    days.start_status(spark, root, SETTINGS).awaitTermination()
+    before = rows(days.TREND_PARTIALS.read(spark, root)), rows(days.read_status(spark, root))
+    for name in ("trend_partials", "status_days"):
+        files.remove(spark, f"{root}/_checkpoints/{name}")
+    days.refresh_trends(spark, root)
+    days.start_status(spark, root, SETTINGS).awaitTermination()
+    assert (rows(days.TREND_PARTIALS.read(spark, root)), rows(days.read_status(spark, root))) == before
+    pipeline.reset_output(spark, root, "status")
+    assert days.read_status(spark, root).count() == 0
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    assert rows(days.read_status(spark, root)) == before[1]
+
+
+def test_tables_are_empty_before_the_first_refresh(spark, root):
+    assert days.read_status(spark, root).columns == schemas.CURRENT_STATUS.names
+    for frame in (days.read_status(spark, root), days.TREND_PARTIALS.read(spark, root), days.read_alert_summary(spark, root)):
+        assert frame.count() == 0
+    days.refresh_alert_summary(spark, root)
+    assert days.read_alert_summary(spark, root).count() == 0
+
+
+def test_status_by_days_takes_the_newest_valid_reading(spark, root, landing):
+    landing.add(change(1, seconds=DAY + 100, level=401.0), change(2, seconds=50, level=499.0))
+    bronze(landing, root)
+    days.start_status(spark, root, SETTINGS).awaitTermination()
+    landing.add(
+        change(3, sensor="sensor_2", level=390.0), change(4, seconds=3 * DAY, level=None), change(5, seconds=60, level=430.0),
+        change(6, sensor="sensor_3", seconds=7), change(7, sensor="sensor_3", seconds=7, level=422.0), change(8, sensor=None),
+    )
+    bronze(landing, root)
+    before = written(f"{root}/status_days")
+    days.start_status(spark, root, SETTINGS).awaitTermination()
+    after = written(f"{root}/status_days")
+    assert {d for d in after if after[d] != before.get(d)} == {"status_date=2024-01-01", "status_date=2024-01-04"}
+    got = {r.sensor_id: (r.co2_level, r.status) for r in days.read_status(spark, root).collect()}
+    assert got == {"sensor_1": (401.0, "WARNING"), "sensor_2": (390.0, "NORMAL"), "sensor_3": (422.0, "CRITICAL")}
+    assert rows(days.read_status(spark, root)) == rows(L.current_status(C.readings(landing.batch())))
+
+
+def test_status_reads_only_the_touched_days(spark, root, landing, monkeypatch):
+    landing.add(change(1), change(2, seconds=DAY), change(3, seconds=2 * DAY))
+    bronze(landing, root)
+    plans = []
+    replace = days.DayTable.replace
+    monkeypatch.setattr(days.DayTable, "replace", lambda *a: (plans.append(a[3]._jdf.queryExecution().toString()), replace(*a))[1])
+    days.start_status(spark, root, SETTINGS).awaitTermination()
+    landing.add(change(4, seconds=DAY + 5))
+    bronze(landing, root)
+    days.start_status(spark, root, SETTINGS).awaitTermination()
+    assert "PartitionFilters" in plans[1] and "2024-01-02" in plans[1] and "2024-01-01" not in plans[1]
+
+
+def test_alert_summary_rewrites_only_days_with_new_alerts(spark, root, landing):
+    landing.add(*[change(i, seconds=i * DAY / 2, level=430.0) for i in range(6)], change(50, sensor="x" * 60, level=444.0))
+    Q.start_alerts(C.readings(landing.stream()), root, SETTINGS).awaitTermination()
+    days.refresh_alert_summary(spark, root)
+    before = written(f"{root}/alert_summary")
+    landing.add(change(7, seconds=DAY + 10, level=425.0), change(8, seconds=9 * DAY, level=390.0))
+    Q.start_alerts(C.readings(landing.stream()), root, SETTINGS).awaitTermination()
+    days.refresh_alert_summary(spark, root)
+    after = written(f"{root}/alert_summary")
+    assert len(after) == 3 and {d for d in after if after[d] != before[d]} == {"alert_date=2024-01-02"}
+    stored = sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")
+    assert rows(days.read_alert_summary(spark, root)) == rows(V.alert_summary_hourly(stored))
+
+
+def test_documents_that_name_no_row_are_kept_as_they_came(spark, root, landing):
+    broken = ["{broken", "", "  ", json.dumps({"after": {"id": 3}}), json.dumps({"payload": {"after": {"id": {"z": 1}}, "op": "c"}}),
+              json.dumps({"payload": {"op": "d"}}), "[1]", "7"]
+    landing.add(change(1), *broken, None, change(2, seconds=DAY), change(1, op="d"))
+    bronze(landing, root)
+    kept = Q.read_quarantine(spark, root).orderBy("seq").collect()
+    assert [r.value for r in kept] == broken and [r.seq for r in kept] == list(range(1, 9))
+    assert [r.problem for r in kept][:6] == [C.UNREADABLE, C.EMPTY, C.EMPTY, C.NO_PAYLOAD, C.NO_ROW, C.NO_ROW]
+    assert {r.problem for r in kept} == {C.UNREADABLE, C.EMPTY, C.NO_PAYLOAD, C.NO_ROW}
+    assert Q.read_bronze(spark, root).count() == 2 and Q.read_history(spark, root).count() == 3
+    replayed = Q.read_quarantine(spark, root).withColumn("value", F.replace("value", F.lit('{"z": 1}'), F.lit("5")))
+    assert [r.id for r in C.readings(replayed).collect()] == [5]
+    dated = spark.read.schema(Q.bronze_schema("bigint")).parquet(f"{root}/bronze").where("event_date IS NOT NULL")
+    assert dated.count() == 3

@@ -4,11 +4,12 @@ import re
 
 import pytest
 
+from airledger import schemas
 from airledger.config import DRAIN, StreamSettings
 from airledger.operators import alerts as A, changes as C, latest as L, trends as V, windows as W
 from airledger.plans import queries as named
 from airledger.sources import changes as feeds, sensor_feed
-from airledger.streaming import queries as Q
+from airledger.streaming import queries as Q, sinks
 from tests.conftest import DATA
 
 SMALL = f"{DATA}/sf0.001"
@@ -81,16 +82,18 @@ def test_thresholds_and_columns_reach_the_bronze_scan(spark, root):
     assert "ReadSchema: struct<id:bigint,sensor_id:string,co2_level:double,measurement_time:timestamp,location:string>" in text
 
 
-@pytest.mark.parametrize("name", sorted(named.BATCH))
+@pytest.mark.parametrize("name", sorted(named.BATCH) + ["views_over_stored_tables", "quarantine_by_kind"])
 def test_no_python_rows_and_no_cross_joins(spark, name):
-    text = plan(named.BATCH[name](spark, SMALL))
+    text = plan({**named.BATCH, **named.STREAMS}[name](spark, SMALL))
     assert not re.search(r"Python|ArrowEval|MapInPandas|CartesianProduct|NestedLoop", text)
 
 
 def test_streams_reduce_before_the_shuffle(spark, root, stored, capsys):
     path = stored.inputFiles()[0].rsplit("/", 1)[0]
     settings = StreamSettings(trigger=DRAIN)
-    for start, partial in ((Q.start_hourly, "partial_avg"), (Q.start_status, "partial_max")):
+    log = sinks.changed_rows(schemas.CURRENT_STATUS, f"{root}/log")
+    upserts = lambda readings, *rest: Q.start_status_upserts(readings, *rest, log)
+    for start, partial in ((Q.start_hourly, "partial_avg"), (upserts, "partial_max")):
         query = start(C.readings(feeds.stream_files(spark, path)), root, settings)
         query.awaitTermination()
         query.explain()

@@ -8,7 +8,8 @@ from airledger import schemas, session
 from airledger.__main__ import database_writers, main
 from airledger.operators import changes as C
 from airledger.sources import changes as feeds, tables
-from airledger.streaming import queries as Q, sinks
+from airledger.plans import views
+from airledger.streaming import days, queries as Q, sinks
 from airledger.config import DRAIN, StreamSettings
 from tests.conftest import change
 
@@ -148,10 +149,21 @@ def test_command_line_refreshes_the_alert_summary(spark, root):
         out.write("\n".join([change(1, level=430.0), change(2, level=431.0, seconds=4000)]))
     main(["--root", f"{root}/out", "--files", f"{root}/in", "--format", "text", "--drain"])
     main(["--root", f"{root}/out", "--refresh-alert-summary"])
-    got = sinks.read_refreshed(spark, f"{root}/out/alert_summary").collect()
+    got = days.read_alert_summary(spark, f"{root}/out").collect()
     assert sorted((r.alert_hour.hour, r.alert_count) for r in got) == [(0, 1), (1, 1)]
 
 
+def test_command_line_refreshes_the_trends(spark, root):
+    spark.createDataFrame(
+        [(1, change(1, level=430.0)), (2, change(2, level=410.0)), (3, change(2, level=390.0, op="u"))], feeds.FEED_SCHEMA
+    ).write.parquet(f"{root}/in")
+    main(["--root", f"{root}/out", "--files", f"{root}/in", "--drain"])
+    main(["--root", f"{root}/out", "--refresh-trends", "--refresh-alert-summary"])
+    views.register_stored_views(spark, f"{root}/out")
+    assert [tuple(r) for r in spark.table("daily_patterns").collect()] == [(0, "Downtown", 410.0)]
+    assert [r.alerts_count for r in spark.table("daily_summary").collect()] == [1]
+
+
 def test_several_rows_go_in_one_statement():
     text = sinks.upsert_statement(schemas.CURRENT_STATUS, "last_updated", rows=3)
     assert text.count("(%s, %s, %s, %s, %s)") == 3 and text.count("ON CONFLICT") == 1

@@ -12,7 +12,7 @@ from airledger.functions import times
 from airledger.operators import alerts as A, changes as C, latest as L, windows as W
 from airledger.sources import changes as feeds
 from airledger.sources import sensor_feed
-from airledger.streaming import files, pipeline, queries as Q, sinks
+from airledger.streaming import days, files, pipeline, queries as Q, sinks
 from tests.conftest import DATA, change, rows
 
 SETTINGS = StreamSettings(trigger=DRAIN, retry_delay_seconds=0.1)
@@ -52,8 +52,23 @@ def closed(windows, readings):
 
 
 def start_all(stream, root):
-    for start in (Q.start_minute_averages, Q.start_hourly, Q.start_alerts, Q.start_status):
+    for start in (Q.start_minute_averages, Q.start_hourly, Q.start_alerts):
         start(C.readings(stream()), root, SETTINGS).awaitTermination()
+    log_status(stream(), root)
+    Q.start_bronze(stream(), root, SETTINGS).awaitTermination()
+    days.start_status(stream().sparkSession, root, SETTINGS).awaitTermination()
+
+
+def log_status(stream, root):
+    write = sinks.changed_rows(schemas.CURRENT_STATUS, f"{root}/upserts")
+    Q.start_status_upserts(C.readings(stream), root, SETTINGS, write).awaitTermination()
+
+
+def logged_status(spark, root):
+    """What the upserts, applied in turn, leave."""
+    logged = spark.read.parquet(f"{root}/upserts")
+    last = logged.groupBy("sensor_id").agg(F.max_by(F.struct(*schemas.CURRENT_STATUS.names), "batch").alias("s"))
+    return last.select("s.*")
 
 
 def outputs(spark, root):
@@ -61,7 +76,7 @@ def outputs(spark, root):
         "minute": rows(sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")),
         "hourly": rows(sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly")),
         "alerts": rows(sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts")),
-        "status": rows(Q.status_table(root, SETTINGS).read(spark)),
+        "status": rows(days.read_status(spark, root)),
     }
 
 
@@ -91,6 +106,7 @@ def test_streams_equal_batch(spark, root, batches):
     options = {"maxFilesPerTrigger": "1"} if batches > 1 else {}
     start_all(lambda: feeds.stream_files(spark, f"{root}/in", drain=True, **options), root)
     assert rounded(outputs(spark, root)) == rounded(expected(changes))
+    assert rows(logged_status(spark, root)) == expected(changes)["status"]
 
 
 def test_pipeline_equals_batch_and_goes_on_after_a_restart(spark, root, landing):
@@ -230,10 +246,10 @@ def test_files_count_whatever_their_age(spark, root, landing):
     assert sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts").count() == 2
 
 
-@pytest.mark.parametrize("name", sorted(pipeline.OUTPUTS))
+@pytest.mark.parametrize("name", ["alerts", "hourly", "minute"])
 def test_an_output_is_rebuilt_whole_or_refused(spark, root, landing, name):
     landing.add(*[change(i, sensor=f"s{i % 3}", seconds=i * 700, level=402.0 + i) for i in range(20)])
-    settings = StreamSettings(trigger=DRAIN, snapshot_every=1)
+    settings = StreamSettings(trigger=DRAIN)
     pipeline.drain(landing.stream(), root, settings)
     landing.add(*[change(i, sensor=f"s{i % 3}", seconds=i * 700, level=402.0 + i) for i in range(20, 30)])
     pipeline.drain(landing.stream(), root, settings)
@@ -310,10 +326,7 @@ def test_output_files_do_not_follow_the_shuffle_partitions(spark, root):
     settings = StreamSettings(trigger=DRAIN, files_per_batch=1)
     readings = C.readings(feeds.stream_files(spark, f"{root}/in"))
     Q.start_minute_averages(readings, root, settings).awaitTermination()
-    Q.start_status(readings, root, settings).awaitTermination()
     assert len(glob.glob(f"{root}/minute/is_valid=true/*.parquet")) == 1
-    assert len(glob.glob(f"{root}/status/changes=0/*.parquet")) == 1
-    assert Q.status_table(root, settings).read(spark).count() == 5
 
 
 def test_recommended_session_keeps_state_in_rocksdb(spark, root, landing):
@@ -365,78 +378,18 @@ def test_older_reading_never_replaces_a_newer_one(spark, root, landing):
     landing.add(change(2, seconds=50, level=499.0), change(3, sensor="sensor_2", level=390.0))
     landing.add(change(4, seconds=200, level=None))  # refused, must not hide the good one
     stream = landing.stream(maxFilesPerTrigger="1")
-    Q.start_status(C.readings(stream), root, SETTINGS).awaitTermination()
-    got = {r.sensor_id: r.co2_level for r in Q.status_table(root, SETTINGS).read(spark).collect()}
+    log_status(stream, root)
+    got = {r.sensor_id: r.co2_level for r in logged_status(spark, root).collect()}
     assert got == {"sensor_1": 401.0, "sensor_2": 390.0}
 
 
-def status_rows(spark, data):
-    schema = (
-        "sensor_id string, co2_level double, status string, last_updated timestamp_ntz, "
-        "location string, seq bigint, id bigint"
-    )
-    day = dt.datetime(2024, 1, 1)
-    return spark.createDataFrame(
-        [(s, lvl, "NORMAL", day + dt.timedelta(seconds=t), "p", t, t) for s, lvl, t in data], schema
-    )
-
-
-def test_keyed_table_survives_retries_and_folds_snapshots(spark, root):
-    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"], 3)
-    want = {}
-    for batch in range(11):
-        data = [(f"s{batch % 4}", float(batch), batch * 10), ("late", 1.0, 100 - batch)]
-        table.upsert(status_rows(spark, data), batch)
-        if batch in (3, 4, 6):
-            table.upsert(status_rows(spark, data), batch)  # the same batch again
-        want[f"s{batch % 4}"] = (float(batch), batch * 10)
-        got = {r.sensor_id: r.co2_level for r in table.read(spark).collect()}
-        assert got == {**{k: v for k, (v, _) in want.items()}, "late": 1.0}
-    newest = table.read(spark).where("sensor_id = 'late'").first().last_updated
-    assert newest == dt.datetime(2024, 1, 1, 0, 1, 40)
-    assert files.finished_versions(spark, root, "snapshot") == [6, 9]
-    assert files.finished_versions(spark, root, "changes") == [7, 8, 9, 10]
-
-
-def test_refused_status_rows_outlive_the_snapshots(spark, root):
-    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"], 1)
-    for batch in range(6):
-        table.upsert(status_rows(spark, [("s", float(batch), batch), (f"broken{batch}", None, batch)]), batch)
-    refused = table.rejected(spark).collect()
-    assert sorted(r.sensor_id for r in refused) == [f"broken{i}" for i in range(6)]
-    assert {r.violations for r in refused} == {"co2_level is null"}
-    assert [r.co2_level for r in table.read(spark).collect()] == [5.0]
-
-
-def test_keyed_table_is_empty_before_the_first_batch(spark, root):
-    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated", "seq", "id"])
-    assert table.read(spark).columns == schemas.CURRENT_STATUS.names
-    assert table.read(spark).count() == table.rejected(spark).count() == 0
-
-
-def test_unfinished_versions_are_not_read(spark, root):
-    table = sinks.KeyedTable(root, schemas.CURRENT_STATUS, ["last_updated"], 100)
-    table.upsert(status_rows(spark, [("s", 1.0, 1)]), 0)
-    files.make_dir(spark, f"{root}/changes=1")  # no _SUCCESS
-    files.make_dir(spark, f"{root}/snapshot=1")
-    assert [r.co2_level for r in table.read(spark).collect()] == [1.0]
-
-
-def test_materialized_result_is_refreshed_explicitly(spark, root):
-    frame = spark.range(3)
-    assert [sinks.refresh_table(frame, root), sinks.refresh_table(spark.range(5), root)] == [0, 1]
-    assert sinks.read_refreshed(spark, root).count() == 5
-    sinks.refresh_table(frame, root)
-    assert files.finished_versions(spark, root, "version") == [1, 2]
-
-
 def test_failed_query_restarts_from_its_checkpoint(spark, root, landing):
     landing.add(change(1, level=430.0))
     marker = f"{root}/failed-once"
 
     def write(frame, batch_id):
-        if not files.finished_versions(spark, root, "tries"):
-            spark.range(1).write.parquet(f"{root}/tries=0")
+        if not files.exists(spark, f"{root}/tried"):
+            spark.range(1).write.parquet(f"{root}/tried")
             raise RuntimeError("first attempt")
         frame.write.mode("overwrite").parquet(f"{marker}/batch={batch_id}")
 
@@ -483,7 +436,7 @@ def test_live_pipeline_runs_until_stopped(spark, root, landing):
         import time
 
         deadline = time.time() + 60
-        while time.time() < deadline and not files.finished_versions(spark, f"{root}/status", "changes"):
+        while time.time() < deadline and not files.exists(spark, f"{root}/status_days/_SUCCESS"):
             time.sleep(0.5)
         landing.add(change(3, seconds=200, level=425.0))
         got = []
