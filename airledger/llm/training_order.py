@@ -17,6 +17,7 @@ table whose files do not change between the two passes; a mismatch raises.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -74,6 +75,28 @@ def _encoder(path: str):
     )
 
 
+#: A run of blanks so long that the library's splitter would overflow its stack on it.
+LONG_RUN = 10_000
+_BLANKS = re.compile(
+    "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN
+)
+
+
+def token_ids(encoder, text: str) -> list[int]:
+    """The ids of a text, whatever it holds.
+
+    Of a run of blanks all but the last make one piece, or all at the end of a text; so a long run is cut
+    out there and encoded as the piece it is, and the splitter sees the text around it.
+    """
+    out, at = [], 0
+    for run in _BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += encoder.encode_ordinary(text[at : run.start()])
+        out += encoder._encode_single_piece(text[run.start() : end].encode())
+        at = end
+    return out + encoder.encode_ordinary(text[at:]) if at else encoder.encode_ordinary(text)
+
+
 def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
@@ -136,7 +159,7 @@ def materialise(
                         shard.close()
                     current = number.as_py()
                     shard = _Shard(root, current, stride)
-                ids = np.array([*encoder.encode_ordinary(text.as_py()), END], dtype=KIND)
+                ids = np.array([*token_ids(encoder, text.as_py()), END], dtype=KIND)
                 rows.append((current, slot.as_py(), shard.add(ids), ids.size - 1, crc32(ids[:-1].tobytes())))
             shard_no, slot_no, first, size, check = zip(*rows) if rows else ([], [], [], [], [])
             yield pa.RecordBatch.from_arrays(

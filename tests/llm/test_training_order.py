@@ -61,3 +61,58 @@ def test_writing_again_gives_the_same_bytes(spark, root):
 
 def test_empty_table(empty, root):
     assert T.materialise(empty, root).count() == 0
+
+
+def plain_slot(number, total, key=T.KEY):
+    """The permutation written out for one number."""
+    wide = (1 << 64) - 1
+
+    def mixed(value):
+        value = (value ^ (value >> 30)) * 0xBF58476D1CE4E5B9 & wide
+        value = (value ^ (value >> 27)) * 0x94D049BB133111EB & wide
+        return value ^ (value >> 31)
+
+    half = max(1, (max(total - 1, 1).bit_length() + 1) // 2)
+    keys = [mixed(key + i * 0x9E3779B97F4A7C15 & wide) for i in range(1, T.ROUNDS + 1)]
+    while True:
+        left, right = number >> half, number & ((1 << half) - 1)
+        for round_key in keys:
+            left, right = right, left ^ (mixed(right + round_key & wide) & ((1 << half) - 1))
+        number = left << half | right
+        if number < total:
+            return number
+
+
+@pytest.mark.parametrize("total", [1, 2, 5, 1000, 4097, 123_456_789_012])
+def test_slots_equal_a_plain_feistel_network(total):
+    numbers = np.unique(np.linspace(0, total - 1, 200).astype(np.int64))
+    assert T.slots(numbers, total).tolist() == [plain_slot(n, total) for n in numbers.tolist()]
+
+
+LONG = {"blanks": " " * 10**7, "newlines": "\n" * 10**7, "letters": "a" * 10**6, "signs": "-" * 10**6}
+
+
+@pytest.mark.parametrize("name", sorted(LONG))
+def test_long_runs_are_encoded(name):
+    encoder = T._encoder(T.public_tokenizers.path(T.VOCABULARY))
+    for text in (LONG[name], f"a {LONG[name]} b", f"{LONG[name]}x{LONG[name]}"):
+        assert encoder.decode(T.token_ids(encoder, text)) == text
+
+
+def test_cut_runs_give_the_ids_of_the_library(monkeypatch):
+    """With a short limit every run is cut out; the ids are those of the library over the whole text."""
+    import random
+    import re
+
+    encoder = T._encoder(T.public_tokenizers.path(T.VOCABULARY))
+    monkeypatch.setattr(T, "_BLANKS", re.compile(T._BLANKS.pattern.replace(f"{{{T.LONG_RUN},}}", "{3,}")))
+    draw = random.Random(1)
+    parts = [" ", "  ", "\n", "\t", "　", "\x85", "\xa0", "\x1c", "word", "É", "12", "!?", "'s", "    ", "\n\n\n", "\r\n"]
+    for _ in range(3000):
+        text = "".join(draw.choices(parts, k=draw.randint(0, 12)))
+        assert T.token_ids(encoder, text) == encoder.encode_ordinary(text), repr(text)
+
+
+def test_a_text_of_blanks_goes_through_spark(spark, root):
+    frame = spark.createDataFrame([(1, " " * 10**6), (2, "a b")], "doc_id long, text string")
+    assert T.materialise(frame, f"{root}/runs").count() == 2
