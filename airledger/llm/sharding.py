@@ -3,11 +3,13 @@
 The range key of a record is a hash of its text, so equal texts are neighbours. Records are
 drawn with a chance in proportion to their size (a record as large as several draws counts as often);
 the quantiles of the drawn keys are the splitters. A key that several quantiles fall on is a group too
-large for one range: it gets a range of its own, subdivided by the quantiles of its drawn ids. The ranges are
+large for one range: it gets a range of its own, subdivided by the quantiles of a hash of its drawn ids. An id that
+repeats so often in one text that several of those quantiles fall on it (null is an id like others here) is dealt out
+in turn between their parts by the rows' places: such rows are equal, so it does not matter which goes where. The ranges are
 finer than the shards; their exact bytes are summed, and consecutive ranges go to the shard their
 middle byte falls in. Which rows are drawn only moves the splitters; every row is counted and placed.
 
-Defined cases: a null text has no bytes (size 8) and crc 0; a null id comes first in its range; ties are numbered in
+Defined cases: a null text has no bytes (size 8) and crc 0; a null id comes first in its part; ties are numbered in
 order of hash, id and size (equal rows are interchangeable); fewer rows than shards leave shards empty;
 an empty table gives an empty result; other columns are not read.
 """
@@ -42,6 +44,8 @@ def _records(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.crc32(data).alias("crc"),
         # 52 bits: quantiles are computed in doubles and must return the keys themselves.
         F.shiftrightunsigned(F.xxhash64(data), 12).alias("k"),
+        F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("long")), 12).alias("t"),
+        F.monotonically_increasing_id().alias("place"),
     )
 
 
@@ -69,9 +73,12 @@ def _below(bounds: list[int], value: Column) -> Column:
 
 def _ranged(records: DataFrame, ranges: int, total: int) -> DataFrame:
     """Add range_no (order of the key's range) and part_no (subdivision of a range of one key)."""
-    draws = F.floor(F.col("size") * F.lit(ranges * DRAWS_PER_RANGE / max(total, 1)) + _uniform("k", "id", "crc"))
+    # Equal rows are drawn together, in proportion to their number.
+    equal = records.groupBy("k", "t", "id", "size", "crc").agg(F.count("*").alias("n"))
+    rate = ranges * DRAWS_PER_RANGE / max(total, 1)
+    draws = F.floor(F.col("n") * F.col("size") * F.lit(rate) + _uniform("k", "id", "crc"))
     drawn = stored(
-        records.select("id", "k", draws.cast("int").alias("draws")).filter("draws > 0"), "splitters"
+        equal.select("k", "t", draws.cast("int").alias("draws")).filter("draws > 0"), "splitters"
     ).withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("draws"))))
     cuts = drawn.agg(_quantiles("k", ranges).alias("q")).first()["q"] or []
     heavy = {k: cuts.count(k) for k in set(cuts) if cuts.count(k) > 1}
@@ -84,13 +91,16 @@ def _ranged(records: DataFrame, ranges: int, total: int) -> DataFrame:
     inner = (
         drawn.filter(F.expr(f"k IN ({', '.join(f'{k}L' for k in heavy)})"))
         .groupBy("k")
-        .agg(F.array_distinct(_quantiles("id", max(heavy.values()) + 1)).alias("id_bounds"))
+        .agg(_quantiles("t", max(heavy.values()) + 1).alias("bounds"))
     )
-    below = F.size(F.filter("id_bounds", lambda b: b <= F.col("id")))
+    below = F.size(F.filter("bounds", lambda b: b < F.col("t")))
+    level = F.size(F.filter("bounds", lambda b: b == F.col("t")))
+    turn = F.pmod(F.xxhash64("place"), F.greatest(level, F.lit(1)))
+    part = F.when(level == 0, below).otherwise(below + 1 + turn)
     return (
         ranged.join(F.broadcast(inner), "k", "left")
-        .withColumn("part_no", F.when(F.col("id_bounds").isNull() | F.col("id").isNull(), 0).otherwise(below))
-        .drop("id_bounds")
+        .withColumn("part_no", F.when(F.col("bounds").isNull(), 0).otherwise(part).cast("int"))
+        .drop("bounds")
     )
 
 

@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from airledger.llm import sharding
@@ -57,3 +58,41 @@ def test_result_does_not_depend_on_the_order_of_rows(docs):
 
 def test_plan_runs_no_python(docs):
     assert "Python" not in sharding.shards(docs)._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("ids", ["null", "id", "7", "id % 40", "if(id % 2 = 0, null, id)"])
+def test_the_law_holds_for_ties(spark, ids):
+    """Half of all rows are one text, with null ids, one id, a few ids, or distinct ones."""
+    frame = spark.range(20_000).repartition(6).selectExpr(
+        f"cast(if(id % 2 = 0, {ids}, id) as long) AS doc_id", "if(id % 2 = 0, 'the same text', concat('text no ', id)) AS text"
+    )
+    sizes = Counter()
+    for row in placed(frame):
+        sizes[row["shard"]] += row["size"]
+    assert len(sizes) == 24 and max(sizes.values()) < 1.1 * min(sizes.values()), sizes
+
+
+def test_one_row_in_many_copies_is_dealt_out(spark):
+    frame = spark.range(30_000).selectExpr("cast(null as long) AS doc_id", "'all rows alike' AS text").repartition(5)
+    sizes = Counter(r["shard"] for r in placed(frame))
+    assert len(sizes) == 24 and max(sizes.values()) < 1.1 * min(sizes.values())
+
+
+def test_placement_equals_a_plain_version(spark):
+    """Ranges of the given splitters, filled shard by shard in their order."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = placed(frame)
+    digest = {
+        r.id: (r.k, r.id, r.size, r.crc)
+        for r in sharding._records(frame, "doc_id", "text").collect()
+    }
+    in_order = sorted(got, key=lambda r: (r["shard"], r["slot"]))
+    keys = [digest[r["doc_id"]][0] for r in in_order]
+    assert keys == sorted(keys)  # shards are ranges of the key, slots follow it
+    sizes = [r["size"] for r in in_order]
+    middle = {}
+    for place, row in enumerate(in_order):
+        middle.setdefault(row["shard"], []).append((sum(sizes[:place]) + sizes[place] / 2) * 24 / sum(sizes))
+    largest = max(sizes) * 24 / sum(sizes)
+    for shard, found in middle.items():
+        assert min(found) > shard - largest and max(found) < shard + 1 + largest
