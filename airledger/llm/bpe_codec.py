@@ -23,7 +23,8 @@ from .common import mapped, text_of
 from .token_count import run_merges
 from .word_bpe import Vocabulary, vocabulary
 
-REMEMBERED = 400_000
+REMEMBERED = 1 << 17
+REMEMBERED_CHARS = 40
 
 
 class Codec:
@@ -78,10 +79,11 @@ class Codec:
         known, words = self._words, self.vocab.words(text)
         if len(known) > REMEMBERED:
             known.clear()
+        long_ = {}
         for word in set(words):
             if word not in known:
-                known[word] = self._word(word)
-        parts = [known[w] for w in words]
+                (known if len(word) <= REMEMBERED_CHARS else long_)[word] = self._word(word)
+        parts = [known[w] if w in known else long_[w] for w in words] if long_ else [known[w] for w in words]
         ids = " ".join([p[0] for p in parts])
         decoded = " ".join([p[1] for p in parts])
         return (

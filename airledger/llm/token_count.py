@@ -3,7 +3,7 @@
 A word starts as its bytes. Adjacent pairs wait in a heap by (rank, place); the lowest is popped, its
 right symbol is unlinked, and the two new neighbours enter the heap. A word has as many tokens as it
 had symbols less the merges made; no identifier is looked up. Words repeat, so each Python worker
-remembers the counts of a bounded number of words.
+remembers the counts of a bounded number of words of bounded length.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; a special token's string inside a text
 is one token; ids may be null or repeat, every row gets its own result; other columns are not read.
@@ -22,7 +22,8 @@ from .common import binary_lengths, mapped, text_of
 from .word_bpe import Vocabulary, vocabulary
 
 OVER_LIMIT = 2048
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
+REMEMBERED_CHARS = 40
 
 
 def run_merges(symbols: list[str | None], ranks: dict[tuple[str, str], int]) -> int:
@@ -71,7 +72,9 @@ class WordCounts(dict):
 
     def __missing__(self, word: str) -> int:
         symbols = self.vocab.symbols(word)
-        count = self[word] = len(symbols) - run_merges(symbols, self.vocab.ranks)
+        count = len(symbols) - run_merges(symbols, self.vocab.ranks)
+        if len(word) <= REMEMBERED_CHARS:
+            self[word] = count
         return count
 
     def of_text(self, text: str) -> int:
