@@ -27,11 +27,17 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+ROW_GROUP_BYTES = 16 << 20
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """Write a frame below ``spark.checkpoint.dir`` and read it back: a cut that outlives executors."""
+    """Write a frame below ``spark.checkpoint.dir`` and read it back: a cut that outlives executors.
+
+    Row groups are small: a writer holds one in memory.
+    """
     spark = frame.sparkSession
     path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -65,6 +71,21 @@ def mapped(frame: DataFrame, run: Callable, schema) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def where_text(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray], max_bytes: int) -> DataFrame:
+    """The rows whose text ``keep`` accepts, columns unchanged. Only texts go to Python and only booleans come back;
+    the rows stay with Spark. ``keep`` gets texts of about ``max_bytes`` at a time, null ones as empty."""
+    ship_package(docs.sparkSession)
+
+    def kept(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([column], names=["text"])
+            parts = [keep(part.column(0)) for part in slices([batch], max_bytes, 0)]
+            yield pa.array(np.concatenate([np.empty(0, bool), *parts]), pa.bool_())
+
+    kept.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.where(F.arrow_udf(kept, "boolean")(text_of(text_col)))
+
+
 def slices(batches: Iterable[pa.RecordBatch], max_bytes: int, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text, or a single row."""
     for batch in batches:

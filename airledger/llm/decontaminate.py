@@ -25,13 +25,15 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from itertools import islice
 from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import code_points, folded, mapped, slices, text_of
+from .common import code_points, folded, mapped, slices, stored, text_of, where_text
 
 Q = 8
 RATE = 0.1
@@ -39,6 +41,8 @@ SHORTEST = 20
 BLOCK_CHARS = 1 << 20
 SLICE_BYTES = 1 << 19
 FILTER_BITS = 22
+HITS_AT_ONCE = 1 << 19
+BLOCKS_AT_ONCE = 4
 FAR = np.uint32(0x1FFFFF)  # no character: ends every text
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,6 +76,13 @@ def edit_budget(length: int, rate: float, q: int) -> int:
     return max(0, min(int(rate * length), (length - q) // q))
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys with their counts, each key once."""
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    counts = np.bincount(place, weights=np.concatenate([n for _, n in parts]), minlength=keys.size)
+    return keys, counts.astype(np.int64)
+
+
 @dataclass
 class Passages:
     """The index of one block of passages."""
@@ -117,27 +128,46 @@ class Passages:
         real = at < self.grams.size
         real[real] = self.grams[at[real]] == hashes[hits[real]]
         hits, at = hits[real], at[real]
+        if not hits.size:
+            return (np.empty(0, np.int64),) * 3
         many = self.first[at + 1] - self.first[at]
-        hits = np.repeat(hits, many)
-        inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        entry = np.repeat(self.first[at], many) + inner
-        owner = self.owner[entry]
         document = np.searchsorted(starts, hits, side="right") - 1
-        diagonal = hits - starts[document] - self.place[entry]
-        step, budget = self.step[owner], self.budget[owner]
-        band = diagonal // step
-        shared = diagonal - band * step < budget  # also in the overlap with the band before
-        document, owner = np.r_[document, document[shared]], np.r_[owner, owner[shared]]
-        band = np.r_[band, band[shared] - 1]
-        low = band.min(initial=0)
-        span, items = int(band.max(initial=0)) - int(low) + 1, len(self.texts)
-        keys, counts = np.unique((document * items + owner) * span + (band - low), return_counts=True)
+        spot = hits - starts[document]
+        # Every band of any diagonal has a place of its own in a key.
+        low = -int(max(t.size for t in self.texts)) // int(self.step.min()) - 2
+        span, items = int(spot.max()) // int(self.step.min()) + 2 - low, len(self.texts)
+        held = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        waiting = 0
+        ends = np.cumsum(many)
+        start = done = 0
+        while done < ends[-1]:
+            # So many shared q-grams at a time, at most; a single place may be split.
+            stop = int(np.searchsorted(ends, done + HITS_AT_ONCE, side="right"))
+            upto = min(done + HITS_AT_ONCE, int(ends[-1]))
+            rows = np.arange(start, min(stop + 1, ends.size))
+            first = np.maximum(done, ends[rows] - many[rows])
+            number = np.minimum(upto, ends[rows]) - first
+            rows, first, number = rows[number > 0], first[number > 0], number[number > 0]
+            inner = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+            skipped = first - (ends[rows] - many[rows])
+            entry = np.repeat(self.first[at[rows]] + skipped, number) + inner
+            owner = self.owner[entry]
+            diagonal = np.repeat(spot[rows], number) - self.place[entry]
+            step = self.step[owner]
+            band = diagonal // step
+            key = (np.repeat(document[rows], number) * items + owner) * span + (band - low)
+            shared = diagonal - band * step < self.budget[owner]  # also in the overlap with the band before
+            held.append(np.unique(np.r_[key, key[shared] - 1], return_counts=True))
+            waiting += held[-1][0].size
+            if waiting > 2 * held[0][0].size + HITS_AT_ONCE:
+                held, waiting = [_summed(held)], 0
+            start, done = stop, upto
+        keys, counts = _summed(held)
         owner = keys // span % items
         enough = counts >= self.needed[owner]
         keys, owner = keys[enough], owner[enough]
         return keys // span // items, owner, (keys % span + low) * self.step[owner]
 
-
     def search(self, documents, points, starts, every: bool) -> list[tuple[int, int, int, int, int]]:
         return verified(self, documents, self.candidates(points, starts), every)
 
@@ -342,10 +372,16 @@ def verified(
 def passage_blocks(
     benchmark: DataFrame, *, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS
 ) -> Iterator[list[tuple[int | None, str]]]:
-    """The distinct passages, a bounded number of characters at a time."""
-    text = F.trim(F.regexp_replace(F.lower(text_of(text_col)), r"(?U)\s", " "))
+    """The distinct passages, folded as documents are, a bounded number of characters at a time."""
+
+    def folded_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [fold(t.as_py()).astype("<u4").tobytes().decode("utf-32-le").strip(" ") for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+
+    picked = benchmark.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     distinct = (
-        benchmark.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+        mapped(picked, folded_texts, "id long, text string")
         .filter(F.char_length("text") > 0)
         .groupBy("text")
         .agg(F.min("id").alias("id"))
@@ -361,14 +397,15 @@ def passage_blocks(
         yield block
 
 
-def _search(parts: list[Passages | Words], column: pa.Array, every: bool = True):
-    """(document, index, passage, start, end, edits) of the regions in the documents of a batch."""
+def _search(parts: list[Passages | Words], column: pa.Array, first: int = 0, every: bool = True):
+    """(document, index, passage, start, end, edits) of the regions in the documents of a batch; indexes are
+    numbered from ``first`` on."""
     documents = [fold(t.as_py() or "") for t in column]
     points = np.concatenate([x for d in documents for x in (d, [FAR])] or [np.empty(0)]).astype(np.uint32)
     starts = np.cumsum([0, *(d.size + 1 for d in documents)])[:-1]
     return [
         (row[0], number, *row[1:])
-        for number, part in enumerate(parts) for row in part.search(documents, points, starts, every)
+        for number, part in enumerate(parts, first) for row in part.search(documents, points, starts, every)
     ]
 
 
@@ -381,20 +418,22 @@ def regions(
     schema = f"`{id_col}` long, `{item_col}` long, start long, end long, edits int"
     picked = docs.select(F.col(id_col).cast("long").alias(id_col), text_of(text_col).alias("text"))
     found = [spark.createDataFrame([], schema)]
-    for block in passage_blocks(benchmark, id_col=item_col, text_col="text", block_chars=block_chars):
-        shared = spark.sparkContext.broadcast(indexes(block, rate))
+    for parts in _shared_indexes(spark, benchmark, item_col, rate, block_chars):
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            parts = shared.value
+        def run(batches: Iterable[pa.RecordBatch], parts=parts) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, SLICE_BYTES):
-                rows = sorted(_search(parts, batch.column(1)))
+                rows, passages = [], []
+                for block in parts:
+                    rows += _search(block.value, batch.column(1), len(passages))
+                    passages += block.value
                 if not rows:
                     continue
+                rows.sort()
                 at = [r[0] for r in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(at, pa.int64())),
-                        pa.array([parts[r[1]].ids[r[2]] for r in rows], pa.int64()),
+                        pa.array([passages[r[1]].ids[r[2]] for r in rows], pa.int64()),
                         pa.array([r[3] for r in rows], pa.int64()),
                         pa.array([r[4] for r in rows], pa.int64()),
                         pa.array([r[5] for r in rows], pa.int32()),
@@ -406,21 +445,38 @@ def regions(
     return reduce(DataFrame.unionByName, found[1:] or found)
 
 
+def _shared_indexes(
+    spark: SparkSession, benchmark: DataFrame, item_col: str, rate: float, block_chars: int
+) -> Iterator[list[Broadcast]]:
+    """The blocks' indexes, as many at a time as one worker holds."""
+    blocks = passage_blocks(benchmark, id_col=item_col, text_col="text", block_chars=block_chars)
+    while some := list(islice(blocks, BLOCKS_AT_ONCE)):
+        yield [spark.sparkContext.broadcast(indexes(block, rate)) for block in some]
+
+
 def clean(
     docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
     rate: float = RATE, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """The documents that hold no passage, columns unchanged."""
-    spark, schema, place = docs.sparkSession, docs.schema, docs.columns.index(text_col)
-    for block in passage_blocks(benchmark, id_col=item_col, text_col="text", block_chars=block_chars):
-        shared = spark.sparkContext.broadcast(indexes(block, rate))
-
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            parts = shared.value
-            for batch in slices(batches, SLICE_BYTES, place):
-                keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[r[0] for r in _search(parts, batch.column(place), every=False)]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = mapped(docs, run, schema)
-    return docs
+    """The documents that hold no passage, columns unchanged.
+
+    A pass over the documents searches ``BLOCKS_AT_ONCE`` blocks of passages, one after the other in the same worker; a long
+    benchmark takes several passes, each over what the one before kept and stored.
+    """
+    last = None
+    for parts in _shared_indexes(docs.sparkSession, benchmark, item_col, rate, block_chars):
+
+        def holds_none(column: pa.Array, parts=parts) -> np.ndarray:
+            kept = np.ones(len(column), dtype=bool)
+            for block in parts:
+                open_ = np.flatnonzero(kept)
+                if not open_.size:
+                    break
+                found = _search(block.value, column.take(pa.array(open_)), every=False)
+                kept[open_[[r[0] for r in found]]] = False
+            return kept
+
+        if last is not None:
+            docs = stored(last, "clean")
+        last = where_text(docs, text_col, holds_none, SLICE_BYTES)
+    return docs if last is None else last

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import code_points, held_out, letters, mapped, slices, text_of
+from .common import code_points, held_out, letters, mapped, slices, text_of, where_text
 from .sampling import labelled_sample
 
 FOLDS, HELD_OUT = 4, 2
@@ -40,6 +40,8 @@ LONGEST = 3
 RIDGE = 1e-2
 SHARPNESS = 8.0
 UNKNOWN = "und"
+#: The sample comes to the driver and the model to every executor; both grow with the languages.
+MOST_LANGUAGES = 2000
 
 SLICE_BYTES = 1 << 20
 ROWS_AT_ONCE = 256
@@ -91,10 +93,6 @@ class Model:
         own = np.sqrt(np.maximum(rows.sum(axis=1, dtype=np.float32), 1))
         return rows[:, self.columns].astype(np.float32) @ self.landmarks / own[:, None]
 
-    def least_score(self, over_chance: float) -> float:
-        """The score of a guess between the languages, times a margin; 0 for a single language."""
-        return over_chance / len(self.languages) if len(self.languages) > 1 else 0.0
-
     def classify(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         rows = presence(texts)
         empty = ~rows.any(axis=1)
@@ -155,6 +153,8 @@ def train(
         F.col(lang_col).cast("string").alias("label"), text_of(text_col).alias("text")
     )
     languages = rows.select(F.count_distinct("label")).first()[0]
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"{languages} languages are more than a model of {MOST_LANGUAGES} takes")
     rows = rows.filter(F.char_length("text") > 0).select(
         "label", F.substring("text", 1, max_chars).alias("text"), (F.char_length("text") > max_chars).alias("long")
     )
@@ -165,9 +165,9 @@ def train(
     return fit([r["text"] for r in sample], [r["label"] for r in sample])
 
 
-def _classified(model: Model, batch: pa.RecordBatch, column: int):
-    """(names, scores) of a batch, a bounded number of texts at a time."""
-    texts = [t.as_py() or "" for t in batch.column(column)]
+def _classified(model: Model, column: pa.Array):
+    """(names, scores) of the texts, a bounded number at a time."""
+    texts = [t.as_py() or "" for t in column]
     names, scores = [], [np.zeros(0)]
     for start in range(0, len(texts), ROWS_AT_ONCE):
         name, score = model.classify(texts[start : start + ROWS_AT_ONCE])
@@ -184,7 +184,7 @@ def predict(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, SLICE_BYTES):
-            names, scores = _classified(shared.value, batch, 1)
+            names, scores = _classified(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(names, pa.string()), pa.array(scores)],
                 names=[id_col, "held_out", "lang_pred", "score"],
@@ -198,26 +198,17 @@ def predict(
     return mapped(picked, run, f"`{id_col}` long, held_out boolean, lang_pred string, score double")
 
 
-def identified(
-    docs: DataFrame, model: Model, *, text_col: str = "text", over_chance: float = 1.0
-) -> DataFrame:
-    """The rows whose text has a known language, columns unchanged.
+def identified(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a known language, as ``predict`` tells it; columns unchanged.
 
-    A score below ``over_chance`` times that of a guess between the languages counts as unknown.
     A text without letters goes. Without any learned language only those texts go.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place, schema = docs.columns.index(text_col), docs.schema
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, SLICE_BYTES, place):
-            own = shared.value
-            if own.languages:
-                names, scores = _classified(own, batch, place)
-                least = own.least_score(over_chance)
-                keep = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
-            else:
-                keep = [bool(letters()[code_points(t.as_py() or "")].any()) for t in batch.column(place)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return mapped(docs, run, schema)
+    def known(column: pa.Array) -> np.ndarray:
+        if not shared.value.languages:
+            return np.array([bool(letters()[code_points(t.as_py())].any()) for t in column], dtype=bool)
+        names, _ = _classified(shared.value, column)
+        return np.array([name != UNKNOWN for name in names], dtype=bool)
+
+    return where_text(docs, text_col, known, SLICE_BYTES)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, mapped, text_of
+from .common import held_out, mapped, slices, stored, text_of, where_text
 from .sampling import labelled_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -43,7 +43,9 @@ HIDDEN = 24
 STEPS = 400
 RATE = 0.01
 DECAY = 1e-3
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
+REMEMBERED_CHARS = 40
+SLICE_BYTES = 1 << 20
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
@@ -62,7 +64,9 @@ class TokenCodes(dict):
     """Token -> place of its lower-case form and its shape, in one number."""
 
     def __missing__(self, token: str) -> int:
-        code = self[token] = (crc32(token.lower()[:64].encode()) % PLACES) * SHAPES + 2 * _shape(token)
+        code = (crc32(token.lower().encode()) % PLACES) * SHAPES + 2 * _shape(token)
+        if len(token) <= REMEMBERED_CHARS:
+            self[token] = code
         return code
 
 
@@ -232,31 +236,37 @@ def train(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", per_class: int = PER_CLASS, max_chars: int = MAX_CHARS,
 ) -> Model:
-    """Learn from a bounded sample of labelled rows outside the held-out fold."""
+    """Learn from a bounded sample of labelled documents outside the held-out fold.
+
+    Drawn are ids with a label and a document, ``per_class`` of each label or all there are, however often a row repeats and
+    whatever else is labelled. Texts over ``max_chars`` serve where a label has too few others. Of several texts of
+    an id the least short one in code-point order counts.
+    """
     known = (
         labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .filter(~held_out(id_col, FOLDS, HELD_OUT))
         .groupBy(F.col(id_col).cast("long").alias("id"))
         .agg(F.min(F.col(label_col).cast("int")).alias("label"))
     )
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    picked = labelled_sample(known, "label", ["id"], per_label=per_class, max_labels=2, carry=["id"])
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    texts = texts.withColumn("long", F.char_length("text") > max_chars)
+    there = stored(
+        texts.groupBy("id").agg(F.min("long").alias("long")).join(known, "id").select("id", "label", "long"), "labelled"
+    )
+    counts = {r["label"]: r["count"] for r in there.groupBy("label").count().collect()}
+    picked = labelled_sample(there, "label", ["id"], per_label=per_class, max_labels=2, carry=["id"], later=F.col("long"))
     if not picked:
         return fit([], [])
     # At most 2 * per_class ids: small enough for every executor.
     ids = F.broadcast(
         docs.sparkSession.createDataFrame([(r["id"], r["label"]) for r in picked], "id long, label int")
     )
-    texts = (
-        docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-        .filter(F.char_length("text") <= max_chars)
-        .join(ids, "id")
-        .orderBy(F.xxhash64("id"), "id", "text")
-        .limit(2 * per_class)
-        .collect()
+    sample = (
+        texts.join(ids, "id").groupBy("id", "label").agg(F.min(F.struct("long", "text")).alias("best"))
+        .orderBy(F.xxhash64("id"), "id").select("label", "best.text").collect()
     )
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return fit([r["text"] for r in texts], [r["label"] for r in texts], share)
+    share = counts.get(1, 0) / sum(counts.values())
+    return fit([r["text"] for r in sample], [r["label"] for r in sample], share)
 
 
 def predict(
@@ -267,7 +277,7 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, SLICE_BYTES):
             scores = shared.value.scores([t.as_py() for t in batch.column(1)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -292,11 +302,8 @@ def good_enough(
 ) -> DataFrame:
     """The rows that score at least the threshold, columns unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place, schema = docs.columns.index(text_col), docs.schema
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = shared.value.scores([t.as_py() or "" for t in batch.column(place)])
-            yield batch.filter(pa.array(scores >= threshold))
+    def good(column: pa.Array) -> np.ndarray:
+        return shared.value.scores([t.as_py() for t in column]) >= threshold
 
-    return mapped(docs, run, schema)
+    return where_text(docs, text_col, good, SLICE_BYTES)

@@ -214,3 +214,55 @@ def test_the_budget_is_a_tenth_for_every_length(spark, size):
     frame = spark.createDataFrame([(1, "- " + within + " -"), (2, "- " + worst + " -")], "doc_id bigint, text string")
     benchmark = spark.createDataFrame([(3, passage)], "item_id bigint, text string")
     assert [(r.doc_id, r.edits) for r in D.regions(frame, benchmark).collect()] == [(1, k)]
+
+
+def test_runs_of_one_character_stay_small():
+    """Every place of a ruler shares its q-grams with every place of a table line; they are counted in pieces."""
+    import tracemalloc
+
+    passages = D.Passages.build([(1, "-" * 300), (2, "=" * 40 + " and some words " + "=" * 40)], D.RATE)
+    text = D.fold("-" * 500_000 + " end")
+    points = np.append(text, D.FAR).astype(np.uint32)
+    tracemalloc.start()
+    found = passages.candidates(points, np.array([0]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20 and set(found[1].tolist()) == {0}
+    assert found[2].min() <= 0 and found[2].max() >= 499_000 // int(passages.step[0]) * int(passages.step[0])
+
+
+@pytest.mark.parametrize("at_once", [7, 100, 1 << 19])
+def test_pieces_count_like_the_whole(monkeypatch, at_once):
+    monkeypatch.setattr(D, "HITS_AT_ONCE", at_once)
+    draw = random.Random(at_once)
+    items = [(i, t) for i, t in enumerate([prose(draw, 30), "ab" * 30, "-" * 50, prose(draw, 20)]) if len(t) >= 20]
+    docs = [prose(draw, 60), "x" + "-" * 120 + "y", "ab" * 80, items[0][1] + " " + items[-1][1], ""]
+    passages, found = searched(items, docs)
+    for d, text in enumerate(docs):
+        for o, (_, passage) in enumerate(items):
+            assert ((d, o) in found) == (edits_in(passage, text) <= passages.budget[o] and bool(text)), (d, o)
+
+
+def test_passages_and_documents_are_folded_alike(spark):
+    """Greek capitals with a final sigma, a dotted capital I, wide blanks: a passage is found in its own text."""
+    texts = ["ΟΔΟΣ ΑΒΓΔ", "ΠΟΙΟΣ ΕΙΝΑΙ Ο ΤΡΟΠΟΣ ΤΗΣ ΠΟΛΕΩΣ ΑΥΤΗΣ", "İZMİR", "İSTANBUL'DA İYİ BİR GÜN GEÇİRMEK İÇİN NE YAPILIR",
+             "STRAẞE  UND ǅ WORTE SIND ES DOCH AUCH", "ﬁne ﬂour ΑΣ"]
+    benchmark = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"vorher {t} nachher") for i, t in enumerate(texts)] + [(99, "nichts davon")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.regions(docs, benchmark).collect()}
+    assert got == {(i, i) for i in range(len(texts))}
+    assert [r.doc_id for r in D.clean(docs, benchmark).collect()] == [99]
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 99])
+def test_many_blocks_of_passages(spark, monkeypatch, at_once):
+    monkeypatch.setattr(D, "BLOCKS_AT_ONCE", at_once)
+    draw = random.Random(4)
+    items = [(i, prose(draw, 25) + f" number {i}") for i in range(10)]
+    docs = [(i, f"{prose(draw, 20)} {items[i % 10][1]} {items[(i + 3) % 10][1]}" if i % 3 else prose(draw, 40)) for i in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    whole = {tuple(r) for r in D.regions(frame, benchmark).collect()}
+    assert {tuple(r) for r in D.regions(frame, benchmark, block_chars=60).collect()} == whole
+    kept = sorted(r.doc_id for r in D.clean(frame, benchmark, block_chars=60).collect())
+    assert kept == sorted({i for i, _ in docs} - {r[0] for r in whole}) == [i for i in range(0, 60, 3)]

@@ -80,7 +80,7 @@ def test_language_of_odd_rows(odd, empty, tongue):
 
 
 def test_language_filter_keeps_documents(corpus, tongue):
-    assert language.identified(corpus, tongue, over_chance=1.1).count() == corpus.count()
+    assert language.identified(corpus, tongue).count() == corpus.count()
 
 
 def test_quality_of_held_out_documents(corpus, labels, judge):
@@ -190,3 +190,45 @@ def test_a_language_of_long_texts_is_learned(spark):
         got = labelled_sample(label, "label", ["text"], per_label=wanted, max_labels=None, carry=["text"], later=F.col("long"))
         sizes = [len(r.text) > 20_000 for r in got if r.label == "en"]
         assert len(sizes) == min(wanted, 220) and sum(sizes) == long and sizes == sorted(sizes)
+
+
+def test_quality_learns_from_labelled_documents_whatever_else_is_labelled(spark, corpus, labels, judge):
+    foreign = spark.range(400_000).selectExpr("id + 10000000 AS doc_id", "cast(id % 2 as int) AS quality")
+    model = quality.train(corpus, labels.select("doc_id", "quality").unionByName(foreign))
+    texts = [r.text for r in corpus.limit(50).collect()]
+    assert np.allclose(model.scores(texts), judge.scores(texts))
+
+
+def test_repeated_rows_are_learned_from_once(spark, corpus, labels, judge):
+    many = corpus.select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.lit(30))).alias("copy"))
+    texts = [r.text for r in corpus.limit(50).collect()]
+    assert np.allclose(quality.train(many, labels).scores(texts), judge.scores(texts))
+
+
+def test_long_texts_serve_where_a_class_has_no_others(spark):
+    rows = [(i, "good words make a text of sentences " * 900, 1) for i in range(60)]
+    rows += [(100 + i, "%%% ### buy now $$$ 111 " * 5, 0) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert len(rows[0][1]) > quality.MAX_CHARS
+    model = quality.train(frame.select("doc_id", "text"), frame.select("doc_id", "quality"))
+    good, bad = model.scores([rows[0][1], rows[-1][1]])
+    assert good > 0.7 > 0.3 > bad
+
+
+def test_tokens_alike_at_their_start_differ():
+    first, second = (quality.token_codes("x" * 100 + end)[0][0] for end in "ab")
+    assert first != second
+
+
+def test_network_equals_a_plain_forward_pass(judge):
+    texts = ["Some plain words of a text.", "### $$$ 111", ""]
+    rows = np.stack([judge.vectors.pool(t) for t in texts])
+    assert judge.scores(texts).shape == (3,) and np.allclose(judge.scores(texts), judge.scores(texts[::-1])[::-1])
+    assert rows.shape[1] == 2 * quality.WIDTH
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 5)
+    frame = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(40)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        language.train(frame)
