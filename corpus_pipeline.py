@@ -15,12 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from airledger.llm import bpe_codec, decontaminate, language, quality, simhash
 from airledger.llm.common import stored, table
 
-# No score is too low: the language stage rejects exactly what op9 marks as unknown.
-OVER_CHANCE = 0.0
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.identified(docs, language.train(docs), over_chance=OVER_CHANCE)
+    return language.identified(docs, language.train(docs))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
