@@ -17,7 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
@@ -58,6 +58,12 @@ class DayTable:
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(root))
 
 
+def _day() -> Column:
+    """The day of a streamed reading. A stream that began over an empty bronze table knows no partition columns and
+    reads ``event_date`` as null, so the time itself is asked."""
+    return F.to_date("measurement_time").alias("day")
+
+
 def _follow(
     rows: DataFrame, table: DayTable, touched: Touched, build: Build, root: str, settings: StreamSettings
 ) -> StreamingQuery:
@@ -95,7 +101,7 @@ def start_trends(
     no_create = ~F.col("op").eqNullSafe("c")
 
     def touched(batch: DataFrame) -> DataFrame:
-        readings = batch.where("id IS NOT NULL").select(F.col("event_date").alias("day"))
+        readings = batch.where("id IS NOT NULL").select(_day())
         changed = batch.where(no_create).select("feed", F.coalesce("id", "before_id").alias("id")).distinct()
         before = Q.read_history(batch.sparkSession, root, seq_type).where("id IS NOT NULL")
         return readings.unionByName(
@@ -123,7 +129,7 @@ def start_status(
     """Keep the newest valid reading of each sensor and day."""
 
     def touched(batch: DataFrame) -> DataFrame:
-        return batch.select(F.col("event_date").alias("day"))
+        return batch.select(_day())
 
     def build(session: SparkSession, days: list[date]) -> DataFrame:
         readings = Q.read_bronze(session, root, seq_type).where(F.col("event_date").isin(days))

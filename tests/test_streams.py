@@ -436,7 +436,7 @@ def test_live_pipeline_runs_until_stopped(spark, root, landing):
         import time
 
         deadline = time.time() + 60
-        while time.time() < deadline and not files.exists(spark, f"{root}/status_days/_SUCCESS"):
+        while time.time() < deadline and not files.exists(spark, f"{root}/status_days"):
             time.sleep(0.5)
         landing.add(change(3, seconds=200, level=425.0))
         got = []
