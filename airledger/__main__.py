@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
         help="one of several feeds, a topic with --servers and a directory without; each has its own watermark",
     )
     parser.add_argument("--idle-after", type=float, help="seconds after which a silent feed is not waited for")
-    parser.add_argument("--format", choices=("parquet", "text"), default="parquet")
+    parser.add_argument("--format", choices=("parquet", "text", "ordered-text"), default="parquet")
     parser.add_argument("--option", action="append", default=[], help="source option key=value")
     parser.add_argument("--partitions", type=int, help="shuffle partitions, fixed at first start")
     parser.add_argument("--files-per-batch", type=int, help="output files per batch and table")

@@ -109,9 +109,10 @@ def history(changes: DataFrame, *, quarantine: bool = False) -> DataFrame:
 
 
 def _check_order(changes: DataFrame) -> None:
-    """Changes of one row need an order of arrival; lines of a text file have none."""
+    """Changes of one row need an order of arrival; lines of a plain text file have none."""
     found = changes.schema["seq"].dataType if "seq" in changes.columns else None
-    if found is None or "file_path" in getattr(found, "names", []):
+    names = getattr(found, "names", [])
+    if found is None or "file_path" in names and "line" not in names:
         raise ValueError("the table state needs a feed whose seq orders the changes of a row")
 
 

@@ -158,12 +158,16 @@ def oracle_sql() -> dict[str, str]:
         "sql_views": f"""
             WITH {raw},
             s AS (SELECT CAST(measurement_time AS DATE) AS measurement_date, location,
-                    max(co2_level) AS max_co2, count(*) FILTER (WHERE co2_level > 400) AS alerts_count
+                    max(co2_level) AS max_co2, avg(co2_level) AS avg_co2, count(*) FILTER (WHERE co2_level > 400) AS alerts_count
                   FROM m GROUP BY 1, 2),
             a AS (SELECT CAST(alert_time AS DATE) AS alert_date, location, count(*) AS stream_alerts
                   FROM ({_ALERTS}) GROUP BY 1, 2)
             SELECT s.measurement_date, s.location, s.alerts_count,
-                   coalesce(a.stream_alerts, 0) AS stream_alerts, round(s.max_co2, 9) AS max_co2
+                   coalesce(a.stream_alerts, 0) AS stream_alerts, round(s.max_co2, 9) AS max_co2,
+                   CASE WHEN max_co2 > 420 THEN 'CRITICAL' WHEN max_co2 > 400 THEN 'WARNING' ELSE 'NORMAL' END AS peak_status,
+                   CASE WHEN avg_co2 > 420 THEN 'High Warning' WHEN avg_co2 > 400 THEN 'Warning' ELSE 'Normal' END AS usual_label,
+                   CASE WHEN max_co2 > 420 THEN 'High CO2 Level Detected' WHEN max_co2 > 400 THEN 'Elevated CO2 Level Detected'
+                        END AS peak_message
             FROM s LEFT JOIN a ON a.alert_date = s.measurement_date
                 AND a.location IS NOT DISTINCT FROM s.location""",
         "current_status_dirty": f"WITH {_DIRTY}, {_VALID} {_STATUS}",

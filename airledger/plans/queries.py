@@ -177,13 +177,15 @@ def sensor_stats_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dashboard query in SQL over the registered views."""
+    """A dashboard query in SQL over the registered views, with the registered functions."""
     events = _events(spark, sf_dir)
     register_views(feed.measurements(events), feed.changes(events, dense=False))
     return spark.sql(
         """
         SELECT s.measurement_date, s.location, s.alerts_count,
-               coalesce(a.stream_alerts, 0) AS stream_alerts, round(s.max_co2, 9) AS max_co2
+               coalesce(a.stream_alerts, 0) AS stream_alerts, round(s.max_co2, 9) AS max_co2,
+               co2_status(s.max_co2) AS peak_status, co2_feed_label(s.avg_co2) AS usual_label,
+               CASE WHEN is_co2_alert(s.max_co2) THEN co2_alert_message(s.max_co2) END AS peak_message
         FROM daily_summary s
         LEFT JOIN (SELECT CAST(alert_hour AS DATE) AS alert_date, location,
                      sum(alert_count) AS stream_alerts

@@ -4,12 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import schemas
+from .. import config, schemas
 from ..config import Rules
 from ..operators import alerts as A, changes as C, latest as L, trends as V, windows as W
 from ..streaming import days, files, queries as Q, sinks
 
 
+def register_functions(spark: SparkSession, rules: Rules = Rules()) -> list[str]:
+    """The threshold rules as temporary SQL functions of a level. Spark replaces a call by the expression, so filters
+    on it reach the scan like any other."""
+
+    def graded(critical: str, warning: str, normal: str) -> str:
+        return (
+            f"CASE WHEN level > {rules.critical}D THEN '{critical}' WHEN level > {rules.warning}D THEN '{warning}' "
+            f"ELSE '{normal}' END"
+        )
+
+    bodies = {
+        "co2_status": ("STRING", graded(config.STATUS_CRITICAL, config.STATUS_WARNING, config.STATUS_NORMAL)),
+        "co2_feed_label": ("STRING", graded(config.FEED_CRITICAL, config.FEED_WARNING, config.FEED_NORMAL)),
+        "is_co2_alert": ("BOOLEAN", f"level > {rules.warning}D"),
+        "co2_alert_message": (
+            "STRING",
+            f"CASE WHEN level > {rules.critical}D THEN '{config.MESSAGE_CRITICAL}' ELSE '{config.MESSAGE_WARNING}' END",
+        ),
+    }
+    for name, (kind, body) in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(level DOUBLE) RETURNS {kind} RETURN {body}")
+    return list(bodies)
+
+
 def register_stored_views(
     spark: SparkSession, root: str, *, seq_type: str = "bigint", rules: Rules = Rules()
 ) -> list[str]:
@@ -44,6 +68,7 @@ def register_stored_views(
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
+    register_functions(spark, rules)
     return list(views)
 
 
@@ -55,7 +80,7 @@ def register_views(
     alerts: DataFrame | None = None,
     rules: Rules = Rules(),
 ) -> list[str]:
-    """Create the temporary views and return their names; nothing runs until one is queried.
+    """Create the temporary views and functions and return the views' names; nothing runs until one is queried.
 
     Pass stored ``hourly`` and ``alerts`` tables to read those instead of deriving them from the
     feed on every query.
@@ -77,4 +102,5 @@ def register_views(
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
+    register_functions(changes.sparkSession, rules)
     return list(views)

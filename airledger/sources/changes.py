@@ -62,10 +62,23 @@ def _with_file_order(lines: DataFrame) -> DataFrame:
     )
 
 
+def _with_line_order(files: DataFrame) -> DataFrame:
+    """Lines of whole files: ordered by age of the file and line, so changes of a row may share a file.
+
+    A file is one record here, so it has to fit a task's memory; plain text has no such bound and no such order.
+    """
+    whole = files.where("value <> ''").select(
+        F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file_path"),
+        F.posexplode(F.split(F.regexp_replace("value", "(\\r\\n|\\r|\\n)$", ""), "\\r\\n|\\r|\\n")).alias("line", "value"),
+    )
+    return whole.select(F.struct("file_time", "file_path", "line").alias("seq"), "value")
+
+
 def stream_files(
     spark: SparkSession, path: str, fmt: str = "parquet", *, drain: bool = False, **options: str
 ) -> DataFrame:
-    """A directory that grows: Parquet with (seq, value), or text with one envelope per line.
+    """A directory that grows: Parquet with (seq, value), or text with one envelope per line (``ordered-text`` keeps
+    the order of the lines, see ``_with_line_order``).
 
     Files count whatever their age. ``drain`` is as for the topic.
     """
@@ -73,6 +86,8 @@ def stream_files(
     reader = spark.readStream.options(**{**ANY_AGE, **options})
     if fmt == "text":
         return _with_file_order(reader.text(path))
+    if fmt == "ordered-text":
+        return _with_line_order(reader.text(path, wholetext=True))
     return reader.schema(FEED_SCHEMA).parquet(path)
 
 
@@ -80,4 +95,6 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     reader = spark.read.options(**options)
     if fmt == "text":
         return _with_file_order(reader.text(path))
+    if fmt == "ordered-text":
+        return _with_line_order(reader.text(path, wholetext=True))
     return reader.schema(FEED_SCHEMA).parquet(path)

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from airledger import schemas, session
 from airledger.__main__ import database_writers, main
@@ -10,7 +11,8 @@ from airledger.operators import changes as C
 from airledger.sources import changes as feeds, tables
 from airledger.plans import views
 from airledger.streaming import days, queries as Q, sinks
-from airledger.config import DRAIN, StreamSettings
+from airledger.config import DRAIN, Rules, StreamSettings
+from airledger.functions import rules as R
 from tests.conftest import change
 
 
@@ -177,3 +179,33 @@ def test_table_state_wants_an_order(spark, root):
         C.table_state(feeds.read_files(spark, f"{root}/in", "text"))
     with pytest.raises(ValueError, match="seq"):
         C.table_state(spark.createDataFrame([(change(1),)], "value string"))
+
+
+def test_ordered_text_gives_changes_of_one_file_an_order(spark, root):
+    os.mkdir(f"{root}/in")
+    with open(f"{root}/in/a.json", "w") as out:
+        out.write("\r\n".join([change(1, level=430.0), change(2), "", change(1, level=401.0, op="u"), change(2, op="d")]) + "\r\n")
+    open(f"{root}/in/empty.json", "w").close()
+    batch = feeds.read_files(spark, f"{root}/in", "ordered-text")
+    assert [r.seq.line for r in batch.orderBy("seq").collect()] == [0, 1, 2, 3, 4]
+    assert [(r.id, r.co2_level) for r in C.table_state(batch).collect()] == [(1, 401.0)]
+    with open(f"{root}/in/b.json", "w") as out:
+        out.write(change(1, level=402.0, op="u"))
+    os.utime(f"{root}/in/b.json", (4_000_000_000, 4_000_000_000))
+    main(["--root", f"{root}/out", "--files", f"{root}/in", "--format", "ordered-text", "--drain"])
+    seq = Q.stored_seq_type(spark, f"{root}/out")
+    state = C.state_of(Q.read_history(spark, f"{root}/out", seq)).collect()
+    assert [(r.id, r.co2_level) for r in state] == [(1, 402.0)]
+    main(["--root", f"{root}/out", "--refresh-trends"])
+    assert [r.total for r in days.TREND_PARTIALS.read(spark, f"{root}/out").collect()] == [402.0]
+
+
+def test_rules_as_sql_functions(spark):
+    try:
+        assert views.register_functions(spark, Rules(warning=10.0, critical=20.0))
+        got = spark.sql("SELECT co2_status(x), co2_feed_label(x), is_co2_alert(x), co2_alert_message(x) FROM VALUES (10D), (20D), (20.5D), (NULL) AS t(x)")
+        want = spark.createDataFrame([(10.0,), (20.0,), (20.5,), (None,)], "x double").select(
+            *[f(F.col("x"), Rules(10.0, 20.0)) for f in (R.status, R.feed_label, R.is_alert, R.alert_message)])
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    finally:
+        views.register_functions(spark)

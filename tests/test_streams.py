@@ -458,3 +458,19 @@ def test_console_sink_starts(spark, root, landing):
     query = sinks.console(rows_, "feed", f"{root}/c", SETTINGS)
     query.awaitTermination()
     assert query.lastProgress.numInputRows == 1
+
+
+def test_state_holds_open_windows_only_and_stays_level(spark, root, landing):
+    """The state read back after each of ten batches: no window the watermark of the batch before has passed, and no growth."""
+    kept = []
+    for batch in range(10):
+        start = batch * 600
+        landing.add(*[change(batch * 100 + i, sensor=f"s{i % 5}", seconds=start + i * 30) for i in range(20)])
+        query = Q.start_minute_averages(C.readings(landing.stream()), root, SETTINGS)
+        query.awaitTermination()
+        mark = max(p["eventTime"]["watermark"] for p in query.recentProgress)
+        state = spark.read.format("statestore").load(f"{root}/_checkpoints/minute")
+        ends = [r.end for r in state.select(F.date_format("key.window.end", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("end")).collect()]
+        assert ends and min(ends) > mark
+        kept.append(len(ends))
+    assert max(kept) == min(kept)
