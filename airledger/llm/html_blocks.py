@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
@@ -36,12 +37,34 @@ REMEMBERED = 1 << 12  # characters of an element or path worth keeping between p
 MARK_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+class Path:
+    """An element inside others. Blocks of the same element share it, so deep pages cost no more than flat ones."""
+
+    __slots__ = ("parent", "element", "score")
+
+    def __init__(self, parent: Path | None, element: str):
+        self.parent, self.element = parent, element  # name and marking attributes
+        self.score = None  # what a decoder worked out for it
+
+    def elements(self) -> tuple[str, ...]:
+        """From the outermost one on."""
+        out, here = [], self
+        while here is not None:
+            out.append(here.element)
+            here = here.parent
+        return tuple(reversed(out))
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[str, ...]  # the elements around it, outermost first: name and marking attributes
+    around: Path | None
     linked: int  # characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.around.elements() if self.around else ()
+
 
 @lru_cache(maxsize=1 << 14)
 def _described(element: str) -> tuple[str, tuple[str, ...]]:
@@ -84,11 +107,31 @@ class Tags:
         return self.html.index(">", at) + 1
 
 
+def closing_tag(html: str, name: str, at: int, nested: bool) -> int:
+    """The place after the closing tag of an element whose content starts here; -1 without one.
+
+    ``nested`` counts elements of the same name inside it; where they do not balance, the last closing tag counts.
+    """
+    depth, last = 1, -1
+    for found in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(html, at):
+        end = html.find(">", found.end()) + 1
+        if not end:
+            break
+        if not found[1]:
+            depth += nested and html[end - 2] != "/"
+            continue
+        depth, last = depth - 1, end
+        if not depth:
+            break
+    return last
+
+
 def blocks(html: str) -> list[Block]:
     """The page's non-empty leaf blocks in order: references decoded, white space made one blank."""
     out: list[Block] = []
-    path: list[str] = []
+    path: list[Path] = []
     names: list[str] = []
+    opened: Counter[str] = Counter()  # names among them
     texts: list[str] = []
     linked, in_link, at = 0, False, 0
 
@@ -97,11 +140,12 @@ def blocks(html: str) -> list[Block]:
         if texts:
             text = " ".join(unescape("".join(texts)).split())
             if text:
-                out.append(Block(text, tuple(path), linked))
+                out.append(Block(text, path[-1] if path else None, linked))
             texts.clear()
         linked = 0
 
     def leave(place: int) -> None:
+        opened.subtract(names[place:])
         del path[place:], names[place:]
 
     size, tags = len(html), Tags(html)
@@ -136,19 +180,15 @@ def blocks(html: str) -> list[Block]:
                     in_link = False
                 continue
             flush()
-            for place in range(len(names) - 1, -1, -1):
-                if names[place] == name:
-                    leave(place)
-                    break
+            if opened[name]:
+                leave(len(names) - 1 - names[::-1].index(name) if names[-1] != name else len(names) - 1)
             continue
         rest = html[after : at - 1]
         if name in SKIPPED:
             if not rest.rstrip().endswith("/"):
-                closing = None
-                if name not in unclosed:
-                    closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-                if closing:
-                    at = closing.end()
+                closing = -1 if name in unclosed else closing_tag(html, name, at, name not in RAW)
+                if closing >= 0:
+                    at = closing
                 elif name in RAW:
                     at = size
                 else:
@@ -165,14 +205,17 @@ def blocks(html: str) -> list[Block]:
         in_link = in_link and name not in ("li", "nav", "footer", "article")
         if name in VOID:
             continue
-        closed = CLOSES_ITSELF.get(name)
-        for place in range(len(names) - 1, -1, -1):
-            if closed and names[place] in closed or names[place] == "p" and name in ENDS_PARAGRAPH:
+        closed = CLOSES_ITSELF.get(name, frozenset())
+        ends = name in ENDS_PARAGRAPH and opened["p"] or any(opened[other] for other in closed)
+        for place in range(len(names) - 1, -1, -1) if ends else ():
+            if names[place] in closed or names[place] == "p" and name in ENDS_PARAGRAPH:
                 leave(place)
                 break
             if names[place] in SCOPES:
                 break
         names.append(name)
-        path.append(" ".join([name, *MARKS.findall(rest)]) if rest and not rest.isspace() else name)
+        opened[name] += 1
+        element = " ".join([name, *MARKS.findall(rest)]) if rest and not rest.isspace() else name
+        path.append(Path(path[-1] if path else None, element))
     flush()
     return out

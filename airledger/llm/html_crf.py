@@ -15,14 +15,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import mapped
-from .html_blocks import REMEMBERED, Block, blocks, described
+from .html_blocks import Block, Path, blocks, described
 from .html_pages import labelled_pages
 
 PAGES = 400
@@ -36,23 +35,21 @@ SLICE_ROWS = 256
 WORD = re.compile(r"[^\W\d_]+")
 
 
-@lru_cache(maxsize=1 << 14)
-def path_features(path: tuple[str, ...]) -> tuple[str, ...]:
+def element_features(element: str) -> tuple[list[str], list[str]]:
+    """(features of all blocks inside an element, features of those directly in it)."""
+    name, marks = described(element)
+    return ["in:" + name, *("mark:" + m for m in marks if m not in ("class", "id", "role"))], ["own:" + name]
+
+
+def path_features(path: tuple[str, ...]) -> list[str]:
     """The elements around a block: each name, each marking word, and the two innermost names."""
-    found = {}
-    for place, element in enumerate(path):
-        name, marks = described(element)
-        found["in:" + name] = None
-        for mark in marks:
-            if mark not in ("class", "id", "role"):
-                found["mark:" + mark] = None
-        if place == len(path) - 1:
-            found["own:" + name] = None
+    found = dict.fromkeys(f for element in path for f in element_features(element)[0])
+    found |= dict.fromkeys(f for element in path[-1:] for f in element_features(element)[1])
     if len(path) > 1:
         found["pair:" + described(path[-2])[0] + ">" + described(path[-1])[0]] = None
     if not any(described(e)[1] for e in path):
         found["unmarked"] = None
-    return tuple(found)
+    return list(found)
 
 
 def text_features(block: Block) -> list[str]:
@@ -85,20 +82,34 @@ class Chain:
     first: np.ndarray
     last: np.ndarray
 
+    def _around(self, path: Path | None) -> float:
+        """What the elements around a block say, each worked out once from the one it lies in.
+
+        An element keeps (its own sum, the weighed features seen down to it, whether all are unmarked, sum for blocks in it).
+        """
+        weights = self.weights
+        todo, here = [], path
+        while here is not None and (here.score is None or here.score[0] is not self):
+            todo.append(here)
+            here = here.parent
+        for node in reversed(todo):
+            _, total, seen, plain, _ = node.parent.score if node.parent else (self, 0.0, frozenset(), True, 0.0)
+            inside, own = element_features(node.element)
+            new = {f for f in inside if f in weights and f not in seen}
+            total += sum(weights[f] for f in sorted(new))
+            name, marks = described(node.element)
+            plain = plain and not marks
+            direct = total + sum(weights.get(f, 0.0) for f in own) + (weights.get("unmarked", 0.0) if plain else 0.0)
+            if node.parent:
+                direct += weights.get(f"pair:{described(node.parent.element)[0]}>{name}", 0.0)
+            node.score = (self, total, seen | new if new else seen, plain, direct)
+        return path.score[-1] if path else weights.get("unmarked", 0.0)
+
     def emissions(self, page: list[Block]) -> list[float]:
-        weights, known = self.weights, _path_scores(self)
-        out, here = [], {}
-        for block in page:
-            score = known.get(block.path)
-            if score is None:
-                score = here.get(block.path)
-            if score is None:
-                short = sum(map(len, block.path)) <= REMEMBERED
-                features = (path_features if short else path_features.__wrapped__)(block.path)
-                score = sum(weights.get(f, 0.0) for f in features)
-                (known if short else here)[block.path] = score
-            out.append(score + sum([weights.get(f, 0.0) for f in text_features(block)]))
-        return out
+        weights = self.weights
+        return [
+            self._around(block.around) + sum([weights.get(f, 0.0) for f in text_features(block)]) for block in page
+        ]
 
     def decode(self, page: list[Block]) -> list[int]:
         """The most likely labels of the whole page (Viterbi)."""
@@ -124,17 +135,6 @@ class Chain:
         return JOINT.join(b.text for b, main in zip(page, self.decode(page)) if main)
 
 
-_SCORES: dict[int, dict] = {}
-
-
-def _path_scores(chain: Chain) -> dict:
-    """Emission of the surroundings, remembered per chain and worker, for a bounded number of paths."""
-    if id(chain) not in _SCORES or len(_SCORES[id(chain)]) > 1 << 14:
-        _SCORES.clear()
-        _SCORES[id(chain)] = {}
-    return _SCORES[id(chain)]
-
-
 def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
     top = a.max(axis=axis, keepdims=True)
     return (top + np.log(np.exp(a - top).sum(axis=axis, keepdims=True))).squeeze(axis)

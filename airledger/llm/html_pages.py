@@ -20,7 +20,8 @@ NAMES = {
     "notice": "notice cookie cookie-banner consent gdpr alert message popup modal overlay newsletter warning",
     "advert": "ad ads advert advertisement sponsor sponsored promo banner-ad promotion adsbygoogle",
     "form": "form search search-form login subscribe signup contact newsletter-form",
-    "comments": "comments comment comment-list responses replies discussion disqus comment-body reply thread",
+    "comments": "comments comment comment-list responses replies discussion disqus comment-body reply thread "
+    "reviews user-reviews guestbook feedback remarks user-comments reader-comments",
     "share": "share social sharing tags meta byline author tools",
 }
 TAGS = {
@@ -40,6 +41,8 @@ PHRASES = {
     "comments": "Leave a comment|3 comments|Reply|Anna wrote on 3 May:|Report",
     "share": "Share on social media|Tags: one, two|Print|Posted in News",
 }
+# Words that stand in articles and around them alike, so that none of them speaks for either.
+COMMON = "the a and of to in for on with this is it we you your all by more use site from not are at".split()
 SYLLABLES = "an ar be con de di ent er es ge ha il in ka la lo ma men na ne ou per que ra re sa se ta ti to un ver vo".split()
 
 
@@ -51,7 +54,10 @@ class Writer:
     def words(self, low: int, high: int) -> str:
         draw = self.draw
         count = draw.randint(low, high)
-        return " ".join("".join(draw.choices(SYLLABLES, k=draw.choice((1, 2, 2, 3)))) for _ in range(count))
+        return " ".join(
+            draw.choice(COMMON) if draw.random() < 0.25 else "".join(draw.choices(SYLLABLES, k=draw.choice((1, 2, 2, 3))))
+            for _ in range(count)
+        )
 
     def prose(self, sentences: int) -> str:
         parts = []
@@ -73,7 +79,11 @@ class Writer:
     def block(self, text: str, label: int, tag: str = "p", inside: str = "") -> str:
         self.blocks.append((" ".join(text.split()), label))
         body = escape(text, quote=False)
-        if inside:
+        if inside == "link":  # a link on a word or two
+            words = [escape(w, quote=False) for w in text.split(" ")]
+            at = self.draw.randrange(len(words))
+            body = " ".join([*words[:at], f'<a href="/y">{" ".join(words[at : at + 2])}</a>', *words[at + 2 :]])
+        elif inside:
             body = f"<{inside}>{body}</{inside.split(' ')[0]}>"
         return f"<{tag}>{body}</{tag}>" if tag else body
 
@@ -124,10 +134,11 @@ class Writer:
     def article(self) -> str:
         draw = self.draw
         body = self.block(self.words(3, 12).capitalize(), 1, draw.choice(("h1", "h1", "h2"))) if draw.random() < 0.85 else ""
+        paragraph = "div" if draw.random() < 0.12 else "p"  # some pages know no paragraphs
         for _ in range(draw.randint(1, 14)):
             kind = draw.random()
             if kind < 0.72:
-                body += self.block(self.prose(draw.choice((1, 1, 2, 4, 7))), 1, "p", draw.choice(("", "", "", "b", "em")))
+                body += self.block(self.prose(draw.choice((1, 1, 2, 4, 7))), 1, paragraph, draw.choice(("", "", "", "b", "em", "link")))
             elif kind < 0.80:
                 body += self.block(self.words(1, 6).capitalize(), 1, draw.choice(("h2", "h3")))
             elif kind < 0.87:
@@ -140,8 +151,11 @@ class Writer:
                 body += f"<table><tr>{cells}</tr></table>"
             else:
                 body += self.around(draw.choice(("advert", "advert", "notice", "share", "sidebar", "form")))
-        if draw.random() < 0.15:
+        bare = draw.random()
+        if bare < 0.15:
             return body  # an article without an element of its own
+        if bare < 0.22:
+            return f"<div>{body}</div>"
         return self.element("article", body, named=0.6)
 
     def page(self) -> str:

@@ -148,3 +148,76 @@ def test_odd_pages(spark, chain):
 def test_weights_have_the_expected_signs(chain):
     assert chain.weights.get("mark:comment", 0) < 0 < chain.weights.get("in:article", 0)
     assert np.trace(chain.step) > chain.step[0, 1] + chain.step[1, 0]
+
+
+def test_nested_and_odd_ends_of_skipped_elements():
+    assert texts("<p>a<svg><svg></svg><text>LEAKED</text></svg>b</p>") == ["a b"]
+    assert texts("<p>a<svg><svg/><g></g></svg>b") == ["a b"]
+    assert texts("<p>a<svg><svg></svg>b<p>c") == ["a b", "c"]
+    assert texts("<script>x</script foo>rest") == ["rest"]
+    assert texts("<script>x</scripts></script\n>rest") == ["rest"]
+    assert texts("<p>a<template><template>in</template>in</template>b") == ["a b"]
+
+
+@pytest.mark.parametrize(
+    "page", [
+        "<div>x" * 8000, "<div class=a>x" * 8000, "<div>" * 20_000 + "</zz>" * 20_000, "<x-y>" * 20_000, "<x-y>t" * 20_000,
+        "".join(f"<div class=c{i}>x" for i in range(8000)), "<li>x" * 20_000, "<p>x<form>y" * 20_000, "<svg><svg>x</svg>" * 3000,
+        "<div>x" * 8000 + "</div>y" * 8000, "<i>" * 50_000, "<ul><li>" * 10_000 + "x</li></ul>" * 10_000,
+    ], ids=range(12),
+)
+def test_deep_pages_stay_quick(chain, page):
+    start = time.perf_counter()
+    chain.extract(page)
+    assert time.perf_counter() - start < 3
+
+
+def test_running_scores_are_those_of_all_features(chain):
+    for html, _ in labelled_pages(30, seed=9):
+        page = blocks(html)
+        want = [
+            sum(chain.weights.get(f, 0.0) for f in (*html_crf.path_features(b.path), *html_crf.text_features(b))) for b in page
+        ]
+        assert chain.emissions(page) == pytest.approx(want)
+
+
+P = "This is a sentence of the article, long enough to be read. And here is another one of the same kind."
+Q = "A second paragraph follows, with some more words in it, so that the page has a body. It ends here."
+STYLES = {
+    "reviews": (f'<main><h1>A title here</h1><p>{P}</p><p>{Q}</p></main><div class="user-reviews"><p>Jane: I liked it a lot, thank you.</p></div>', 3),
+    "bare divs": (f"<html><body><div>{P}</div><div>{Q}</div><div>{P}</div></body></html>", 3),
+    "article": (f"<nav><a href=/>Home</a></nav><article><h1>A title here</h1><p>{P}</p><p>{Q}</p></article><footer>© 2024 Site</footer>", 3),
+    "post": (f'<div class="header"><div>My blog</div></div><div class="post"><h2>A title here</h2><p>{P}</p><p>{Q}</p></div><div class="sidebar"><ul><li><a href=/a>Other</a></li></ul></div>', 3),
+    "content id": (f'<ul class="menu"><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul><div id="content"><p>{P}</p><p>{Q}</p></div><div id="footer">All rights reserved.</div>', 2),
+    "list": (f"<article><p>{P}</p><ul><li>First point of the list</li><li>Second point of the list</li></ul><p>{Q}</p></article>", 4),
+    "quote": (f"<article><p>{P}</p><blockquote><p>{Q}</p></blockquote></article><aside><h3>Most read</h3></aside>", 2),
+    "cookie": (f'<div class="cookie-banner">We use cookies to improve this site.</div><main><p>{P}</p><p>{Q}</p></main>', 2),
+    "form": (f'<main><p>{P}</p><p>{Q}</p></main><form><label>Your e-mail</label><button>Send</button></form>', 2),
+    "advert": (f'<article><p>{P}</p><div class="ad">Buy now and save 50%</div><p>{Q}</p></article>', 2),
+    "comments": (f'<article><p>{P}</p><p>{Q}</p></article><section id="comments"><h3>2 comments</h3><div class="comment"><p>I do not agree at all.</p></div></section>', 2),
+    "table": (f"<article><p>{P}</p><table><tr><td>one cell</td><td>two cells</td></tr></table><p>{Q}</p></article>", 4),
+    "sections": (f"<main><section><h2>First part</h2><p>{P}</p></section><section><h2>Second part</h2><p>{Q}</p></section></main>", 4),
+    "wrapper": (f'<div class="wrapper"><div class="container"><div class="article-body"><p>{P}</p><p>{Q}</p></div></div></div>', 2),
+    "breadcrumb": (f'<div class="breadcrumbs"><a href=/>Home</a> <a href=/x>News</a></div><article><p>{P}</p><p>{Q}</p></article>', 2),
+    "share": (f'<article><p>{P}</p><p>{Q}</p><div class="share">Share on social media</div></article>', 2),
+    "related": (f'<article><p>{P}</p><p>{Q}</p></article><div class="related"><h3>Related articles</h3><ul><li><a href=/1>Another story</a></li></ul></div>', 2),
+    "discussion": (f'<article><p>{P}</p><p>{Q}</p></article><div class="discussion"><div class="reply"><p>So do I, and more than once.</p></div></div>', 2),
+    "newsletter": (f'<article><p>{P}</p><p>{Q}</p></article><div class="newsletter"><p>Subscribe to our newsletter</p></div>', 2),
+    "plain": (f"<h1>A title here</h1><p>{P}</p><p>{Q}</p><p>{P}</p>", 4),
+}
+
+
+def test_other_page_styles(chain):
+    """Twenty hand-written styles; the first ``n`` blocks in page order that hold no part listed around them are the article."""
+    right = found = wanted = 0
+    for name, (page, count) in STYLES.items():
+        around = ("Jane:", "Home", "©", "My blog", "Other", "News", "All rights", "Most read", "cookies", "e-mail", "Send", "Buy now",
+                  "comments", "agree", "Share", "Related", "Another", "So do I", "Subscribe")
+        want = [b.text for b in blocks(page) if not b.text.startswith(around) and not any(w in b.text[:45] for w in around)]
+        assert len(want) == count, name
+        got = chain.extract(page).split("\n\n")
+        got = [g for g in got if g]
+        right += len([g for g in got if g in want])
+        found, wanted = found + len(got), wanted + len(want)
+    precision, recall = right / found, right / wanted
+    assert 2 * precision * recall / (precision + recall) >= 0.95, (precision, recall)
