@@ -8,11 +8,13 @@ as one text compresses well with the other's dictionary.
 
 Neighbours: documents are dealt by ranges of ids, ``RANGE`` wide, and streamed in order of id; the first
 document of a range is also dealt to the range before it, so each task knows every document's successor. Memory
-holds two documents at a time. Only the ranges' first ids are ordered globally.
+holds two documents at a time. Only the ranges' first ids are ordered globally. A range in which ids repeat so often
+that it holds more than ``CROWDED_ROWS`` rows is dealt in parts, by id and hash of the text, and equal rows of it are put
+together before they are shuffled.
 
 Defined cases: null and empty texts have no phrases and an empty fingerprint; two empty fingerprints
 have likeness 1, an empty and another one 0. A null id comes before all ids. Rows with the same id follow each
-other in order of text. A single row is its own next document. An empty table gives an empty result;
+other in order of text, in a crowded range in order of the text's hash. A single row is its own next document. An empty table gives an empty result;
 other columns are not read.
 """
 
@@ -24,7 +26,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import code_points, mapped, stored, text_of
 from .order import cyclic_predecessors
@@ -35,6 +37,9 @@ SPREAD = np.uint64(0x5851F42D4C957F2D)
 LOWEST = -(1 << 63)
 OUT_ROWS = 512
 BROADCAST_ROWS = 1 << 20
+#: Rows from which on a range is crowded, and the number its parts aim at.
+CROWDED_ROWS = 1 << 14
+ROWS_PER_PART = 1 << 12
 
 
 def parse(text: str, phrases: dict[str, None], open_: str = "") -> str:
@@ -126,22 +131,59 @@ COLUMNS = (
 )
 
 
+def _parts(own: DataFrame, range_bits: int, crowded_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The documents with their range, the part of it, their place in the order (at, h) and how often they stand there;
+    and the first place of each part.
+
+    A range of ids is one part, unless ids repeat so often that it is crowded.
+    """
+    place = F.shiftright("at", range_bits).alias("range")
+    sizes = stored(own.groupBy(place).agg(F.min("at").alias("at"), F.count("*").alias("rows")), "ranges")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    whole = own.withColumns({"range": F.shiftright("at", range_bits), "part": none, "h": none, "times": one})
+    firsts = sizes.select("range", none.alias("part"), "at", none.alias("h"))
+    bits = F.least(F.greatest(F.ceil(F.log2(F.col("rows") / ROWS_PER_PART)), F.lit(1)), F.lit(20)).cast("int")
+    crowded = stored(sizes.where(F.col("rows") > crowded_rows).select("range", bits.alias("bits")), "crowded")
+    many = crowded.count()
+    if not many:
+        return whole, firsts
+    if many <= BROADCAST_ROWS:
+        crowded = F.broadcast(crowded)
+    light = whole.join(crowded, "range", "left_anti")
+    part = F.expr(f"shiftleft(at & {(1 << range_bits) - 1}L, bits) + shiftright(h, 64 - bits) + shiftleft(1L, bits - 1)")
+    heavy = (
+        whole.join(crowded, "range").withColumn("h", F.xxhash64("text")).withColumn("part", part)
+        .groupBy("range", "part", "at", "h", "id", "text").agg(F.count("*").alias("times"))
+    )
+    heavy_firsts = heavy.groupBy("range", "part").agg(F.min(F.struct("at", "h")).alias("f")).select("range", "part", "f.*")
+    return light.unionByName(heavy), firsts.join(crowded, "range", "left_anti").unionByName(heavy_firsts)
+
+
 def with_next(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", range_bits: int = RANGE_BITS
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", range_bits: int = RANGE_BITS,
+    crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
     """One row per document: fingerprints of it and of its edited form, likeness to both neighbours."""
     own = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn(
         "at", F.coalesce("id", F.lit(LOWEST))
     )
-    place = F.shiftright("at", range_bits)
-    firsts = own.groupBy(place.alias("range")).agg(F.min("at").alias("at"))
-    before = cyclic_predecessors(own.select(place.alias("range")), "range")
-    handed = stored(firsts.join(before, "range").select("at", F.col("prev").alias("range")), "handed")
-    if handed.count() <= BROADCAST_ROWS:  # two numbers a row; beyond that Spark joins by sorting
-        handed = F.broadcast(handed)
-    dealt = own.withColumns({"range": place, "copy": F.lit(False)}).unionByName(
-        own.join(handed, "at").withColumn("copy", F.lit(True))
+    placed, firsts = _parts(own, range_bits, crowded_rows)
+    within = Window.partitionBy("range").orderBy("part")
+    before = cyclic_predecessors(firsts.select("range"), "range")
+    lasts = firsts.groupBy(F.col("range").alias("prev")).agg(F.max("part").alias("last"))
+    handed = (
+        firsts.withColumn("lag", F.lag("part").over(within)).join(before, "range").join(lasts, "prev")
+        .select(
+            "range", "part", "at", "h", F.when(F.col("lag").isNull(), F.col("prev")).otherwise(F.col("range")).alias("to_range"),
+            F.coalesce("lag", "last").alias("to_part"),
+        )
     )
+    handed = stored(handed, "handed")
+    if handed.count() <= BROADCAST_ROWS:  # six numbers a row; beyond that Spark joins by sorting
+        handed = F.broadcast(handed)
+    copies = placed.join(handed, ["range", "part", "at", "h"]).drop("range", "part")
+    copies = copies.withColumnsRenamed({"to_range": "range", "to_part": "part"}).withColumn("copy", F.lit(True))
+    dealt = placed.withColumn("copy", F.lit(False)).unionByName(copies)
     names = [id_col, *(n for n, _, _ in COLUMNS)]
     types = [pa.int64(), *(t for _, t, _ in COLUMNS)]
 
@@ -153,23 +195,28 @@ def with_next(
         rows: list[tuple] = []
         current, pending, closed = None, None, False
         for batch in batches:
-            for range_, copy, doc_id, text in zip(*(c for c in batch.columns)):
-                range_, copy = range_.as_py(), copy.as_py()
-                if range_ != current:
-                    current, pending, closed = range_, None, False
+            for range_, part, copy, doc_id, text, times in zip(*(c for c in batch.columns)):
+                place, copy = (range_.as_py(), part.as_py()), copy.as_py()
+                if place != current:
+                    current, pending, closed = place, None, False
                 if closed:
-                    continue  # further rows with the id of the next range's first document
+                    continue  # further rows with the place of the next part's first document
                 document = _Document(doc_id.as_py(), text.as_py())
                 if pending is not None:
                     rows.append(pending.row(document))
                 pending, closed = document, copy
-            if len(rows) >= OUT_ROWS:
-                yield packed(rows)
-                rows = []
+                again = 0 if copy else times.as_py() - 1
+                if again:  # equal rows follow one another
+                    row = _Document(doc_id.as_py(), text.as_py()).row(document)
+                    for start in range(0, again, OUT_ROWS):
+                        yield packed([row] * min(OUT_ROWS, again - start))
+                if len(rows) >= OUT_ROWS:
+                    yield packed(rows)
+                    rows = []
         if rows:
             yield packed(rows)
 
-    order = ["range", "copy", "at", "text"]
-    in_order = dealt.repartition("range").sortWithinPartitions(*order)
+    order = ["range", "part", "copy", "at", "h", "text"]
+    in_order = dealt.repartition("range", "part").sortWithinPartitions(*order)
     schema = ", ".join([f"`{id_col}` long", *(f"{n} {s}" for n, _, s in COLUMNS)])
-    return mapped(in_order.select("range", "copy", "id", "text"), run, schema)
+    return mapped(in_order.select("range", "part", "copy", "id", "text", "times"), run, schema)

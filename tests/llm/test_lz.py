@@ -1,8 +1,11 @@
 """Phrase fingerprints against a plain parse, and the order of documents."""
 
 import hashlib
+from collections import Counter
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from airledger.llm import lz_fingerprint as lz
 from airledger.llm.order import cyclic_predecessors
@@ -38,9 +41,21 @@ def test_likeness_estimates_the_common_phrases():
     assert lz.likeness(none, none) == 1.0 and lz.likeness(none, marks[0]) == 0.0
 
 
-def expected(rows):
-    """One row per (id, text), ordered by id (null first) and text."""
-    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+def hash_of(text):
+    value = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def expected(rows, bits=8, crowded=1 << 60):
+    """One row per (id, text), ordered by id (null first) and text; in crowded ranges by the text's hash before the text."""
+    def range_of(i):
+        return (-(1 << 63) if i is None else i) >> bits
+
+    sizes = Counter(range_of(i) for i, _ in rows)
+    rows = sorted(
+        ((i, t or "") for i, t in rows),
+        key=lambda r: (r[0] is not None, r[0] or 0, hash_of(r[1]) if sizes[range_of(r[0])] > crowded else 0, r[1].encode()),
+    )
     out = []
     for place, (doc_id, text) in enumerate(rows):
         following = rows[(place + 1) % len(rows)][1]
@@ -70,10 +85,31 @@ def test_rows_and_their_successors(docs, odd, bits):
         assert got.columns == [
             "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
         ]
-        if frame is not odd.limit(1):
+        if len(rows) > 1:
             assert sorted(map(tuple, got.collect()), key=repr) == expected(rows)
 
 
+@pytest.mark.parametrize("bits, crowded", [(0, 1), (3, 2), (8, 4), (8, 1)])
+def test_crowded_ranges_are_dealt_in_parts(spark, odd, monkeypatch, bits, crowded):
+    monkeypatch.setattr(lz, "ROWS_PER_PART", 2)
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    rows += [(None, f"a text without an id, number {i % 13}") for i in range(40)] + [(3, f"text {i} of one id") for i in range(30)]
+    rows += [(3, "the same text again")] * 25 + [(700, "far away")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = lz.with_next(frame, range_bits=bits, crowded_rows=crowded).collect()
+    assert sorted(map(tuple, got), key=repr) == expected(rows, bits, crowded)
+
+
+def test_one_id_spreads_over_tasks(spark, monkeypatch):
+    """Half of all rows without an id: no part of the order holds more than its share."""
+    monkeypatch.setattr(lz, "ROWS_PER_PART", 64)
+    frame = spark.range(8000).selectExpr("if(id % 2 = 0, null, id) AS id", "concat('text ', if(id % 4 = 0, 'x', cast(id as string))) AS text")
+    own = frame.withColumn("at", F.coalesce("id", F.lit(lz.LOWEST)))
+    placed, firsts = lz._parts(own, 8, 1000)
+    sizes = [r["count"] for r in placed.groupBy("range", "part").count().collect()]
+    assert max(sizes) < 260 and placed.agg(F.sum("times")).first()[0] == 8000 and firsts.count() == len(sizes)
+
+
 def test_edited_texts_are_near_and_neighbours_are_not(docs):
     rows = [r for r in lz.with_next(docs).collect() if r.n_chars > 200]
     near, far = (sum(getattr(r, n) for r in rows) / len(rows) for n in ("near_edited", "near_next"))
