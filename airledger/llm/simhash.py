@@ -4,8 +4,9 @@ Fingerprint: words of the text with A-Z lowered, shingles of ``width`` words joi
 64-bit XXH64 (seed 42) of each; a bit is set if it is set in over half of the hashes.
 
 Links: fingerprints that differ in at most ``distance`` bits. Only distinct fingerprints are compared.
-They meet in buckets of equal bits: with the 64 bits in ``distance + 3`` blocks, two fingerprints within
-the distance agree in some three whole blocks (about 32 bits), so no link is lost. Inside a bucket the
+They meet in buckets of equal bits: with the 64 bits in ``distance + 2`` blocks, two fingerprints within
+the distance agree in some two whole blocks (about 26 bits), so no link is lost. The buckets are coarse on purpose:
+what they hold together by chance is left to the pivots. Inside a bucket the
 table of Hamming distances to ``PIVOTS`` fixed reference fingerprints is computed once; by the triangle
 inequality a pair whose coordinates differ by more than ``distance`` anywhere is discarded, survivors
 are verified bit by bit. A bucket sends on one star per connected part, never its pairs. Buckets above
@@ -26,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import mapped, stored, text_of
 from .components import components
@@ -64,34 +65,39 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
 def fingerprints(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH
 ) -> DataFrame:
-    """(id, fp, row_key): fp holds the 64 bits as a signed long, row_key hashes the id and the text."""
+    """(id, fp, row_key, row_check): fp holds the 64 bits as a signed long; the others are two hashes of id and text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)],
-                names=["id", "fp", "row_key"],
+                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2), batch.column(3)],
+                names=["id", "fp", *ROW_KEY],
             )
 
     picked = docs.select(
         F.col(id_col).cast("long").alias("id"),
         text_of(text_col).cast("binary").alias("text"),
-        row_key(id_col, text_col).alias("row_key"),
+        *row_keys(id_col, text_col),
     )
-    return mapped(picked, run, "id long, fp long, row_key long")
+    return mapped(picked, run, "id long, fp long, row_key long, row_check long")
 
 
-def row_key(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+#: Two hashes that tell rows of different id or text apart, 128 bits together.
+ROW_KEY = ("row_key", "row_check")
+
+
+def row_keys(id_col: str, text_col: str, names: tuple[str, str] = ROW_KEY) -> list[Column]:
+    values = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    return [F.xxhash64(*values).alias(names[0]), F.xxhash64(F.lit(names[1]), *values).alias(names[1])]
 
 
 def block_masks(distance: int) -> list[int]:
-    """Masks of every choice of three among ``distance + 3`` blocks of bits, as signed longs."""
-    blocks = distance + 3
+    """Masks of every choice of two among ``distance + 2`` blocks of bits, as signed longs."""
+    blocks = distance + 2
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    chosen = [sum(c) for c in combinations(masks, 3)]
+    chosen = [sum(c) for c in combinations(masks, 2)]
     return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
@@ -206,7 +212,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fingerprint, component_id): one row per row of ``docs``."""
     prints = stored(
-        fingerprints(docs, id_col=id_col, text_col=text_col, width=width).drop("row_key"), "simhash"
+        fingerprints(docs, id_col=id_col, text_col=text_col, width=width).drop(*ROW_KEY), "simhash"
     )
     classes = _classes(prints, distance)
     least = prints.groupBy("fp").agg(F.min("id").alias("least"))
@@ -229,17 +235,18 @@ def first_of_each_group(
     """
     prints = stored(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "simhash")
     classes = _classes(prints, distance)
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", *ROW_KEY)
+    kept_key = ["__kept_key", "__kept_check"]
     per_print = prints.groupBy("fp").agg(F.min(order).alias("first"))
     kept = (
         per_print.join(classes, "fp")
         .groupBy("root")
         .agg(F.min("first").alias("first"))
-        .select(F.col("first.row_key").alias("__kept_key"))
+        .select(*[F.col(f"first.{key}").alias(name) for key, name in zip(ROW_KEY, kept_key)])
     )
-    keyed = docs.withColumn("__kept_key", row_key(id_col, text_col))
+    keyed = docs.select("*", *[c.alias(name) for c, name in zip(row_keys(id_col, text_col), kept_key)])
     return (
-        keyed.join(kept, "__kept_key", "leftsemi")
-        .dropDuplicates(["__kept_key"])
+        keyed.join(kept, kept_key, "leftsemi")
+        .dropDuplicates(kept_key)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

@@ -138,3 +138,21 @@ def test_plan_has_no_cross_join_and_hot_prints_are_one_row(spark):
     got = simhash.near_duplicates(copies)
     assert got.filter("component_id <> 0").count() == 0 and got.count() == 3000
     assert "CartesianProduct" not in got._jdf.queryExecution().toString()
+
+
+def test_pivots_discard_most_of_what_buckets_bring_together(spark):
+    """Of the pairs that meet by chance in a bucket the distance tables discard the most part."""
+    prints = np.array([r.fp for r in simhash.fingerprints(
+        spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).select("fp").distinct().collect()]).view(np.uint64)
+    table = simhash.pivot_table(prints, simhash.pivot_prints())
+    met = set()
+    for mask in simhash.block_masks(3):
+        keys = prints & np.uint64(mask % (1 << 64))
+        order = np.argsort(keys)
+        for part in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+            met.update((int(a), int(b)) for i, a in enumerate(sorted(part)) for b in sorted(part)[i + 1 :])
+    a, b = np.array(sorted(met)).T
+    apart = np.bitwise_count(prints[a] ^ prints[b]) > 3
+    kept = np.abs(table[a] - table[b]).max(axis=1) <= 3
+    assert kept[~apart].all() and (~kept[apart]).mean() > 0.6
+    print(f"{len(a)} pairs meet, {(~kept).sum()} discarded by pivots, {(~apart).sum()} links")
