@@ -332,7 +332,7 @@ def avg_1m_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, own, lag in (("first", ~second, 0), ("second", second, BEHIND_BY_MICROS)):
             from_ = low - lag if low else 0
             _land(spark, sf_dir, root, own & (micros >= from_) & (micros < high - lag), name=name)
-        pipeline.drain({name: _landed(spark, root, name) for name in ("first", "second")}, root, STREAM)
+        pipeline.drain({name: _landed(spark, root, name) for name in ("first", "second")}, root, STREAM, outputs=["minute"])
     rows = sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute")
     return _rounded(rows, "avg_co2")
 
@@ -377,7 +377,7 @@ def hourly_with_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = feed.event_micros(dense=True) < F.lit(feed.EPOCH_MICROS + 2 * SLICE_MICROS + 900_000_000)
     for part in (early, ~early):
         _land(spark, sf_dir, root, part)
-        pipeline.drain(_landed(spark, root), root, STREAM)
+        pipeline.drain(_landed(spark, root), root, STREAM, outputs=["hourly"])
     rows = sinks.read_appended(spark, schemas.HOURLY_AGGREGATES, f"{root}/hourly")
     return _rounded(rows, "avg_co2")
 
@@ -393,7 +393,7 @@ def daily_summary_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def views_over_stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dashboard query in SQL over the tables the pipeline wrote."""
     root = work_root(prepare(spark))
-    pipeline.drain(_change_stream(spark, sf_dir), root, STREAM)
+    pipeline.drain(_change_stream(spark, sf_dir), root, STREAM, outputs=["hourly", "alerts", "status"])
     days.refresh_alert_summary(spark, root)
     register_stored_views(spark, root)
     return spark.sql(

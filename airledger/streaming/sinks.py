@@ -72,8 +72,9 @@ def backfill_path(path: str) -> str:
 
 
 def _appended(spark: SparkSession, table: Table, path: str) -> DataFrame:
+    """What the stream and a backfill wrote; nothing before either did."""
     reader = spark.read.schema(sink_schema(table))
-    rows = reader.parquet(path)
+    rows = reader.parquet(path) if files.exists(spark, path) else spark.createDataFrame([], sink_schema(table))
     if files.is_finished(spark, backfill_path(path)):
         rows = rows.unionByName(reader.parquet(backfill_path(path)))
     return rows

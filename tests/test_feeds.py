@@ -166,3 +166,18 @@ def test_command_line_takes_several_feeds(spark, root):
     assert windows(spark, f"{root}/out") == [("n", 1), ("s", 1)]
     with pytest.raises(SystemExit):
         command.main(["--root", "/x", "--feed", "a=b", "--files", "/y"])
+
+
+def test_a_drain_may_bring_some_outputs_only(spark, root):
+    landing = feed_at(spark, root, "one")
+    landing.add(*readings_at(0.5, 1.5, 4.5))
+    pipeline.drain(landing.stream(), root, SETTINGS, outputs=["hourly"])
+    assert hours(spark, root) == [(1, 410.5), (2, 411.5)]
+    assert sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts").count() == 0
+    landing.add(*readings_at(5.5, 6.5))
+    pipeline.drain(landing.stream(), root, SETTINGS)
+    assert hours(spark, root) == [(1, 410.5), (2, 411.5), (5, 414.5), (6, 415.5)]
+    assert sinks.read_appended(spark, schemas.ALERTS, f"{root}/alerts").count() == 5
+    assert sinks.read_appended(spark, schemas.MINUTE_AVERAGES, f"{root}/minute").count() == 4
+    with pytest.raises(KeyError):
+        pipeline.drain(landing.stream(), root, SETTINGS, outputs=["nothing"])
