@@ -220,11 +220,102 @@ def test_tokens_alike_at_their_start_differ():
     assert first != second
 
 
+def test_word_vectors_equal_a_plain_version():
+    """Sums of the index vectors of the tokens (and shapes) within the window, written out token by token."""
+    texts = ["one two three one", "Two ### ### 12 three", ""]
+    made = quality.learn_vectors(texts)
+    word_index, shape_index = quality.index_vectors(quality.PLACES, 11), quality.index_vectors(quality.SHAPES, 12)
+
+    def vector(index, row):
+        out = np.zeros(quality.WIDTH)
+        for place, sign in zip(index[0][row], index[1][row]):
+            out[place] += sign
+        return out
+
+    words, shapes = {}, {}
+    for text in texts:
+        place, shape = (x.tolist() for x in quality.token_codes(text))
+        for i in range(len(place)):
+            own = words.setdefault(place[i], vector(word_index, place[i]))
+            own_shape = shapes.setdefault(shape[i], vector(shape_index, shape[i]))
+            for j in range(max(0, i - quality.WINDOW), min(len(place), i + quality.WINDOW + 1)):
+                if j != i:
+                    own += vector(word_index, place[j]) + vector(shape_index, shape[j])
+                    own_shape += vector(shape_index, shape[j])
+    for made_rows, plain in ((made.words, words), (made.shapes, shapes)):
+        for row, want in plain.items():
+            size = np.linalg.norm(want)
+            assert np.allclose(made_rows[row], want / (size or 1), atol=1e-5)
+    unseen = next(p for p in range(quality.PLACES) if p not in words)
+    assert np.allclose(made.words[unseen], vector(word_index, unseen) / np.linalg.norm(vector(word_index, unseen)), atol=1e-5)
+
+
 def test_network_equals_a_plain_forward_pass(judge):
     texts = ["Some plain words of a text.", "### $$$ 111", ""]
-    rows = np.stack([judge.vectors.pool(t) for t in texts])
-    assert judge.scores(texts).shape == (3,) and np.allclose(judge.scores(texts), judge.scores(texts[::-1])[::-1])
-    assert rows.shape[1] == 2 * quality.WIDTH
+    net, got = judge.network, judge.scores(texts)
+    for text, score in zip(texts, got):
+        row = judge.vectors.pool(text)
+        hidden = [
+            np.tanh(sum((row[i] - net.mean[i]) / net.scale[i] * net.w1[i, h] for i in range(len(row))) + net.b1[h])
+            for h in range(len(net.b1))
+        ]
+        logit = (sum(x * w for x, w in zip(hidden, net.w2)) + net.b2) / judge.temperature + judge.shift
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-6)
+
+
+def test_training_steps_follow_the_numeric_gradient(monkeypatch):
+    """One step of the fit moves every parameter against the sign of the loss's numeric gradient."""
+    draw = np.random.default_rng(4)
+    rows, good = draw.normal(size=(40, 5)), (draw.random(40) < 0.5).astype(float)
+    monkeypatch.setattr(quality, "STEPS", 0)
+    start = quality.fit_network(rows, good)
+    monkeypatch.setattr(quality, "STEPS", 1)
+    moved = quality.fit_network(rows, good)
+
+    def loss(net):
+        logits = net.logits(rows)
+        penalty = quality.DECAY / 2 * ((net.w1**2).sum() + (net.w2**2).sum())
+        return np.logaddexp(0, np.where(good > 0, -1, 1) * logits).mean() + penalty
+
+    for name in ("w1", "w2"):
+        values = getattr(start, name)
+        for place in list(np.ndindex(values.shape))[:: max(1, values.size // 25)]:
+            gradient = 0.0
+            for sign in (1, -1):
+                changed = quality.Network(start.mean, start.scale, start.w1.copy(), start.b1, start.w2.copy(), start.b2)
+                getattr(changed, name)[place] += sign * 1e-5
+                gradient += sign * loss(changed) / 2e-5
+            if abs(gradient) > 1e-5:
+                assert np.sign(getattr(moved, name)[place] - values[place]) == -np.sign(gradient)
+
+
+def test_ridge_regression_equals_a_plain_version():
+    """The fitted margins solve the weighted ridge regression on the landmark features, written out in the primal."""
+    draw = np.random.default_rng(8)
+    names = ["de", "en", "fr"]
+    words = {n: ["".join(draw.choice(list("abcdefgh"), 4)) for _ in range(9)] for n in names}
+    labels = [n for n in names for _ in range(14 + 5 * names.index(n))]
+    texts = [" ".join(draw.choice(words[n], 12)) for n in labels]
+    model = language.fit(texts, labels, landmarks=12)
+    cross = model.kernel(language.presence(texts)).astype(np.float64)
+    chosen = [int(np.argmax(cross[:, k])) for k in range(cross.shape[1])]
+    assert np.allclose(cross[chosen, range(len(chosen))], 1, atol=1e-5)  # a landmark is most like itself
+    square = cross[chosen]
+    values, vectors = np.linalg.eigh((square + square.T) / 2)
+    kept = values > 1e-6 * values[-1]
+    features = cross @ (vectors[:, kept] / np.sqrt(values[kept]))
+    weight = np.array([1 / labels.count(n) for n in labels])
+    weight *= len(labels) / weight.sum()
+    want = np.empty((len(texts), len(names)))
+    for place, name in enumerate(names):
+        target = np.array([1.0 if n == name else -1.0 for n in labels])
+        # Ordinary least squares over rows stretched by their weights, an unpenalised constant and rows for the penalty.
+        penalty = np.sqrt(language.RIDGE * len(labels) / len(names))
+        design = np.column_stack([features, np.ones(len(labels))]) * np.sqrt(weight)[:, None]
+        ridge = np.hstack([penalty * np.eye(features.shape[1]), np.zeros((features.shape[1], 1))])
+        solved, *_ = np.linalg.lstsq(np.vstack([design, ridge]), np.r_[target * np.sqrt(weight), np.zeros(features.shape[1])], rcond=None)
+        want[:, place] = np.column_stack([features, np.ones(len(labels))]) @ solved
+    assert np.allclose(cross @ model.weights + model.bias, want, atol=1e-3)
 
 
 def test_too_many_languages_are_refused(spark, monkeypatch):
