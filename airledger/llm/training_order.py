@@ -2,9 +2,10 @@
 
 A sequence is the tokens of one document and an end mark. Documents are numbered 0 to N - 1 by place in the
 table's files; a balanced Feistel network over the next power of four, walked on while it leaves the range,
-permutes the numbers to global slots. Shard s holds the slots from s * ``shard_rows`` on. A task per shard tokenises its
-documents in order of slot and writes them end to end as rows of ``stride`` ids, so any row is at a fixed
-offset and reading can go on from a (shard, row) pair. The last row of a shard is filled with end marks.
+permutes the numbers to global slots. Shard s holds the slots from s * ``shard_rows`` on. A task takes a range
+of slots, one shard or some in a row (never more than ``MOST_TASKS`` tasks), tokenises its documents in order of slot
+and writes them end to end as rows of ``stride`` ids, so any row is at a fixed offset and reading can go on from a
+(shard, row) pair. The last row of a shard is filled with end marks.
 
 Files are written under another name and renamed when whole; a repeated task writes the same bytes again.
 The order is fixed by the key and N alone. The text is shuffled once, the tokens never.
@@ -39,6 +40,7 @@ ROUNDS = 6
 STRIDE = 2048
 SHARD_ROWS = 8192
 KIND = np.dtype("<u2")
+MOST_TASKS = 20_000
 ROW_BITS = 33  # monotonically_increasing_id keeps the row below the partition number
 
 
@@ -172,20 +174,25 @@ def materialise(
         if shard is not None:
             shard.close()
 
+    # The slots are known to be 0 to total - 1, so their ranges need no sample: consecutive shards go to a task.
+    shards = max(1, -(-total // shard_rows))
+    tasks = min(shards, MOST_TASKS)
     numbered = docs.select(
         F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"),
         F.monotonically_increasing_id().alias("place"),
     ).withColumn("slot", slot_of("place"))
     in_order = (
         numbered.withColumn("shard", F.floor(F.col("slot") / shard_rows))
-        .repartition("shard")
+        .repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
         .sortWithinPartitions("shard", "slot")
         .select("id", "shard", "slot", "text")
     )
     schema = f"`{id_col}` long, slot long, shard long, first_token long, n_tokens long, tokens_crc32 long"
     index = stored(mapped(in_order, write, schema), "training-index")
-    seen = index.agg(F.count("*").alias("n"), F.countDistinct("slot").alias("m"), F.max("slot").alias("last")).first()
-    if (seen["n"], seen["m"], seen["last"]) != (total, total, total - 1 if total else None):
+    # Equal to all numbers below the total, in any order: their count, last, sum and a checksum of their hashes.
+    marks = [F.count("*"), F.max("slot"), F.sum(F.col("slot").cast("decimal(38, 0)")), F.bit_xor(F.xxhash64("slot"))]
+    seen, want = (f.agg(*marks).first() for f in (index, spark.range(total).withColumnRenamed("id", "slot")))
+    if seen != want:
         raise RuntimeError("the table changed between the two passes; write it to files first")
     return index
 

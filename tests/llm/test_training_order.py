@@ -116,3 +116,12 @@ def test_cut_runs_give_the_ids_of_the_library(monkeypatch):
 def test_a_text_of_blanks_goes_through_spark(spark, root):
     frame = spark.createDataFrame([(1, " " * 10**6), (2, "a b")], "doc_id long, text string")
     assert T.materialise(frame, f"{root}/runs").count() == 2
+
+
+def test_tasks_take_ranges_of_shards(spark, root, monkeypatch):
+    monkeypatch.setattr(T, "MOST_TASKS", 3)
+    frame = spark.range(100).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(4)
+    index = T.materialise(frame, f"{root}/few", shard_rows=10, stride=16)
+    assert sorted(r.slot for r in index.collect()) == list(range(100))
+    shards = [sorted({r.shard for r in rows}) for rows in index.rdd.glom().collect() if rows]
+    assert sum(len(s) for s in shards) == 10 and all(s == list(range(s[0], s[-1] + 1)) for s in shards) and len(shards) <= 3
